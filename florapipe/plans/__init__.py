@@ -1,6 +1,7 @@
 """Operators bound to the driver tables, each with its DuckDB oracle SQL."""
 
-from florapipe.plans import audits, media_bind, merge_load, resolution, targets, text_bind  # noqa: F401
+from florapipe.plans import (audits, load_bind, media_bind, merge_load, resolution,  # noqa: F401
+                             targets, text_bind)
 from florapipe.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
