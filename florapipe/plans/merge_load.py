@@ -81,7 +81,7 @@ def q_merge_entities(spark, sf_dir):
 
 @query("longest_text", """
 SELECT source, lang, doc_id, n_text FROM (
-  SELECT source, lang, doc_id, length(text) AS n_text,
+  SELECT source, lang, doc_id, CAST(length(text) AS INTEGER) AS n_text,
          row_number() OVER (PARTITION BY source, lang ORDER BY length(text) DESC, doc_id) AS rn
   FROM documents WHERE trim(text) <> '' AND source IS NOT NULL)
 WHERE rn = 1
