@@ -186,12 +186,13 @@ def _rank_values(df: DataFrame, c: str, target_bucket_values: int = 2_000_000,
             .withColumn("lo", F.col("hi") - F.col("w")))
 
 
-def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], names: Sequence[str],
+                    target_bucket_values: int = 2_000_000) -> DataFrame:
     """One row with the linear-interpolated quantiles (the ``describe``
     definition): h = p*(n-1); x[floor h] + (h - floor h)*(x[floor h + 1] - x[floor h]).
     Each needed rank is picked by a range predicate inside one global
     aggregate over the ranked distinct values."""
-    ranked = _rank_values(df, c).select("v", "lo", "hi", "w")
+    ranked = _rank_values(df, c, target_bucket_values).select("v", "lo", "hi", "w")
     n = ranked.agg(F.sum("w")).first()[0] or 0
     aggs = []
     for p, name in zip(probs, names):
@@ -208,7 +209,8 @@ def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], names: Sequen
     return ranked.agg(*aggs)
 
 
-def describe(df: DataFrame, c: str, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
+def describe(df: DataFrame, c: str, exact: bool = True, accuracy: int = 10_000,
+             target_bucket_values: int = 2_000_000) -> DataFrame:
     """A5: count, mean, sample std, min, 25/50/75 % (linear interpolation), max.
 
     ``exact=False`` uses ``percentile_approx`` (one pass, bounded memory)."""
@@ -221,6 +223,7 @@ def describe(df: DataFrame, c: str, exact: bool = True, accuracy: int = 10_000)
             "count", "mean", "std", "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"),
             F.col("q")[2].alias("p75"), "max")
     base = df.agg(*stats).withColumn("_one", F.lit(1))
-    quant = exact_quantiles(df, c, [0.25, 0.5, 0.75], ["p25", "p50", "p75"]).withColumn("_one", F.lit(1))
+    quant = exact_quantiles(df, c, [0.25, 0.5, 0.75], ["p25", "p50", "p75"],
+                            target_bucket_values).withColumn("_one", F.lit(1))
     # both sides are single-row aggregates
     return base.join(quant, "_one").select("count", "mean", "std", "min", "p25", "p50", "p75", "max")

@@ -76,16 +76,20 @@ def default_id(keys: Sequence[str]) -> Column:
 
 def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], seq: str | Column,
            id_col: str = "id", id_fn: Callable[[Sequence[str]], Column] = default_id,
-           seq_col_out: bool = False) -> DataFrame:
+           keep_seq: bool = False) -> DataFrame:
     """Insert; on key conflict overwrite every non-key column (NULLs
     included); within the batch the later row (``seq``) wins.  Existing rows
     keep their surrogate id, new keys get ``id_fn``.
 
+    ``keep_seq`` (``seq`` must then be a column name): the table stores the
+    sequence and a batch row replaces a stored row only when its sequence is
+    not lower -- so late or replayed batches cannot roll a key back.
+
     The target is only anti-joined and semi-joined against the batch's keys,
     so with a small batch it is streamed once and never shuffled (AQE turns
     the batch side into a broadcast when its measured size allows)."""
     batch = last_per_key(source, keys, seq)
-    if not seq_col_out and isinstance(seq, str) and seq in batch.columns:
+    if not keep_seq and isinstance(seq, str) and seq in batch.columns:
         batch = batch.drop(seq)
     if target is None:
         return batch.withColumn(id_col, id_fn(keys))
@@ -94,7 +98,13 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], seq
     ids = target.select(*keys, id_col).join(bkeys, list(keys), "left_semi")
     new = (batch.join(ids, list(keys), "left")
            .withColumn(id_col, F.coalesce(F.col(id_col), id_fn(keys))))
-    return kept.unionByName(new.select(*target.columns), allowMissingColumns=False)
+    new = new.select(*target.columns)
+    if keep_seq:
+        touched = target.join(bkeys, list(keys), "left_semi")
+        both = touched.withColumn("_from_batch", F.lit(0)).unionByName(new.withColumn("_from_batch", F.lit(1)))
+        new = last_per_key(both, keys, F.struct(F.col(seq), F.col("_from_batch"))).drop("_from_batch")
+        new = new.select(*target.columns)
+    return kept.unionByName(new)
 
 
 def insert_ignore(target: DataFrame | None, source: DataFrame, keys: Sequence[str],

@@ -67,13 +67,17 @@ def stream_dedup(stream: DataFrame, keys: Sequence[str], sink: str, checkpoint:
 
 
 def stream_upsert(stream: DataFrame, table_path: str, keys: Sequence[str], seq: str | Column,
-                  checkpoint: str, id_col: str = "id") -> None:
-    """Each micro-batch is upserted (S7) into the versioned keyed table;
+                  checkpoint: str, id_col: str = "id", seq_col: str = "_seq") -> None:
+    """Each micro-batch is upserted (S7) into the versioned keyed table.
+    The table keeps ``seq`` (as ``seq_col``) so a row only replaces an older
+    one: the result does not depend on which file lands first, and
     re-applying a batch gives the same version contents (idempotent)."""
+    s = F.col(seq) if isinstance(seq, str) else seq
+
     def on_batch(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         current = store.read_snapshot(spark, table_path)
-        nxt = store.upsert(current, df, keys, seq, id_col=id_col)
+        nxt = store.upsert(current, df.withColumn(seq_col, s), keys, seq_col, id_col=id_col, keep_seq=True)
         store.write_snapshot(nxt, table_path)
     run_available_now(stream, on_batch, checkpoint)
 
