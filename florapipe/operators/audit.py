@@ -96,10 +96,9 @@ def source_share(df: DataFrame, source: str = "source", image: str = "image_url"
     source whose name contains ``risk_term`` and whose share exceeds ``risk_pct``."""
     counts = (df.filter(F.col(image).isNotNull() & F.col(source).isNotNull())
               .groupBy(source).agg(F.count(F.lit(1)).alias("n")))
-    total = counts.agg(F.sum("n").alias("_total")).withColumn("_one", F.lit(1))
-    pct = F.col("n") * 100.0 / F.col("_total")
-    return (counts.withColumn("_one", F.lit(1)).join(total, "_one")  # one-row total
-            .withColumn("share_pct", pct).drop("_one", "_total")
+    total = counts.agg(F.sum("n")).scalar()       # scalar subquery, evaluated once
+    pct = F.col("n") * 100.0 / total
+    return (counts.withColumn("share_pct", pct)
             .withColumn("licence_risk", F.contains(F.lower(F.col(source).cast("string")), F.lit(risk_term))
                         & (F.col("share_pct") > risk_pct)))
 
@@ -141,35 +140,35 @@ def load_metrics(df: DataFrame, key: str, chunk_rows: int = 10_000, chunk_col: s
     per = (df.filter(F.col(key).isNotNull()).withColumn("chunk", ch.cast("bigint"))
            .groupBy("chunk").agg(F.count(F.lit(1)).alias("rows_in"),
                                  F.count_distinct(key).alias("unique_keys")))
-    run = running_total(per, "chunk", ["rows_in", "unique_keys"]).withColumn("_one", F.lit(1))
-    total = per.agg(F.sum("rows_in").alias("_total")).withColumn("_one", F.lit(1))
-    # the total is a one-row aggregate
-    return run.join(total, "_one").select("chunk", "rows_in", "unique_keys",
+    run = running_total(per, "chunk", ["rows_in", "unique_keys"])
+    total = per.agg(F.sum("rows_in")).scalar()    # scalar subquery, evaluated once
+    return run.select("chunk", "rows_in", "unique_keys",
                       F.col("cum_rows_in").alias("rows_loaded"),
                       F.col("cum_unique_keys").alias("keys_loaded"),
-                      (F.col("cum_rows_in") * 100.0 / F.col("_total")).alias("progress_pct"))
+                      (F.col("cum_rows_in") * 100.0 / total).alias("progress_pct"))
 
 
 # ---------------------------------------------------------------- describe (A5)
 
 def _rank_values(df: DataFrame, c: str, target_bucket_values: int = 2_000_000,
-                 max_buckets: int = 4096) -> DataFrame:
+                 max_buckets: int = 1024) -> DataFrame:
     """Distinct non-NULL values of ``c`` with their rank range [lo, hi) in the
     sorted multiset, computed without a global sort in one task.
 
-    Values are first reduced to (value, multiplicity) by a partial aggregate;
-    the distinct values are cut into buckets at approximate quantile splitters
-    (a few thousand numbers, the only thing that reaches the driver); bucket
-    totals are prefix-summed over one row per bucket; inside a bucket a
-    running sum orders the values.  A single hot value is one row with a big
+    Values are first reduced to (value, multiplicity) by a partial aggregate.
+    One small job sizes the buckets: an approximate distinct count and up to
+    ``max_buckets - 1`` approximate quantile splitters of the distinct values
+    (a few thousand numbers are all that reach the driver).  Bucket totals are
+    prefix-summed over one row per bucket, and inside a bucket a running sum
+    orders the values.  A single hot value is one row with a big
     multiplicity, so skew cannot overload a bucket.
     """
     from pyspark.ml.feature import Bucketizer
 
-    dv = (df.select(F.col(c).cast("double").alias("v"))
-          .filter(F.col("v").isNotNull() & ~F.isnan("v"))
-          .groupBy("v").agg(F.count(F.lit(1)).alias("w")))
-    d = dv.agg(F.approx_count_distinct("v").alias("d")).first()["d"] or 0
+    vals = df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    dv = vals.groupBy("v").agg(F.count(F.lit(1)).alias("w"))
+    # sizing: a distinct-count sketch over the scan (no shuffle); splitters only when needed
+    d = vals.agg(F.approx_count_distinct("v")).first()[0] or 0
     nb = int(min(max_buckets, d // target_bucket_values + 1))
     if nb > 1:
         splits = dv.agg(F.percentile_approx("v", [i / nb for i in range(1, nb)], 10_000)).first()[0]
@@ -190,22 +189,20 @@ def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], names: Sequen
                     target_bucket_values: int = 2_000_000) -> DataFrame:
     """One row with the linear-interpolated quantiles (the ``describe``
     definition): h = p*(n-1); x[floor h] + (h - floor h)*(x[floor h + 1] - x[floor h]).
-    Each needed rank is picked by a range predicate inside one global
-    aggregate over the ranked distinct values."""
+    n is a scalar subquery; each needed rank is picked by a range predicate
+    inside one global aggregate over the ranked distinct values."""
     ranked = _rank_values(df, c, target_bucket_values).select("v", "lo", "hi", "w")
-    n = ranked.agg(F.sum("w")).first()[0] or 0
+    x = F.col(c).cast("double")
+    n = df.agg(F.count_if(x.isNotNull() & ~F.isnan(x))).scalar()
     aggs = []
     for p, name in zip(probs, names):
-        if n == 0:
-            aggs.append(F.lit(None).cast("double").alias(name))
-            continue
-        h = p * (n - 1)
-        r0 = int(h // 1)
-        r1 = min(r0 + 1, n - 1)
+        h = F.lit(float(p)) * (n - 1)
+        r0 = F.floor(h)
+        r1 = F.least(r0 + 1, n - 1)
 
         def at(r):
             return F.max(F.when((F.col("lo") <= r) & (F.col("hi") > r), F.col("v")))
-        aggs.append((at(r0) + F.lit(h - r0) * (at(r1) - at(r0))).alias(name))
+        aggs.append((at(r0) + (h - r0) * (at(r1) - at(r0))).alias(name))
     return ranked.agg(*aggs)
 
 
@@ -222,8 +219,8 @@ def describe(df: DataFrame, c: str, exact: bool = True, accuracy: int = 10_000,
         return df.agg(*stats, q.alias("q")).select(
             "count", "mean", "std", "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"),
             F.col("q")[2].alias("p75"), "max")
-    base = df.agg(*stats).withColumn("_one", F.lit(1))
-    quant = exact_quantiles(df, c, [0.25, 0.5, 0.75], ["p25", "p50", "p75"],
-                            target_bucket_values).withColumn("_one", F.lit(1))
-    # both sides are single-row aggregates
-    return base.join(quant, "_one").select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    quant = exact_quantiles(df, c, [0.25, 0.5, 0.75], ["p25", "p50", "p75"], target_bucket_values)
+    # two single-row aggregates side by side: the quantiles are one scalar subquery
+    q = quant.select(F.struct("p25", "p50", "p75")).scalar()
+    return df.agg(*stats).select("count", "mean", "std", "min", q["p25"].alias("p25"), q["p50"].alias("p50"),
+                                 q["p75"].alias("p75"), "max")

@@ -99,7 +99,7 @@ def explode_media(df: DataFrame, id_col: str, primary: str, secondary: str,
 
 def explode_media_rows(rows: DataFrame, id_col: str, url_col: str, source_col: str,
                        order_cols: Sequence[str], primary_label: str = "inat",
-                       source_order: Sequence[str] = ("inat", "wiki")) -> DataFrame:
+                       source_order: Sequence[str] = ("inat", "wiki"), packed_bits: int | None = None) -> DataFrame:
     """J10 on long rows (one row per listed image with its list and position).
 
     Same result as :func:`explode_media`, but the per-entity lists never have
@@ -107,14 +107,24 @@ def explode_media_rows(rows: DataFrame, id_col: str, url_col: str, source_col: s
     partial aggregate, and only the distinct images of an entity are numbered.
     """
     rank = F.array_position(F.array(*[F.lit(s) for s in source_order]), F.col(source_col))
-    first = (rows.select(id_col, url_col, F.struct(rank.alias("r"), F.col(source_col).alias("s"),
-                                                  *[F.col(c) for c in order_cols]).alias("_k"))
-             .groupBy(id_col, url_col).agg(F.min("_k").alias("_k")))
+    if packed_bits:
+        # (list, position) packed into one bigint: a hash aggregate instead of
+        # a sort aggregate over a struct key.  Positions must be < 2**packed_bits.
+        (pos,) = order_cols
+        key = rank * F.lit(1 << packed_bits) + F.col(pos).cast("bigint")
+        first = (rows.select(id_col, url_col, key.alias("_k"))
+                 .groupBy(id_col, url_col).agg(F.min("_k").alias("_k")))
+        src = F.element_at(F.array(*[F.lit(s) for s in source_order]),
+                           F.shiftright(F.col("_k"), packed_bits).cast("int"))
+    else:
+        first = (rows.select(id_col, url_col, F.struct(rank.alias("r"), *[F.col(c) for c in order_cols]).alias("_k"))
+                 .groupBy(id_col, url_col).agg(F.min("_k").alias("_k")))
+        src = F.element_at(F.array(*[F.lit(s) for s in source_order]), F.col("_k.r").cast("int"))
     w = Window.partitionBy(id_col).orderBy("_k")
-    numbered = first.withColumn("image_order", (F.row_number().over(w) - 1).cast("int"))
+    numbered = first.withColumn("image_order", (F.row_number().over(w) - 1).cast("int")).withColumn("_s", src)
     return numbered.select(
-        id_col, F.col(url_col).alias("image_url"), F.col("_k.s").alias("source"),
-        ((F.col("image_order") == 0) & (F.col("_k.s") == primary_label)).alias("is_primary"),
+        id_col, F.col(url_col).alias("image_url"), F.col("_s").alias("source"),
+        ((F.col("image_order") == 0) & (F.col("_s") == primary_label)).alias("is_primary"),
         "image_order")
 
 

@@ -55,4 +55,6 @@ def probe_summary(report: DataFrame, samples: DataFrame, order_pos: str = "order
         F.coalesce(F.array_join(F.transform(
             F.array_sort(F.collect_list(F.when(F.col("_r") <= top, F.struct("_r", F.col(family).alias("f"))))),
             lambda s: s["f"]), "|"), F.lit("")).alias("top_families"))
-    return head.withColumn("_one", F.lit(1)).join(tail.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    # two single-row aggregates side by side: the family figures are scalar subqueries
+    return head.select("*", tail.select("n_families").scalar().alias("n_families"),
+                       tail.select("top_families").scalar().alias("top_families"))

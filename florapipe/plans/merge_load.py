@@ -131,4 +131,6 @@ def q_explode_media(spark, sf_dir):
                           F.col("l_suppkey").alias("k"))))
     # only parents that exist get child rows (S9 lookup, inner semantics)
     rows = rows.join(orders, "species_id", "left_semi")
-    return explode_media_rows(rows, "species_id", "image_url", "source", ["ln", "k"])
+    # line number (1..7 by definition) and key packed into one list position
+    rows = rows.withColumn("pos", F.col("ln").cast("bigint") * F.lit(1 << 48) + F.col("k"))
+    return explode_media_rows(rows, "species_id", "image_url", "source", ["pos"], packed_bits=56)
