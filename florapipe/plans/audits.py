@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from florapipe.operators import audit
 from florapipe.plans.registry import query
-from florapipe.sources.tables import table
+from florapipe.sources.tables import small_dimension, table
 
 
 def _r(c, n=6):
@@ -103,9 +103,9 @@ def _cnr(spark, d):
     nation = table(spark, d, "nation")
     region = table(spark, d, "region")
     # nation and region are fixed-size dimensions (25 and 5 rows by definition)
-    dim = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    dim = nation.join(small_dimension(region), nation.n_regionkey == region.r_regionkey)
     return (table(spark, d, "customer")
-            .join(F.broadcast(dim), F.col("c_nationkey") == F.col("n_nationkey")))
+            .join(small_dimension(dim), F.col("c_nationkey") == F.col("n_nationkey")))
 
 
 @query("distinct_counts", CNR_SQL + """

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from florapipe.operators import enumeration as en
 from florapipe.operators.probe import order_probe_report, probe_summary
 from florapipe.plans.registry import query
-from florapipe.sources.tables import table
+from florapipe.sources.tables import small_dimension, table
 
 
 # ---- S2: part listed as paged taxonomy responses, pages of <= 100 keys by
@@ -106,7 +106,7 @@ def q_select_targets(spark, d):
     picked = en.select_targets(_order_dim(spark, d), batch=1)
     cust = table(spark, d, "customer")
     # the picked dimension is a subset of the 25-row nation table
-    return (cust.join(F.broadcast(picked.select(F.col("order_key").alias("c_nationkey"))), "c_nationkey",
+    return (cust.join(small_dimension(picked.select(F.col("order_key").alias("c_nationkey"))), "c_nationkey",
                       "left_semi").select("c_custkey", "c_name", "c_nationkey"))
 
 
@@ -154,7 +154,7 @@ FROM (SELECT names.order_name, m.orderKey,
 """)
 def q_resolve_orders(spark, d):
     cust = table(spark, d, "customer").select(F.col("c_nationkey").alias("n_nationkey")).distinct()
-    names = (cust.join(F.broadcast(table(spark, d, "nation")), "n_nationkey")
+    names = (cust.join(small_dimension(table(spark, d, "nation")), "n_nationkey")
              .select(F.col("n_name").alias("order_name")).distinct())
     return en.resolve_orders(names, _matches(spark, d))
 
@@ -175,8 +175,8 @@ WITH details AS (
 
 def _clade_details(spark, d):
     nation, region = table(spark, d, "nation"), table(spark, d, "region")
-    dim = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)  # 25 rows
-    c = table(spark, d, "customer").join(F.broadcast(dim), F.col("c_nationkey") == F.col("n_nationkey"))
+    dim = nation.join(small_dimension(region), nation.n_regionkey == region.r_regionkey)  # 25 rows
+    c = table(spark, d, "customer").join(small_dimension(dim), F.col("c_nationkey") == F.col("n_nationkey"))
     seg = F.col("c_mktsegment")
     return c.select(
         "c_custkey", "c_nationkey", "c_name", "c_mktsegment",
@@ -260,7 +260,7 @@ def _probe(spark, d):
     k = F.col("n_nationkey")
     cls = F.when(k % 3 == 0, F.lit("Magnoliopsida")).when(k % 3 == 1, F.lit("Liliopsida")) \
         .otherwise(F.lit("Pinopsida"))
-    details = (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    details = (nation.join(small_dimension(region), nation.n_regionkey == region.r_regionkey)
                .select(k.alias("order_key"),
                        F.when(k % 10 == 5, F.lit(404)).otherwise(F.lit(200)).alias("http_status"),
                        F.when(F.col("r_name") == "EUROPE", F.lit("Animalia")).otherwise(F.lit("Plantae"))
