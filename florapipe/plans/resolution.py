@@ -16,8 +16,11 @@ from florapipe.sources.tables import table
 # (first word) and every full name whose length is not a multiple of 3, the
 # first five parts (by key) under that query; queries whose length is a
 # multiple of 7 answered 500.
-def landed_taxa_search(spark, d):
+def landed_taxa_search(spark, d, capitalized: bool = False):
     part = table(spark, d, "part")
+    if capitalized:   # names written as scientific names ("Small ring")
+        part = part.withColumn("p_name", F.concat(F.upper(F.substring("p_name", 1, 1)),
+                                                  F.substring("p_name", 2, 1 << 30)))
     pk = F.col("p_partkey").cast("string")
     result = F.struct(
         F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
@@ -130,6 +133,26 @@ def q_first_result(spark, d):
 # itself: the lowest key k of a name decides the match (k % 11 = 0 failed,
 # k % 3 = 0 accepted, 1 synonym of the name of part k + 1, 2 doubtful with an
 # upper-case canonical name).
+def landed_name_matches(spark, d, capitalized: bool = False):
+    part = table(spark, d, "part")
+    if capitalized:
+        part = part.withColumn("p_name", F.concat(F.upper(F.substring("p_name", 1, 1)),
+                                                  F.substring("p_name", 2, 1 << 30)))
+    base = part.groupBy("p_name").agg(F.min("p_partkey").alias("k"))
+    nxt = part.select(F.col("p_partkey").alias("_k1"), F.col("p_name").alias("_acc"))
+    k = F.col("k")
+    return (base.join(nxt, k + 1 == F.col("_k1"), "left")
+            .select(F.col("p_name").alias("name"),
+                    F.when(k % 11 == 0, F.lit(404)).otherwise(F.lit(200)).alias("http_status"),
+                    k.alias("usageKey"),
+                    F.when(k % 3 == 0, F.lit("ACCEPTED")).when(k % 3 == 1, F.lit("SYNONYM"))
+                    .otherwise(F.lit("DOUBTFUL")).alias("status"),
+                    (k % 3 == 1).alias("synonym"),
+                    F.when(k % 3 == 2, F.upper("p_name")).otherwise(F.col("p_name")).alias("canonicalName"),
+                    F.when((k % 3 == 1) & F.col("_acc").isNotNull(),
+                           F.struct(F.col("_acc").alias("canonicalName"))).alias("acceptedUsage")))
+
+
 @query("resolve_accepted_name", """
 WITH base AS (SELECT p_name, min(p_partkey) AS k FROM part GROUP BY p_name),
 m AS (
@@ -150,20 +173,7 @@ FROM part p LEFT JOIN ans ON p.p_name = ans.name
 """)
 def q_resolve_accepted_name(spark, d):
     part = table(spark, d, "part")
-    base = part.groupBy("p_name").agg(F.min("p_partkey").alias("k"))
-    nxt = part.select(F.col("p_partkey").alias("_k1"), F.col("p_name").alias("_acc"))
-    k = F.col("k")
-    m = (base.join(nxt, k + 1 == F.col("_k1"), "left")
-         .select(F.col("p_name").alias("name"),
-                 F.when(k % 11 == 0, F.lit(404)).otherwise(F.lit(200)).alias("http_status"),
-                 k.alias("usageKey"),
-                 F.when(k % 3 == 0, F.lit("ACCEPTED")).when(k % 3 == 1, F.lit("SYNONYM"))
-                 .otherwise(F.lit("DOUBTFUL")).alias("status"),
-                 (k % 3 == 1).alias("synonym"),
-                 F.when(k % 3 == 2, F.upper("p_name")).otherwise(F.col("p_name")).alias("canonicalName"),
-                 F.when((k % 3 == 1) & F.col("_acc").isNotNull(),
-                        F.struct(F.col("_acc").alias("canonicalName"))).alias("acceptedUsage")))
-    return resolve_accepted_name(part.select("p_partkey", "p_name"), m, "p_name")
+    return resolve_accepted_name(part.select("p_partkey", "p_name"), landed_name_matches(spark, d), "p_name")
 
 
 @query("preferred_label", """

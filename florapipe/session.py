@@ -75,3 +75,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as a Parquet table in the shared
+    checkpoint folder and reading it back.
+
+    One computation (a reliable ``checkpoint()`` of an unpersisted plan runs
+    it twice), columnar output for the readers downstream, and files that
+    outlive a lost executor."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
