@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from florapipe.functions.expr import col
 
 
 def value_counts(df: DataFrame, c: str, dropna: bool = False, out: str = "n") -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from florapipe.functions.expr import tolerant_bigint
 from florapipe.operators import records as rec
 from florapipe.operators.merge import merge_entities
 from florapipe.plans.registry import query
@@ -375,5 +374,3 @@ FROM rec
 def q_is_complete(spark, d):
     return rec.is_complete(assembled(spark, d)).select("gbif_id", "is_complete")
 
-
-__all__ = ["tolerant_bigint"]

@@ -15,10 +15,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from florapipe.operators import audit, media
 from florapipe.operators import enumeration as en
-from florapipe.operators import media
-from florapipe.operators.merge import explode_media, merge_entities
-from florapipe.operators.records import assemble_records, is_complete, standardize_names, to_species_rows
+from florapipe.operators.merge import explode_media, gallery_text, merge_entities
+from florapipe.operators.records import (assemble_records, is_complete, normalize_headers, standardize_names,
+                                         to_species_rows)
 from florapipe.operators.resolve import best_match, resolve_accepted_name, top_taxon
 from florapipe.operators.text import flag_text_quality, text_fallback
 from florapipe.plans.media_bind import _page_landing, landed_observations
@@ -27,7 +28,7 @@ from florapipe.plans.resolution import landed_name_matches, landed_taxa_search
 from florapipe.plans.text_bind import text_landing
 from florapipe.session import materialize, scratch_path
 from florapipe.sources import store
-from florapipe.sources.species_csv import SPECIES_COLUMNS, read_species_csv, to_csv_record
+from florapipe.sources.species_csv import read_species_csv, to_csv_record
 from florapipe.sources.tables import table
 
 
@@ -142,13 +143,13 @@ def q_extract_species(spark, d):
     return _records_text(extract_species(spark, d))
 
 
-def load_species(spark, d) -> tuple[str, str]:
+def load_species(spark, d, records: DataFrame | None = None) -> tuple[str, str]:
     """The load run: records -> CSV (S5) -> typed read (S1) -> global
     duplicate merge (A1) -> parent rows (P11) -> upsert (S7) -> ids (S9) ->
     child image rows (J10) -> insert-ignore (S8).  Returns the parent and
     child table paths."""
     csv_path = scratch_path(spark, "species_csv")
-    store.append_batch(to_csv_record(extract_species(spark, d)), csv_path)
+    store.append_batch(to_csv_record(records if records is not None else extract_species(spark, d)), csv_path)
     back = read_species_csv(spark, csv_path)
     merged = merge_entities(back.drop("_file"), key="scientific_name", pos="row_id", name_col="common_name",
                             text_col="wikipedia_description", list_cols=["inat_research_images", "wiki_images"])
@@ -176,8 +177,6 @@ def audit_species(records: DataFrame) -> DataFrame:
     """The audit report on extracted records, one row: rows, distinct
     species/orders/families/genera, grid label, missing common names and
     observation counts, image coverage and gaps, complete records."""
-    from florapipe.operators import audit
-    from florapipe.operators.records import normalize_headers
     df = is_complete(normalize_headers(records))
     blank_common = F.col("common_name").isNull() | (F.col("common_name") == "")
     grid = audit.grid_symmetry(df).select("grid").scalar()
@@ -215,18 +214,11 @@ def sample_dataset(spark, d, per_order: int = 10) -> DataFrame:
     return out.select(F.col("order_name").alias("order"), "scientificName", "canonicalName", "family", "genus",
                       F.col("key").alias("gbif_id"), "description", "description_length", "has_wiki", "inat_id",
                       "common_name", "observations_count", "image_primary",
-                      media_gallery("image_gallery").alias("image_gallery"),
+                      gallery_text("image_gallery").alias("image_gallery"),
                       F.lit("").alias("color_primary"), F.lit("").alias("native_region"))
 
 
-def media_gallery(c):
-    from florapipe.operators.merge import gallery_text
-    return gallery_text(c)
-
-
 @query("sample_dataset")
 def q_sample_dataset(spark, d):
     return sample_dataset(spark, d)
 
-
-__all__ = ["SPECIES_COLUMNS", "extract_species", "load_species", "audit_species", "sample_dataset"]

@@ -16,8 +16,13 @@ STATUSES = {"success", "no_images", "taxon_not_found", "invalid_name"}
 
 
 @pytest.fixture(scope="module")
-def records(spark):
-    return J.extract_species(spark, SF_SMOKE).drop("extraction_timestamp").cache()
+def full_records(spark):
+    return J.extract_species(spark, SF_SMOKE).cache()
+
+
+@pytest.fixture(scope="module")
+def records(full_records):
+    return full_records.drop("extraction_timestamp")
 
 
 def test_one_record_per_new_listed_key(spark, records):
@@ -46,11 +51,11 @@ def test_description_matches_standalone_chain(spark, records):
         .count() == 0
 
 
-def test_load_species_tables(spark):
-    parent_path, child_path = J.load_species(spark, SF_SMOKE)
+def test_load_species_tables(spark, full_records):
+    parent_path, child_path = J.load_species(spark, SF_SMOKE, full_records)
     parent = store.read_snapshot(spark, parent_path)
     child = store.read_snapshot(spark, child_path)
-    recs = J.extract_species(spark, SF_SMOKE)
+    recs = full_records
     assert parent.count() == recs.select("scientific_name").distinct().count()
     assert parent.select("id").distinct().count() == parent.count()
     # child rows: dense image_order from 0 per species, at most one primary
@@ -60,8 +65,8 @@ def test_load_species_tables(spark):
     assert child.join(parent.select(F.col("id").alias("species_id")), "species_id", "left_anti").count() == 0
 
 
-def test_audit_and_sample(spark, records):
-    a = J.audit_species(J.extract_species(spark, SF_SMOKE)).first()
+def test_audit_and_sample(spark, records, full_records):
+    a = J.audit_species(full_records).first()
     assert a["n_rows"] == records.count()
     assert a["n_species"] == records.select("scientific_name").distinct().count()
     s = J.sample_dataset(spark, SF_SMOKE)
@@ -72,6 +77,6 @@ def test_audit_and_sample(spark, records):
         assert r["color_primary"] == "" and r["native_region"] == ""
 
 
-def test_csv_shape(spark):
-    out = E.queries()["extract_species"](spark, SF_SMOKE).first()
+def test_csv_shape(spark, full_records):
+    out = J._records_text(full_records).first()
     assert isinstance(json.loads(out["inat_research_images"]), list)
