@@ -13,7 +13,7 @@ from florapipe.operators.enumeration import accepted_species
 from tests.conftest import SF_SMOKE
 
 EAGER = {"stream_extract", "stream_dedup", "stream_upsert", "stream_progress", "species_csv_roundtrip",
-         "upsert", "lookup_ids"}
+         "upsert", "lookup_ids", "extract_species", "load_species", "audit_species", "sample_dataset"}
 
 
 def plan(df):
