@@ -25,7 +25,7 @@ from florapipe.operators.text import flag_text_quality, text_fallback
 from florapipe.plans.media_bind import _page_landing, landed_observations
 from florapipe.plans.registry import query
 from florapipe.plans.resolution import landed_name_matches, landed_taxa_search
-from florapipe.plans.text_bind import text_landing
+from florapipe.plans.text_bind import TEXT_SQL, text_landing
 from florapipe.session import materialize, scratch_path
 from florapipe.sources import store
 from florapipe.sources.species_csv import read_species_csv, to_csv_record
@@ -218,7 +218,59 @@ def sample_dataset(spark, d, per_order: int = 10) -> DataFrame:
                       F.lit("").alias("color_primary"), F.lit("").alias("native_region"))
 
 
-@query("sample_dataset")
+SAMPLE_SQL = TEXT_SQL + r""",
+cpart AS (
+  SELECT p_partkey, upper(substr(p_name, 1, 1)) || substr(p_name, 2) AS cname, p_brand, p_type, p_size FROM part),
+taxa AS (
+  SELECT * FROM (
+    SELECT p_partkey AS key, p_type AS order_name, concat_ws(' ', cname, p_brand) AS scientificName,
+           cname AS canonicalName, p_brand AS family, split_part(cname, ' ', 1) AS genus,
+           row_number() OVER (PARTITION BY p_type ORDER BY p_partkey) AS rn
+    FROM cpart WHERE p_size <= 45 AND p_type <> 'PROMO')
+  WHERE rn <= 10),
+cands AS (
+  SELECT key, 0 AS prio, canonicalName AS q FROM taxa
+  UNION ALL
+  SELECT key, 1, t FROM (
+    SELECT key, canonicalName, array_to_string(string_split_regex(trim(canonicalName), '\s+')[1:2], ' ') AS t
+    FROM taxa) WHERE t <> canonicalName
+  UNION ALL SELECT key, 2, split_part(canonicalName, ' ', 1) FROM taxa WHERE split_part(canonicalName, ' ', 1) <> ''),
+tres AS (
+  SELECT q, regexp_replace(s.extract, '^\s+|\s+$', '', 'g') AS text
+  FROM (SELECT DISTINCT q FROM cands) k JOIN summ s ON replace(k.q, ' ', '_') = s.title
+  WHERE s.http_status = 200 AND length(regexp_replace(s.extract, '^\s+|\s+$', '', 'g')) > 0),
+tbest AS (
+  SELECT * FROM (SELECT c.key, c.prio, r.text, row_number() OVER (PARTITION BY c.key ORDER BY c.prio) AS rn
+                 FROM cands c JOIN tres r USING (q)) WHERE rn = 1),
+res AS (
+  SELECT q, CASE WHEN length(q) % 7 = 0 THEN 500 ELSE 200 END AS http_status, rn, id, obs, pref, url1, url2 FROM (
+    SELECT q, p_partkey AS id, CAST(p_size AS BIGINT) AS obs,
+           CASE WHEN p_brand LIKE '%1' THEN NULL ELSE p_brand END AS pref,
+           CASE WHEN p_size % 2 = 0 THEN 'l/' ELSE 'm/' END || CAST(p_partkey AS VARCHAR) AS url1,
+           'sq/' || CAST(p_partkey AS VARCHAR) AS url2,
+           row_number() OVER (PARTITION BY q ORDER BY p_partkey) AS rn
+    FROM (SELECT *, split_part(cname, ' ', 1) AS q FROM cpart
+          UNION ALL SELECT *, cname AS q FROM cpart WHERE length(cname) % 3 <> 0))
+  WHERE rn <= 5),
+icands AS (SELECT key, 0 AS prio, canonicalName AS q FROM taxa
+           UNION ALL SELECT key, 1, split_part(canonicalName, ' ', 1) FROM taxa),
+ij AS (SELECT c.key, c.prio, r.* EXCLUDE (q) FROM icands c JOIN res r ON c.q = r.q WHERE r.http_status = 200),
+itop AS (SELECT * FROM (SELECT ij.*, row_number() OVER (PARTITION BY key, prio ORDER BY coalesce(obs, -1) DESC, rn)
+                          AS k FROM ij) WHERE k = 1),
+ibest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY prio) AS kk FROM itop) WHERE kk = 1)
+SELECT t.order_name AS "order", t.scientificName, t.canonicalName, t.family, t.genus, t.key AS gbif_id,
+       coalesce(tb.text, '') AS description,
+       CAST(length(coalesce(tb.text, '')) AS INTEGER) AS description_length,
+       CASE WHEN length(coalesce(tb.text, '')) > 50 THEN 'Yes' ELSE 'No' END AS has_wiki,
+       b.id AS inat_id, coalesce(b.pref, '') AS common_name, CAST(coalesce(b.obs, 0) AS BIGINT) AS observations_count,
+       coalesce(b.url1, '') AS image_primary,
+       CASE WHEN b.id IS NULL THEN '' ELSE b.url1 || '|' || b.url2 END AS image_gallery,
+       '' AS color_primary, '' AS native_region
+FROM taxa t LEFT JOIN tbest tb USING (key) LEFT JOIN ibest b USING (key)
+"""
+
+
+@query("sample_dataset", SAMPLE_SQL)
 def q_sample_dataset(spark, d):
     return sample_dataset(spark, d)
 

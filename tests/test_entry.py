@@ -14,7 +14,7 @@ def test_entry_runs(spark):
     assert "common_names" in df.columns
 
 
-END_TO_END = {"extract_species", "load_species", "audit_species", "sample_dataset"}
+END_TO_END = {"extract_species", "load_species", "audit_species"}
 
 
 def test_every_operator_query_has_oracle():
