@@ -17,14 +17,21 @@ from pyspark.sql import functions as F
 from florapipe.functions.expr import col, first_of, ustrip
 
 
-def _ordered_distinct_items(df: DataFrame, key: str, pos: str, list_col: str) -> DataFrame:
-    """(key, list) rows -> one row per key with the concatenation of its lists
-    in ``pos`` order, keeping each item's first occurrence."""
-    items = df.select(key, pos, F.posexplode(list_col).alias("_i", "_u")).filter(F.col("_u").isNotNull())
-    first = items.groupBy(key, "_u").agg(F.min(F.struct(F.col(pos), F.col("_i"))).alias("_f"))
-    return (first.groupBy(key)
-            .agg(F.array_sort(F.collect_list(F.struct(F.col("_f"), F.col("_u")))).alias("_l"))
-            .select(key, F.transform("_l", lambda x: x["_u"]).alias(list_col)))
+def _ordered_distinct_items(df: DataFrame, key: str, pos: str, list_cols: Sequence[str]) -> DataFrame:
+    """(key, lists...) rows -> one row per key holding, for every list column,
+    the concatenation of its lists in ``pos`` order with each item's first
+    occurrence kept.  All list columns share one explode, one partial
+    aggregate on (key, list, item) and one collect per key."""
+    items = None
+    for j, lc in enumerate(list_cols):
+        part = (df.select(key, pos, F.lit(j).alias("_lc"), F.posexplode(lc).alias("_i", "_u"))
+                .filter(F.col("_u").isNotNull()))
+        items = part if items is None else items.unionByName(part)
+    first = items.groupBy(key, "_lc", "_u").agg(F.min(F.struct(F.col(pos), F.col("_i"))).alias("_f"))
+    aggs = [F.array_sort(F.collect_list(F.when(F.col("_lc") == j, F.struct(F.col("_f"), F.col("_u")))))
+            .alias(f"_l{j}") for j in range(len(list_cols))]
+    return (first.groupBy(key).agg(*aggs)
+            .select(key, *[F.transform(f"_l{j}", lambda x: x["_u"]).alias(lc) for j, lc in enumerate(list_cols)]))
 
 
 def merge_entities(df: DataFrame, key: str, pos: str, name_col: str | None = None,
@@ -60,10 +67,11 @@ def merge_entities(df: DataFrame, key: str, pos: str, name_col: str | None = Non
     if name_col:
         out.append(F.col(names_out))
     merged = merged.select(*out)
-    for lc in list_cols:
-        lists = _ordered_distinct_items(base, key, pos, lc)
-        merged = (merged.join(lists, key, "left")
-                  .withColumn(lc, F.coalesce(F.col(lc), F.array().cast(base.schema[lc].dataType))))
+    if list_cols:
+        lists = _ordered_distinct_items(base, key, pos, list_cols)
+        merged = merged.join(lists, key, "left")
+        for lc in list_cols:
+            merged = merged.withColumn(lc, F.coalesce(F.col(lc), F.array().cast(base.schema[lc].dataType)))
     return merged
 
 
