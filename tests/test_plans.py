@@ -4,6 +4,7 @@ column pruning reach the Parquet scan."""
 
 import contextlib
 import io
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,3 +53,19 @@ def test_merge_has_no_collect_of_whole_groups(spark):
     # the list merge first reduces (key, item) pairs: a hash aggregate keyed by both
     p = plan(E.queries()["merge_entities"](spark, SF_SMOKE))
     assert "collect_list" in p and "min(struct" in p.replace("min(named_struct", "min(struct")
+
+
+def test_assembly_exchanges_entities_once(spark):
+    # with size-based broadcasts off, the taxa side is hash-partitioned on the
+    # entity key once and every enrichment join reuses that partitioning
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            E.queries()["assemble_records"](spark, SF_SMOKE).explain()
+        p = buf.getvalue()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert p.count("SortMergeJoin") == 2
+    assert len(re.findall(r"Exchange hashpartitioning\(key#", p)) == 1
