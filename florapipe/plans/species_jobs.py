@@ -91,13 +91,13 @@ def extract_species(spark, d, limit: int = en.DEFAULT_LIMIT) -> DataFrame:
     obs = (matched.join(obs_landed, F.col("taxon.id") == F.col("taxon_id"), "left")
            .select("key", "taxon", "_match_status", "results", "http_status",
                    F.coalesce(curated, F.array().cast("array<string>")).alias("curated")))
-    obs = materialize(_obs_columns(media.select_media(media.tier_media(obs))), "obs")
+    obs = _obs_columns(media.select_media(media.tier_media(obs)))
 
     # description chain
     _, summaries, searches, cache = text_landing(spark, d)
-    text = materialize(text_fallback(taxa.select("key", F.col("scientificName").alias("name"), "genus"), "key",
-                                     "name", summaries, searches, cache, genus_col="genus")
-                       .select("key", "description", "description_source"), "text")
+    text = (text_fallback(taxa.select("key", F.col("scientificName").alias("name"), "genus"), "key", "name",
+                          summaries, searches, cache, genus_col="genus")
+            .select("key", "description", "description_source"))
     # reference images from the species page
     _, _, page_searches, image_info = _page_landing(spark, d)
     page_titles = (table(spark, d, "pages").join(table(spark, d, "part"), F.col("page_id") == F.col("p_partkey"))
@@ -107,9 +107,9 @@ def extract_species(spark, d, limit: int = en.DEFAULT_LIMIT) -> DataFrame:
                                        lambda h: F.struct(F.concat(F.lit("File:"), h).alias("title"))).alias("images"))
                    .groupBy("title").agg(F.min_by("images", "page_id").alias("images"))
                    .withColumn("http_status", F.lit(200)))
-    wiki = materialize(media.page_media(taxa.select("key", F.col("scientificName").alias("name")), "key", "name",
-                                        page_titles, page_searches.filter(F.lit(False)), image_info)
-                       .select("key", "wiki_images"), "wiki")
+    wiki = (media.page_media(taxa.select("key", F.col("scientificName").alias("name")), "key", "name",
+                             page_titles, page_searches.filter(F.lit(False)), image_info)
+            .select("key", "wiki_images"))
 
     base = taxa.select("key", F.col("order_name").alias("order"), "family", "genus",
                        F.col("scientificName").alias("scientific_name"),
