@@ -70,35 +70,41 @@ def text_fallback(entities: DataFrame, id_col: str, name_col: str, summaries: Da
             .filter(F.col("_q").isNotNull()))
 
     keys = cand.select("_q").distinct()
-    summ = summaries.select(F.col("title").alias("_t"), F.col("http_status").alias("_st"),
-                            F.col("extract").alias("_x"))
-    ok_text = F.when(F.col("_st") == 200, _accept(F.col("_x"), min_len, strip))
-    s1 = (keys.join(summ, page_title("_q") == F.col("_t"), "left")
-          .select("_q", ok_text.alias("_text1"),
+    # late materialisation: the candidate logic only moves titles and flags;
+    # the (large) texts are fetched once, for the winning title per entity
+    acceptable = F.coalesce((F.col("http_status") == 200) & _accept(F.col("extract"), min_len, strip).isNotNull(),
+                            F.lit(False))
+    meta = summaries.select(F.col("title").alias("_t"), F.col("http_status").alias("_st"), acceptable.alias("_ok"))
+    s1 = (keys.join(meta, page_title("_q") == F.col("_t"), "left")
+          .select("_q", F.when(F.col("_ok"), F.col("_t")).alias("_title1"),
                   (F.col("_t").isNotNull() & F.col("_st").isNull()).alias("_fail1")))
-    resolved = s1
     if searches is not None:
         top = (searches.filter(F.col("http_status") == 200)
                .select(F.col("srsearch").alias("_q"), F.get(F.col("results"), 0)["title"].alias("_top"))
                .filter(F.col("_top").isNotNull()))
-        s2 = (keys.join(top, "_q").join(summ, page_title("_top") == F.col("_t"))
-              .select("_q", ok_text.alias("_text2")).filter(F.col("_text2").isNotNull()))
+        s2 = (keys.join(top, "_q").join(meta.filter(F.col("_ok")), page_title("_top") == F.col("_t"))
+              .select("_q", F.col("_t").alias("_title2")))
         resolved = s1.join(s2, "_q", "left")
     else:
-        resolved = resolved.withColumn("_text2", F.lit(None).cast("string"))
-    stage2 = F.when(~F.col("_fail1") | F.lit(not transport_failure_ends_candidate), F.col("_text2"))
-    resolved = (resolved.select("_q", F.when(F.col("_text1").isNotNull(), F.struct(F.lit(1).alias("s"),
-                                                                                  F.col("_text1").alias("x")))
-                                .when(stage2.isNotNull(), F.struct(F.lit(2).alias("s"), stage2.alias("x")))
+        resolved = s1.withColumn("_title2", F.lit(None).cast("string"))
+    stage2 = F.when(~F.col("_fail1") | F.lit(not transport_failure_ends_candidate), F.col("_title2"))
+    resolved = (resolved.select("_q", F.when(F.col("_title1").isNotNull(),
+                                             F.struct(F.lit(1).alias("s"), F.col("_title1").alias("t")))
+                                .when(stage2.isNotNull(), F.struct(F.lit(2).alias("s"), stage2.alias("t")))
                                 .alias("_hit"))
                 .filter(F.col("_hit").isNotNull()))
 
     src = F.array(*[F.lit(lbl) for lbl in labels])
     best = (cand.join(resolved, "_q")
             .groupBy(id_col)
-            .agg(F.min_by(F.struct(F.col("_hit.x").alias("text"),
+            .agg(F.min_by(F.struct(F.col("_hit.t").alias("title"),
                                    F.element_at(src, F.col("_prio") + 1).alias("source")),
                           F.struct("_prio", "_hit.s")).alias("_best")))
+    texts = summaries.select(F.col("title").alias("_wt"),
+                             (ustrip(F.col("extract")) if strip else F.col("extract")).alias("_text"))
+    best = (best.join(texts, F.col("_best.title") == F.col("_wt"), "left")
+            .select(id_col, F.struct(F.col("_text").alias("text"), F.col("_best.source").alias("source"))
+                    .alias("_best")))
     out = entities.join(best, id_col, "left")
     desc = F.col("_best.text")
     source = F.col("_best.source")
