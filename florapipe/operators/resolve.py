@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from florapipe.functions.expr import col, first_nonblank, genus_token, photo_url
+from florapipe.functions.expr import col, first_nonblank, genus_token, photo_url, ustrip
 
 ACCEPTED = "ACCEPTED"
 
@@ -52,16 +52,18 @@ def preferred_label(labels: DataFrame, keys: Sequence[str], lang: str, label: st
             .select(*keys, F.col(f"_b.{pos}").alias(pos), F.coalesce(F.col(f"_b.{out}"), F.lit("")).alias(out)))
 
 
-def candidate_keys(name: Column | str, rules: Sequence[str] = ("name", "dash", "genus")) -> Column:
+def candidate_keys(name: Column | str, rules: Sequence[str] = ("name", "dash", "first_word")) -> Column:
     """Ordered lookup keys for a name: the name, the name with '-' as space,
-    its genus (first word)."""
+    its first whitespace-separated word ("first_word") or the text before its
+    first space ("genus")."""
     n = col(name)
-    parts = {"name": n, "dash": F.replace(n, F.lit("-"), F.lit(" ")), "genus": genus_token(n)}
+    parts = {"name": n, "dash": F.replace(n, F.lit("-"), F.lit(" ")), "genus": genus_token(n),
+             "first_word": F.get(F.split(ustrip(n), r"(?U)\s+"), 0)}
     return F.array(*[parts[r] for r in rules])
 
 
 def best_match(entities: DataFrame, search: DataFrame, id_col: str, name_col: str,
-               q_col: str = "q", rules: Sequence[str] = ("name", "dash", "genus")) -> DataFrame:
+               q_col: str = "q", rules: Sequence[str] = ("name", "dash", "first_word")) -> DataFrame:
     """First candidate key whose response is a 200 with results wins;
     inside it, the first result whose name contains the entity name
     (case-insensitive), else the first result.  Entities with no winning key

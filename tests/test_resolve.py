@@ -69,3 +69,10 @@ def test_top_taxon_and_first_result(spark):
     fr = {r["q"]: (r["inat_id"], r["images"], r["common_name"], r["inat_status"])
           for r in first_result(search).collect()}
     assert fr == {"Rosa canina": (1, ["m1"], "eng", None), "Quercus": (None, [], "", "unknown")}
+
+
+def test_first_word_candidate_uses_any_whitespace(spark):
+    ents = spark.createDataFrame([(1, "Rosa \tcanina")], "id int, name string")
+    search = spark.createDataFrame([("Rosa", 200, [_result(5, "Rosa")])], SEARCH_SCHEMA)
+    r = best_match(ents, search, "id", "name").first()
+    assert (r["q_used"], r["taxon"]["id"]) == ("Rosa", 5)
