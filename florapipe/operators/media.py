@@ -165,26 +165,33 @@ def page_media(entities: DataFrame, id_col: str, name_col: str, page_images: Dat
                         (F.col("_pt").isNotNull() & F.col("_ps").isNull()).alias(f"{prefix}_fail"))
 
     own = listed(entities.withColumn("_title", page_title(name_col)), "_title", "own")
-    top = (searches.filter(F.col("http_status").isNotNull())
-           .select(F.col("srsearch").alias("_sq"), F.col("http_status").alias("_ss"),
-                   F.get(F.col("results"), 0)["title"].alias("_top")))
-    search_fail = searches.filter(F.col("http_status").isNull()).select(F.col("srsearch").alias("_sf"))
-    need = own.filter((F.size("own_titles") == 0) & ~F.col("own_fail"))
-    alt = (need.select(id_col, name_col).join(top, F.col(name_col) == F.col("_sq"))
-           .filter((F.col("_ss") == 200) & F.col("_top").isNotNull())
-           .withColumn("_alt", page_title("_top")))
-    alt = listed(alt.select(id_col, "_alt"), "_alt", "alt").select(id_col, "alt_titles", "alt_fail")
-    failed_search = need.select(id_col, name_col).join(search_fail, F.col(name_col) == F.col("_sf"), "left_semi") \
-        .select(id_col, F.lit(True).alias("search_fail"))
-    titled = (own.join(alt, id_col, "left").join(failed_search, id_col, "left")
+    # entities without titles of their own: one lookup of their search
+    # response gives both the fallback page and a transport failure
+    need = own.filter((F.size("own_titles") == 0) & ~F.col("own_fail")).select(id_col, name_col)
+    srch = searches.select(F.col("srsearch").alias("_sq"), F.col("http_status").alias("_ss"),
+                           F.get(F.col("results"), 0)["title"].alias("_top"))
+    alt = (need.join(srch, F.col(name_col) == F.col("_sq"), "left")
+           .select(id_col,
+                   F.when((F.col("_ss") == 200) & F.col("_top").isNotNull(), page_title("_top")).alias("_alt"),
+                   (F.col("_sq").isNotNull() & F.col("_ss").isNull()).alias("search_fail")))
+    alt = listed(alt, "_alt", "alt").select(id_col, "alt_titles", "alt_fail", "search_fail")
+    titled = (own.join(alt, id_col, "left")
               .withColumn("titles", F.when(F.size("own_titles") > 0, F.col("own_titles"))
                           .otherwise(F.coalesce("alt_titles", F.array().cast("array<string>"))))
               .withColumn("_exception", F.col("own_fail") | F.coalesce("alt_fail", F.lit(False))
                           | F.coalesce("search_fail", F.lit(False))))
     scored = _resolve_titles(titled.filter(~F.col("_exception")), id_col, name_col, image_info, limit)
-    resolved = scored.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n_resolved"))
-    ranked = ranked_lists(rank_media(scored, id_col, "_url", "_score", "_pos", n), id_col, "wiki_images")
-    out = titled.join(resolved, id_col, "left").join(ranked, id_col, "left")
+    ranked = rank_media(scored, id_col, "_url", "_score", "_pos", n)
+    # resolved count and ranked list in one aggregate per entity
+    per = (scored.select(id_col, F.lit(1).alias("_one"), F.lit(None).cast("int").alias("rank"),
+                         F.lit(None).cast("string").alias("url"))
+           .unionByName(ranked.select(id_col, F.lit(0).alias("_one"), "rank", "url"))
+           .groupBy(id_col)
+           .agg(F.sum("_one").alias("_n_resolved"),
+                F.array_sort(F.collect_list(F.when(F.col("rank").isNotNull(), F.struct("rank", "url"))))
+                .alias("_l"))
+           .select(id_col, "_n_resolved", F.transform("_l", lambda x: x["url"]).alias("wiki_images")))
+    out = titled.join(per, id_col, "left")
     status = (F.when(F.col("_exception"), F.lit("exception"))
               .when(F.size("titles") == 0, F.lit("no_titles"))
               .when(F.coalesce("_n_resolved", F.lit(0)) == 0, F.lit("no_images"))
