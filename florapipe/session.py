@@ -9,11 +9,10 @@ sizes).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -51,39 +50,39 @@ def get_session(master: str | None = None, app: str = "florapipe",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, as the URI given.
 
-    On a cluster this is set by the deployment (a path every executor can
-    reach).  Only when it is unset -- local tests and benches -- do we make a
-    private temporary folder and register it, so later calls agree.
+    On a cluster the deployment sets it (a path every executor can reach) and
+    a missing setting is an error: files in one machine's temporary folder are
+    out of the other machines' reach.  Only a ``local[...]`` master -- tests
+    and benches, one machine by definition -- gets a private folder, made once
+    and registered so later calls agree.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="florapipe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
-    elif spark.sparkContext.getCheckpointDir() is None:
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint location."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, name: str):
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing ``df`` as a Parquet table in the shared
     checkpoint folder and reading it back.
 
     One computation (a reliable ``checkpoint()`` of an unpersisted plan runs
     it twice), columnar output for the readers downstream, and files that
-    outlive a lost executor."""
+    outlive a lost executor.  The schema is passed on, so that reading back
+    starts no job and an empty result keeps its columns."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

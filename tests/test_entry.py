@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from florapipe.plans import ORACLE, QUERIES
 from florapipe.sources.tables import DRIVER_TABLES
 from tests.conftest import SF_SMOKE
 
@@ -19,7 +20,7 @@ END_TO_END = {"extract_species", "load_species", "audit_species"}
 
 def test_every_operator_query_has_oracle():
     # the end-to-end jobs are compositions checked in test_species_jobs.py
-    assert set(E.queries()) - END_TO_END == set(E.oracle_sql())
+    assert set(QUERIES) - END_TO_END == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", ["merge_entities", "page_prefix", "describe", "best_match", "text_fallback",
