@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from florapipe.llm.exact_dedup import exact_duplicates
+from florapipe.llm.language_id import identify_language, train
+from florapipe.llm.mixing import mix_counts
+from florapipe.llm.packing import pack
 from florapipe.llm.simhash import simhash_groups
 from florapipe.sources.tables import table
 
@@ -23,6 +28,36 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+@query("op2_mix_sources", r"""
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+     s AS (SELECT source, sum(size)::BIGINT AS z, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w
+           FROM d GROUP BY source),
+     o AS (SELECT *, row_number() OVER (ORDER BY 3.0::DOUBLE * z / w, source NULLS LAST) AS k FROM s),
+     l AS (SELECT o.*, (sum(z) OVER () - 3 * coalesce(sum(z) OVER before, 0))::DOUBLE
+                       / (sum(w) OVER () - coalesce(sum(w) OVER before, 0)) AS level
+           FROM o WINDOW before AS (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+     f AS (SELECT arg_min(level, k) AS level FROM l WHERE level * w <= 3.0::DOUBLE * z),
+     t AS (SELECT source, z AS source_size, least(3.0::DOUBLE * z, f.level * w) AS target FROM s, f),
+     r AS (SELECT *, CASE WHEN source_size = 0 THEN 0.0::DOUBLE ELSE least(target / source_size, 3.0::DOUBLE) END AS rate FROM t),
+     c AS (SELECT d.*, j, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || j), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
+           FROM d, range(16) g(j)),
+     p AS (SELECT c.source, j, abs(sum(CASE WHEN u < rate - floor(rate) THEN size ELSE 0 END)::DOUBLE
+                                   - (any_value(rate) - floor(any_value(rate))) * any_value(source_size)) AS miss
+           FROM c JOIN r ON c.source IS NOT DISTINCT FROM r.source GROUP BY c.source, j),
+     b AS (SELECT source, min(miss) AS best FROM p GROUP BY source),
+     e AS (SELECT p.source, min(j) AS seed FROM p JOIN b ON p.source IS NOT DISTINCT FROM b.source AND p.miss = b.best GROUP BY p.source)
+SELECT c.doc_id, c.size, r.source_size, r.target,
+       ((floor(rate)::BIGINT + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) * c.size)::BIGINT AS taken
+FROM c JOIN e ON c.source IS NOT DISTINCT FROM e.source AND c.j = e.seed JOIN r ON c.source IS NOT DISTINCT FROM r.source
+""")
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = mix_counts(table(spark, sf_dir, "documents"))
+    return counts.withColumn("taken", F.col("copies") * F.col("size")).drop("copies")
+
+
 @query("op4_exact_dedup", r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
                   sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents),
@@ -38,3 +73,17 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_simhash_near_dedup")
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, bits=2)
+
+
+@query("op7_best_fit_packing")
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), capacity=2048)
+
+
+@query("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    dictionaries = train(docs.filter(~held_out), F.col("text"), F.col("lang"))
+    found = identify_language(docs.select("doc_id", "text"), dictionaries)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", (~F.col("accepted")).alias("rejected"))
