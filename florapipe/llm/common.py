@@ -42,19 +42,20 @@ def rows_without(identified_docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return identified_docs.join(dropped.select(UID), UID, "left_anti").select(f"{ROW}.*")
 
 
-def numbered(df: DataFrame, order: list[Column], name: str, number: str) -> DataFrame:
-    """``df`` with its global 0-based position in ``order``, without a one-task window.
+def numbered(df: DataFrame, order: list[Column] | None, name: str, number: str) -> DataFrame:
+    """``df`` with its global 0-based position in ``order`` (None: in any order), without a one-task window.
 
     Range-partitioned and sorted, then written with Spark's own row id, whose
     high bits are the partition and whose low bits the place in it.  What is
     summed up in one place is one count per partition."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                         .withColumn("__mid", F.monotonically_increasing_id()), name)
+    if order:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    placed = materialize(df.withColumn("__mid", F.monotonically_increasing_id()), name)
     part = F.shiftrightunsigned("__mid", 33)
     counts = placed.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
     starts = counts.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__start"))
-    # one row per partition of the sort: bounded by the setting above, whatever the data
+    # one row per task of the write above, whatever the data: a few bytes each
     return (placed.withColumn("__part", part).join(F.broadcast(starts), "__part")
             .withColumn(number, F.col("__start") + F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))
             .drop("__part", "__start", "__mid"))

@@ -12,6 +12,7 @@ from florapipe.llm.exact_dedup import exact_duplicates
 from florapipe.llm.language_id import identify_language, train
 from florapipe.llm.mixing import mix_counts
 from florapipe.llm.packing import pack
+from florapipe.llm.sharding import LAW, shard
 from florapipe.llm.simhash import simhash_groups
 from florapipe.sources.tables import table
 
@@ -87,3 +88,9 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     dictionaries = train(docs.filter(~held_out), F.col("text"), F.col("lang"))
     found = identify_language(docs.select("doc_id", "text"), dictionaries)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", (~F.col("accepted")).alias("rejected"))
+
+
+@query("op1_sharding")
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(table(spark, sf_dir, "documents"), shards=24).withColumns(
+        {"law": F.lit(LAW), "grown_shard": F.lit(None).cast("int")})
