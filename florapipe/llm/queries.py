@@ -14,6 +14,7 @@ from florapipe.llm.mixing import mix_counts
 from florapipe.llm.packing import pack
 from florapipe.llm.sharding import LAW, shard
 from florapipe.llm.simhash import simhash_groups
+from florapipe.llm.url_filter import ALLOW, BLOCK, Rule, filter_urls
 from florapipe.sources.tables import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +95,13 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"), shards=24).withColumns(
         {"law": F.lit(LAW), "grown_shard": F.lit(None).cast("int")})
+
+
+#: The rules of the contract.
+URL_RULES = [Rule(ALLOW, "org/"), Rule(BLOCK, "example.org/es/"), Rule(BLOCK, "example.org/en/1"),
+             Rule(ALLOW, "com/fr/"), Rule(BLOCK, "com/de/")]
+
+
+@query("op9_url_filter")
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES).drop("url")
