@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from florapipe.llm.exact_dedup import exact_duplicates
+from florapipe.llm.html_text import extract_main_text
 from florapipe.llm.language_id import identify_language, train
 from florapipe.llm.mixing import mix_counts
 from florapipe.llm.packing import pack
@@ -105,3 +106,9 @@ URL_RULES = [Rule(ALLOW, "org/"), Rule(BLOCK, "example.org/es/"), Rule(BLOCK, "e
 @query("op9_url_filter")
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES).drop("url")
+
+
+@query("op3_html_extraction")
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract_main_text(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("bigint"))
