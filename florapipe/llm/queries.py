@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from florapipe.llm.embedding_dedup import embedding_groups
 from florapipe.llm.exact_dedup import exact_duplicates
 from florapipe.llm.html_text import extract_main_text
 from florapipe.llm.language_id import identify_language, train
@@ -112,3 +113,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = extract_main_text(table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
+@query("op10_embedding_near_dedup")
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_groups(table(spark, sf_dir, "embeddings"), threshold=0.95)
