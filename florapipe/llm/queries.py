@@ -12,6 +12,7 @@ from florapipe.llm.embedding_dedup import embedding_groups
 from florapipe.llm.exact_dedup import exact_duplicates
 from florapipe.llm.html_text import extract_main_text
 from florapipe.llm.language_id import identify_language, train
+from florapipe.llm.license_scan import scan_licenses
 from florapipe.llm.mixing import mix_counts
 from florapipe.llm.packing import pack
 from florapipe.llm.sharding import LAW, shard
@@ -118,3 +119,8 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_embedding_near_dedup")
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_groups(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+@query("op6_license_scan")
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
