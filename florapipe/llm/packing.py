@@ -15,9 +15,10 @@ from __future__ import annotations
 
 import math
 import os
+import unicodedata
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from florapipe.llm.common import per_worker
 from florapipe.session import materialize
 
 END_ID = 0
@@ -34,7 +36,7 @@ NEARLY_FULL = 0.995
 #: Children of a node of the tree.
 FAN_IN = 16
 #: Words whose ids a task remembers at a time.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 500_000
 
 PIECES = ("doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "
           "leaf bigint, fill bigint, rank bigint, offset bigint")
@@ -43,32 +45,93 @@ PIECES = ("doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigi
 class WordTokens:
     """Token ids of whole texts, as bytes of little-endian unsigned 32-bit numbers.
 
-    For tokenizers whose tokens never cross white space and which drop it:
-    each distinct word is encoded once and then looked up."""
+    For lower-casing tokenizers whose tokens never cross white space, which
+    they drop, nor the step from a letter or digit to punctuation: each distinct
+    word is encoded once, its trailing punctuation apart, and then looked up."""
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    #: ASCII punctuation but the apostrophe, which may begin a token with letters.
+    TAIL = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
+    #: Bytes of text looked up together, and words encoded together.
+    CHUNK, BATCH = 1 << 21, 2_000
+
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS, separator: str = "<|endoftext|>"):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.cache_words = cache_words
+        self.separator, self.separator_id = separator, self.tokenizer.token_to_id(separator)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
 
-    def encode(self, text: bytes | None) -> bytes:
-        words = (text or b"").split()
-        known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            missing = list({w for w in words if w not in known})
-        if len(known) + len(missing) > self.cache_words:
-            known.clear()
-            missing = list(set(words))
-        for i in range(0, len(missing), 10_000):
-            part = missing[i:i + 10_000]
-            found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            for w, e in zip(part, found):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join([known[w] for w in words])
+    def encode_all(self, texts: Iterable[bytes | None]) -> Iterator[bytes]:
+        chunk, size = [], 0
+        for t in texts:
+            chunk.append(t or b"")
+            size += len(chunk[-1])
+            if size >= self.CHUNK:
+                yield from self._chunk(chunk)
+                chunk, size = [], 0
+        yield from self._chunk(chunk)
+
+    def _chunk(self, texts: list[bytes]) -> Iterator[bytes]:
+        # a text with what may be a special token's string is encoded whole
+        words = [None if b"<|" in t else t.lower().split() for t in texts]
+        distinct = set().union(*(w for w in words if w))
+        missing = distinct - self.known.keys()
+        if len(self.known) + len(missing) > self.cache_words:
+            self.known.clear()
+            missing = distinct
+        self._learn(missing)
+        get = self.known.__getitem__
+        for t, w in zip(texts, words):
+            yield self._whole(t) if w is None else b"".join(map(get, w))
+
+    def _whole(self, text: bytes) -> bytes:
+        return self._ids(text.decode("utf-8", "replace")).tobytes()
+
+    def _learn(self, missing: set[bytes]) -> None:
+        known, split, wanted = self.known, {}, set()
+        for w in missing:
+            core = w.rstrip(self.TAIL)
+            if core and len(core) < len(w) and self._ends_solid(core):
+                split[w] = (core, w[len(core):])
+                wanted.update(split[w])
+            else:
+                wanted.add(w)
+        plain, other = [], []
+        for w in wanted - known.keys():
+            text = w.decode("utf-8", "replace")
+            (plain if text.isalpha() else other).append((w, text))
+        for i in range(0, len(plain), self.BATCH):
+            part = plain[i:i + self.BATCH]
+            ids = self._ids(" ".join(text for _, text in part))
+            ends = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
+            if len(ends) == len(part):      # a word of letters is one unit, whose last token ends a word
+                data = ids.tobytes()
+                for (w, _), start, end in zip(part, [0, *ends], ends):
+                    known[w] = data[start:end]
+            else:
+                other += part
+        for i in range(0, len(other), self.BATCH):
+            part = other[i:i + self.BATCH]
+            ids = self._ids(self.separator.join(text for _, text in part))
+            cuts, data = (4 * np.flatnonzero(ids == self.separator_id)).tolist(), ids.tobytes()
+            for (w, _), start, end in zip(part, [-4, *cuts], [*cuts, len(data)]):
+                known[w] = data[start + 4:end]
+        for w, (core, tail) in split.items():
+            known[w] = known[core] + known[tail]
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    @staticmethod
+    def _ends_solid(core: bytes) -> bool:
+        """Whether the last character is a letter or a digit."""
+        if core[-1] < 0x80:
+            return core[-1:].isalnum()
+        return unicodedata.category(core.decode("utf-8", "replace")[-1])[0] in "LN"
 
 
 def best_fit(sizes: list[tuple[int, int]], capacity: int) -> tuple[list[tuple], list[list]]:
@@ -118,11 +181,11 @@ def best_fit(sizes: list[tuple[int, int]], capacity: int) -> tuple[list[tuple],
 def _leaf(path: str, capacity: int):
     """Tokenize, cut and pack the documents of one task; the leaf is the task's partition."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(path)
+        tokens = per_worker(("word tokens", path), lambda: WordTokens(path))
         columns: list[list] = [[], [], [], [], []]
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = tokens.encode(text.as_py()) + END_ID.to_bytes(4, "little")
+            for doc_id, ids in zip(batch.column(0).to_pylist(), tokens.encode_all(t.as_py() for t in batch.column(1))):
+                ids += END_ID.to_bytes(4, "little")
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     cut = ids[start:start + 4 * capacity]
                     for column, value in zip(columns, (doc_id, piece, start // 4, len(cut) // 4, zlib.crc32(cut))):
