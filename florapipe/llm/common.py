@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import math
+import sys
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,7 +16,6 @@ from florapipe.session import materialize
 WHITE_SPACE = " \t\n\x0b\f\r"
 
 UID = "__uid"
-ROW = "__row"
 
 
 def spread(spark: SparkSession, rows: int, per_task: int) -> int:
@@ -26,20 +28,34 @@ def without_white_space(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), WHITE_SPACE, "")
 
 
-def identified(docs: DataFrame, *columns: Column, keep_rows: bool, name: str) -> DataFrame:
-    """``columns`` beside a row number ``UID`` that no other row has, written once.
+def identified(docs: DataFrame, id_col: str, text_col: str, *columns: Column, name: str) -> DataFrame:
+    """``columns`` beside ``doc_id``, a hash of the text, and a number ``UID`` that no other row has, written once.
 
-    Repeated rows (the same id, the same text) stay apart by it.  Because the
-    table is written, the numbers hold for all later reads, also after a lost
-    executor.  With ``keep_rows`` the whole input row travels along as one
-    struct, so extra columns never clash with an operator's own."""
-    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW)] if keep_rows else []
-    return materialize(docs.select(F.monotonically_increasing_id().alias(UID), *columns, *row), name)
+    Repeated rows (the same id, the same text) stay apart by the number, which
+    holds for all later reads because the table is written."""
+    return materialize(docs.select(F.monotonically_increasing_id().alias(UID), F.col(id_col).cast("bigint").alias("doc_id"),
+                                   F.xxhash64(text_col).alias("text_hash"), *columns), name)
 
 
-def rows_without(identified_docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The input rows whose number is not in ``dropped``."""
-    return identified_docs.join(dropped.select(UID), UID, "left_anti").select(f"{ROW}.*")
+def keep_rows(docs: DataFrame, judged: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` that stay, by ``judged (doc_id, text_hash, kept)`` with a row for each of them.
+
+    Whole rows move once, to meet the verdicts on id and text; only verdicts
+    that change something take part.  Of rows repeated with one id and text of
+    which one is kept, any one stays: these alone are grouped.  The row travels
+    as one struct, so extra columns clash with nothing."""
+    spoken = (judged.groupBy("doc_id", "text_hash").agg(F.max("kept").alias("keep"), F.count("*").alias("rows"))
+              .filter("not keep or rows > 1"))
+    spoken = materialize(spoken, "verdicts")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    own = F.col(f"row.{id_col}").cast("bigint"), F.xxhash64(f"row.{text_col}")
+    same = (own[1] == F.col("text_hash")) & own[0].eqNullSafe(F.col("doc_id"))
+    once = rows.join(spoken, same, "left_anti").select("row.*")
+    repeated = spoken.filter("keep")
+    if repeated.isEmpty():
+        return once
+    one = rows.join(repeated, same).groupBy("text_hash", "doc_id").agg(F.first("row").alias("row"))
+    return once.unionByName(one.select("row.*"))
 
 
 def numbered(df: DataFrame, order: list[Column] | None, name: str, number: str) -> DataFrame:
@@ -59,3 +75,11 @@ def numbered(df: DataFrame, order: list[Column] | None, name: str, number: str)
     return (placed.withColumn("__part", part).join(F.broadcast(starts), "__part")
             .withColumn(number, F.col("__start") + F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))
             .drop("__part", "__start", "__mid"))
+
+
+def per_worker(key: tuple, make: Callable[[], Any]) -> Any:
+    """What ``make`` returns, kept for later tasks of the same Python worker, which Spark reuses."""
+    memo = sys.__dict__.setdefault("_florapipe_worker_memo", {})
+    if key not in memo:
+        memo[key] = make()
+    return memo[key]

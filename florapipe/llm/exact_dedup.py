@@ -23,8 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from florapipe.llm.common import UID, identified, rows_without, spread, without_white_space
-from florapipe.session import materialize
+from florapipe.llm.common import UID, identified, keep_rows, spread, without_white_space
 
 SLOTS = 4
 MAX_EVICTIONS = 200
@@ -232,31 +231,25 @@ def update_index(index: DataFrame, inserted: DataFrame | None = None, deleted: D
     return _sharded(entries, rows, keys_per_shard)
 
 
-def keyed_documents(docs: DataFrame, id_col: str, text_col: str, keep_rows: bool) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return identified(docs, F.col(id_col).cast("bigint").alias("doc_id"),
-                      F.unhex(F.sha2(without_white_space(F.col(text_col)), 256)).alias("digest"),
-                      F.char_length(text).cast("bigint").alias("n_chars"), keep_rows=keep_rows, name="digests")
+def keyed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return identified(docs, id_col, text_col, F.unhex(F.sha2(without_white_space(F.col(text_col)), 256)).alias("digest"),
+                      F.char_length(F.coalesce(F.col(text_col), F.lit(""))).cast("bigint").alias("n_chars"), name="digests")
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document, dropped ones too: ``doc_id, keep_id, group_size, kept, text_sha256``.
+    """One row per document, dropped ones too: ``doc_id, keep_id, group_size, kept, text_sha256`` (and the hash of
+    the text as it is).
 
     Texts are equal when identical without white space.  The row with the most
     code points stays, then the smallest id.  Null text is empty text and equal
     to it; a null id loses every tie; of rows repeated with one id, one is kept.
     An empty table gives an empty result, extra columns are ignored."""
-    keyed = keyed_documents(docs, id_col, text_col, keep_rows=False)
-    index = build_index(keyed)
-    return keyed.join(index, "digest").select(
+    keyed = keyed_documents(docs, id_col, text_col)
+    return keyed.join(build_index(keyed), "digest").select(
         "doc_id", F.col("best_id").alias("keep_id"), F.col("refs").alias("group_size"),
-        (F.col(UID) == F.col("best_uid")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+        (F.col(UID) == F.col("best_uid")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "text_hash")
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns (the rules of ``exact_duplicates``)."""
-    keyed = keyed_documents(docs, id_col, text_col, keep_rows=True)
-    index = materialize(build_index(keyed.drop("__row")), "digest_index")
-    dropped = (keyed.select("digest", UID).join(index.filter("refs > 1").select("digest", "best_uid"), "digest")
-               .filter(F.col(UID) != F.col("best_uid")))
-    return rows_without(keyed, dropped)
+    return keep_rows(docs, exact_duplicates(docs, id_col, text_col), id_col, text_col)

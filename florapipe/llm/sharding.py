@@ -84,18 +84,20 @@ def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: s
     Repeated rows are documents of their own; an empty table gives an empty
     result; extra columns are ignored."""
     text = F.col(text_col)
-    base = identified(docs, F.col(id_col).alias("doc_id"),
-                      (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("bigint").alias("size"),
+    base = identified(docs, id_col, text_col, (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("bigint").alias("size"),
                       F.coalesce(F.crc32(text.cast("binary")), F.lit(0).cast("bigint")).alias("text_crc32"),
-                      F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"), keep_rows=False, name="shard_docs")
+                      F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"), name="shard_docs").drop("text_hash")
     groups = base.filter("digest is not null").groupBy("digest").agg(F.count("*").alias("group_size")).filter("group_size > 1")
     base = materialize(base.join(groups, "digest", "left")
                        .withColumn("group_size", F.coalesce("group_size", F.lit(1).cast("bigint"))), "shard_grouped")
     rows = base.count()
     quota = rows // shards
     salt = F.pmod(F.xxhash64(UID, F.lit(7)), F.ceil(F.col("group_size") / F.lit(float(SALT_ROWS)))).cast("bigint")
+    # a group that no shard can hold starts on as many neighbouring shards as it needs, the others anywhere
+    parts = F.when(F.col("group_size") > quota, F.ceil(F.col("group_size") / F.lit(float(max(quota, 1))))).otherwise(F.lit(shards))
+    first = F.when(F.col("group_size") > quota, F.pmod(F.xxhash64("digest"), F.lit(shards))).otherwise(F.lit(0))
     state = (base.filter("group_size > 1").withColumn("salt", salt)
-             .withColumn("shard", F.pmod(F.xxhash64(UID), F.lit(shards)).cast("int")))
+             .withColumn("shard", F.pmod(first + F.pmod(F.xxhash64(UID), parts), F.lit(shards)).cast("int")))
     for turn in range(rounds):
         state, moved = _round(state, shards, quota, turn)
         if not moved:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from florapipe.llm.common import UID, identified, rows_without
+from florapipe.llm.common import UID, keep_rows
 from florapipe.llm.components import connected_components
 from florapipe.session import materialize
 
@@ -53,16 +53,16 @@ def simhash(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
 def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([simhash(t.as_py(), shingle) for t in batch.column(2)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())],
-                                             [UID, "doc_id", "fp"])
+            fps = np.array([simhash(t.as_py(), shingle) for t in batch.column(3)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fps, pa.int64())],
+                                             [UID, "doc_id", "text_hash", "fp"])
     return run
 
 
 def fingerprints(keyed: DataFrame, shingle: int = 3) -> DataFrame:
-    """``(UID, doc_id, fp)`` of rows ``(UID, doc_id, text)``; ``fp`` is the SimHash as a signed long."""
-    return keyed.select(UID, "doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
-        _fingerprints(shingle), f"{UID} bigint, doc_id bigint, fp bigint")
+    """``(UID, doc_id, text_hash, fp)`` of rows ``(UID, doc_id, text_hash, text)``; ``fp`` is the SimHash as a signed long."""
+    return keyed.withColumn("text", F.col("text").cast("binary")).mapInArrow(
+        _fingerprints(shingle), f"{UID} bigint, doc_id bigint, text_hash bigint, fp bigint")
 
 
 def _masks(width: int, radius: int) -> list[int]:
@@ -76,6 +76,12 @@ def _values(segments: int) -> list[tuple[int, int, Column]]:
             for i, (lo, hi) in enumerate(zip(cuts, cuts[1:]))]
 
 
+def _ball(value: Column, masks: list[int]) -> Column:
+    """The values that differ from ``value`` by one of the masks, and are not below it."""
+    changed = F.transform(F.array(*[F.lit(m).cast("bigint") for m in masks]), lambda m: value.bitwiseXOR(m))
+    return F.filter(changed, lambda x: x >= value)
+
+
 def near_links(distinct: DataFrame, bits: int = 2, segments: int = 2, dense: int = 1_000) -> DataFrame:
     """Edges ``(a, b)`` between the distinct fingerprints ``fp`` whose components are those of all
     pairs within ``bits``.
@@ -91,9 +97,7 @@ def near_links(distinct: DataFrame, bits: int = 2, segments: int = 2, dense: int
     key = 1 << 40
     parts = [(F.lit(i * key) + v, w) for i, w, v in _values(segments)]
     table = distinct.select("fp", F.explode(F.array(*[p for p, _ in parts])).alias("key"))
-    ball = F.concat(*[F.filter(F.transform(F.array(*[F.lit(m) for m in _masks(w, bits // segments)]),
-                                           lambda m, p=p: p.bitwiseXOR(m)), lambda x, p=p: x >= p)
-                      for p, w in parts])
+    ball = F.concat(*[_ball(p, _masks(w, bits // segments)) for p, w in parts])
     own = F.array(*[p for p, _ in parts])
     probes = (distinct.select("fp", own.alias("own"), F.explode(ball).alias("key"))
               .select("fp", "key", F.array_contains("own", F.col("key")).alias("same")))
@@ -104,8 +108,9 @@ def near_links(distinct: DataFrame, bits: int = 2, segments: int = 2, dense: int
                           & (F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= bits))
              .select(F.col("fp").alias("a"), F.col("other").alias("b")))
     close = probes.join(crowded, "key", "left_semi").select("fp").distinct()
-    points = close.select("fp", F.explode(F.transform(F.array(*[F.lit(_signed(m)) for m in _masks(64, bits // 2)]),
-                                                      lambda m: F.col("fp").bitwiseXOR(m))).alias("point"))
+    points = close.select("fp", F.explode(F.transform(
+        F.array(*[F.lit(_signed(m)).cast("bigint") for m in _masks(64, bits // 2)]),
+        lambda m: F.col("fp").bitwiseXOR(m))).alias("point"))
     least = points.groupBy("point").agg(F.min("fp").alias("least"), F.count("*").alias("n")).filter("n > 1")
     stars = points.join(least, "point").filter("fp <> least").select(F.col("least").alias("a"), F.col("fp").alias("b"))
     return links.unionByName(stars)
@@ -127,25 +132,28 @@ def _classes(prints: DataFrame, bits: int, segments: int) -> DataFrame:
                                                   F.col(f"keep.{UID}").alias("keep_uid"))
 
 
+def _prints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    keyed = docs.select(F.monotonically_increasing_id().alias(UID), F.col(id_col).cast("bigint").alias("doc_id"),
+                        F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    return materialize(fingerprints(keyed, shingle), "fingerprints")
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                    bits: int = 2, segments: int = 2) -> DataFrame:
-    """One row per document: ``doc_id, fingerprint`` (16 hex digits), ``component_id`` (smallest id reachable).
+    """One row per document: ``doc_id, fingerprint`` (16 hex digits), ``component_id`` (smallest id reachable),
+    ``kept`` (one row of each component, of the smallest id) and the hash of the text as it is.
 
     Null, empty and blank texts have fingerprint zero and link like any other.
     Null ids are never a component's id unless all its ids are null.  Repeated
-    rows give repeated rows; an empty table an empty one; extra columns are ignored."""
-    keyed = docs.select(F.lit(0).cast("bigint").alias(UID), F.col(id_col).cast("bigint").alias("doc_id"),
-                        F.col(text_col).alias("text"))
-    prints = materialize(fingerprints(keyed, shingle), "fingerprints")
+    rows give repeated rows, one of them kept; an empty table an empty one;
+    extra columns are ignored."""
+    prints = _prints(docs, id_col, text_col, shingle)
     return prints.join(_classes(prints, bits, segments), "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
+        (F.col(UID) == F.col("keep_uid")).alias("kept"), "text_hash")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                          bits: int = 2, segments: int = 2) -> DataFrame:
     """The rows of ``docs`` with one document of each group, the one with the smallest id (one row, if repeated)."""
-    keyed = identified(docs, F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"),
-                       keep_rows=True, name="simhash_docs")
-    prints = materialize(fingerprints(keyed, shingle), "fingerprints")
-    dropped = prints.join(_classes(prints, bits, segments), "fp").filter(F.col(UID) != F.col("keep_uid"))
-    return rows_without(keyed, dropped)
+    return keep_rows(docs, simhash_groups(docs, id_col, text_col, shingle, bits, segments), id_col, text_col)
