@@ -19,7 +19,9 @@ from florapipe.session import materialize
 #: Weights by source in code point order, repeating; no target above so many times its source.
 WEIGHTS = (1, 2, 3)
 MOST = 3
-SEEDS = 16
+#: Draws to choose from per source; a hash gives as many numbers as it has 32 bits.
+SEEDS = 64
+PER_HASH = 4
 
 
 def word_count(text: Column) -> Column:
@@ -27,11 +29,13 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
 
 
-def _chance(key: Column, seed: Column | int) -> Column:
-    """A number in [0, 1) from 32 bits of the hash of key and seed."""
-    seed = F.lit(str(seed)) if isinstance(seed, int) else seed.cast("string")
-    digest = F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("null")), F.lit(":"), seed).cast("binary"))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
+def _hash(key: Column, block: Column) -> Column:
+    return F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("null")), F.lit(":"), block.cast("string")).cast("binary"))
+
+
+def _chance(digest: Column, place: Column) -> Column:
+    """A number in [0, 1) from the 32 bits of the digest that begin at ``place`` of ``PER_HASH``."""
+    return F.conv(F.substring(digest, place * 8 + 1, F.lit(8)), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
 def _targets(sources: DataFrame, most: int) -> DataFrame:
@@ -65,8 +69,10 @@ def plan_mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = M
              .withColumn("whole", F.floor("rate")).withColumn("fraction", F.col("rate") - F.col("whole")))
     rates = materialize(rates.select("source", "source_size", "target", "whole", "fraction"), "mix_rates")
     drawn = sized.join(rates.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
+    blocks = -(-seeds // PER_HASH)
+    drawn = drawn.select("source", "size", "fraction", *[_hash(F.col("doc_id"), F.lit(b)).alias(f"h{b}") for b in range(blocks)])
     sums = drawn.groupBy("source").agg(*[
-        F.sum(F.when(_chance(F.col("doc_id"), j) < F.col("fraction"), F.col("size")).otherwise(0)).alias(f"s{j}")
+        F.sum(F.when(_chance(F.col(f"h{j // PER_HASH}"), F.lit(j % PER_HASH)) < F.col("fraction"), F.col("size")).otherwise(0)).alias(f"s{j}")
         for j in range(seeds)]).withColumnRenamed("source", "s")
     misses = F.array(*[F.abs(F.col(f"s{j}") - F.col("fraction") * F.col("source_size")) for j in range(seeds)])
     seed = F.array_position(misses, F.array_min(misses)) - 1
@@ -75,7 +81,8 @@ def plan_mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = M
 
 
 def _copies(doc_id: Column) -> Column:
-    return F.col("whole") + (_chance(doc_id, F.col("seed")) < F.col("fraction")).cast("bigint")
+    drawn = _chance(_hash(doc_id, F.floor(F.col("seed") / PER_HASH)), F.pmod(F.col("seed"), F.lit(PER_HASH)).cast("int"))
+    return F.col("whole") + (drawn < F.col("fraction")).cast("bigint")
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:

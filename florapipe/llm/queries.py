@@ -47,8 +47,8 @@ WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\
      f AS (SELECT arg_min(level, k) AS level FROM l WHERE level * w <= 3.0::DOUBLE * z),
      t AS (SELECT source, z AS source_size, least(3.0::DOUBLE * z, f.level * w) AS target FROM s, f),
      r AS (SELECT *, CASE WHEN source_size = 0 THEN 0.0::DOUBLE ELSE least(target / source_size, 3.0::DOUBLE) END AS rate FROM t),
-     c AS (SELECT d.*, j, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || j), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
-           FROM d, range(16) g(j)),
+     c AS (SELECT d.*, j, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || (j // 4)), (j % 4) * 8 + 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
+           FROM d, range(64) g(j)),
      p AS (SELECT c.source, j, abs(sum(CASE WHEN u < rate - floor(rate) THEN size ELSE 0 END)::DOUBLE
                                    - (any_value(rate) - floor(any_value(rate))) * any_value(source_size)) AS miss
            FROM c JOIN r ON c.source IS NOT DISTINCT FROM r.source GROUP BY c.source, j),
@@ -72,12 +72,12 @@ WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM r
 """)
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_duplicates(table(spark, sf_dir, "documents"))
+    return exact_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 @query("op5_simhash_near_dedup")
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, bits=2)
+    return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, bits=2).drop("text_hash")
 
 
 @query("op7_best_fit_packing")
