@@ -21,6 +21,12 @@ def accept_status(status_col: str = "status", accepted: Sequence[str] = tuple(LO
     return F.coalesce(F.col(status_col).isin(list(accepted)), F.lit(False))
 
 
+def lookup_outcome(status_col: str = "status") -> Column:
+    """The status a retried lookup ends with when every attempt answers alike:
+    an accepted one stays, any other exhausts the retries."""
+    return F.when(accept_status(status_col), F.col(status_col)).otherwise(F.lit(EXHAUSTED))
+
+
 def accept_not_null(payload_col: str = "payload") -> Column:
     """The generic default: any non-NULL result is acceptable."""
     return F.col(payload_col).isNotNull()

@@ -2,24 +2,26 @@
 
 Each report is one DataFrame.  Reports over the whole dataset are single
 global aggregates (partial on the map side, one small final merge); no report
-pulls entity rows to the driver.  Exact quantiles (A5) are found by a
-distributed selection over value buckets, so no task ever holds more than one
-bucket of distinct values.
+pulls entity rows to the driver.  Exact quantiles (A5) are picked by rank from
+one range sort of the distinct values, whatever their number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from florapipe.operators.numbering import running_sums
+from florapipe.session import materialize
 
 
 def value_counts(df: DataFrame, c: str, dropna: bool = False, out: str = "n") -> DataFrame:
-    """A2: rows per value, NULL included as its own group unless ``dropna``."""
+    """A2: rows per value, most frequent first (ties by value); NULL is its own
+    group unless ``dropna``."""
     src = df.filter(F.col(c).isNotNull()) if dropna else df
-    return src.groupBy(c).agg(F.count(F.lit(1)).alias(out))
+    return src.groupBy(c).agg(F.count(F.lit(1)).alias(out)).orderBy(F.desc(out), c)
 
 
 def failure_reasons(df: DataFrame, status: str, success: str = "success", out: str = "n") -> DataFrame:
@@ -37,14 +39,18 @@ def coverage(df: DataFrame, flag: str) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, species: Sequence[str] = ("scientific_name", "species"),
-                    order: str = "order", family: str = "family", genus: str = "genus") -> DataFrame:
+                    order: str = "order", family: str = "family", genus: str = "genus",
+                    approximate: bool = False, rsd: float = 0.01) -> DataFrame:
     """Distinct species (first existing of ``species``), orders, families,
-    genera; NULL excluded; an absent column counts 0."""
+    genera; NULL excluded; an absent column counts 0.  ``approximate`` counts by
+    sketches with relative standard deviation ``rsd``: one pass, no expansion."""
     cols = set(df.columns)
     sp = next((c for c in species if c in cols), None)
 
     def nd(c):
-        return F.count_distinct(F.col(c)) if c and c in cols else F.lit(0).cast("bigint")
+        if not c or c not in cols:
+            return F.lit(0).cast("bigint")
+        return F.approx_count_distinct(F.col(c), rsd) if approximate else F.count_distinct(F.col(c))
     return df.agg(nd(sp).alias("n_species"), nd(order).alias("n_orders"),
                   nd(family).alias("n_families"), nd(genus).alias("n_genera"))
 
@@ -67,26 +73,27 @@ def grid_symmetry(df: DataFrame, order: str = "order", species: str = "scientifi
 
 def missing_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """NULLs per column and their share of rows; an absent column is all
-    missing.  One scan, then a stack into (column, n_missing, pct_missing)."""
+    missing.  One scan, then a row per column: (column, n_missing, pct_missing);
+    an empty input misses 0 %."""
     present = set(df.columns)
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(cols):
         aggs.append((F.count_if(F.col(c).isNull()) if c in present else F.count(F.lit(1))).alias(f"_m{i}"))
-    wide = df.agg(*aggs)
-    pairs = ", ".join(f"'{c}', _m{i}" for i, c in enumerate(cols))
-    return (wide.selectExpr(f"stack({len(cols)}, {pairs}) AS (column_name, n_missing)", "_n")
+    each = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_m{i}").alias("n_missing")) for i, c in enumerate(cols)])
+    return (df.agg(*aggs).select(F.inline(each), "_n")
             .select("column_name", "n_missing",
-                    (F.col("n_missing") * 100.0 / F.col("_n")).alias("pct_missing")))
+                    F.coalesce(F.try_divide(F.col("n_missing") * 100.0, F.col("_n")), F.lit(0.0)).alias("pct_missing")))
 
 
 def fill_rate(df: DataFrame, candidates: Sequence[str] = ("image_url", "image", "url", "media_url")) -> DataFrame:
-    """First existing image column; rows where it is set, and their share."""
+    """First existing image column; rows where it is set, and their share (0 of an empty input)."""
     c = next((x for x in candidates if x in df.columns), None)
     if c is None:
         return df.agg(F.lit(None).cast("string").alias("image_column"),
                       F.lit(0).cast("bigint").alias("n_filled"), F.lit(0.0).alias("fill_pct"))
+    pct = F.try_divide(F.count(F.col(c)) * 100.0, F.count(F.lit(1)))
     return df.agg(F.lit(c).alias("image_column"), F.count(F.col(c)).alias("n_filled"),
-                  (F.count(F.col(c)) * 100.0 / F.count(F.lit(1))).alias("fill_pct"))
+                  F.coalesce(pct, F.lit(0.0)).alias("fill_pct"))
 
 
 def source_share(df: DataFrame, source: str = "source", image: str = "image_url",
@@ -112,87 +119,45 @@ def extraction_counts(df: DataFrame, group: str) -> DataFrame:
     return df.groupBy(group).agg(F.count(F.lit(1)).alias("n_processed"))
 
 
-def running_total(df: DataFrame, order_col: str, value_cols: Sequence[str], block: int = 1024) -> DataFrame:
-    """Cumulative sums of ``value_cols`` along ``order_col`` (an integer key,
-    unique per row) without a single-partition window: rows are grouped in
-    blocks of ``block`` consecutive keys, block totals are prefix-summed (one
-    row per block), and each block adds its offset to its own running sum."""
-    b = F.floor(F.col(order_col) / block)
-    keyed = df.withColumn("_blk", b)
-    totals = keyed.groupBy("_blk").agg(*[F.sum(c).alias(f"_t_{c}") for c in value_cols])
-    wb = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_blk", *[F.coalesce(F.sum(f"_t_{c}").over(wb), F.lit(0)).alias(f"_o_{c}")
-                                      for c in value_cols])
-    wr = Window.partitionBy("_blk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    out = keyed.join(offsets, "_blk")
-    for c in value_cols:
-        out = out.withColumn(f"cum_{c}", F.col(f"_o_{c}") + F.sum(c).over(wr))
-    return out.drop("_blk", *[f"_o_{c}" for c in value_cols])
-
-
-def load_metrics(df: DataFrame, key: str, chunk_rows: int = 10_000, chunk_col: str | None = None) -> DataFrame:
-    """Per load chunk -- rows in, distinct keys, running rows loaded and
-    % progress.  Chunks are given by ``chunk_col`` or by key ranges of width
-    ``chunk_rows``; unique keys are counted globally per chunk (no per-chunk
-    sums of distincts)."""
+def load_metrics(df: DataFrame, key: str, chunk_rows: int = 10_000, chunk_col: str | None = None,
+                 images_col: str | None = None) -> DataFrame:
+    """Per load chunk -- rows in, keys first seen in it, running rows and
+    distinct keys loaded, running images loaded (``images_col``: a row's number
+    of them) and % progress.  Chunks are given by ``chunk_col`` or by key ranges
+    of width ``chunk_rows``.  A key counts at its first chunk, so the running
+    count of keys is the global one."""
     ch = F.col(chunk_col) if chunk_col else F.floor(F.col(key) / chunk_rows)
-    per = (df.filter(F.col(key).isNotNull()).withColumn("chunk", ch.cast("bigint"))
-           .groupBy("chunk").agg(F.count(F.lit(1)).alias("rows_in"),
-                                 F.count_distinct(key).alias("unique_keys")))
-    run = running_total(per, "chunk", ["rows_in", "unique_keys"])
-    total = per.agg(F.sum("rows_in")).scalar()    # scalar subquery, evaluated once
+    images = F.coalesce(F.col(images_col), F.lit(0)).cast("bigint") if images_col else F.lit(0).cast("bigint")
+    per_key = (df.filter(F.col(key).isNotNull())
+               .groupBy(F.col(key), ch.cast("bigint").alias("chunk"))
+               .agg(F.count(F.lit(1)).alias("n"), F.sum(images).alias("i")))
+    firsts = per_key.groupBy(key).agg(F.min("chunk").alias("chunk"))
+    per = (per_key.select("chunk", "n", "i", F.lit(0).cast("bigint").alias("k"))
+           .unionByName(firsts.select("chunk", F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("i"),
+                                      F.lit(1).cast("bigint").alias("k")))
+           .groupBy("chunk").agg(F.sum("n").alias("rows_in"), F.sum("k").alias("unique_keys"), F.sum("i").alias("images_in")))
+    run = materialize(running_sums(per, ["chunk"], ["rows_in", "unique_keys", "images_in"]), "load_metrics")
+    total = run.agg(F.sum("rows_in")).scalar()    # scalar subquery, evaluated once
     return run.select("chunk", "rows_in", "unique_keys",
                       F.col("cum_rows_in").alias("rows_loaded"),
                       F.col("cum_unique_keys").alias("keys_loaded"),
-                      (F.col("cum_rows_in") * 100.0 / total).alias("progress_pct"))
+                      F.col("cum_images_in").alias("images_loaded"),
+                      F.try_divide(F.col("cum_rows_in") * 100.0, total).alias("progress_pct"))
 
 
 # ---------------------------------------------------------------- describe (A5)
 
-def _rank_values(df: DataFrame, c: str, target_bucket_values: int = 2_000_000,
-                 max_buckets: int = 1024) -> DataFrame:
-    """Distinct non-NULL values of ``c`` with their rank range [lo, hi) in the
-    sorted multiset, computed without a global sort in one task.
-
-    Values are first reduced to (value, multiplicity) by a partial aggregate.
-    One small job sizes the buckets: an approximate distinct count and up to
-    ``max_buckets - 1`` approximate quantile splitters of the distinct values
-    (a few thousand numbers are all that reach the driver).  Bucket totals are
-    prefix-summed over one row per bucket, and inside a bucket a running sum
-    orders the values.  A single hot value is one row with a big
-    multiplicity, so skew cannot overload a bucket.
-    """
-    from pyspark.ml.feature import Bucketizer
-
-    vals = df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    dv = vals.groupBy("v").agg(F.count(F.lit(1)).alias("w"))
-    # sizing: a distinct-count sketch over the scan (no shuffle); splitters only when needed
-    d = vals.agg(F.approx_count_distinct("v")).first()[0] or 0
-    nb = int(min(max_buckets, d // target_bucket_values + 1))
-    if nb > 1:
-        splits = dv.agg(F.percentile_approx("v", [i / nb for i in range(1, nb)], 10_000)).first()[0]
-        edges = [float("-inf")] + sorted(set(float(x) for x in splits)) + [float("inf")]
-        b = Bucketizer(splits=edges, inputCol="v", outputCol="b").transform(dv)
-    else:
-        b = dv.withColumn("b", F.lit(0.0))
-    offs = (b.groupBy("b").agg(F.sum("w").alias("bw"))
-            .withColumn("off", F.coalesce(F.sum("bw").over(
-                Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
-    within = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    return (b.join(offs.select("b", "off"), "b")
-            .withColumn("hi", F.col("off") + F.sum("w").over(within))
-            .withColumn("lo", F.col("hi") - F.col("w")))
-
-
-def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], names: Sequence[str],
-                    target_bucket_values: int = 2_000_000) -> DataFrame:
+def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], names: Sequence[str]) -> DataFrame:
     """One row with the linear-interpolated quantiles (the ``describe``
     definition): h = p*(n-1); x[floor h] + (h - floor h)*(x[floor h + 1] - x[floor h]).
-    n is a scalar subquery; each needed rank is picked by a range predicate
-    inside one global aggregate over the ranked distinct values."""
-    ranked = _rank_values(df, c, target_bucket_values).select("v", "lo", "hi", "w")
-    x = F.col(c).cast("double")
-    n = df.agg(F.count_if(x.isNotNull() & ~F.isnan(x))).scalar()
+
+    Values are reduced to (value, multiplicity), range-sorted once with the
+    running sum of the multiplicities, and each needed rank is picked by a
+    range predicate inside one global aggregate.  A hot value is one row."""
+    vals = df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    weighted = vals.groupBy("v").agg(F.count(F.lit(1)).alias("w"))
+    ranked = materialize(running_sums(weighted, ["v"], ["w"]), "ranked_values")
+    n = ranked.agg(F.coalesce(F.max("cum_w"), F.lit(0)).cast("bigint")).scalar()
     aggs = []
     for p, name in zip(probs, names):
         h = F.lit(float(p)) * (n - 1)
@@ -200,17 +165,17 @@ def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], names: Sequen
         r1 = F.least(r0 + 1, n - 1)
 
         def at(r):
-            return F.max(F.when((F.col("lo") <= r) & (F.col("hi") > r), F.col("v")))
+            return F.max(F.when((F.col("cum_w") - F.col("w") <= r) & (F.col("cum_w") > r), F.col("v")))
         aggs.append((at(r0) + (h - r0) * (at(r1) - at(r0))).alias(name))
     return ranked.agg(*aggs)
 
 
-def describe(df: DataFrame, c: str, exact: bool = True, accuracy: int = 10_000,
-             target_bucket_values: int = 2_000_000) -> DataFrame:
-    """A5: count, mean, sample std, min, 25/50/75 % (linear interpolation), max.
+def describe(df: DataFrame, c: str, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
+    """A5: count, mean, sample std, min, 25/50/75 % (linear interpolation), max
+    of the values that are neither NULL nor NaN.
 
     ``exact=False`` uses ``percentile_approx`` (one pass, bounded memory)."""
-    x = F.col(c).cast("double")
+    x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
     stats = [F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
              F.min(x).alias("min"), F.max(x).alias("max")]
     if not exact:
@@ -218,7 +183,7 @@ def describe(df: DataFrame, c: str, exact: bool = True, accuracy: int = 10_000,
         return df.agg(*stats, q.alias("q")).select(
             "count", "mean", "std", "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"),
             F.col("q")[2].alias("p75"), "max")
-    quant = exact_quantiles(df, c, [0.25, 0.5, 0.75], ["p25", "p50", "p75"], target_bucket_values)
+    quant = exact_quantiles(df, c, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
     # two single-row aggregates side by side: the quantiles are one scalar subquery
     q = quant.select(F.struct("p25", "p50", "p75")).scalar()
     return df.agg(*stats).select("count", "mean", "std", "min", q["p25"].alias("p25"), q["p50"].alias("p50"),

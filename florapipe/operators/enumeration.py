@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from florapipe.functions.expr import col
+from florapipe.operators.numbering import number_in_groups
+from florapipe.operators.responses import one_response
 
 # --- fixed values that must equal the source pipeline's ---------------------
 ANGIOSPERM_CLASSES = ["Magnoliopsida", "Liliopsida"]
@@ -22,26 +24,42 @@ ORDER_RANK = "ORDER"
 SPECIES_RANK = "SPECIES"
 ACCEPTED_STATUS = "ACCEPTED"
 NO_MATCH = "NONE"
-OFFSET_CEILING = 200_000
+OFFSET_CEILING = 200_000          # the sequential pager's own limits; no operator applies one by itself
 DEFAULT_LIMIT = 50_000
 RESUME_LIMIT = 200_000
+BATCH_ORDERS = {
+    1: ["Asparagales", "Liliales"],
+    2: ["Poales", "Arecales", "Alismatales"],
+    3: ["Asterales"],
+    4: ["Lamiales", "Gentianales"],
+    5: ["Solanales", "Ericales", "Apiales"],
+    6: ["Rosales", "Fabales"],
+    7: ["Malpighiales", "Myrtales"],
+    8: ["Brassicales", "Sapindales", "Malvales"],
+    9: ["Magnoliales", "Ranunculales", "Caryophyllales"],
+}
 # ---------------------------------------------------------------------------
 
 
+def order_dimension(spark) -> DataFrame:
+    """The (batch, order name) dimension of the fixed values above, in their order."""
+    rows = [(b, n) for b, names in BATCH_ORDERS.items() for n in names]
+    return spark.createDataFrame(rows, "batch int, order_name string")
+
+
 def select_targets(dim: DataFrame, batch: int | None = None, orders: Sequence[str] | None = None,
                    all_targets: bool = False, batch_col: str = "batch",
                    name_col: str = "order_name") -> DataFrame:
     """Rows of the (batch, order name) dimension to run.
 
     Precedence: ``all_targets`` > ``batch`` > ``orders``.  An unknown batch is
-    an error (checked on the dimension, which is a handful of rows)."""
+    an error when the plan runs."""
     if all_targets:
         return dim
     if batch is not None:
-        picked = dim.filter(F.col(batch_col) == batch)
-        if not picked.limit(1).count():
-            raise ValueError(f"unknown batch {batch}")
-        return picked
+        mine = F.col(batch_col) == batch
+        known = dim.agg(F.coalesce(F.bool_or(mine), F.lit(False)).alias("k")).scalar()
+        return dim.filter(F.when(known, mine).otherwise(F.raise_error(F.lit(f"unknown batch {batch}")).cast("boolean")))
     if orders:
         return dim.filter(F.col(name_col).isin(list(orders)))
     return dim.limit(0)
@@ -55,8 +73,8 @@ def resolve_orders(names: DataFrame, matches: DataFrame, name_col: str = "order_
     matchType passes), kingdom is Plantae and rank is ORDER.  Every name comes
     out once with ``order_key`` and ``status`` ("resolved" or the reject
     reason), so rejects are a filter away."""
-    m = matches.select(F.col(match_name).alias("_n"), "http_status", "matchType", "kingdom",
-                       "rank", F.col("orderKey").alias("order_key"))
+    m = one_response(matches.select(F.col(match_name).alias("_n"), "http_status", "matchType", "kingdom",
+                                    "rank", F.col("orderKey").alias("order_key")), ["_n"])
     j = names.join(m, F.col(name_col) == F.col("_n"), "left")
     ok_http = F.col("http_status") == 200
     ok_match = ~F.col("matchType").eqNullSafe(NO_MATCH) & (F.col("kingdom") == PLANT_KINGDOM) \
@@ -90,15 +108,15 @@ def explode_pages(pages: DataFrame, keys: Sequence[str], offset: str = "offset",
 
 
 def page_prefix(pages: DataFrame, group: str, offset: str, status: Column | str,
-                n_results: Column | str, ceiling: int = OFFSET_CEILING) -> DataFrame:
+                n_results: Column | str, ceiling: int | None = None) -> DataFrame:
     """S3: the pages a sequential pager would have read.
 
-    Per group, pages are read by increasing offset up to ``ceiling``; the first
-    non-200 page or the first 200 page without results stops the group; a
+    Per group, pages are read by increasing offset, up to ``ceiling`` if one is
+    given; the first non-200 page or the first 200 page without results stops the group; a
     page whose request failed (NULL status) is skipped and paging goes on.
     Returns the kept pages (those with results)."""
     st, nr = col(status), col(n_results)
-    p = pages.filter(F.col(offset) <= ceiling).withColumn("_st", st).withColumn("_nr", nr)
+    p = (pages if ceiling is None else pages.filter(F.col(offset) <= ceiling)).withColumn("_st", st).withColumn("_nr", nr)
     stop = F.col("_st").isNotNull() & ((F.col("_st") != 200) | (F.coalesce(F.col("_nr"), F.lit(0)) == 0))
     first_stop = (p.filter(stop).groupBy(group).agg(F.min(offset).alias("_stop")))
     kept = (p.filter(F.col("_st") == 200)
@@ -136,14 +154,21 @@ def retry_candidates(enumerated: DataFrame, recorded: DataFrame, key: str) -> Da
 
 
 def limit_per_group(df: DataFrame, group: str | Sequence[str], order: Sequence[str | Column],
-                    n: int = DEFAULT_LIMIT) -> DataFrame:
-    """O1: the first ``n`` rows of each group in ``order``.
+                    n: int | None = None) -> DataFrame:
+    """O1: the first ``n`` rows of each group in ``order``, with their
+    ``rank_in_group``; all rows when ``n`` is None.
 
-    ``row_number() <= n`` is planned as a partial ``WindowGroupLimit`` before
-    the shuffle, so each map task ships at most ``n`` rows per group."""
+    The rank is a global position less that of the group's first row, so no
+    task sorts a whole group however few the groups are."""
     g = [group] if isinstance(group, str) else list(group)
-    w = Window.partitionBy(*g).orderBy(*order)
-    return df.withColumn("rank_in_group", F.row_number().over(w)).filter(F.col("rank_in_group") <= n)
+    ranked = number_in_groups(df, g, order, "_rank").withColumn("rank_in_group", (F.col("_rank") + 1)).drop("_rank")
+    return ranked if n is None else ranked.filter(F.col("rank_in_group") <= n)
+
+
+def left_out(df: DataFrame, group: str, n: int | None) -> DataFrame:
+    """Per group the rows a limit of ``n`` leaves out: the report that goes with :func:`limit_per_group`."""
+    over = F.count(F.lit(1)) - F.lit(n) if n is not None else F.lit(0)
+    return df.groupBy(group).agg(F.greatest(over, F.lit(0)).cast("bigint").alias("n_left_out"))
 
 
 def progress_state(sink: DataFrame, id_col: str, group: str, offset: str, ts: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from florapipe.functions.expr import col, extract_binomial, normalize_media_url, page_title
+from florapipe.operators.responses import one_response
 
 # --- fixed values that must equal the source pipeline's ---------------------
 RESEARCH = "research"
@@ -130,12 +131,13 @@ def ranked_lists(ranked: DataFrame, key: str | Sequence[str], out: str = "images
 
 
 def _resolve_titles(titled: DataFrame, id_col: str, name_col: str, image_info: DataFrame,
-                    limit: int) -> DataFrame:
-    """(id, name, titles) -> scored rows for the first ``limit`` titles that
-    resolve to image info (a 200 response with at least one entry)."""
-    info = (image_info.filter((F.col("http_status") == 200) & (F.size("imageinfo") > 0))
+                    limit: int | None) -> DataFrame:
+    """(id, name, titles) -> scored rows for the first ``limit`` titles (None:
+    all) that resolve to image info (a 200 response with at least one entry)."""
+    info = (one_response(image_info.select("title", "http_status", "imageinfo"), ["title"])
+            .filter((F.col("http_status") == 200) & (F.size("imageinfo") > 0))
             .select(F.col("title").alias("_title"), F.get(F.col("imageinfo"), 0).alias("_i")))
-    t = titled.select(id_col, name_col, F.posexplode(F.slice("titles", 1, limit)).alias("_pos", "_title"))
+    t = titled.select(id_col, name_col, F.posexplode("titles" if limit is None else F.slice("titles", 1, limit)).alias("_pos", "_title"))
     r = t.join(info, "_title")
     sc = score_media(F.col("_i.url"), F.col("_i.width"), F.col("_i.height"),
                      F.col("_i.extmetadata.ImageDescription.value"), F.col("_i.extmetadata.Categories.value"),
@@ -143,19 +145,36 @@ def _resolve_titles(titled: DataFrame, id_col: str, name_col: str, image_info: D
     return r.select(id_col, "_pos", F.col("_i.url").alias("_url"), sc.alias("_score"))
 
 
+def _ranked_with_count(scored: DataFrame, id_col: str, n: int) -> DataFrame:
+    """Resolved images per entity and its ``n`` best (M4), in one pass over the
+    scored rows: images without a URL are one group of their own, so that they
+    are counted, but it sorts last and is not listed."""
+    blank = F.coalesce(F.col("_url"), F.lit("")) == ""
+    first = (scored.select(id_col, F.substring_index(F.col("_url"), "?", 1).alias("_u"), blank.alias("_blank"),
+                           F.struct((-F.col("_score")).alias("ns"), F.col("_pos").alias("p")).alias("_o"))
+             .groupBy(id_col, "_u", "_blank").agg(F.min("_o").alias("_o"), F.count(F.lit(1)).alias("_c")))
+    w = Window.partitionBy(id_col)
+    ranked = (first.withColumn("_n", F.sum("_c").over(w)).withColumn("_k", F.row_number().over(w.orderBy("_blank", "_o")))
+              .filter(F.col("_k") <= n))
+    listed = F.when(~F.col("_blank"), F.struct("_k", "_u"))
+    return (ranked.groupBy(id_col).agg(F.max("_n").alias("_n_resolved"), F.array_sort(F.collect_list(listed)).alias("_l"))
+            .select(id_col, "_n_resolved", F.transform("_l", lambda x: x["_u"]).alias("wiki_images")))
+
+
 def page_media(entities: DataFrame, id_col: str, name_col: str, page_images: DataFrame,
-               searches: DataFrame, image_info: DataFrame, limit: int = PAGE_IMAGE_LIMIT,
+               searches: DataFrame, image_info: DataFrame, limit: int | None = PAGE_IMAGE_LIMIT,
                n: int = PAGE_TOP_N) -> DataFrame:
     """Images listed on the entity's page (else on the top search hit's
-    page), resolved, scored, ranked; adds ``wiki_images`` and ``wiki_status``
+    page; of a page the first ``limit``, the service rule of the source, None:
+    all), resolved, scored, ranked; adds ``wiki_images`` and ``wiki_status``
     (success / no_titles / no_images / exception).
 
     page_images: (title, http_status, images array<struct<title>>);
     searches: (srsearch, http_status, results array<struct<title>>);
     image_info: (title, http_status, imageinfo array<struct<url, width, height,
     extmetadata struct<ImageDescription struct<value>, Categories struct<value>>>>)."""
-    pages = page_images.select(F.col("title").alias("_pt"), F.col("http_status").alias("_ps"),
-                               F.transform("images", lambda i: i["title"]).alias("_pl"))
+    pages = one_response(page_images.select(F.col("title").alias("_pt"), F.col("http_status").alias("_ps"),
+                                            F.transform("images", lambda i: i["title"]).alias("_pl")), ["_pt"], "_ps")
 
     def listed(df, title_col, prefix):
         j = df.join(pages, F.col(title_col) == F.col("_pt"), "left")
@@ -168,8 +187,8 @@ def page_media(entities: DataFrame, id_col: str, name_col: str, page_images: Dat
     # entities without titles of their own: one lookup of their search
     # response gives both the fallback page and a transport failure
     need = own.filter((F.size("own_titles") == 0) & ~F.col("own_fail")).select(id_col, name_col)
-    srch = searches.select(F.col("srsearch").alias("_sq"), F.col("http_status").alias("_ss"),
-                           F.get(F.col("results"), 0)["title"].alias("_top"))
+    srch = one_response(searches.select(F.col("srsearch").alias("_sq"), F.col("http_status").alias("_ss"),
+                                        F.get(F.col("results"), 0)["title"].alias("_top")), ["_sq"], "_ss")
     alt = (need.join(srch, F.col(name_col) == F.col("_sq"), "left")
            .select(id_col,
                    F.when((F.col("_ss") == 200) & F.col("_top").isNotNull(), page_title("_top")).alias("_alt"),
@@ -181,16 +200,7 @@ def page_media(entities: DataFrame, id_col: str, name_col: str, page_images: Dat
               .withColumn("_exception", F.col("own_fail") | F.coalesce("alt_fail", F.lit(False))
                           | F.coalesce("search_fail", F.lit(False))))
     scored = _resolve_titles(titled.filter(~F.col("_exception")), id_col, name_col, image_info, limit)
-    ranked = rank_media(scored, id_col, "_url", "_score", "_pos", n)
-    # resolved count and ranked list in one aggregate per entity
-    per = (scored.select(id_col, F.lit(1).alias("_one"), F.lit(None).cast("int").alias("rank"),
-                         F.lit(None).cast("string").alias("url"))
-           .unionByName(ranked.select(id_col, F.lit(0).alias("_one"), "rank", "url"))
-           .groupBy(id_col)
-           .agg(F.sum("_one").alias("_n_resolved"),
-                F.array_sort(F.collect_list(F.when(F.col("rank").isNotNull(), F.struct("rank", "url"))))
-                .alias("_l"))
-           .select(id_col, "_n_resolved", F.transform("_l", lambda x: x["url"]).alias("wiki_images")))
+    per = _ranked_with_count(scored, id_col, n)
     out = titled.join(per, id_col, "left")
     status = (F.when(F.col("_exception"), F.lit("exception"))
               .when(F.size("titles") == 0, F.lit("no_titles"))
@@ -203,10 +213,11 @@ def page_media(entities: DataFrame, id_col: str, name_col: str, page_images: Dat
 
 
 def search_media(entities: DataFrame, id_col: str, name_col: str, file_searches: DataFrame,
-                 image_info: DataFrame, limit: int = SEARCH_TITLE_LIMIT, n: int = SEARCH_TOP_N) -> DataFrame:
-    """Titles from a file-namespace search of the name (first ``limit``),
-    resolved, scored, top ``n``; adds ``wiki_images`` and ``wiki_status``."""
-    s = (file_searches.filter(F.col("http_status") == 200)
+                 image_info: DataFrame, limit: int | None = SEARCH_TITLE_LIMIT, n: int = SEARCH_TOP_N) -> DataFrame:
+    """Titles from a file-namespace search of the name (the first ``limit``,
+    the service rule of the source; None: all), resolved, scored, top ``n``; adds ``wiki_images`` and ``wiki_status``."""
+    s = (one_response(file_searches.select("srsearch", "http_status", "results"), ["srsearch"])
+         .filter(F.col("http_status") == 200)
          .select(F.col("srsearch").alias("_sq"), F.transform("results", lambda r: r["title"]).alias("titles")))
     titled = entities.join(s, F.col(name_col) == F.col("_sq"), "left") \
         .withColumn("titles", F.coalesce("titles", F.array().cast("array<string>")))
@@ -237,8 +248,8 @@ def expand_media(rows: DataFrame, observations: DataFrame, images: str, ext_id:
     new = F.filter(F.transform(F.flatten(F.transform(F.col("_res"), lambda r: F.coalesce(r["photos"], F.array()))),
                                lambda p: normalize_media_url(p["url"], drop_query=False)),
                    lambda u: F.coalesce(u != "", F.lit(False)))
-    obs = observations.filter(F.col("http_status") == 200).select(
-        F.col("taxon_id").alias("_tid"), F.col("results").alias("_res"))
+    obs = (one_response(observations.select("taxon_id", "http_status", "results"), ["taxon_id"])
+           .filter(F.col("http_status") == 200).select(F.col("taxon_id").alias("_tid"), F.col("results").alias("_res")))
     eligible = ((F.size(F.coalesce(F.col(images), F.array())) < max_images) & F.col(ext_id).isNotNull()
                 & (F.col(ext_id) != 0))
     j = rows.join(obs, F.col(ext_id) == F.col("_tid"), "left")

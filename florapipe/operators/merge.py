@@ -11,22 +11,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from florapipe.functions.expr import col, first_of, ustrip
+from florapipe.operators.numbering import number_in_groups
 
 
 def _ordered_distinct_items(df: DataFrame, key: str, pos: str, list_cols: Sequence[str]) -> DataFrame:
     """(key, lists...) rows -> one row per key holding, for every list column,
     the concatenation of its lists in ``pos`` order with each item's first
-    occurrence kept.  All list columns share one explode, one partial
+    occurrence kept.  One explode of the tagged items of all lists, one partial
     aggregate on (key, list, item) and one collect per key."""
-    items = None
-    for j, lc in enumerate(list_cols):
-        part = (df.select(key, pos, F.lit(j).alias("_lc"), F.posexplode(lc).alias("_i", "_u"))
-                .filter(F.col("_u").isNotNull()))
-        items = part if items is None else items.unionByName(part)
+    tagged = F.concat(*[_tagged(df, lc, j) for j, lc in enumerate(list_cols)])
+    items = (df.select(key, pos, F.explode(tagged).alias("_x")).filter(F.col("_x.u").isNotNull())
+             .select(key, pos, F.col("_x.l").alias("_lc"), F.col("_x.i").alias("_i"), F.col("_x.u").alias("_u")))
     first = items.groupBy(key, "_lc", "_u").agg(F.min(F.struct(F.col(pos), F.col("_i"))).alias("_f"))
     aggs = [F.array_sort(F.collect_list(F.when(F.col("_lc") == j, F.struct(F.col("_f"), F.col("_u")))))
             .alias(f"_l{j}") for j in range(len(list_cols))]
@@ -34,9 +33,15 @@ def _ordered_distinct_items(df: DataFrame, key: str, pos: str, list_cols: Sequen
             .select(key, *[F.transform(f"_l{j}", lambda x: x["_u"]).alias(lc) for j, lc in enumerate(list_cols)]))
 
 
+def _tagged(df: DataFrame, list_col: str, number: int):
+    """The items of a list with the list's number and their place in it."""
+    items = F.coalesce(F.col(list_col), F.array().cast(df.schema[list_col].dataType))
+    return F.transform(items, lambda u, i: F.struct(u.alias("u"), F.lit(number).alias("l"), i.alias("i")))
+
+
 def merge_entities(df: DataFrame, key: str, pos: str, name_col: str | None = None,
                    text_col: str | None = None, list_cols: Sequence[str] = (),
-                   names_out: str = "common_names") -> DataFrame:
+                   names_out: str = "common_names", first_present: Sequence[str] = ()) -> DataFrame:
     """A1: one row per non-NULL ``key``.
 
     * every other column comes from the first row (lowest ``pos``);
@@ -44,24 +49,30 @@ def merge_entities(df: DataFrame, key: str, pos: str, name_col: str | None = Non
     * ``text_col`` = longest non-blank value, the first one on ties, unstripped
       (NULL when there is none);
     * each of ``list_cols`` = its lists concatenated in row order, first
-      occurrence kept.
+      occurrence kept;
+    * each of ``first_present`` = its first non-NULL value.
+
+    Texts and lists stay out of the aggregate that carries the first row.
     """
     base = df.filter(F.col(key).isNotNull())
     others = [c for c in df.columns if c != key]
-    aggs = [F.min_by(F.struct(*[F.col(c) for c in others]), F.col(pos)).alias("_first")]
+    carried = [c for c in others if c != text_col and c not in list_cols and c not in first_present]
+    aggs = [F.min_by(F.struct(*[F.col(c) for c in carried]), F.col(pos)).alias("_first")]
     if name_col:
         n = ustrip(F.col(name_col))
         aggs.append(F.array_sort(F.collect_set(F.when(n != "", n))).alias(names_out))
     if text_col:
         t = F.col(text_col)
         ok = ustrip(t) != ""
-        aggs.append(F.max_by(F.when(ok, t), F.when(ok, F.struct(F.length(t), -F.col(pos))))
-                    .alias("_text"))
+        aggs.append(F.min_by(F.when(ok, t), F.when(ok, F.struct(-F.length(t), F.col(pos)))).alias("_text"))
+    aggs += [F.min_by(c, F.when(F.col(c).isNotNull(), F.col(pos))).alias(f"_p_{c}") for c in first_present]
     merged = base.groupBy(key).agg(*aggs)
     out = [F.col(key)]
     for c in others:
         if c == text_col:
             out.append(F.col("_text").alias(c))
+        elif c in first_present:
+            out.append(F.col(f"_p_{c}").alias(c))
         elif c not in list_cols:
             out.append(F.col("_first")[c].alias(c))
     if name_col:
@@ -77,14 +88,18 @@ def merge_entities(df: DataFrame, key: str, pos: str, name_col: str | None = Non
 
 def longest_text(df: DataFrame, keys: Sequence[str], text_col: str, pos: str) -> DataFrame:
     """A1's description rule on its own: per group the longest non-blank text
-    (first by ``pos`` on ties) with its position.  One partial aggregate."""
+    (first by ``pos`` on ties) with its position.
+
+    The aggregate carries lengths and positions; the texts of the winners
+    alone are fetched by a join on position (unique in its group)."""
     t = F.col(text_col)
-    ok = ustrip(t) != ""
-    best = F.max_by(F.when(ok, F.struct(F.col(pos).alias(pos), t.alias(text_col))),
-                    F.when(ok, F.struct(F.length(t), -F.col(pos))))
-    return (df.groupBy(*keys).agg(best.alias("_b"))
-            .filter(F.col("_b").isNotNull())
-            .select(*keys, "_b.*"))
+    kept = df.filter(ustrip(t) != "")
+    best = kept.groupBy(*keys).agg(F.min(F.struct((-F.length(t)).alias("n"), F.col(pos).alias("p"))).alias("_b"))
+    best = best.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b.p").alias("_p"))
+    same = F.col(pos) == F.col("_p")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return kept.select(*keys, pos, text_col).join(best, same).select(*keys, pos, text_col)
 
 
 def explode_media(df: DataFrame, id_col: str, primary: str, secondary: str,
@@ -107,33 +122,25 @@ def explode_media(df: DataFrame, id_col: str, primary: str, secondary: str,
 
 def explode_media_rows(rows: DataFrame, id_col: str, url_col: str, source_col: str,
                        order_cols: Sequence[str], primary_label: str = "inat",
-                       source_order: Sequence[str] = ("inat", "wiki"), packed_bits: int | None = None) -> DataFrame:
+                       source_order: Sequence[str] = ("inat", "wiki")) -> DataFrame:
     """J10 on long rows (one row per listed image with its list and position).
 
     Same result as :func:`explode_media`, but the per-entity lists never have
     to be materialised: each (id, url) is reduced to its first occurrence by a
-    partial aggregate, and only the distinct images of an entity are numbered.
+    partial aggregate, and the distinct images of an entity are numbered by
+    global position, so an entity with very many is no single task's.
     """
     rank = F.array_position(F.array(*[F.lit(s) for s in source_order]), F.col(source_col))
-    if packed_bits:
-        # (list, position) packed into one bigint: a hash aggregate instead of
-        # a sort aggregate over a struct key.  Positions must be < 2**packed_bits.
-        (pos,) = order_cols
-        key = rank * F.lit(1 << packed_bits) + F.col(pos).cast("bigint")
-        first = (rows.select(id_col, url_col, key.alias("_k"))
-                 .groupBy(id_col, url_col).agg(F.min("_k").alias("_k")))
-        src = F.element_at(F.array(*[F.lit(s) for s in source_order]),
-                           F.shiftright(F.col("_k"), packed_bits).cast("int"))
-    else:
-        first = (rows.select(id_col, url_col, F.struct(rank.alias("r"), *[F.col(c) for c in order_cols]).alias("_k"))
-                 .groupBy(id_col, url_col).agg(F.min("_k").alias("_k")))
-        src = F.element_at(F.array(*[F.lit(s) for s in source_order]), F.col("_k.r").cast("int"))
-    w = Window.partitionBy(id_col).orderBy("_k")
-    numbered = first.withColumn("image_order", (F.row_number().over(w) - 1).cast("int")).withColumn("_s", src)
+    order = ["_r", *[f"_o{i}" for i in range(len(order_cols))]]
+    key = F.struct(rank.alias("_r"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)])
+    first = (rows.select(id_col, url_col, key.alias("_k")).groupBy(id_col, url_col).agg(F.min("_k").alias("_k"))
+             .select(id_col, url_col, "_k.*"))
+    numbered = number_in_groups(first, [id_col], order, "_n")
+    source = F.element_at(F.array(*[F.lit(s) for s in source_order]), F.col("_r").cast("int"))
     return numbered.select(
-        id_col, F.col(url_col).alias("image_url"), F.col("_s").alias("source"),
-        ((F.col("image_order") == 0) & (F.col("_s") == primary_label)).alias("is_primary"),
-        "image_order")
+        id_col, F.col(url_col).alias("image_url"), source.alias("source"),
+        ((F.col("_n") == 0) & (source == primary_label)).alias("is_primary"),
+        F.col("_n").cast("int").alias("image_order"))
 
 
 def pick_primary(df: DataFrame, primary: str, secondary: str, out: str = "primary_image_url") -> DataFrame:

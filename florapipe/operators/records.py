@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from florapipe.functions.expr import (NOT_FOUND_TEXT, clean_common_name, clean_text, common_name_fallback,
-                                      extract_binomial, first_of, is_valid_species_name, lower_source,
+                                      extract_binomial, extraction_time, first_of, is_valid_species_name, lower_source,
                                       normalize_query_name, parse_json_list, species_epithet, tolerant_bigint,
                                       truthy)
 
@@ -19,16 +19,10 @@ def standardize_names(df: DataFrame, name_col: str) -> DataFrame:
     """``binomial`` (F1), ``query_name`` (F2), ``is_valid`` (F3) and
     ``reject_reason`` (``invalid_name`` for rows a load would skip).
 
-    The expressions run once per *distinct* name (a partial-aggregate
-    distinct), and the result is joined back on the name."""
-    names = df.select(F.col(name_col).alias("_name")).filter(F.col("_name").isNotNull()).distinct()
-    std = names.select("_name", extract_binomial("_name").alias("binomial"),
-                       normalize_query_name("_name").alias("query_name"),
-                       is_valid_species_name("_name").alias("is_valid"))
-    out = df.join(std, F.col(name_col).eqNullSafe(F.col("_name")), "left").drop("_name")
-    valid = F.coalesce(F.col("is_valid"), F.lit(False))
-    return (out.withColumn("is_valid", valid)
-            .withColumn("reject_reason", F.when(~valid, F.lit("invalid_name"))))
+    A projection: nothing moves, and no name is hot."""
+    valid = F.coalesce(is_valid_species_name(name_col), F.lit(False))
+    return df.select("*", extract_binomial(name_col).alias("binomial"), normalize_query_name(name_col).alias("query_name"),
+                     valid.alias("is_valid"), F.when(~valid, F.lit("invalid_name")).alias("reject_reason"))
 
 
 def clean_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -67,6 +61,19 @@ class Field:
     transform: Callable[[Column], Column] | None = None
 
 
+JSON_TYPES = {"string": ["STRING"], "boolean": ["BOOLEAN"], "tinyint": ["BIGINT"], "smallint": ["BIGINT"],
+              "int": ["BIGINT"], "bigint": ["BIGINT"], "float": ["BIGINT", "DOUBLE", "DECIMAL"],
+              "double": ["BIGINT", "DOUBLE", "DECIMAL"]}
+
+
+def _typed_field(doc: Column, name: str, dtype: str) -> Column:
+    """A field of a variant if its own type fits ``dtype``, else NULL."""
+    path = f"$['{name}']"
+    wanted = JSON_TYPES.get(dtype.lower(), ["ARRAY" if dtype.lower().startswith("array") else "OBJECT"])
+    kind = F.regexp_extract(F.schema_of_variant(F.try_variant_get(doc, path, "variant")), "^[A-Z]+", 0)
+    return F.when(kind.isin(wanted), F.try_variant_get(doc, path, dtype))
+
+
 def enforce_schema(df: DataFrame, spec: Sequence[Field], json_col: str | None = None,
                    keep: Sequence[str] = ()) -> DataFrame:
     """Exactly the fields of ``spec``: a missing field or a value of the
@@ -74,13 +81,13 @@ def enforce_schema(df: DataFrame, spec: Sequence[Field], json_col: str | None =
     a failed ``try_*`` -- takes the default), a required NULL takes the
     default; unknown columns are dropped.
 
-    With ``json_col`` the fields are parsed from that JSON text (PERMISSIVE:
-    a malformed document or a wrongly typed value is NULL).  ``keep`` columns
+    With ``json_col`` the fields come from that JSON text, parsed once: a
+    malformed document or a value of another JSON type (a number in a text
+    field, say) is NULL and leaves the other fields alone.  ``keep`` columns
     pass through unchanged (row identity)."""
     if json_col:
-        # one parse per field: a wrongly typed field must not blank the others
-        src = df
-        get = {f.name: F.from_json(F.col(json_col), f"`{f.name}` {f.dtype}")[f.name] for f in spec}
+        src = df.withColumn("_doc", F.try_parse_json(json_col))
+        get = {f.name: _typed_field(F.col("_doc"), f.name, f.dtype) for f in spec}
     else:
         src = df
         get = {f.name: F.col(f.name).try_cast(f.dtype) for f in spec if f.name in df.columns}
@@ -110,7 +117,8 @@ def to_species_rows(df: DataFrame, name_col: str = "scientific_name") -> DataFra
                     .alias("common_names"),
                     opt("family", clean_text("family")).alias("family"),
                     opt("wikipedia_description", clean_text("wikipedia_description")).alias("description"),
-                    first_of("inat_research_images", "wiki_images").alias("primary_image_url"),
+                    (F.col("primary_image_url") if "primary_image_url" in c
+                     else first_of("inat_research_images", "wiki_images")).alias("primary_image_url"),
                     opt("order", clean_text("order")).alias("order_name"),
                     opt("genus", clean_text("genus")).alias("genus"),
                     opt("species", clean_text("species")).alias("species"),
@@ -148,7 +156,8 @@ def is_complete(df: DataFrame, image_cols: Sequence[str] = ("inat_research_image
     return df.withColumn(out, has_img | desc | cn)
 
 
-def assemble_records(taxa: DataFrame, key: str, enrichments: Mapping[str, DataFrame]) -> DataFrame:
+def assemble_records(taxa: DataFrame, key: str, enrichments: Mapping[str, DataFrame],
+                     keep: Sequence[str] = ()) -> DataFrame:
     """One species record per taxon row -- the enrichment tables (each at
     most one row per ``key``: "obs", "text", "media") left-joined on the key,
     with the source's defaults.
@@ -157,7 +166,8 @@ def assemble_records(taxa: DataFrame, key: str, enrichments: Mapping[str, DataFr
     vernacular; obs: inat_id, observation_count, common_name, research_images,
     needs_id_images, inat_status; text: description, description_source;
     media: wiki_images.  All joins are on ``key``, so the taxa side is
-    exchanged once and the enrichments (already aggregated by key) line up."""
+    exchanged once and the enrichments (already aggregated by key) line up.
+    ``keep``: more columns of ``taxa`` to carry (its row position)."""
     out = taxa
     for name in ("obs", "text", "media"):
         if name in enrichments:
@@ -185,7 +195,7 @@ def assemble_records(taxa: DataFrame, key: str, enrichments: Mapping[str, DataFr
         get("observation_count", F.lit(None).cast("bigint")).alias("observation_count"),
         get("description", F.lit(NOT_FOUND_TEXT)).alias("wikipedia_description"),
         get("description_source", F.lit("none")).alias("description_source"),
-        F.current_timestamp().alias("extraction_timestamp"),
+        extraction_time().alias("extraction_timestamp"),
         research.alias("inat_research_images"),
         get("needs_id_images", empty).alias("inat_needs_id_images"),
-        wiki.alias("wiki_images"))
+        wiki.alias("wiki_images"), *keep)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from florapipe.functions.expr import col, first_nonblank, genus_token, photo_url, ustrip
+from florapipe.operators.responses import one_response
 
 ACCEPTED = "ACCEPTED"
 
@@ -28,8 +29,8 @@ def resolve_accepted_name(names: DataFrame, matches: DataFrame, name_col: str,
     canonicalName; else a synonym with an accepted usage gives that usage's
     canonicalName; else canonicalName.  Non-200 or no response gives NULL,
     and a NULL or empty answer keeps the input name."""
-    m = matches.select(F.col(match_name).alias("_mn"), "http_status", "usageKey", "status", "synonym",
-                       "canonicalName", "acceptedUsage")
+    m = one_response(matches.select(F.col(match_name).alias("_mn"), "http_status", "usageKey", "status", "synonym",
+                                    "canonicalName", "acceptedUsage"), ["_mn"])
     ok = F.col("http_status") == 200
     answer = (F.when(~F.coalesce(ok, F.lit(False)), F.lit(None).cast("string"))
               .when(F.coalesce(F.col("usageKey") != 0, F.lit(False)) & (F.col("status") == ACCEPTED),
@@ -66,13 +67,19 @@ def best_match(entities: DataFrame, search: DataFrame, id_col: str, name_col: st
                q_col: str = "q", rules: Sequence[str] = ("name", "dash", "first_word")) -> DataFrame:
     """First candidate key whose response is a 200 with results wins;
     inside it, the first result whose name contains the entity name
-    (case-insensitive), else the first result.  Entities with no winning key
-    get status ``taxon_not_found``; NULL names ``invalid_name``.
+    (case-insensitive), else the first result.  A request that failed (a
+    response with NULL status) before that ends the lookup as ``timeout``.
+    Entities with no winning key get status ``taxon_not_found``; NULL names
+    ``invalid_name``.
 
     Adds columns ``q_used``, ``taxon`` (the chosen result struct), ``inat_status``."""
     cands = (entities.select(id_col, name_col, F.posexplode(candidate_keys(name_col, rules)).alias("_prio", q_col))
              .filter(F.col(q_col).isNotNull()))
-    ok = search.filter((F.col("http_status") == 200) & (F.size("results") > 0)).select(q_col, "results")
+    # an answer that settles the lookup: a page with results, or a failed request
+    found = (F.col("http_status") == 200) & (F.size("results") > 0)
+    ok = (one_response(search.select(q_col, "http_status", "results"), [q_col])
+          .filter(F.col("http_status").isNull() | found)
+          .select(q_col, F.when(found, F.col("results")).alias("results")))
     lname = F.lower(F.col(name_col))
     hit = F.get(F.filter("results", lambda r: F.coalesce(F.contains(F.lower(r["name"]), lname), F.lit(False))), 0)
     picked = (cands.join(ok, q_col)
@@ -82,9 +89,11 @@ def best_match(entities: DataFrame, search: DataFrame, id_col: str, name_col: st
                    .alias("_m")))
     out = entities.join(picked, id_col, "left")
     status = (F.when(F.col(name_col).isNull(), F.lit("invalid_name"))
-              .when(F.col("_m").isNull(), F.lit("taxon_not_found")).otherwise(F.lit("success")))
-    return out.select(*entities.columns, F.col("_m.q_used").alias("q_used"), F.col("_m.taxon").alias("taxon"),
-                      status.alias("inat_status"))
+              .when(F.col("_m").isNull(), F.lit("taxon_not_found"))
+              .when(F.col("_m.taxon").isNull(), F.lit("timeout")).otherwise(F.lit("success")))
+    return out.select(*entities.columns,
+                      F.when(F.col("_m.taxon").isNotNull(), F.col("_m.q_used")).alias("q_used"),
+                      F.col("_m.taxon").alias("taxon"), status.alias("inat_status"))
 
 
 def top_taxon(entities: DataFrame, search: DataFrame, id_col: str, name_col: str, q_col: str = "q",
@@ -94,7 +103,8 @@ def top_taxon(entities: DataFrame, search: DataFrame, id_col: str, name_col: str
     defaults "" / 0 / [] when nothing is found."""
     cands = entities.select(id_col, F.posexplode(F.array(F.col(name_col), genus_token(name_col)))
                             .alias("_prio", q_col)).filter(F.col(q_col).isNotNull())
-    ok = search.filter((F.col("http_status") == 200) & (F.size("results") > 0)).select(q_col, "results")
+    ok = (one_response(search.select(q_col, "http_status", "results"), [q_col])
+          .filter((F.col("http_status") == 200) & (F.size("results") > 0)).select(q_col, "results"))
     # the response's most observed result (first on ties)
     best_i = F.array_max(F.transform("results", lambda r, i: F.struct(
         F.coalesce(r["observations_count"], F.lit(-1)).alias("o"), (-i).alias("ni"))))["ni"]

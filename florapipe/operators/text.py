@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from florapipe.functions.expr import (NOT_FOUND_TEXT, col, extract_binomial, first_tokens, genus_token,
                                       page_title, ustrip)
+from florapipe.operators.responses import one_response
 
 MIN_TEXT_LEN = 50   # a summary counts only when longer than this (fixed value)
 
@@ -47,7 +48,7 @@ def text_fallback(entities: DataFrame, id_col: str, name_col: str, summaries: Da
                                                            ("genus", "genus")),
                   min_len: int = MIN_TEXT_LEN, strip: bool = False,
                   not_found: tuple[str, str] = (NOT_FOUND_TEXT, "none"),
-                  transport_failure_ends_candidate: bool = True) -> DataFrame:
+                  transport_failure_ends_candidate: bool = True, final_min_len: int | None = None) -> DataFrame:
     """Adds ``description`` and ``description_source``.
 
     ``candidates`` = (rule, source label) in priority order; rules: binomial
@@ -57,7 +58,8 @@ def text_fallback(entities: DataFrame, id_col: str, name_col: str, summaries: Da
     text is longer than ``min_len``), then -- when ``searches`` is given --
     the summary of the top search hit.  A failed request (NULL status) on the
     summary page ends that candidate.  A ``cache`` hit (name, description,
-    source) wins over everything.
+    source) wins over everything.  ``final_min_len`` is the caller's own
+    check: a final text, also a cached one, that is not longer is not found.
 
     summaries: (title, http_status, extract); searches: (srsearch,
     http_status, results array<struct<title>>); cache: (name, description, source).
@@ -74,12 +76,14 @@ def text_fallback(entities: DataFrame, id_col: str, name_col: str, summaries: Da
     # the (large) texts are fetched once, for the winning title per entity
     acceptable = F.coalesce((F.col("http_status") == 200) & _accept(F.col("extract"), min_len, strip).isNotNull(),
                             F.lit(False))
-    meta = summaries.select(F.col("title").alias("_t"), F.col("http_status").alias("_st"), acceptable.alias("_ok"))
+    meta = one_response(summaries.select(F.col("title").alias("_t"), F.col("http_status").alias("_st"),
+                                         acceptable.alias("_ok"), F.xxhash64("extract").alias("_h")), ["_t"], "_st")
     s1 = (keys.join(meta, page_title("_q") == F.col("_t"), "left")
           .select("_q", F.when(F.col("_ok"), F.col("_t")).alias("_title1"),
                   (F.col("_t").isNotNull() & F.col("_st").isNull()).alias("_fail1")))
     if searches is not None:
-        top = (searches.filter(F.col("http_status") == 200)
+        top = (one_response(searches.select("srsearch", "http_status", "results"), ["srsearch"])
+               .filter(F.col("http_status") == 200)
                .select(F.col("srsearch").alias("_q"), F.get(F.col("results"), 0)["title"].alias("_top"))
                .filter(F.col("_top").isNotNull()))
         s2 = (keys.join(top, "_q").join(meta.filter(F.col("_ok")), page_title("_top") == F.col("_t"))
@@ -100,8 +104,11 @@ def text_fallback(entities: DataFrame, id_col: str, name_col: str, summaries: Da
             .agg(F.min_by(F.struct(F.col("_hit.t").alias("title"),
                                    F.element_at(src, F.col("_prio") + 1).alias("source")),
                           F.struct("_prio", "_hit.s")).alias("_best")))
-    texts = summaries.select(F.col("title").alias("_wt"),
-                             (ustrip(F.col("extract")) if strip else F.col("extract")).alias("_text"))
+    # the text of each winning title, of the response that was chosen for it
+    won = best.select(F.col("_best.title").alias("_wt")).distinct().join(meta.select(F.col("_t").alias("_wt"), "_h"), "_wt")
+    texts = (summaries.select(F.col("title").alias("_wt"), F.xxhash64("extract").alias("_h"), "extract")
+             .join(won, ["_wt", "_h"], "left_semi").groupBy("_wt").agg(F.first("extract").alias("_e"))
+             .select("_wt", (ustrip(F.col("_e")) if strip else F.col("_e")).alias("_text")))
     best = (best.join(texts, F.col("_best.title") == F.col("_wt"), "left")
             .select(id_col, F.struct(F.col("_text").alias("text"), F.col("_best.source").alias("source"))
                     .alias("_best")))
@@ -109,12 +116,15 @@ def text_fallback(entities: DataFrame, id_col: str, name_col: str, summaries: Da
     desc = F.col("_best.text")
     source = F.col("_best.source")
     if cache is not None:
-        c = cache.select(F.col("name").alias("_cn"), F.col("description").alias("_cd"),
-                         F.col("source").alias("_cs"))
+        c = one_response(cache.select(F.col("name").alias("_cn"), F.col("description").alias("_cd"),
+                                      F.col("source").alias("_cs")), ["_cn"], status=None)
         out = out.join(c, name == F.col("_cn"), "left")
         hit = F.col("_cd").isNotNull() & (F.col("_cd") != "")
         desc = F.when(hit, F.col("_cd")).otherwise(desc)
         source = F.when(hit, F.col("_cs")).otherwise(source)
+    if final_min_len is not None:
+        long = F.coalesce(F.length(desc) > final_min_len, F.lit(False))
+        source, desc = F.when(long, source), F.when(long, desc)
     return out.select(*entities.columns,
                       F.coalesce(desc, F.lit(not_found[0])).alias("description"),
                       F.coalesce(source, F.lit(not_found[1])).alias("description_source"))

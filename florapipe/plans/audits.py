@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from florapipe.operators import audit
 from florapipe.plans.registry import query
-from florapipe.sources.tables import small_dimension, table
+from florapipe.sources.tables import table
 
 
 def _r(c, n=6):
@@ -103,9 +103,9 @@ def _cnr(spark, d):
     nation = table(spark, d, "nation")
     region = table(spark, d, "region")
     # nation and region are fixed-size dimensions (25 and 5 rows by definition)
-    dim = nation.join(small_dimension(region), nation.n_regionkey == region.r_regionkey)
+    dim = nation.join(region, nation.n_regionkey == region.r_regionkey)
     return (table(spark, d, "customer")
-            .join(small_dimension(dim), F.col("c_nationkey") == F.col("n_nationkey")))
+            .join(dim, F.col("c_nationkey") == F.col("n_nationkey")))
 
 
 @query("distinct_counts", CNR_SQL + """
@@ -145,20 +145,25 @@ def q_describe(spark, d):
     return out.select("count", _r("mean"), _r("std"), "min", _r("p25"), _r("p50"), _r("p75"), "max")
 
 
+# ---- A13: line items loaded in chunks of 1,000 order keys; the loaded key is
+# the part, which comes back in later chunks; the line number is its images.
 @query("load_metrics", """
-WITH per AS (
-  SELECT CAST(floor(l_orderkey / 1000) AS BIGINT) AS chunk, count(*) AS rows_in,
-         count(DISTINCT l_orderkey) AS unique_keys
-  FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY 1)
+WITH l AS (SELECT CAST(floor(l_orderkey / 1000) AS BIGINT) AS chunk, l_partkey, l_linenumber FROM lineitem
+           WHERE l_partkey IS NOT NULL),
+firsts AS (SELECT chunk, count(*) AS k FROM (SELECT l_partkey, min(chunk) AS chunk FROM l GROUP BY 1) GROUP BY 1),
+per AS (SELECT chunk, count(*) AS rows_in, coalesce(any_value(k), 0) AS unique_keys, sum(l_linenumber) AS images_in
+        FROM l LEFT JOIN firsts USING (chunk) GROUP BY chunk)
 SELECT chunk, rows_in, unique_keys,
        CAST(sum(rows_in) OVER (ORDER BY chunk) AS BIGINT) AS rows_loaded,
        CAST(sum(unique_keys) OVER (ORDER BY chunk) AS BIGINT) AS keys_loaded,
+       CAST(sum(images_in) OVER (ORDER BY chunk) AS BIGINT) AS images_loaded,
        round(sum(rows_in) OVER (ORDER BY chunk) * 100.0 / sum(rows_in) OVER (), 6) AS progress_pct
 FROM per
 """)
 def q_load_metrics(spark, d):
-    out = audit.load_metrics(table(spark, d, "lineitem"), "l_orderkey", chunk_rows=1000)
-    return out.select("chunk", "rows_in", "unique_keys", "rows_loaded", "keys_loaded", _r("progress_pct"))
+    rows = table(spark, d, "lineitem").select("l_partkey", F.floor(F.col("l_orderkey") / 1000).alias("c"), "l_linenumber")
+    out = audit.load_metrics(rows, "l_partkey", chunk_col="c", images_col="l_linenumber")
+    return out.select("chunk", "rows_in", "unique_keys", "rows_loaded", "keys_loaded", "images_loaded", _r("progress_pct"))
 
 
 @query("extraction_counts", """

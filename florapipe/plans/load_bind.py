@@ -11,7 +11,7 @@ from florapipe.plans.registry import query
 from florapipe.session import scratch_path
 from florapipe.sources import store
 from florapipe.sources.species_csv import read_species_csv, to_csv_record
-from florapipe.sources.tables import DRIVER_TABLES, small_dimension, table
+from florapipe.sources.tables import DRIVER_TABLES, table
 
 BINOMIAL_SQL = r"'^([A-Z][a-zA-Z-]+)\s+([a-z-]+)'"
 
@@ -300,7 +300,7 @@ def q_table_counts(spark, d):
 # description, orders with status F carrying one image.
 def assembled(spark, d):
     cust, nation = table(spark, d, "customer"), table(spark, d, "nation")
-    taxa = (cust.join(small_dimension(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left")  # 25 rows
+    taxa = (cust.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")  # 25 rows
             .select(F.col("c_custkey").alias("key"), F.col("n_name").alias("order"),
                     F.col("c_mktsegment").alias("family"), F.substring_index("c_name", "#", 1).alias("genus"),
                     F.col("c_name").alias("scientific_name"),

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from florapipe.functions.expr import normalize_media_url
 from florapipe.operators import media
+from florapipe.operators.responses import first_page
 from florapipe.plans.registry import query
 from florapipe.sources.tables import table
 
@@ -333,8 +333,8 @@ def q_clean_urls(spark, d):
 
 # ---- J11/P7: orders carry an image list by status (F none, O a duplicated
 # pair, P three); the customer is the external id; a customer's landed
-# observations are the part photos of its first ten order lines; customers
-# divisible by 17 answer 500.
+# observations are the part photos of its order lines, ten to a page of the
+# service; customers divisible by 17 answer 500.
 def _order_rows(spark, d):
     o = table(spark, d, "orders")
     k = F.col("o_orderkey")
@@ -345,18 +345,17 @@ def _order_rows(spark, d):
     return o.select("o_orderkey", F.col("o_custkey").alias("inat_id"), imgs.alias("images"))
 
 
-def _customer_observations(spark, d):
+def _customer_observations(spark, d, per_page=10):
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     lines = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-    w = Window.partitionBy("o_custkey").orderBy("l_orderkey", "l_linenumber", "l_partkey")
-    top = lines.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= 10)
     photo = F.struct(F.array(F.struct(F.concat(F.lit("img/square/"), F.col("l_partkey").cast("string")).alias("url")))
                      .alias("photos"))
-    return (top.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("_rn", photo.alias("r")))).alias("_l"))
-            .select(F.col("o_custkey").alias("taxon_id"),
-                    F.when(F.col("o_custkey") % 17 == 0, F.lit(500)).otherwise(F.lit(200)).alias("http_status"),
-                    F.transform("_l", lambda x: x["r"]).alias("results")))
+    answers = first_page(lines.withColumn("item", photo), "o_custkey", ["l_orderkey", "l_linenumber", "l_partkey"],
+                         per_page, "item")
+    return answers.select(F.col("o_custkey").alias("taxon_id"),
+                          F.when(F.col("o_custkey") % 17 == 0, F.lit(500)).otherwise(F.lit(200)).alias("http_status"),
+                          "results")
 
 
 ROWS_SQL = """

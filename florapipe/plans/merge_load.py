@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from florapipe.operators.merge import explode_media_rows, longest_text, merge_entities
+from florapipe.operators.merge import explode_media, explode_media_rows, longest_text, merge_entities, pick_primary
 from florapipe.plans.registry import query
 from florapipe.sources.tables import table
 
@@ -69,14 +69,13 @@ def merged_parts(spark, sf_dir):
 
 @query("merge_entities", MERGE_SQL)
 def q_merge_entities(spark, sf_dir):
-    m = merged_parts(spark, sf_dir)
+    m = pick_primary(merged_parts(spark, sf_dir), "inat_images", "wiki_images")
     return m.select(
         "p_name", "p_partkey", "p_brand", "p_type", "p_size", "p_retailprice",
         F.array_join("common_names", "|").alias("common_names"),
         F.array_join("inat_images", "|").alias("inat_images"),
         F.array_join("wiki_images", "|").alias("wiki_images"),
-        F.coalesce(F.try_element_at("inat_images", F.lit(1)),
-                   F.try_element_at("wiki_images", F.lit(1))).alias("primary_image_url"))
+        F.col("primary_image_url"))
 
 
 @query("longest_text", """
@@ -120,17 +119,29 @@ WHERE species_id IN (SELECT o_orderkey FROM orders)
 def q_explode_media(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("species_id"))
-    rows = (li.select(F.col("l_orderkey").alias("species_id"),
-                      F.concat(F.lit("img/"), F.col("l_partkey").cast("string")).alias("image_url"),
-                      F.lit("inat").alias("source"), F.col("l_linenumber").alias("ln"),
-                      F.col("l_partkey").alias("k"))
-            .unionByName(
-                li.select(F.col("l_orderkey").alias("species_id"),
-                          F.concat(F.lit("img/"), F.col("l_suppkey").cast("string")).alias("image_url"),
-                          F.lit("wiki").alias("source"), F.col("l_linenumber").alias("ln"),
-                          F.col("l_suppkey").alias("k"))))
+    listed = [F.struct(F.lit(s).alias("source"), F.col(c).alias("k")) for s, c in (("inat", "l_partkey"), ("wiki", "l_suppkey"))]
+    rows = li.select(F.col("l_orderkey").alias("species_id"), F.col("l_linenumber").alias("ln"), F.inline(F.array(*listed)))
+    rows = rows.withColumn("image_url", F.concat(F.lit("img/"), F.col("k").cast("string")))
     # only parents that exist get child rows (S9 lookup, inner semantics)
     rows = rows.join(orders, "species_id", "left_semi")
-    # line number (1..7 by definition) and key packed into one list position
-    rows = rows.withColumn("pos", F.col("ln").cast("bigint") * F.lit(1 << 48) + F.col("k"))
-    return explode_media_rows(rows, "species_id", "image_url", "source", ["pos"], packed_bits=56)
+    return explode_media_rows(rows, "species_id", "image_url", "source", ["ln", "k"])
+
+
+# J10's array form on the merged parts: the observation list, then the
+# reference images not yet listed.
+@query("explode_media_lists", MERGE_SQL.replace("SELECT f.p_name, f.p_partkey", "SELECT * FROM (SELECT f.p_name, f.p_partkey", 1)
+       .replace("WITH base AS", "WITH merged AS (WITH base AS", 1) + """)),
+imgs AS (
+  SELECT p_partkey, u, source, r, i FROM (
+    SELECT p_partkey, unnest(string_split(inat_images, '|')) AS u, 'inat' AS source, 1 AS r,
+           generate_subscripts(string_split(inat_images, '|'), 1) AS i FROM merged WHERE inat_images <> ''
+    UNION ALL
+    SELECT p_partkey, unnest(string_split(wiki_images, '|')), 'wiki', 2,
+           generate_subscripts(string_split(wiki_images, '|'), 1) FROM merged WHERE wiki_images <> '')),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY p_partkey, u ORDER BY r, i) AS k FROM imgs),
+numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY p_partkey ORDER BY r, i) - 1 AS INTEGER) AS image_order
+             FROM firsts WHERE k = 1)
+SELECT p_partkey, u AS image_url, source, (image_order = 0 AND source = 'inat') AS is_primary, image_order FROM numbered
+""")
+def q_explode_media_lists(spark, sf_dir):
+    return explode_media(merged_parts(spark, sf_dir), "p_partkey", "inat_images", "wiki_images")

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from florapipe.operators.attempts import first_acceptable
 from florapipe.operators.resolve import (best_match, first_result, preferred_label, resolve_accepted_name,
                                          top_taxon)
+from florapipe.operators.responses import first_page
 from florapipe.plans.registry import query
 from florapipe.sources.tables import table
 
 
 # ---- landed taxon-search responses derived from part: for every genus
 # (first word) and every full name whose length is not a multiple of 3, the
-# first five parts (by key) under that query; queries whose length is a
-# multiple of 7 answered 500.
-def landed_taxa_search(spark, d, capitalized: bool = False):
+# parts (by key) under that query, of which the service's page holds the first
+# five; queries whose length is a multiple of 7 answered 500.
+PER_PAGE = 5
+
+
+def landed_taxa_search(spark, d, capitalized: bool = False, per_page: int = PER_PAGE):
     part = table(spark, d, "part")
     if capitalized:   # names written as scientific names ("Small ring")
         part = part.withColumn("p_name", F.concat(F.upper(F.substring("p_name", 1, 1)),
@@ -36,15 +39,9 @@ def landed_taxa_search(spark, d, capitalized: bool = False):
                               F.concat(F.lit("sq/"), pk).alias("square_url")).alias("photo")))
         .alias("taxon_photos"))
 
-    def top5(q):
-        w = Window.partitionBy("q").orderBy("p_partkey")
-        return (part.withColumn("q", q).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= 5)
-                .groupBy("q").agg(F.array_sort(F.collect_list(F.struct("_rn", result.alias("r")))).alias("_l"))
-                .select("q", F.transform("_l", lambda x: x["r"]).alias("results")))
-
-    by_genus = top5(F.substring_index("p_name", " ", 1))
-    by_name = top5(F.col("p_name")).filter(F.length("q") % 3 != 0)
-    return (by_genus.unionByName(by_name)
+    by_genus = part.select(F.substring_index("p_name", " ", 1).alias("q"), "p_partkey", result.alias("item"))
+    by_name = part.filter(F.length("p_name") % 3 != 0).select(F.col("p_name").alias("q"), "p_partkey", result.alias("item"))
+    return (first_page(by_genus.unionByName(by_name), "q", ["p_partkey"], per_page, "item")
             .withColumn("http_status", F.when(F.length("q") % 7 == 0, F.lit(500)).otherwise(F.lit(200))))
 
 

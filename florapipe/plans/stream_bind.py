@@ -43,7 +43,7 @@ def q_stream_upsert(spark, d):
     path, ckpt = scratch_path(spark, "upsert_table"), scratch_path(spark, "upsert_ckpt")
     src = events_stream(spark, d).select("user_id", "event_id", "event_type", "value", "ts")
     jobs.stream_upsert(src, path, ["user_id"], F.struct("ts", "event_id"), ckpt)
-    return store.read_snapshot(spark, path).select("user_id", "event_id", "event_type", "value")
+    return store.read_table(spark, path).select("user_id", "event_id", "event_type", "value")
 
 
 @query("stream_progress", "SELECT event_type, count(*) AS n_processed FROM events GROUP BY event_type")

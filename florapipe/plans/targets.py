@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 from florapipe.operators import enumeration as en
 from florapipe.operators.probe import order_probe_report, probe_summary
 from florapipe.plans.registry import query
-from florapipe.sources.tables import small_dimension, table
+from florapipe.sources.tables import table
 
 
 # ---- S2: part listed as paged taxonomy responses, pages of <= 100 keys by
 # key range, one "order" per p_type.
 def landed_species_pages(spark, d):
     part = table(spark, d, "part")
-    return (part.withColumn("offset", (F.floor(F.col("p_partkey") / 100) * 100).cast("int"))
+    return (part.withColumn("offset", (F.floor(F.col("p_partkey") / 100) * 100).cast("bigint"))
             .groupBy(F.col("p_type").alias("order_name"), "offset")
             .agg(F.count(F.lit(1)).alias("count"),
                  F.array_sort(F.collect_list(F.struct(
@@ -26,7 +26,7 @@ def landed_species_pages(spark, d):
 
 
 @query("explode_pages", """
-SELECT p_type AS order_name, CAST(floor(p_partkey / 100) * 100 AS INTEGER) AS "offset",
+SELECT p_type AS order_name, CAST(floor(p_partkey / 100) * 100 AS BIGINT) AS "offset",
        CAST(row_number() OVER (PARTITION BY p_type, floor(p_partkey / 100) ORDER BY p_partkey) - 1 AS INTEGER)
          AS "index",
        p_partkey AS "key", p_name AS scientificName, p_brand AS family
@@ -43,7 +43,7 @@ def q_explode_pages(spark, d):
 WITH p AS (
   SELECT *, CASE l_returnflag WHEN 'R' THEN 500 WHEN 'A' THEN NULL ELSE 200 END AS st,
          CAST(l_quantity AS BIGINT) AS nr
-  FROM lineitem WHERE l_linenumber <= 200000),
+  FROM lineitem),
 stops AS (
   SELECT l_orderkey, min(l_linenumber) AS first_stop FROM p
   WHERE st IS NOT NULL AND (st <> 200 OR coalesce(nr, 0) = 0) GROUP BY l_orderkey)
@@ -80,8 +80,7 @@ def q_accepted_species(spark, d):
 @query("limit_per_group", """
 SELECT o_orderkey, o_orderpriority, rank_in_group FROM (
   SELECT o_orderkey, o_orderpriority,
-         CAST(row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS INTEGER)
-           AS rank_in_group
+         row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS rank_in_group
   FROM orders) WHERE rank_in_group <= 1000
 """)
 def q_limit_per_group(spark, d):
@@ -106,7 +105,7 @@ def q_select_targets(spark, d):
     picked = en.select_targets(_order_dim(spark, d), batch=1)
     cust = table(spark, d, "customer")
     # the picked dimension is a subset of the 25-row nation table
-    return (cust.join(small_dimension(picked.select(F.col("order_key").alias("c_nationkey"))), "c_nationkey",
+    return (cust.join(picked.select(F.col("order_key").alias("c_nationkey")), "c_nationkey",
                       "left_semi").select("c_custkey", "c_name", "c_nationkey"))
 
 
@@ -154,7 +153,7 @@ FROM (SELECT names.order_name, m.orderKey,
 """)
 def q_resolve_orders(spark, d):
     cust = table(spark, d, "customer").select(F.col("c_nationkey").alias("n_nationkey")).distinct()
-    names = (cust.join(small_dimension(table(spark, d, "nation")), "n_nationkey")
+    names = (cust.join(table(spark, d, "nation"), "n_nationkey")
              .select(F.col("n_name").alias("order_name")).distinct())
     return en.resolve_orders(names, _matches(spark, d))
 
@@ -175,8 +174,8 @@ WITH details AS (
 
 def _clade_details(spark, d):
     nation, region = table(spark, d, "nation"), table(spark, d, "region")
-    dim = nation.join(small_dimension(region), nation.n_regionkey == region.r_regionkey)  # 25 rows
-    c = table(spark, d, "customer").join(small_dimension(dim), F.col("c_nationkey") == F.col("n_nationkey"))
+    dim = nation.join(region, nation.n_regionkey == region.r_regionkey)  # 25 rows
+    c = table(spark, d, "customer").join(dim, F.col("c_nationkey") == F.col("n_nationkey"))
     seg = F.col("c_mktsegment")
     return c.select(
         "c_custkey", "c_nationkey", "c_name", "c_mktsegment",
@@ -238,19 +237,26 @@ clades AS (
               THEN (CASE n.n_nationkey % 3 WHEN 0 THEN 'Magnoliopsida' WHEN 1 THEN 'Liliopsida'
                     ELSE 'Pinopsida' END) IN ('Magnoliopsida', 'Liliopsida') END AS is_angiosperm
   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey),
-sp AS (SELECT c_nationkey AS order_key, c_custkey AS pos, c_name AS name, c_mktsegment AS family,
-              row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS rn FROM customer),
+ans AS (SELECT n_nationkey AS order_key, CASE n_nationkey % 8 WHEN 6 THEN NULL WHEN 7 THEN 503 ELSE 200 END AS st FROM nation),
+sp AS (SELECT c_nationkey AS order_key, c_custkey AS pos, c_name AS name,
+              CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE c_mktsegment END AS family,
+              row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS rn FROM customer
+       WHERE c_nationkey % 8 < 6),
+tx AS (SELECT c_name AS name, min(o_orderkey) AS inat_id FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1),
 counts AS (SELECT order_key, count(*) AS total_available FROM sp GROUP BY order_key),
-firsts AS (SELECT order_key, string_agg(name, '|' ORDER BY rn) AS sample_names,
-                  string_agg(family, '|' ORDER BY rn) AS sample_families
-           FROM sp WHERE rn <= 3 GROUP BY order_key),
+firsts AS (SELECT order_key, string_agg(coalesce(name, 'Unknown'), '|' ORDER BY rn) AS sample_names,
+                  string_agg(coalesce(family, 'Unknown'), '|' ORDER BY rn) AS sample_families,
+                  string_agg(coalesce(CAST(inat_id AS VARCHAR), ''), '|' ORDER BY rn) AS sample_taxa
+           FROM sp LEFT JOIN tx USING (name) WHERE rn <= 3 GROUP BY order_key),
 report AS (
   SELECT o.order_name, o.order_key, c.is_angiosperm,
          CAST(coalesce(n.total_available, 0) AS BIGINT) AS total_available,
          CAST(least(coalesce(n.total_available, 0), 5) AS BIGINT) AS retrieved,
          coalesce(f.sample_names, '') AS sample_names, coalesce(f.sample_families, '') AS sample_families,
-         CASE WHEN coalesce(n.total_available, 0) > 0 THEN 'success' ELSE 'No results' END AS status
-  FROM orders_ o LEFT JOIN counts n USING (order_key) LEFT JOIN firsts f USING (order_key)
+         coalesce(f.sample_taxa, '') AS sample_taxa,
+         CASE WHEN ans.st IS NULL THEN 'Network failure' WHEN ans.st <> 200 THEN 'error:' || CAST(ans.st AS VARCHAR)
+              WHEN coalesce(n.total_available, 0) > 0 THEN 'success' ELSE 'No results' END AS status
+  FROM orders_ o JOIN ans USING (order_key) LEFT JOIN counts n USING (order_key) LEFT JOIN firsts f USING (order_key)
   LEFT JOIN clades c USING (order_key))
 """
 
@@ -260,23 +266,28 @@ def _probe(spark, d):
     k = F.col("n_nationkey")
     cls = F.when(k % 3 == 0, F.lit("Magnoliopsida")).when(k % 3 == 1, F.lit("Liliopsida")) \
         .otherwise(F.lit("Pinopsida"))
-    details = (nation.join(small_dimension(region), nation.n_regionkey == region.r_regionkey)
+    details = (nation.join(region, nation.n_regionkey == region.r_regionkey)
                .select(k.alias("order_key"),
                        F.when(k % 10 == 5, F.lit(404)).otherwise(F.lit(200)).alias("http_status"),
                        F.when(F.col("r_name") == "EUROPE", F.lit("Animalia")).otherwise(F.lit("Plantae"))
                        .alias("kingdom"), cls.alias("class")))
     clades = en.classify_clade(details)
     orders = nation.select(F.col("n_name").alias("order_name"), k.alias("order_key"))
-    species = table(spark, d, "customer").select(
-        F.col("c_nationkey").alias("order_key"), F.col("c_custkey").alias("pos"),
-        F.col("c_name").alias("name"), F.col("c_mktsegment").alias("family"))
-    return orders, species, clades
+    cust = table(spark, d, "customer")
+    species = cust.select(
+        F.col("c_nationkey").alias("order_key"), F.col("c_custkey").alias("pos"), F.col("c_name").alias("name"),
+        F.when(F.col("c_custkey") % 6 != 0, F.col("c_mktsegment")).alias("family"))
+    status = F.when(k % 8 == 6, F.lit(None).cast("int")).when(k % 8 == 7, F.lit(503)).otherwise(F.lit(200))
+    answers = nation.select(k.alias("order_key"), status.alias("http_status"))
+    taxa = (cust.join(table(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"))
+            .groupBy(F.col("c_name").alias("name")).agg(F.min("o_orderkey").alias("inat_id")))
+    return orders, species, clades, answers, taxa
 
 
 @query("order_probe_report", PROBE_SQL + "SELECT * FROM report")
 def q_order_probe_report(spark, d):
-    orders, species, clades = _probe(spark, d)
-    return order_probe_report(orders, species, clades)
+    orders, species, clades, answers, taxa = _probe(spark, d)
+    return order_probe_report(orders, species, clades, answers=answers, taxa=taxa)
 
 
 @query("probe_summary", PROBE_SQL + """,
@@ -293,8 +304,9 @@ SELECT (SELECT count(*) FROM report WHERE status = 'success') AS n_success,
        (SELECT coalesce(string_agg(family, '|' ORDER BY r), '') FROM ranked WHERE r <= 5) AS top_families
 """)
 def q_probe_summary(spark, d):
-    orders, species, clades = _probe(spark, d)
-    report = order_probe_report(orders, species, clades)
+    orders, species, clades, answers, taxa = _probe(spark, d)
+    report = order_probe_report(orders, species, clades, answers=answers, taxa=taxa)
+    species = species.filter(F.col("order_key") % 8 < 6)         # the listings that came
     w = F.row_number().over(Window.partitionBy("order_key").orderBy("pos"))
     samples = (species.withColumn("sample_pos", w).filter(F.col("sample_pos") <= 3)
                .select(F.col("order_key").alias("order_pos"), "sample_pos", "family"))

@@ -1,7 +1,7 @@
 """The species CSV edge (S1, S5 shape, F17).
 
-Read: an explicit all-text schema (no inference), multi-line quoted fields,
-doubled quotes, the source reader's NA tokens to NULL, then one typed
+Read: columns by the header's names (all text, no inference), multi-line quoted
+fields, doubled quotes, the source reader's NA tokens to NULL, then one typed
 projection.  Write: arrays become JSON text only here.
 """
 
@@ -21,35 +21,44 @@ SPECIES_COLUMNS = ["order", "family", "genus", "species", "scientific_name", "co
 INT_COLUMNS = ["gbif_id", "inat_id", "observation_count"]
 BOOL_COLUMNS = ["has_images"]
 LIST_COLUMNS = ["inat_research_images", "inat_needs_id_images", "wiki_images"]
+CORRUPT = "_corrupt"
 
-RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in SPECIES_COLUMNS])
 
+def read_species_csv(spark: SparkSession, path: str, columns: list[str] | None = None, row_id: str = "row_id",
+                     bad_rows: bool = False) -> DataFrame:
+    """Header CSV -> typed columns plus ``row_id``, which orders rows as
+    (file name, place in the file).
 
-def read_species_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
-                     row_id: str = "row_id") -> DataFrame:
-    """Header CSV -> typed columns plus ``row_id`` (file order).
-
-    ``row_id`` orders rows by (file, position): with ``multiLine`` each file
-    is one split, so the id taken right after the scan is stable for a given
-    set of files.  Land as Parquet with an explicit position for anything
-    bigger than a handful of files."""
+    Columns are taken by name; one that the header lacks is an error, and so is
+    a file whose header differs from the first one's.  Rows that do not parse
+    (too many or too few fields) are left out; ``bad_rows`` returns those
+    instead, as ``(_file, _corrupt)``, to be counted and looked at.  A
+    multi-line CSV is one task per file: land anything large as Parquet."""
     cols = columns or SPECIES_COLUMNS
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
-    raw = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-           .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
-    raw = raw.select(*[na_to_null(F.col(c)).alias(c) for c in cols],
-                     F.col("_metadata.file_path").alias("_file"))
-    raw = raw.withColumn(row_id, F.monotonically_increasing_id())
+    reader = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+              .option("enforceSchema", False).option("mode", "PERMISSIVE"))
+    header = reader.csv(path).columns
+    missing = [c for c in cols if c not in header]
+    if missing:
+        raise ValueError(f"the header lacks {missing}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, CORRUPT]])
+    raw = reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    raw = raw.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_at"))
+    # every column is asked of the parser, so that it judges whole rows whatever is selected later
+    whole = F.coalesce(F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in header])), F.lit(0)) >= 0
+    if bad_rows:
+        return raw.filter(whole & F.col(CORRUPT).isNotNull()).select("_file", CORRUPT)
+    raw = raw.filter(whole & F.col(CORRUPT).isNull()).withColumn(row_id, F.struct("_file", "_at"))
     out = []
     for c in cols:
+        v = na_to_null(F.col(f"`{c}`"))
         if c in INT_COLUMNS:
-            out.append(tolerant_bigint(c).alias(c))
+            v = tolerant_bigint(v)
         elif c in BOOL_COLUMNS:
-            out.append(truthy(c).alias(c))
+            v = truthy(v)
         elif c in LIST_COLUMNS:
-            out.append(parse_json_list(c).alias(c))
-        else:
-            out.append(F.col(c))
+            v = parse_json_list(v)
+        out.append(v.alias(c))
     return raw.select(*out, "_file", row_id)
 
 

@@ -1,62 +1,77 @@
 """Keyed parent/child tables without a row-level-update catalog.
 
-A table is a folder of immutable versions (``v=<n>``) plus a one-row pointer
-table naming the current version.  An upsert computes the next version as a
-DataFrame (untouched target rows + the batch's rows), writes it to a new
-folder and then repoints -- a reader never sees a half-written version, a
-failed job leaves the pointer where it was, and a re-run of the same batch
-produces the same rows (idempotent).
+Two plain layouts, both Parquet folders that any Spark job can read:
+
+* a *snapshot*: immutable versions ``v=<n>``; the current one is the highest
+  with Spark's own ``_SUCCESS`` mark.  A version is never written twice, so a
+  crash in the middle of a write leaves the last committed one current, and a
+  damaged file is an error, never an empty table;
+* a *keyed table*, partitioned by a hash bucket of its key: an upsert rewrites
+  the buckets its batch touches, by Spark's dynamic partition overwrite, and an
+  insert appends.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-POINTER = "_current"
+from florapipe.session import materialize
 
+BUCKET = "bucket"
+BUCKETS = 64
 
-def _current_version(spark: SparkSession, path: str) -> int | None:
-    try:
-        row = spark.read.parquet(os.path.join(path, POINTER)).first()
-    except Exception:  # noqa: BLE001  (no pointer yet: an empty table)
-        return None
-    return None if row is None else int(row["version"])
+
+def _folder(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _folder(spark, path)
+    return fs.exists(p)
+
+
+def _versions(spark: SparkSession, path: str) -> dict[int, bool]:
+    """The version folders of a snapshot and whether each is committed."""
+    fs, p = _folder(spark, path)
+    if not fs.exists(p):
+        return {}
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return {int(n[2:]): exists(spark, f"{path}/{n}/_SUCCESS") for n in names if n[:2] == "v=" and n[2:].isdigit()}
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
-    """The current version of a table, or None when nothing was written."""
-    v = _current_version(spark, path)
-    return None if v is None else spark.read.parquet(os.path.join(path, f"v={v}"))
+    """The current version of a snapshot, or None when none is committed."""
+    done = [v for v, ok in _versions(spark, path).items() if ok]
+    return spark.read.parquet(f"{path}/v={max(done)}") if done else None
 
 
 def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
-    """Full export as a new version, then repoint.  Returns the version."""
-    spark = df.sparkSession
-    v = (_current_version(spark, path) or 0) + 1
-    w = df.write.mode("overwrite")
+    """Full export as a new version.  Returns the version; one that a
+    crashed writer left behind is passed over, not overwritten."""
+    v = max(_versions(df.sparkSession, path), default=0) + 1
+    w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(os.path.join(path, f"v={v}"))
-    spark.createDataFrame([(v,)], "version int").coalesce(1).write.mode("overwrite") \
-        .parquet(os.path.join(path, POINTER))
+    w.parquet(f"{path}/v={v}")
     return v
 
 
 def append_batch(df: DataFrame, path: str, fmt: str = "csv") -> bool:
-    """Append a batch; an empty batch writes nothing.  CSV part files each
-    carry their own header (read back with ``header=True``)."""
-    if df.isEmpty():
-        return False
-    w = df.write.mode("append")
+    """Append a batch; says whether it had rows (counted while writing).
+    CSV part files each carry their own header (read back with
+    ``header=True``); spaces at the edges of a text stay."""
+    seen = Observation("append_batch")
+    w = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append")
     if fmt == "csv":
-        w.option("header", True).option("escape", '"').csv(path)
+        (w.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(path))
     else:
         w.format(fmt).save(path)
-    return True
+    return seen.get["n"] > 0
 
 
 def last_per_key(source: DataFrame, keys: Sequence[str], seq: str | Column) -> DataFrame:
@@ -74,6 +89,12 @@ def default_id(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
+def check_ids(table: DataFrame, id_col: str = "id") -> None:
+    """Raise if two keys of a table share a surrogate id."""
+    if not table.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        raise ValueError(f"two keys share one {id_col}: give upsert another id_fn")
+
+
 def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], seq: str | Column,
            id_col: str = "id", id_fn: Callable[[Sequence[str]], Column] = default_id,
            keep_seq: bool = False) -> DataFrame:
@@ -85,41 +106,88 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], seq
     sequence and a batch row replaces a stored row only when its sequence is
     not lower -- so late or replayed batches cannot roll a key back.
 
-    The target is only anti-joined and semi-joined against the batch's keys,
-    so with a small batch it is streamed once and never shuffled (AQE turns
-    the batch side into a broadcast when its measured size allows)."""
+    One pass over target and batch together: per key an aggregate picks the
+    winning row and the id, combined before the shuffle."""
     batch = last_per_key(source, keys, seq)
     if not keep_seq and isinstance(seq, str) and seq in batch.columns:
         batch = batch.drop(seq)
+    new = batch.withColumn(id_col, id_fn(keys))
     if target is None:
-        return batch.withColumn(id_col, id_fn(keys))
-    bkeys = batch.select(*keys)
-    kept = target.join(bkeys, list(keys), "left_anti")
-    ids = target.select(*keys, id_col).join(bkeys, list(keys), "left_semi")
-    new = (batch.join(ids, list(keys), "left")
-           .withColumn(id_col, F.coalesce(F.col(id_col), id_fn(keys))))
-    new = new.select(*target.columns)
-    if keep_seq:
-        touched = target.join(bkeys, list(keys), "left_semi")
-        both = touched.withColumn("_from_batch", F.lit(0)).unionByName(new.withColumn("_from_batch", F.lit(1)))
-        new = last_per_key(both, keys, F.struct(F.col(seq), F.col("_from_batch"))).drop("_from_batch")
-        new = new.select(*target.columns)
-    return kept.unionByName(new)
-
-
-def insert_ignore(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
-                  order: Sequence[str | Column]) -> DataFrame:
-    """``ON CONFLICT DO NOTHING`` -- rows whose key is absent from the
-    target are added (the first per key in ``order``), the rest ignored."""
+        return new
+    both = target.select(*target.columns, F.lit(0).alias("_batch")).unionByName(
+        new.select(*target.columns, F.lit(1).alias("_batch")))
+    others = [c for c in target.columns if c not in (*keys, id_col)]
+    order = F.struct(F.col(seq), F.col("_batch")) if keep_seq else F.col("_batch")
+    merged = both.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in others]), order).alias("_r"),
+                                     F.min_by(id_col, "_batch").alias(id_col))
+    return merged.select(*[F.col(f"_r.{c}").alias(c) if c in others else F.col(c) for c in target.columns])
+
+
+def insert_new(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
+               order: Sequence[str | Column]) -> DataFrame:
+    """S8, the rows to append: those whose key the target has not, the first per key in ``order``."""
     cols = source.columns
     first = (source.groupBy(*keys)
              .agg(F.min_by(F.struct(*[F.col(c) for c in cols if c not in keys]),
                            F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])).alias("_r"))
-             .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols if c not in keys]))
-    if target is None:
-        return first.select(*cols)
-    new = first.join(target.select(*keys), list(keys), "left_anti")
-    return target.unionByName(new.select(*target.columns))
+             .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols if c not in keys]).select(*cols))
+    return first if target is None else first.join(target.select(*keys), list(keys), "left_anti").select(*cols)
+
+
+def insert_ignore(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
+                  order: Sequence[str | Column]) -> DataFrame:
+    """``ON CONFLICT DO NOTHING`` as a whole table: the target and the rows :func:`insert_new` adds."""
+    new = insert_new(target, source, keys, order)
+    return new if target is None else target.unionByName(new.select(*target.columns))
+
+
+# ---------------------------------------------------------------- keyed tables on disk
+
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """A keyed table with its bucket column, or None before the first write."""
+    return spark.read.parquet(path) if exists(spark, path) else None
+
+
+def _bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
+
+
+def _touched(df: DataFrame) -> list[int]:
+    """The buckets of a batch: at most the table's number of buckets."""
+    return [r[BUCKET] for r in df.select(BUCKET).distinct().collect()]
+
+
+def upsert_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], seq: str | Column,
+                id_col: str = "id", id_fn: Callable[[Sequence[str]], Column] = default_id,
+                keep_seq: bool = False, buckets: int = BUCKETS) -> list[int]:
+    """S7 on a stored table: only the buckets the batch touches are read and
+    rewritten.  Returns them.
+
+    The new rows of those buckets are a written table of their own before any
+    bucket is replaced, and applying a batch again gives the same table."""
+    batch = materialize(_bucketed(last_per_key(source, keys, seq), keys, buckets), "upsert_batch")
+    touched = _touched(batch)
+    if touched:
+        target = read_table(spark, path)
+        if target is not None:
+            target = target.filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        new = upsert(target, batch.drop(BUCKET), keys, seq if isinstance(seq, str) else F.lit(0), id_col, id_fn, keep_seq)
+        new = materialize(_bucketed(new, keys, buckets), "upsert_buckets")
+        (new.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BUCKET).parquet(path))
+    return sorted(touched)
+
+
+def insert_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
+                order: Sequence[str | Column], buckets: int = BUCKETS) -> None:
+    """S8 on a stored table: append the rows whose key it has not.  Inserting
+    a batch again adds nothing."""
+    batch = _bucketed(source, keys, buckets)
+    target = read_table(spark, path)
+    if target is not None:
+        target = target.filter(F.col(BUCKET).isin(_touched(batch)))
+    new = materialize(insert_new(target, batch, keys, order), "insert_new")
+    new.repartition(BUCKET).write.mode("append").partitionBy(BUCKET).parquet(path)
 
 
 def lookup_ids(batch: DataFrame, target: DataFrame, keys: Sequence[str], id_col: str = "id") -> DataFrame:

@@ -11,15 +11,3 @@ DRIVER_TABLES = ("region nation customer supplier part orders lineitem events do
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; Parquet so filters and column pruning reach the scan."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def small_dimension(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """A broadcast hint only for a table proven small.
-
-    Counts at most ``max_rows + 1`` rows (a bounded action on a dimension);
-    within the bound the table is hinted for broadcast, beyond it the hint is
-    dropped and the join falls back to a shuffle join (AQE may still turn it
-    into a broadcast from measured sizes)."""
-    from pyspark.sql import functions as F
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

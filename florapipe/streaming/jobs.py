@@ -55,30 +55,34 @@ def stream_extract(stream: DataFrame, sink: str, checkpoint: str,
     run_available_now(stream, on_batch, checkpoint)
 
 
-def stream_dedup(stream: DataFrame, keys: Sequence[str], sink: str, checkpoint: str) -> None:
+def stream_dedup(stream: DataFrame, keys: Sequence[str], sink: str, checkpoint: str,
+                 event_time: str | None = None, delay: str | None = None) -> None:
     """Each key is emitted once across batches and restarts.
 
-    ``dropDuplicates`` on the stream keeps the seen keys in the checkpointed
-    state store (one entry per distinct key -- the processed-id set -- never
-    a scan of the sink)."""
+    Without ``event_time`` the checkpointed state store keeps every key -- the
+    processed-id set, which is what has to be remembered.  With ``event_time``
+    and ``delay`` a key is remembered until the watermark has passed it, so
+    the state is bounded by the keys of that span; a repetition later than
+    that is new again."""
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(_batch_dir(sink, batch_id))
-    run_available_now(stream.dropDuplicates(list(keys)), on_batch, checkpoint)
+        df.select(*kept).write.mode("overwrite").parquet(_batch_dir(sink, batch_id))
+    kept = [c for c in stream.columns if c != event_time or c in keys]
+    once = (stream.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, delay)
+            .dropDuplicatesWithinWatermark(list(keys)) if event_time and delay else stream.dropDuplicates(list(keys)))
+    run_available_now(once, on_batch, checkpoint)
 
 
 def stream_upsert(stream: DataFrame, table_path: str, keys: Sequence[str], seq: str | Column,
                   checkpoint: str, id_col: str = "id", seq_col: str = "_seq") -> None:
-    """Each micro-batch is upserted (S7) into the versioned keyed table.
-    The table keeps ``seq`` (as ``seq_col``) so a row only replaces an older
+    """Each micro-batch is upserted (S7) into the keyed table, of which only
+    the buckets of its keys are rewritten.  The table keeps ``seq`` (as ``seq_col``) so a row only replaces an older
     one: the result does not depend on which file lands first, and
-    re-applying a batch gives the same version contents (idempotent)."""
+    re-applying a batch gives the same rows (idempotent)."""
     s = F.col(seq) if isinstance(seq, str) else seq
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        current = store.read_snapshot(spark, table_path)
-        nxt = store.upsert(current, df.withColumn(seq_col, s), keys, seq_col, id_col=id_col, keep_seq=True)
-        store.write_snapshot(nxt, table_path)
+        store.upsert_into(df.sparkSession, table_path, df.withColumn(seq_col, s), keys, seq_col, id_col=id_col,
+                          keep_seq=True)
     run_available_now(stream, on_batch, checkpoint)
 
 

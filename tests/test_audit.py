@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from florapipe.operators import audit
 from florapipe.operators.attempts import accept_status, first_acceptable
-from florapipe.operators.enumeration import limit_per_group, page_prefix
+from florapipe.operators.enumeration import left_out, limit_per_group, page_prefix
+from florapipe.operators.numbering import running_sums
 from florapipe.sources import store
 from tests.conftest import rows
 
@@ -23,7 +24,7 @@ def test_exact_quantiles_across_buckets(spark):
     rng = np.random.default_rng(7)
     vals = np.concatenate([rng.normal(size=3000), np.full(2000, 0.5)])  # one hot value
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
-    r = audit.describe(df, "x", target_bucket_values=50).first()   # forces many buckets
+    r = audit.describe(df.repartition(5), "x").first()
     q = np.percentile(vals, [25, 50, 75])
     assert (r["p25"], r["p50"], r["p75"]) == pytest.approx(tuple(q), abs=1e-12)
 
@@ -50,12 +51,35 @@ def test_load_metrics_running_totals(spark):
     assert [r["rows_loaded"] for r in out] == [200 * (i + 1) for i in range(25)]
 
 
-def test_running_total_crosses_blocks(spark):
-    df = spark.range(0, 3000).withColumn("v", F.lit(1))
-    out = audit.running_total(df, "id", ["v"], block=7).orderBy("id").collect()
+def test_running_sums_cross_partitions(spark):
+    df = spark.range(0, 3000).withColumn("v", F.lit(1)).repartition(7)
+    out = running_sums(df, ["id"], ["v"]).orderBy("id").collect()
     assert [r["cum_v"] for r in out] == list(range(1, 3001))
 
 
+def test_describe_skips_nan_and_reports_on_empty_inputs(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "x double")
+    r = audit.describe(df, "x").first()
+    assert (r["count"], r["mean"], r["max"], r["p50"]) == (2, 2.0, 3.0, 2.0)
+    none = df.limit(0).selectExpr("x", "CAST(x AS STRING) AS image_url", "CAST(x AS STRING) AS `o'dd`")
+    assert [(r["n_missing"], r["pct_missing"]) for r in audit.missing_counts(none, ["x", "o'dd", "absent"]).collect()] == [(0, 0.0)] * 3
+    assert audit.fill_rate(none).first()["fill_pct"] == 0.0
+    assert audit.describe(none, "x").first()["p50"] is None
+    assert audit.load_metrics(none, "x").count() == 0
+
+
+def test_keys_count_at_their_first_chunk(spark):
+    df = spark.createDataFrame([(1, 0, 2), (2, 0, 0), (1, 1, 3), (2, 1, None)], "k int, c int, i int")
+    out = audit.load_metrics(df, "k", chunk_col="c", images_col="i").orderBy("chunk").collect()
+    assert [(r["unique_keys"], r["keys_loaded"], r["images_loaded"], r["progress_pct"]) for r in out] == [(2, 2, 2, 50.0), (0, 2, 5, 100.0)]
+
+
+def test_value_counts_sorted_and_approximate_distincts(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "order string")
+    assert [r["n"] for r in audit.value_counts(df, "order").collect()] == [2, 1, 1]
+    assert audit.distinct_counts(df, approximate=True).first()["n_orders"] == 2
+
+
 def test_first_acceptable(spark):
     df = spark.createDataFrame([(1, 1, "timeout"), (1, 2, "no_images"), (1, 3, "success"),
                                 (2, 1, "timeout"), (2, 2, "timeout"), (2, 3, "timeout"), (2, 4, "success")],
@@ -71,7 +95,18 @@ def test_page_prefix_stop_and_skip(spark):
                                    ("q", 0, 200, 5), ("q", 200100, 200, 5)],
                                   "g string, offset int, st int, n int")
     kept = rows(page_prefix(pages, "g", "offset", "st", "n"), "g", "offset")
-    assert kept == [("o", 0), ("o", 200), ("q", 0)]
+    assert kept == [("o", 0), ("o", 200), ("q", 0), ("q", 200100)]
+    assert ("q", 200100) not in rows(page_prefix(pages, "g", "offset", "st", "n", ceiling=200_000), "g", "offset")
+
+
+def test_no_limit_is_applied_unless_asked_for(spark):
+    df = spark.range(0, 60_000, numPartitions=3).selectExpr("'one' AS g", "id")
+    assert limit_per_group(df, "g", ["id"]).count() == 60_000
+    cut = limit_per_group(df, "g", ["id"], n=50_000)
+    assert cut.count() == 50_000 and cut.agg(F.max("id")).first()[0] == 49_999
+    assert left_out(df, "g", 50_000).first()["n_left_out"] == 10_000
+    pages = spark.range(0, 4000).selectExpr("'one' AS g", "id * 100 AS offset", "200 AS st", "100 AS n")
+    assert page_prefix(pages, "g", "offset", "st", "n").count() == 4000
 
 
 def test_limit_per_group(spark):

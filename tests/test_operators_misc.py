@@ -16,8 +16,10 @@ def test_select_targets_precedence_and_unknown_batch(spark):
     assert rows(en.select_targets(dim, batch=2, orders=["Rosales"]), "order_name") == [("Poales",)]
     assert rows(en.select_targets(dim, orders=["Rosales"]), "order_name") == [("Rosales",)]
     assert en.select_targets(dim, batch=2, all_targets=True).count() == 3
-    with pytest.raises(ValueError):
-        en.select_targets(dim, batch=9)
+    with pytest.raises(Exception, match="unknown batch 9"):
+        en.select_targets(dim, batch=9).collect()
+    fixed = en.order_dimension(spark)
+    assert fixed.count() == 21 and rows(en.select_targets(fixed, batch=3), "order_name") == [("Asterales",)]
 
 
 def test_classify_clade(spark):

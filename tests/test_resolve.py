@@ -33,6 +33,18 @@ def test_resolve_accepted_name(spark):
     assert out == {"a": "A b", "b": "B b", "c": "c", "d": "d", "e": "e"}
 
 
+def test_repeated_responses_do_not_multiply_and_failures_end_the_lookup(spark):
+    names = spark.createDataFrame([("a",)], "n string")
+    m = spark.createDataFrame([("a", None, None, None, None, None, None), ("a", 200, 7, "ACCEPTED", False, "B b", None),
+                               ("a", 500, None, None, None, None, None)], MATCH_SCHEMA)
+    assert [r["resolved_name"] for r in resolve_accepted_name(names, m, "n").collect()] == ["B b"]
+    hit = [(5, "Rosa canina", 1, None, None, None)]
+    search = spark.createDataFrame([("Rosa x-y", None, None), ("Rosa", 200, hit), ("Rosa", 503, None), ("Tilia", 200, hit)], SEARCH_SCHEMA)
+    ents = spark.createDataFrame([(1, "Rosa x-y"), (2, "Tilia"), (3, "Rosa z")], "k int, n string")
+    out = {r["k"]: (r["inat_status"], r["q_used"]) for r in best_match(ents, search, "k", "n").collect()}
+    assert out == {1: ("timeout", None), 2: ("success", "Tilia"), 3: ("success", "Rosa")}
+
+
 def test_preferred_label(spark):
     df = spark.createDataFrame([(1, 0, "fra", "rose"), (1, 1, "eng", "Dog rose"), (2, 0, "fra", "rose"),
                                 (3, 0, None, "x"), (3, 1, "eng", None)], "k int, pos int, lang string, label string")

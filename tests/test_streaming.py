@@ -36,7 +36,17 @@ def test_dedup_restart_and_upsert(spark, tmp_path):
     table, ck2 = str(tmp_path / "table"), str(tmp_path / "ck2")
     jobs.stream_upsert(src().select("user_id", "event_id", "ts"), table, ["user_id"], F.struct("ts", "event_id"), ck2)
     latest = ev.groupBy("user_id").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
-    assert rows(store.read_snapshot(spark, table).select("user_id", "event_id")) == rows(latest)
+    assert rows(store.read_table(spark, table).select("user_id", "event_id")) == rows(latest)
+
+
+def test_dedup_state_expires_with_the_watermark(spark, tmp_path):
+    land = str(tmp_path / "land")
+    ev = _land(spark, land, [0, 1, 2])
+    src = jobs.file_stream(spark, land + "/*", ev.schema, max_files_per_trigger=1)
+    sink, ck = str(tmp_path / "sink"), str(tmp_path / "ck")
+    jobs.stream_dedup(src.select("user_id", "event_type", "ts"), ["user_id", "event_type"], sink, ck, "ts", "10000 days")
+    got = rows(jobs.read_sink(spark, sink).drop("batch_id"))
+    assert got == rows(ev.select("user_id", "event_type").distinct())
 
 
 def test_progress_matches_batch(spark, tmp_path):
