@@ -32,12 +32,6 @@ def ustrip(c: ColumnOrName) -> Column:
     return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
 
 
-def blank_to_null(c: ColumnOrName) -> Column:
-    """NULL for NULL, empty or whitespace-only text; otherwise unchanged."""
-    c = col(c)
-    return F.when(ustrip(c) != "", c)
-
-
 def first_nonblank(*cols: ColumnOrName) -> Column:
     """``a or b or ...`` over text: the first non-NULL, non-empty value."""
     return F.coalesce(*[F.when(col(c) != "", col(c)) for c in cols])

@@ -27,11 +27,6 @@ def lookup_outcome(status_col: str = "status") -> Column:
     return F.when(accept_status(status_col), F.col(status_col)).otherwise(F.lit(EXHAUSTED))
 
 
-def accept_not_null(payload_col: str = "payload") -> Column:
-    """The generic default: any non-NULL result is acceptable."""
-    return F.col(payload_col).isNotNull()
-
-
 def first_acceptable(attempts: DataFrame, key: str, order: Sequence[str | Column],
                      accept: Column | Callable[[], Column], payload: Sequence[str],
                      max_attempts: int = 3, status_col: str = "status",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from florapipe.functions.expr import (NOT_FOUND_TEXT, clean_common_name, clean_text, common_name_fallback,
-                                      extract_binomial, extraction_time, first_of, is_valid_species_name, lower_source,
+                                      description_pair, extract_binomial, extraction_time, first_of, is_valid_species_name, lower_source,
                                       normalize_query_name, parse_json_list, species_epithet, tolerant_bigint,
                                       truthy)
 
@@ -180,6 +180,8 @@ def assemble_records(taxa: DataFrame, key: str, enrichments: Mapping[str, DataFr
     research = get("research_images", empty)
     wiki = get("wiki_images", empty)
     canonical = get("canonical_name", F.lit(""))
+    none = F.lit(None).cast("string")
+    pair = description_pair(get("description", none), get("description_source", none))
     return out.select(
         get("order", F.lit("")).alias("order"),
         get("family", F.lit("")).alias("family"),
@@ -193,8 +195,7 @@ def assemble_records(taxa: DataFrame, key: str, enrichments: Mapping[str, DataFr
         get("inat_status", F.lit("unknown")).alias("inat_status"),
         ((F.size(research) > 0) | (F.size(wiki) > 0)).alias("has_images"),
         get("observation_count", F.lit(None).cast("bigint")).alias("observation_count"),
-        get("description", F.lit(NOT_FOUND_TEXT)).alias("wikipedia_description"),
-        get("description_source", F.lit("none")).alias("description_source"),
+        pair["description"].alias("wikipedia_description"), pair["source"].alias("description_source"),
         extraction_time().alias("extraction_timestamp"),
         research.alias("inat_research_images"),
         get("needs_id_images", empty).alias("inat_needs_id_images"),

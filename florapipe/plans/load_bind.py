@@ -5,19 +5,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from florapipe.functions.expr import BINOMIAL_PATTERN
 from florapipe.operators import records as rec
 from florapipe.operators.merge import merge_entities
+from florapipe.plans.landing import capitalized
 from florapipe.plans.registry import query
 from florapipe.session import scratch_path
 from florapipe.sources import store
 from florapipe.sources.species_csv import read_species_csv, to_csv_record
 from florapipe.sources.tables import DRIVER_TABLES, table
 
-BINOMIAL_SQL = r"'^([A-Z][a-zA-Z-]+)\s+([a-z-]+)'"
-
-
-def _cap(c):
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, 2, 1 << 30))
+BINOMIAL_SQL = f"'{BINOMIAL_PATTERN}'"
 
 
 # ---- P1: part names as scientific names "<P>_name L.", every fifth size a
@@ -44,7 +42,7 @@ FROM b
 """)
 def q_standardize_names(spark, d):
     part = table(spark, d, "part")
-    cap = _cap("p_name")
+    cap = capitalized("p_name")
     name = F.concat(F.when(F.col("p_size") % 5 == 0, F.replace(cap, F.lit(" "), F.lit(" x "))).otherwise(cap),
                     F.lit(" L."))
     return rec.standardize_names(part.select("p_partkey", name.alias("name")), "name")
@@ -106,11 +104,13 @@ def q_parse_json(spark, d):
 
 
 # ---- P3: events.props enforced to {k: bigint (required, doubled), note:
-# string}; ids ending in 0 truncated, ending in 1 carry k as a string.
+# string}; ids ending in 0 truncated, ending in 1 carry k as a string, in 2
+# note as a number, in 3 note alone.
 @query("enforce_schema", """
 WITH t AS (
   SELECT event_id, CASE event_id % 10 WHEN 0 THEN substr(props, 1, 5)
-         WHEN 1 THEN '{"k": "' || regexp_extract(props, '[0-9]+') || '"}' ELSE props END AS doc
+         WHEN 1 THEN '{"k": "' || regexp_extract(props, '[0-9]+') || '"}'
+         WHEN 2 THEN '{"k": 2, "note": 5}' WHEN 3 THEN '{"note": "n' || event_id || '"}' ELSE props END AS doc
   FROM events)
 SELECT event_id,
        coalesce(coalesce(CASE WHEN json_valid(doc) AND json_type(doc, '$.k') IN ('BIGINT', 'UBIGINT')
@@ -124,6 +124,8 @@ def q_enforce_schema(spark, d):
     k = F.col("event_id")
     doc = (F.when(k % 10 == 0, F.substring("props", 1, 5))
            .when(k % 10 == 1, F.concat(F.lit('{"k": "'), F.regexp_extract("props", "[0-9]+", 0), F.lit('"}')))
+           .when(k % 10 == 2, F.lit('{"k": 2, "note": 5}'))
+           .when(k % 10 == 3, F.concat(F.lit('{"note": "n'), k.cast("string"), F.lit('"}')))
            .otherwise(F.col("props")))
     spec = [rec.Field("k", "bigint", -1, required=True, transform=lambda c: F.try_multiply(c, F.lit(2))),
             rec.Field("note", "string", "none")]

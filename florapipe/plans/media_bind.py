@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from florapipe.functions.expr import normalize_media_url
 from florapipe.operators import media
 from florapipe.operators.responses import first_page
+from florapipe.plans.landing import with_repeats
 from florapipe.plans.registry import query
 from florapipe.sources.tables import table
 
@@ -204,7 +205,8 @@ def _page_landing(spark, d):
                           F.when(n % 11 == 0, F.lit(None).cast("int")).otherwise(F.lit(200)).alias("http_status"),
                           F.when(n % 9 == 0, F.array().cast(IMAGEINFO_TYPE))
                           .otherwise(F.array(info)).alias("imageinfo")))
-    return ents, page_images, searches, image_info
+    return (ents, with_repeats(page_images, ["title"]), with_repeats(searches, ["srsearch"]),
+            with_repeats(image_info, ["title"]))
 
 
 PAGE_SQL = r"""
@@ -322,6 +324,7 @@ def q_search_media(spark, d):
         F.when(pid % 7 == 0, F.lit(404)).otherwise(F.lit(200)).alias("http_status"),
         F.transform(F.regexp_extract_all("html", F.lit(HREF), 1),
                     lambda h: F.struct(F.concat(F.lit("File:"), h).alias("title"))).alias("results"))
+    file_search = with_repeats(file_search, ["srsearch"])
     out = media.search_media(ents, "page_id", "name", file_search, image_info)
     return out.select("page_id", "wiki_status", F.array_join("wiki_images", "|").alias("wiki_images"))
 
@@ -353,9 +356,9 @@ def _customer_observations(spark, d, per_page=10):
                      .alias("photos"))
     answers = first_page(lines.withColumn("item", photo), "o_custkey", ["l_orderkey", "l_linenumber", "l_partkey"],
                          per_page, "item")
-    return answers.select(F.col("o_custkey").alias("taxon_id"),
-                          F.when(F.col("o_custkey") % 17 == 0, F.lit(500)).otherwise(F.lit(200)).alias("http_status"),
-                          "results")
+    return with_repeats(answers.select(
+        F.col("o_custkey").alias("taxon_id"),
+        F.when(F.col("o_custkey") % 17 == 0, F.lit(500)).otherwise(F.lit(200)).alias("http_status"), "results"), ["taxon_id"])
 
 
 ROWS_SQL = """

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from florapipe.operators.attempts import first_acceptable
 from florapipe.operators.resolve import (best_match, first_result, preferred_label, resolve_accepted_name,
                                          top_taxon)
-from florapipe.operators.responses import first_page
+from florapipe.operators.responses import first_page, one_response
+from florapipe.plans.landing import capitalized as cap
+from florapipe.plans.landing import with_repeats
 from florapipe.plans.registry import query
 from florapipe.sources.tables import table
 
@@ -15,15 +17,14 @@ from florapipe.sources.tables import table
 # ---- landed taxon-search responses derived from part: for every genus
 # (first word) and every full name whose length is not a multiple of 3, the
 # parts (by key) under that query, of which the service's page holds the first
-# five; queries whose length is a multiple of 7 answered 500.
+# five; queries whose length is a multiple of 7 answered 500, a multiple of 13 not at all.
 PER_PAGE = 5
 
 
 def landed_taxa_search(spark, d, capitalized: bool = False, per_page: int = PER_PAGE):
     part = table(spark, d, "part")
     if capitalized:   # names written as scientific names ("Small ring")
-        part = part.withColumn("p_name", F.concat(F.upper(F.substring("p_name", 1, 1)),
-                                                  F.substring("p_name", 2, 1 << 30)))
+        part = part.withColumn("p_name", cap("p_name"))
     pk = F.col("p_partkey").cast("string")
     result = F.struct(
         F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
@@ -42,12 +43,13 @@ def landed_taxa_search(spark, d, capitalized: bool = False, per_page: int = PER_
     by_genus = part.select(F.substring_index("p_name", " ", 1).alias("q"), "p_partkey", result.alias("item"))
     by_name = part.filter(F.length("p_name") % 3 != 0).select(F.col("p_name").alias("q"), "p_partkey", result.alias("item"))
     return (first_page(by_genus.unionByName(by_name), "q", ["p_partkey"], per_page, "item")
-            .withColumn("http_status", F.when(F.length("q") % 7 == 0, F.lit(500)).otherwise(F.lit(200))))
+            .withColumn("http_status", F.when(F.length("q") % 7 == 0, F.lit(500))
+                        .when(F.length("q") % 13 != 0, F.lit(200))).transform(lambda r: with_repeats(r, ["q"])))
 
 
 SEARCH_SQL = """
 WITH res AS (
-  SELECT q, CASE WHEN length(q) % 7 = 0 THEN 500 ELSE 200 END AS http_status, rn, id, rname, obs, pref, eng,
+  SELECT q, CASE WHEN length(q) % 7 = 0 THEN 500 WHEN length(q) % 13 <> 0 THEN 200 END AS http_status, rn, id, rname, obs, pref, eng,
          url1, url2, med1
   FROM (
     SELECT q, p_partkey AS id, p_name AS rname, CAST(p_size AS BIGINT) AS obs,
@@ -69,17 +71,19 @@ cands AS (
   UNION ALL SELECT p_partkey, p_name, 1, replace(p_name, '-', ' ') FROM part
   UNION ALL SELECT p_partkey, p_name, 2, split_part(p_name, ' ', 1) FROM part),
 j AS (
-  SELECT c.p_partkey, c.prio, c.q, r.rn, r.id, r.rname,
+  SELECT c.p_partkey, c.prio, c.q, r.http_status, r.rn, r.id, r.rname,
          coalesce(contains(lower(r.rname), lower(c.p_name)), false) AS hit
-  FROM cands c JOIN res r ON c.q = r.q WHERE r.http_status = 200),
+  FROM cands c JOIN res r ON c.q = r.q WHERE r.http_status = 200 OR r.http_status IS NULL),
 bp AS (SELECT p_partkey, min(prio) AS prio FROM j GROUP BY p_partkey),
 pick AS (
   SELECT * FROM (
     SELECT j.*, row_number() OVER (PARTITION BY j.p_partkey ORDER BY (NOT j.hit), j.rn) AS k
     FROM j JOIN bp USING (p_partkey, prio)) WHERE k = 1)
-SELECT p.p_partkey, p.p_name, pick.q AS q_used, pick.id AS taxon_id, pick.rname AS taxon_name,
+SELECT p.p_partkey, p.p_name, CASE WHEN pick.http_status = 200 THEN pick.q END AS q_used,
+       CASE WHEN pick.http_status = 200 THEN pick.id END AS taxon_id,
+       CASE WHEN pick.http_status = 200 THEN pick.rname END AS taxon_name,
        CASE WHEN p.p_name IS NULL THEN 'invalid_name' WHEN pick.id IS NULL THEN 'taxon_not_found'
-            ELSE 'success' END AS inat_status
+            WHEN pick.http_status IS NULL THEN 'timeout' ELSE 'success' END AS inat_status
 FROM part p LEFT JOIN pick USING (p_partkey)
 """)
 def q_best_match(spark, d):
@@ -114,14 +118,18 @@ def q_top_taxon(spark, d):
 
 
 @query("first_result", SEARCH_SQL + """
-SELECT q, http_status,
-       CASE WHEN rn = 1 THEN id END AS inat_id, CASE WHEN rn = 1 THEN obs END AS observations,
-       med1 AS images, coalesce(nullif(pref, ''), nullif(eng, ''), '') AS common_name,
-       CAST(NULL AS VARCHAR) AS inat_status
+SELECT q, http_status, id AS inat_id, obs AS observations, med1 AS images,
+       coalesce(nullif(pref, ''), nullif(eng, ''), '') AS common_name, CAST(NULL AS VARCHAR) AS inat_status
 FROM res WHERE rn = 1
+UNION ALL
+SELECT 'empty ' || r_name, 200, NULL, NULL, '', '', 'unknown' FROM region
 """)
 def q_first_result(spark, d):
-    out = first_result(landed_taxa_search(spark, d))
+    landed = landed_taxa_search(spark, d)
+    empty = table(spark, d, "region").select(
+        F.concat(F.lit("empty "), F.col("r_name")).alias("q"), F.array().cast(landed.schema["results"].dataType).alias("results"),
+        F.lit(200).alias("http_status"))
+    out = first_result(one_response(landed.unionByName(empty), ["q"]))
     return out.select("q", "http_status", "inat_id", "observations", F.array_join("images", "|").alias("images"),
                       "common_name", "inat_status")
 
@@ -133,12 +141,11 @@ def q_first_result(spark, d):
 def landed_name_matches(spark, d, capitalized: bool = False):
     part = table(spark, d, "part")
     if capitalized:
-        part = part.withColumn("p_name", F.concat(F.upper(F.substring("p_name", 1, 1)),
-                                                  F.substring("p_name", 2, 1 << 30)))
+        part = part.withColumn("p_name", cap("p_name"))
     base = part.groupBy("p_name").agg(F.min("p_partkey").alias("k"))
     nxt = part.select(F.col("p_partkey").alias("_k1"), F.col("p_name").alias("_acc"))
     k = F.col("k")
-    return (base.join(nxt, k + 1 == F.col("_k1"), "left")
+    return with_repeats(base.join(nxt, k + 1 == F.col("_k1"), "left")
             .select(F.col("p_name").alias("name"),
                     F.when(k % 11 == 0, F.lit(404)).otherwise(F.lit(200)).alias("http_status"),
                     k.alias("usageKey"),
@@ -147,7 +154,7 @@ def landed_name_matches(spark, d, capitalized: bool = False):
                     (k % 3 == 1).alias("synonym"),
                     F.when(k % 3 == 2, F.upper("p_name")).otherwise(F.col("p_name")).alias("canonicalName"),
                     F.when((k % 3 == 1) & F.col("_acc").isNotNull(),
-                           F.struct(F.col("_acc").alias("canonicalName"))).alias("acceptedUsage")))
+                           F.struct(F.col("_acc").alias("canonicalName"))).alias("acceptedUsage")), ["name"])
 
 
 @query("resolve_accepted_name", """

@@ -1,11 +1,13 @@
-"""Bindings for the streaming jobs (T1-T4): events landed as a file stream,
-run to completion with AvailableNow; each result must equal the batch SQL."""
+"""Bindings for the streaming jobs (T1-T4): landed files as a stream, run to
+completion with AvailableNow; each result must equal the batch SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from florapipe.operators.enumeration import ACCEPTED_STATUS, SPECIES_RANK, exclude_processed
 from florapipe.plans.registry import query
+from florapipe.plans.species_jobs import EXTRACT_SQL, enrich, listed_species, records_text
 from florapipe.session import scratch_path
 from florapipe.sources import store
 from florapipe.sources.tables import table
@@ -18,11 +20,19 @@ def events_stream(spark, d):
     return jobs.file_stream(spark, f"{d.rstrip('/')}/events[.]parquet", schema, max_files_per_trigger=1)
 
 
-@query("stream_extract", "SELECT event_id, user_id, event_type, value FROM events")
+# ---- T1: the listing lands as a stream of part rows; every micro-batch runs
+# the extraction on its species.
+@query("stream_extract", EXTRACT_SQL)
 def q_stream_extract(spark, d):
+    def extraction(batch):
+        s = batch.sparkSession
+        listed = listed_species(batch).filter((F.col("rank") == SPECIES_RANK) & (F.col("status") == ACCEPTED_STATUS))
+        done = table(s, d, "labels").filter(F.col("quality") == 0)
+        return records_text(enrich(s, d, exclude_processed(listed, done, "key", "doc_id")))
+
     sink, ckpt = scratch_path(spark, "extract_sink"), scratch_path(spark, "extract_ckpt")
-    jobs.stream_extract(events_stream(spark, d), sink, ckpt,
-                        transform=lambda b: b.select("event_id", "user_id", "event_type", "value"))
+    src = jobs.file_stream(spark, f"{d.rstrip('/')}/part[.]parquet", table(spark, d, "part").schema, max_files_per_trigger=1)
+    jobs.stream_extract(src, sink, ckpt, transform=extraction)
     return jobs.read_sink(spark, sink).drop("batch_id")
 
 

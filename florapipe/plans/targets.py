@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from florapipe.operators import enumeration as en
 from florapipe.operators.probe import order_probe_report, probe_summary
+from florapipe.plans.landing import with_repeats
 from florapipe.plans.registry import query
 from florapipe.sources.tables import table
 
@@ -129,7 +130,7 @@ names AS (
 def _matches(spark, d):
     n = table(spark, d, "nation")
     k = F.col("n_nationkey")
-    return n.select(
+    return with_repeats(n.select(
         F.col("n_name").alias("name"),
         F.when(k % 10 == 7, F.lit(None).cast("int")).when(k % 10 == 9, F.lit(503)).otherwise(F.lit(200))
         .alias("http_status"),
@@ -137,7 +138,7 @@ def _matches(spark, d):
         .otherwise(F.lit("EXACT")).alias("matchType"),
         F.when(F.col("n_regionkey") == 4, F.lit("Animalia")).otherwise(F.lit("Plantae")).alias("kingdom"),
         F.when(k % 5 == 3, F.lit("FAMILY")).otherwise(F.lit("ORDER")).alias("rank"),
-        (k + 1000).cast("bigint").alias("orderKey"))
+        (k + 1000).cast("bigint").alias("orderKey")), ["name"])
 
 
 @query("resolve_orders", MATCHES_SQL + """

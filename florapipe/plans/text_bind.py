@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from florapipe.functions.expr import extract_binomial, page_title
+from florapipe.functions.expr import BINOMIAL_PATTERN, extract_binomial, page_title
 from florapipe.operators.audit import yes_count
 from florapipe.operators.text import cache_new_hits, flag_text_quality, text_fallback
+from florapipe.plans.landing import capitalized, with_repeats
 from florapipe.plans.registry import query
 from florapipe.sources.tables import table
 
@@ -17,10 +18,11 @@ from florapipe.sources.tables import table
 # the full-name page the next one, the genus page the one after; German pages
 # answered 500, Spanish ones failed in transport.  Search: a genus finds the
 # full name of its lowest part.  Cache: names of parts whose label is toxic.
-def text_landing(spark, d):
+def text_landing(spark, d, canonical: bool = False):
+    """``canonical``: the same landing for the names without their brand."""
     part, docs, labels = table(spark, d, "part"), table(spark, d, "documents"), table(spark, d, "labels")
-    cap = F.concat(F.upper(F.substring("p_name", 1, 1)), F.substring("p_name", 2, 1 << 30))
-    ents = part.select("p_partkey", F.concat_ws(" ", cap, F.col("p_brand")).alias("name"),
+    cap = capitalized("p_name")
+    ents = part.select("p_partkey", (cap if canonical else F.concat_ws(" ", cap, F.col("p_brand"))).alias("name"),
                        F.substring_index(cap, " ", 1).alias("genus"))
     e = ents.withColumn("binomial", extract_binomial("name"))
     titles = (e.filter(F.col("binomial").isNotNull()).groupBy("binomial")
@@ -41,15 +43,15 @@ def text_landing(spark, d):
              .join(docs.select("doc_id", "text"), "doc_id")
              .groupBy("name").agg(F.min_by("text", "doc_id").alias("description"))
              .withColumn("source", F.lit("cache")))
-    return ents, summaries, searches, cache
+    return ents, with_repeats(summaries, ["title"]), with_repeats(searches, ["srsearch"]), cache
 
 
-TEXT_SQL = r"""
+TEXT_SQL = rf"""
 WITH e AS (
   SELECT p_partkey, name, genus,
-         CASE WHEN regexp_matches(name, '^([A-Z][a-zA-Z-]+)\s+([a-z-]+)')
-              THEN regexp_extract(name, '^([A-Z][a-zA-Z-]+)\s+([a-z-]+)', 1) || ' ' ||
-                   regexp_extract(name, '^([A-Z][a-zA-Z-]+)\s+([a-z-]+)', 2) END AS binomial
+         CASE WHEN regexp_matches(name, '{BINOMIAL_PATTERN}')
+              THEN regexp_extract(name, '{BINOMIAL_PATTERN}', 1) || ' ' ||
+                   regexp_extract(name, '{BINOMIAL_PATTERN}', 2) END AS binomial
   FROM (SELECT p_partkey, concat_ws(' ', upper(substr(p_name, 1, 1)) || substr(p_name, 2), p_brand) AS name,
                split_part(upper(substr(p_name, 1, 1)) || substr(p_name, 2), ' ', 1) AS genus FROM part)),
 titles AS (

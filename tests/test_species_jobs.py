@@ -1,5 +1,5 @@
-"""End-to-end jobs checked against the standalone operators (each verified
-against DuckDB) and against brute-force counts on the smallest tables."""
+"""End-to-end jobs: each checked against its SQL on the smallest tables, plus
+what SQL cannot see: a second load, the order of rows, the outcome labels."""
 
 import json
 
@@ -7,12 +7,12 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as E
+from florapipe.plans import ORACLE
 from florapipe.plans import species_jobs as J
-from florapipe.sources import store
-from tests.conftest import SF_SMOKE
+from florapipe.sources.tables import DRIVER_TABLES
+from tests.conftest import SF_SMOKE, rows
 
-STATUSES = {"success", "no_images", "taxon_not_found", "invalid_name"}
+STATUSES = {"success", "no_images", "no_research_images", "max_retries_exhausted"}
 
 
 @pytest.fixture(scope="module")
@@ -21,54 +21,85 @@ def full_records(spark):
 
 
 @pytest.fixture(scope="module")
-def records(full_records):
-    return full_records.drop("extraction_timestamp")
+def sql():
+    con = duckdb.connect()
+    for t in DRIVER_TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMOKE}/{t}.parquet')")
 
+    def run(name):
+        cur = con.execute(ORACLE[name])
+        return [d[0] for d in cur.description], sorted(cur.fetchall(), key=repr)
+    return run
 
-def test_one_record_per_new_listed_key(spark, records):
+
+def test_extraction_matches_sql(full_records, sql):
+    columns, want = sql("extract_species")
+    assert rows(J.records_text(full_records).select(*columns)) == want
+
+
+def test_one_record_per_new_accepted_species(full_records):
     expected = duckdb.sql(f"""
-        SELECT count(*) FROM read_parquet('{SF_SMOKE}/part.parquet')
-        WHERE p_partkey NOT IN (SELECT doc_id FROM read_parquet('{SF_SMOKE}/labels.parquet') WHERE quality = 0)
+        SELECT count(*) FROM read_parquet('{SF_SMOKE}/part.parquet') WHERE p_size <= 45 AND p_type <> 'PROMO'
+        AND p_partkey NOT IN (SELECT doc_id FROM read_parquet('{SF_SMOKE}/labels.parquet') WHERE quality = 0)
     """).fetchall()[0][0]
-    assert records.count() == expected
-    assert records.select("gbif_id").distinct().count() == expected
+    assert full_records.count() == expected
+    assert full_records.select("gbif_id").distinct().count() == expected
 
 
-def test_record_invariants(records):
-    for r in records.collect():
+def test_record_invariants(full_records):
+    for r in full_records.collect():
         assert r["inat_status"] in STATUSES
+        assert (r["inat_id"] is None) == (r["inat_status"] == "max_retries_exhausted")
         assert r["has_images"] == (len(r["inat_research_images"]) > 0 or len(r["wiki_images"]) > 0)
         assert len(r["inat_research_images"]) <= 3 and len(r["wiki_images"]) <= 5
         assert r["description_source"] in {"binomial", "species", "genus", "none", "cache"}
+        assert len(r["wikipedia_description"]) > 50 or r["description_source"] == "none"
 
 
-def test_description_matches_standalone_chain(spark, records):
-    alone = E.queries()["text_fallback"](spark, SF_SMOKE).select(
-        F.col("p_partkey").alias("gbif_id"), F.col("description").alias("d"), F.col("description_source").alias("s"))
-    j = records.join(alone, "gbif_id")
-    assert j.count() == records.count()
-    assert j.filter((F.col("d") != F.col("wikipedia_description")) | (F.col("s") != F.col("description_source"))) \
-        .count() == 0
-
-
-def test_load_species_tables(spark, full_records):
-    parent_path, child_path = J.load_species(spark, SF_SMOKE, full_records)
-    parent = store.read_snapshot(spark, parent_path)
-    child = store.read_snapshot(spark, child_path)
-    recs = full_records
-    assert parent.count() == recs.select("scientific_name").distinct().count()
-    assert parent.select("id").distinct().count() == parent.count()
-    # child rows: dense image_order from 0 per species, at most one primary
-    per = child.groupBy("species_id").agg(F.count("*").alias("n"), F.max("image_order").alias("mx"),
-                                          F.count_if("is_primary").alias("p"))
-    assert per.filter((F.col("mx") != F.col("n") - 1) | (F.col("p") > 1)).count() == 0
-    assert child.join(parent.select(F.col("id").alias("species_id")), "species_id", "left_anti").count() == 0
+def test_limit_is_opt_in(spark, full_records):
+    per = J.extract_species(spark, SF_SMOKE, limit=2).groupBy("order").count().collect()
+    assert per and all(r["count"] <= 2 for r in per)
+    assert max(r["count"] for r in full_records.groupBy("order").count().collect()) > 2
 
 
-def test_audit_and_sample(spark, records, full_records):
-    a = J.audit_species(full_records).first()
-    assert a["n_rows"] == records.count()
-    assert a["n_species"] == records.select("scientific_name").distinct().count()
+def test_second_load_changes_nothing(spark, full_records, tmp_path, sql):
+    paths = str(tmp_path / "parent"), str(tmp_path / "child")
+    first = J.load_species(spark, full_records, *paths)
+    parent, child = rows(first["parent"]), rows(first["child"])
+    again = J.load_species(spark, full_records, *paths)
+    assert rows(again["parent"]) == parent and rows(again["child"]) == child
+    assert len(parent) == full_records.select("scientific_name").distinct().count()
+    per = again["child"].groupBy("species_id").agg(F.count("*").alias("n"), F.max("image_order").alias("mx"), F.count_if("is_primary").alias("p"))
+    assert per.filter((F.col("mx") != F.col("n") - 1) | (F.col("p") > 1)).count() == 0
+    assert again["child"].join(again["parent"].select(F.col("id").alias("species_id")), "species_id", "left_anti").count() == 0
+    columns, want = sql("load_species")
+    got = again["parent"].drop("id").withColumn("common_names", F.array_join("common_names", "|"))
+    assert rows(got.select(*columns)) == want
+
+
+def test_conflicts_overwrite_parents_and_keep_children(spark, sql):
+    columns, want = sql("load_images")
+    assert rows(J.q_load_images(spark, SF_SMOKE).select(*columns)) == want
+
+
+def test_first_row_is_the_first_in_the_listing(spark, full_records, tmp_path):
+    r = full_records.limit(1).collect()[0].asDict()
+    schema = full_records.schema
+    place = lambda i: type(full_records.first()["pos"])(*["A", 0, i])
+    two = [{**r, "scientific_name": n, "pos": place(i), "gbif_id": i, "inat_research_images": [f"u{i}"], "wiki_images": []}
+           for i, n in ((1, " Rosa canina "), (0, "Rosa canina"))]
+    df = spark.createDataFrame([[x[f.name] for f in schema] for x in two], schema).repartition(2)
+    out = J.load_species(spark, df, str(tmp_path / "p"), str(tmp_path / "c"))
+    assert [(x["scientific_name"], x["gbif_id"], x["primary_image_url"]) for x in out["parent"].collect()] == [("Rosa canina", 0, "u0")]
+    assert [(x["image_url"], x["image_order"], x["is_primary"]) for x in out["child"].orderBy("image_order").collect()] == [
+        ("u0", 0, True), ("u1", 1, False)]
+
+
+def test_audit_and_sample(spark, full_records, sql):
+    columns, want = sql("audit_species")
+    got = J.audit_species(full_records).withColumn("image_coverage_pct", F.round("image_coverage_pct", 6))
+    assert rows(got.select(*columns)) == [tuple(float(x) if isinstance(x, float) else x for x in w) for w in want]
+    assert J.audit_species(full_records.limit(0)).first()["n_rows"] == 0
     s = J.sample_dataset(spark, SF_SMOKE)
     per = s.groupBy("order").count().collect()
     assert per and all(r["count"] <= 10 for r in per)
@@ -77,6 +108,6 @@ def test_audit_and_sample(spark, records, full_records):
         assert r["color_primary"] == "" and r["native_region"] == ""
 
 
-def test_csv_shape(spark, full_records):
-    out = J._records_text(full_records).first()
+def test_csv_shape(full_records):
+    out = J.records_text(full_records).first()
     assert isinstance(json.loads(out["inat_research_images"]), list)
