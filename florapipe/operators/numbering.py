@@ -43,7 +43,8 @@ def number_in_groups(df: DataFrame, group: Sequence[str], order: Sequence[Column
     is spread over as many tasks as its rows fill."""
     at = materialize(number_rows(df, [*group, *order], "__at"), "numbered_rows")
     first = at.groupBy(*group).agg(F.min("__at").alias("__first"))
-    first = first.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], "__first")
+    # a written table, so that both sides of the join are dealt out anew and a hot group can be split
+    first = materialize(first, "first_in_group").select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], "__first")
     same = F.lit(True)
     for i, g in enumerate(group):
         same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
