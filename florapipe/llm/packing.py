@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 import os
-import unicodedata
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
@@ -46,11 +46,11 @@ class WordTokens:
     """Token ids of whole texts, as bytes of little-endian unsigned 32-bit numbers.
 
     For lower-casing tokenizers whose tokens never cross white space, which
-    they drop, nor the step from a letter or digit to punctuation: each distinct
-    word is encoded once, its trailing punctuation apart, and then looked up."""
+    they drop, nor the step from a letter or digit to punctuation (but an
+    apostrophe, which may begin a token with letters): texts are cut there,
+    and each distinct word is encoded once and then looked up."""
 
-    #: ASCII punctuation but the apostrophe, which may begin a token with letters.
-    TAIL = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
+    STEP = re.compile(rb"(?<=[a-z0-9])(?=[!-&(-/:-@\[-`{-~])")
     #: Bytes of text looked up together, and words encoded together.
     CHUNK, BATCH = 1 << 21, 2_000
 
@@ -77,7 +77,7 @@ class WordTokens:
 
     def _chunk(self, texts: list[bytes]) -> Iterator[bytes]:
         # a text with what may be a special token's string is encoded whole
-        words = [None if b"<|" in t else t.lower().split() for t in texts]
+        words = [None if b"<|" in t else self.STEP.sub(b" ", t.lower()).split() for t in texts]
         distinct = set().union(*(w for w in words if w))
         missing = distinct - self.known.keys()
         if len(self.known) + len(missing) > self.cache_words:
@@ -92,16 +92,9 @@ class WordTokens:
         return self._ids(text.decode("utf-8", "replace")).tobytes()
 
     def _learn(self, missing: set[bytes]) -> None:
-        known, split, wanted = self.known, {}, set()
-        for w in missing:
-            core = w.rstrip(self.TAIL)
-            if core and len(core) < len(w) and self._ends_solid(core):
-                split[w] = (core, w[len(core):])
-                wanted.update(split[w])
-            else:
-                wanted.add(w)
+        known = self.known
         plain, other = [], []
-        for w in wanted - known.keys():
+        for w in missing:
             text = w.decode("utf-8", "replace")
             (plain if text.isalpha() else other).append((w, text))
         for i in range(0, len(plain), self.BATCH):
@@ -120,19 +113,10 @@ class WordTokens:
             cuts, data = (4 * np.flatnonzero(ids == self.separator_id)).tolist(), ids.tobytes()
             for (w, _), start, end in zip(part, [-4, *cuts], [*cuts, len(data)]):
                 known[w] = data[start + 4:end]
-        for w, (core, tail) in split.items():
-            known[w] = known[core] + known[tail]
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    @staticmethod
-    def _ends_solid(core: bytes) -> bool:
-        """Whether the last character is a letter or a digit."""
-        if core[-1] < 0x80:
-            return core[-1:].isalnum()
-        return unicodedata.category(core.decode("utf-8", "replace")[-1])[0] in "LN"
-
 
 def best_fit(sizes: list[tuple[int, int]], capacity: int) -> tuple[list[tuple], list[list]]:
     """Best-fit decreasing of classes ``(size, count)`` into bins of ``capacity``.
