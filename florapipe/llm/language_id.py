@@ -34,6 +34,9 @@ MARGIN = 0.005
 #: Bytes per code point are noisy for a few letters only; the score's scale, in bytes.
 SCORE_BYTES = 4.0
 
+#: Whole rows that a task hands back at a time.
+OUT_ROWS = 500
+
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -146,6 +149,8 @@ def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Classifier(dictionaries, block_bytes, margin=margin)
         for batch in batches:
-            yield batch.filter(pa.array([model.decide(t.as_py())[2] for t in batch.column(place)], pa.bool_()))
+            for start in range(0, batch.num_rows, OUT_ROWS):        # small batches back, not a second copy of a large one
+                part = batch.slice(start, OUT_ROWS)
+                yield part.filter(pa.array([model.decide(t.as_py())[2] for t in part.column(place)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
