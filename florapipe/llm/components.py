@@ -73,7 +73,8 @@ def _linked(edges: DataFrame) -> DataFrame:
 def _minimum(directed: DataFrame) -> DataFrame:
     """Edges ``a -> b`` with ``low``, the least of ``a`` and all its ``b``."""
     low = directed.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-    return directed.join(low, "a")
+    # a written table, so that both sides are dealt out anew and a hot vertex can be split
+    return directed.join(materialize(low, "component_minima"), "a")
 
 
 def _state(edges: DataFrame) -> tuple:

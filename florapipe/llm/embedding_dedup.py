@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from florapipe.llm.common import numbered
 from florapipe.llm.components import connected_components
+from florapipe.operators.numbering import number_rows
 from florapipe.session import materialize
 
 #: Bounded sample of distinct vectors that the principal dimensions are taken from; links do not depend on it.
@@ -226,9 +226,9 @@ def embedding_groups(embeddings: DataFrame, threshold: float = 0.95, id_col: str
     axes = principal_dimensions([r["unit"] for r in sample.select("unit").limit(2 * FIT_ROWS).collect()], GRID_DIMS)
     if axes.shape[1] < GRID_DIMS:
         axes = np.pad(axes, ((0, 0), (0, GRID_DIMS - axes.shape[1])))
-    in_order = numbered(distinct.select("digest", F.struct("rep_id", "n").alias("rep"), "unit").mapInArrow(
+    in_order = number_rows(distinct.select("digest", F.struct("rep_id", "n").alias("rep"), "unit").mapInArrow(
         _grid(axes, eps), "digest binary, rep struct<rep_id: bigint, n: bigint>, unit binary, length int, cells array<int>"),
-        [F.col("length"), F.col("cells"), F.col("digest")], "ego_order", "pos")
+        ["length", "cells", "digest"], "pos", "ego_order")
     each = max(LEAF, interval_bytes // max(size["bytes"] or 8, 8))
     placed = materialize(in_order.select("pos", F.floor(F.col("pos") / each).alias("block"), "digest", "rep.*", "unit"), "ego_placed")
     packed = materialize(placed.select("pos", "block", "n", "unit").groupBy("block").applyInPandas(_pack(axes), PACKED), "ego_intervals")
@@ -242,7 +242,7 @@ def embedding_groups(embeddings: DataFrame, threshold: float = 0.95, id_col: str
             .join(members.withColumnRenamed("vertex", "pos"), "pos", "left")
             .withColumn("component", F.coalesce("component", "pos")))
     reps = materialize(reps, "ego_reps")
-    least = reps.groupBy("component").agg(F.min("rep_id").alias("component_id"))
+    least = materialize(reps.groupBy("component").agg(F.min("rep_id").alias("component_id")), "ego_components")
     reps = reps.join(least, "component").select(
         "digest", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id")
     out = keyed.select("vec_id", "digest").join(reps, "digest", "left").select(

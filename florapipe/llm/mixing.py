@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from florapipe.llm.common import numbered
+from florapipe.operators.numbering import number_rows
 from florapipe.session import materialize
 
 #: Weights by source in code point order, repeating; no target above so many times its source.
@@ -63,7 +63,7 @@ def plan_mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = M
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     order = [F.col("source").isNull(), F.col("source")]
     by_place = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
-    sources = materialize(numbered(sources, order, "mix_sources", "place").withColumn("weight", by_place), "mix_weights")
+    sources = materialize(number_rows(sources, order, "place", "mix_sources").withColumn("weight", by_place), "mix_weights")
     rate = F.least(F.try_divide("target", "source_size"), F.lit(float(most)))
     rates = (_targets(sources, most).withColumn("rate", F.coalesce(rate, F.lit(0.0)))
              .withColumn("whole", F.floor("rate")).withColumn("fraction", F.col("rate") - F.col("whole")))

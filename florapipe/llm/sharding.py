@@ -18,7 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from florapipe.llm.common import UID, identified, numbered
+from florapipe.llm.common import UID, identified
+from florapipe.operators.numbering import number_rows
 from florapipe.session import materialize
 
 LAW = "rows"
@@ -87,7 +88,9 @@ def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: s
     base = identified(docs, id_col, text_col, (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("bigint").alias("size"),
                       F.coalesce(F.crc32(text.cast("binary")), F.lit(0).cast("bigint")).alias("text_crc32"),
                       F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"), name="shard_docs").drop("text_hash")
-    groups = base.filter("digest is not null").groupBy("digest").agg(F.count("*").alias("group_size")).filter("group_size > 1")
+    # a written table, so that both sides of the join below are dealt out anew and a hot digest can be split
+    groups = materialize(base.filter("digest is not null").groupBy("digest").agg(F.count("*").alias("group_size"))
+                         .filter("group_size > 1"), "shard_groups")
     base = materialize(base.join(groups, "digest", "left")
                        .withColumn("group_size", F.coalesce("group_size", F.lit(1).cast("bigint"))), "shard_grouped")
     rows = base.count()
@@ -109,7 +112,7 @@ def _settle(linked: DataFrame, single: DataFrame, shards: int, rows: int) -> Dat
     """Exact quotas: each shard keeps its first linked documents, the others and the single ones fill what is left."""
     quota = [rows // shards + (s < rows % shards) for s in range(shards)]
     columns = ["doc_id", "size", "text_crc32", "group_size"]
-    placed = materialize(numbered(linked, [F.col("shard"), F.col("digest"), F.col(UID)], "shard_linked", "at"), "shard_placed")
+    placed = materialize(number_rows(linked, ["shard", "digest", UID], "at", "shard_linked"), "shard_placed")
     loads = {r["shard"]: r["n"] for r in placed.groupBy("shard").agg(F.count("*").alias("n")).collect()}  # a row per shard
     starts, kept, gaps = [], [], []
     for s in range(shards):
@@ -123,9 +126,9 @@ def _settle(linked: DataFrame, single: DataFrame, shards: int, rows: int) -> Dat
     slot = F.col("at") - of(starts, F.col("shard"))
     stay = placed.withColumn("slot", slot).filter(F.col("slot") < of(kept, F.col("shard")))
     over = placed.filter(slot >= of(kept, F.col("shard"))).select(*columns, "digest", UID)
-    over = numbered(over, [F.col("digest"), F.col(UID)], "shard_over", "i")
+    over = number_rows(over, ["digest", UID], "i", "shard_over")
     spare = sum(loads.values()) - sum(kept)
-    rest = numbered(single.select(*columns, "digest", UID), None, "shard_single", "i").withColumn("i", F.col("i") + spare)
+    rest = number_rows(single.select(*columns, "digest", UID), None, "i", "shard_single").withColumn("i", F.col("i") + spare)
     # the last shard whose gap begins at or before i; shards without a gap begin where the next one does
     to = F.size(F.filter(F.array(*[F.lit(g).cast("bigint") for g in gaps]), lambda g: g <= F.col("i"))) - 1
     filled = over.unionByName(rest).withColumn("shard", to).withColumn(

@@ -127,7 +127,8 @@ def _classes(prints: DataFrame, bits: int, segments: int) -> DataFrame:
     members = connected_components(near_links(classes.select("fp"), bits, segments))
     classes = classes.join(members, classes["fp"] == members["vertex"], "left").select(
         "fp", "best", F.coalesce("component", "fp").alias("component"))
-    keep = classes.groupBy("component").agg(F.min("best").alias("keep"))
+    classes = materialize(classes, "simhash_classes")
+    keep = materialize(classes.groupBy("component").agg(F.min("best").alias("keep")), "simhash_components")
     return classes.join(keep, "component").select("fp", F.col("keep.doc_id").alias("component_id"),
                                                   F.col(f"keep.{UID}").alias("keep_uid"))
 
