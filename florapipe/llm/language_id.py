@@ -25,7 +25,10 @@ UNDETERMINED = "und"
 
 #: Bounded sample of the labelled rows: per language at most so many excerpts, of at most so many characters.
 EXCERPTS = 512
-EXCERPT_CHARS = 64
+EXCERPT_CHARS = 512
+#: A dictionary's characters: of each excerpt so much is used that they fill it, in pieces that are judged apart.
+DICTIONARY_CHARS = 32_768
+PIECE_CHARS = 64
 #: Bytes of a text that are compressed together, and zstandard's level.
 BLOCK_BYTES = 1024
 LEVEL = 11
@@ -68,11 +71,14 @@ def letters(text: str) -> bytes:
 def dictionaries(excerpts: dict[str, list[str]]) -> dict[str, bytes]:
     """Raw dictionary content per language.
 
-    An excerpt in another language (a quoted passage, a wrong label) would
-    draw that language's documents: each half of the excerpts is judged by
-    dictionaries of the other half, and those that compress better elsewhere
+    A piece in another language (a quoted passage, a wrong label) would draw
+    that language's documents: each half of the excerpts is judged by
+    dictionaries of the other half, and pieces that compress better elsewhere
     are left out, unless that would take more than half of a language."""
-    parts = {lang: [letters(e) for e in sorted(texts)] for lang, texts in excerpts.items()}
+    parts = {}
+    for lang, texts in excerpts.items():
+        share = max(1, DICTIONARY_CHARS // (len(texts) * PIECE_CHARS)) * PIECE_CHARS
+        parts[lang] = [letters(e[i:i + PIECE_CHARS]) for i in range(0, share, PIECE_CHARS) for e in sorted(texts) if i < len(e)]
     halves = [Classifier({lang: b"".join(p[i::2]) for lang, p in parts.items()}) for i in (0, 1)]
     out = {}
     for lang, p in parts.items():

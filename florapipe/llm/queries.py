@@ -88,7 +88,7 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_language_id")
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
     dictionaries = train(docs.filter(~held_out), F.col("text"), F.col("lang"))
     found = identify_language(docs.select("doc_id", "text"), dictionaries)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", (~F.col("accepted")).alias("rejected"))
