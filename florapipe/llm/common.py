@@ -59,8 +59,10 @@ def keep_rows(docs: DataFrame, judged: DataFrame, id_col: str, text_col: str) ->
 
 
 def per_worker(key: tuple, make: Callable[[], Any]) -> Any:
-    """What ``make`` returns, kept for later tasks of the same Python worker, which Spark reuses."""
+    """What ``make`` returns, kept for later tasks of the same Python worker, which Spark reuses.
+    A worker keeps one such thing, the last one asked for."""
     memo = sys.__dict__.setdefault("_florapipe_worker_memo", {})
     if key not in memo:
+        memo.clear()
         memo[key] = make()
     return memo[key]

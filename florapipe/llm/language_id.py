@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,6 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from florapipe.llm.common import per_worker
 
 UNDETERMINED = "und"
 
@@ -122,9 +124,14 @@ class Classifier:
         return self.languages[order[0]], score, wide
 
 
+def _model(dictionaries: dict[str, bytes], block_bytes: int, margin: float) -> Classifier:
+    key = ("language", block_bytes, margin, *((lang, zlib.crc32(d)) for lang, d in sorted(dictionaries.items())))
+    return per_worker(key, lambda: Classifier(dictionaries, block_bytes, margin=margin))
+
+
 def _decide(dictionaries: dict[str, bytes], block_bytes: int, margin: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Classifier(dictionaries, block_bytes, margin=margin)
+        model = _model(dictionaries, block_bytes, margin)
         for batch in batches:
             out = [model.decide(t.as_py()) for t in batch.column(1)]
             lang, score, accepted = zip(*out) if out else ((), (), ())
@@ -153,7 +160,7 @@ def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], text_col: s
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Classifier(dictionaries, block_bytes, margin=margin)
+        model = _model(dictionaries, block_bytes, margin)
         for batch in batches:
             for start in range(0, batch.num_rows, OUT_ROWS):        # small batches back, not a second copy of a large one
                 part = batch.slice(start, OUT_ROWS)

@@ -52,7 +52,7 @@ class WordTokens:
 
     STEP = re.compile(rb"(?<=[a-z0-9])(?=[!-&(-/:-@\[-`{-~])")
     #: Bytes of text looked up together, and words encoded together.
-    CHUNK, BATCH = 1 << 21, 2_000
+    CHUNK, BATCH = 1 << 20, 2_000
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS, separator: str = "<|endoftext|>"):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
