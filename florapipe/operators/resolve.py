@@ -45,12 +45,16 @@ def resolve_accepted_name(names: DataFrame, matches: DataFrame, name_col: str,
 def preferred_label(labels: DataFrame, keys: Sequence[str], lang: str, label: str, pos: str,
                     preferred: str = "eng", out: str = "label") -> DataFrame:
     """Per key the first label in the preferred language, else the first
-    label by position; a hit without text gives "".  One partial aggregate;
-    a NULL language is simply "not preferred"."""
-    rank = F.struct((~F.col(lang).eqNullSafe(preferred)).alias("_np"), F.col(pos).alias("_p"))
-    return (labels.groupBy(*keys)
-            .agg(F.min_by(F.struct(F.col(pos).alias(pos), F.col(label).alias(out)), rank).alias("_b"))
-            .select(*keys, F.col(f"_b.{pos}").alias(pos), F.coalesce(F.col(f"_b.{out}"), F.lit("")).alias(out)))
+    label by position (unique within a key); a hit without text gives "".  The
+    aggregate carries positions, the labels of the winners are joined back; a
+    NULL language is simply "not preferred"."""
+    rank = F.struct((~F.col(lang).eqNullSafe(preferred)).alias("np"), F.col(pos).alias("p"))
+    best = labels.groupBy(*keys).agg(F.min(rank).alias("_b"))
+    best = best.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b.p").alias("_p"))
+    same = F.col(pos).eqNullSafe(F.col("_p"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return labels.join(best, same).select(*keys, pos, F.coalesce(F.col(label), F.lit("")).alias(out))
 
 
 def candidate_keys(name: Column | str, rules: Sequence[str] = ("name", "dash", "first_word")) -> Column:
