@@ -25,6 +25,8 @@ from florapipe.llm.components import connected_components
 from florapipe.session import materialize
 
 BLOCK = 100_000
+#: A segment value of more fingerprints than a ball has points is linked through ball points instead of pairs.
+DENSE = 64
 
 
 def simhash(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
@@ -82,7 +84,7 @@ def _ball(value: Column, masks: list[int]) -> Column:
     return F.filter(changed, lambda x: x >= value)
 
 
-def near_links(distinct: DataFrame, bits: int = 2, segments: int = 2, dense: int = 1_000) -> DataFrame:
+def near_links(distinct: DataFrame, bits: int = 2, segments: int = 2, dense: int = DENSE) -> DataFrame:
     """Edges ``(a, b)`` between the distinct fingerprints ``fp`` whose components are those of all
     pairs within ``bits``.
 
