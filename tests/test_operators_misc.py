@@ -99,3 +99,12 @@ def test_source_share_flags_wiki(spark):
     out = {r["source"]: (r["n"], round(r["share_pct"], 3), r["licence_risk"])
            for r in audit.source_share(df).collect()}
     assert out == {"wiki": (3, 75.0, True), "inat": (1, 25.0, False)}
+
+
+def test_accepted_species_of_a_dataset(spark):
+    t = spark.createDataFrame([(1, "SPECIES", "ACCEPTED", "d1", "o1"), (2, "SPECIES", "ACCEPTED", "d2", "o1"),
+                               (3, "SPECIES", "SYNONYM", "d1", "o1"), (4, "SPECIES", "ACCEPTED", "d1", "o2")],
+                              "key int, rank string, status string, dataset_key string, order_key string")
+    assert rows(en.accepted_species(t, ["o1"], dataset="d1"), "key") == [(1,)]
+    orders = spark.createDataFrame([("o2",)], "order_key string")
+    assert rows(en.accepted_species(t, orders, dataset="d1"), "key") == [(4,)]
