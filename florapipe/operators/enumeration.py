@@ -38,12 +38,14 @@ BATCH_ORDERS = {
     8: ["Brassicales", "Sapindales", "Malvales"],
     9: ["Magnoliales", "Ranunculales", "Caryophyllales"],
 }
+SAMPLE_ONLY = (1, "Dipsacales")   # listed by the sample build alone
 # ---------------------------------------------------------------------------
 
 
-def order_dimension(spark) -> DataFrame:
-    """The (batch, order name) dimension of the fixed values above, in their order."""
-    rows = [(b, n) for b, names in BATCH_ORDERS.items() for n in names]
+def order_dimension(spark, sample: bool = False) -> DataFrame:
+    """The (batch, order name) dimension of the fixed values above; ``sample``
+    adds the order that only the sample build lists."""
+    rows = [(b, n) for b, names in BATCH_ORDERS.items() for n in names] + [SAMPLE_ONLY] * sample
     return spark.createDataFrame(rows, "batch int, order_name string")
 
 

@@ -70,9 +70,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+#: Scratch folders handed out by this process, for :func:`clear_scratch`.
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint location."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this process made, once no DataFrame that
+    reads them is needed any more (the caller knows).  Returns how many."""
+    n = len(_SCRATCH)
+    while _SCRATCH:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return n
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -106,3 +106,13 @@ def test_scratch_folder_is_required_on_a_cluster(spark, monkeypatch):
                 return default
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(Session())
+
+
+def test_scratch_is_cleared_on_request(spark, monkeypatch):
+    from florapipe import session
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    df = session.materialize(spark.range(5), "gone")
+    path = session._SCRATCH[0]
+    assert df.count() == 5 and session.clear_scratch(spark) == 1
+    assert not store.exists(spark, path)
+    assert session.clear_scratch(spark) == 0
