@@ -44,7 +44,7 @@ BAD_NAMES = {"ad", "ads", "adbox", "adsense", "advert", "adverts", "advertisemen
              "replies", "respond", "responses", "search", "share", "sharing", "sidebar", "sidenav", "signup", "sitemap",
              "signin", "register", "subscription", "feedback", "discussion", "teaser", "teasers", "notices",
              "notification", "notifications", "paywall", "donate", "legal", "colophon", "crumbs", "adslot", "adunit",
-             "adbanner", "skip", "skyscraper", "social", "sponsor", "sponsors", "sponsored", "subscribe", "toc", "toolbar",
+             "adbanner", "rail", "popular", "trending", "offer", "offers", "poll", "skip", "skyscraper", "social", "sponsor", "sponsors", "sponsored", "subscribe", "toc", "toolbar",
              "topbar", "widget", "widgets"}
 BAD_STARTS = ("advert", "breadcrumb", "comment", "cookie", "navig", "newsletter", "sidebar", "sponsor")
 GOOD_NAMES = {"article", "articlebody", "body", "content", "entry", "main", "post", "story", "text"}
@@ -61,6 +61,8 @@ ENDS = re.compile(r"[.!?…。][\"'»”)\]]*\s*$")
 NAME_WEIGHT, GOOD_WEIGHT, ROLE_WEIGHT = -8.0, 1.5, -8.0
 #: An element with so much evidence against it takes no credit from what it stands in.
 AGAINST = -3.0
+#: Elements that an article inside one shows to be unclosed, or to wrap the page.
+WRAPPERS = {"nav", "menu", "header", "form"}
 #: Smoothness: neighbours under one parent, neighbours elsewhere by common depth, and the next block of one parent.
 SIBLINGS, NEAR, FAR = 2.0, 0.6, 0.15
 SCALE = 100
@@ -68,12 +70,14 @@ SCALE = 100
 
 class _Node:
     """An open element: its name, the evidence of it and its ancestors, and its place."""
-    __slots__ = ("tag", "weight", "parent", "depth")
+    __slots__ = ("tag", "weight", "parent", "depth", "certain")
 
     def __init__(self, tag: str, weight: float, parent: _Node | None):
         self.tag, self.parent = tag, parent
-        above = parent.weight if parent else 0.0
-        if tag == "main":                          # the one main part of a page, whatever wraps it
+        above, certain = (parent.weight, parent.certain) if parent else (0.0, False)
+        # boilerplate above it that no unclosed or wrapping element explains
+        self.certain = certain or weight <= AGAINST and not (tag in WRAPPERS and weight == TAG_WEIGHT[tag])
+        if tag == "main" or tag == "article" and not certain:
             above = max(above, 0.0)
         elif weight <= AGAINST:                    # boilerplate inside an article is still boilerplate
             above = min(above, 0.0)

@@ -26,6 +26,17 @@ def test_a_page():
         "Another linked paragraph, unclosed", "one item", "two items"]
 
 
+def test_other_layouts():
+    long = "A paragraph with a number of words in it, and a sentence."
+    page = f"""<body><div id="header"><a href="/">Logo</a></div><div id="content"><h1>T</h1><p>{long}</p><p>Er.</p>
+    <div class="share-buttons"><a href="x">Share</a></div><p>{long}</p><div id="comments"><article class="comment"><p>{long}</p></article></div></div>
+    <div class="right-rail"><p>{long}</p></div><div id="footer"><p>{long}</p></div></body>"""
+    assert main_text(page).split("\n") == ["T", long, "Er.", long]
+    assert main_text(f"<body><form><main><h1>T</h1><p>{long}</p></main></form></body>").split("\n") == ["T", long]
+    assert main_text(f"<nav><ul><li><a href=1>One<li><a href=2>Two</ul><article><h1>T<p>{long}").split("\n") == ["T", long]
+    assert main_text(f"<section id=comments><article><p>{long}</p></article></section><article><p>Hi.</p></article>") == "Hi."
+
+
 def reference(page):
     """The article's blocks, for the tables' one page form."""
     article = re.search(r"<article>(.*?)</article>", page, re.S)[1]
