@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -70,17 +71,29 @@ def letters(text: str) -> bytes:
     return NOT_LETTERS.sub(" ", text.lower()).encode("utf-8", "replace")
 
 
+def _sequences(piece: bytes) -> list[tuple]:
+    words = piece.split()[1:-1]          # whole words
+    return list(zip(words, words[1:], words[2:]))
+
+
 def dictionaries(excerpts: dict[str, list[str]]) -> dict[str, bytes]:
     """Raw dictionary content per language.
 
     A piece in another language (a quoted passage, a wrong label) would draw
-    that language's documents: each half of the excerpts is judged by
-    dictionaries of the other half, and pieces that compress better elsewhere
-    are left out, unless that would take more than half of a language."""
+    that language's documents.  Pieces whose word sequences stand in several
+    languages' excerpts are passages that documents share and are left out;
+    then each half of the excerpts is judged by dictionaries of the other half,
+    and pieces that compress better elsewhere are left out too.  Neither rule
+    takes more than half of a language."""
     parts = {}
     for lang, texts in excerpts.items():
         share = max(1, DICTIONARY_CHARS // (len(texts) * PIECE_CHARS)) * PIECE_CHARS
         parts[lang] = [letters(e[i:i + PIECE_CHARS]) for i in range(0, share, PIECE_CHARS) for e in sorted(texts) if i < len(e)]
+    sequences = {lang: {t for e in p for t in _sequences(e)} for lang, p in parts.items()}
+    where = Counter(t for seen in sequences.values() for t in seen)
+    for lang, p in parts.items():
+        own = [e for e in p if 2 * sum(where[t] > 1 for t in _sequences(e)) <= len(_sequences(e))]
+        parts[lang] = own if 2 * len(own) >= len(p) else p
     halves = [Classifier({lang: b"".join(p[i::2]) for lang, p in parts.items()}) for i in (0, 1)]
     out = {}
     for lang, p in parts.items():
