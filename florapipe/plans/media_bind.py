@@ -9,6 +9,7 @@ from florapipe.operators import media
 from florapipe.operators.responses import first_page
 from florapipe.plans.landing import with_repeats
 from florapipe.plans.registry import query
+from florapipe.session import materialize
 from florapipe.sources.tables import table
 
 
@@ -176,10 +177,16 @@ IMAGEINFO_TYPE = ("array<struct<url:string,width:int,height:int,extmetadata:stru
                   "ImageDescription:struct<value:string>,Categories:struct<value:string>>>>")
 
 
-def _page_landing(spark, d):
-    pages = table(spark, d, "pages")
+def landed_links(spark, d):
+    """Each page's link targets, taken from the html once and written."""
+    return materialize(table(spark, d, "pages").select("page_id", F.regexp_extract_all("html", F.lit(HREF), 1).alias("hrefs")),
+                       "landed_links")
+
+
+def _page_landing(spark, d, pages=None):
+    pages = landed_links(spark, d) if pages is None else pages
     pid = F.col("page_id")
-    hrefs = F.regexp_extract_all("html", F.lit(HREF), 1)
+    hrefs = F.col("hrefs")
     ents = pages.select("page_id", F.concat(F.lit("Page "), pid.cast("string")).alias("name"))
     page_images = pages.select(
         F.concat(F.lit("Page_"), pid.cast("string")).alias("title"),
@@ -316,14 +323,13 @@ SELECT t.page_id,
 FROM titled t LEFT JOIN ranked k USING (page_id)
 """)
 def q_search_media(spark, d):
-    ents, _, _, image_info = _page_landing(spark, d)
-    pages = table(spark, d, "pages")
+    pages = landed_links(spark, d)
+    ents, _, _, image_info = _page_landing(spark, d, pages)
     pid = F.col("page_id")
     file_search = pages.select(
         F.concat(F.lit("Page "), pid.cast("string")).alias("srsearch"), F.lit(6).alias("namespace"),
         F.when(pid % 7 == 0, F.lit(404)).otherwise(F.lit(200)).alias("http_status"),
-        F.transform(F.regexp_extract_all("html", F.lit(HREF), 1),
-                    lambda h: F.struct(F.concat(F.lit("File:"), h).alias("title"))).alias("results"))
+        F.transform("hrefs", lambda h: F.struct(F.concat(F.lit("File:"), h).alias("title"))).alias("results"))
     file_search = with_repeats(file_search, ["srsearch"])
     out = media.search_media(ents, "page_id", "name", file_search, image_info)
     return out.select("page_id", "wiki_status", F.array_join("wiki_images", "|").alias("wiki_images"))

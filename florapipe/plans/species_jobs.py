@@ -30,7 +30,7 @@ from florapipe.operators.resolve import best_match, resolve_accepted_name, top_t
 from florapipe.operators.responses import one_response
 from florapipe.operators.text import MIN_TEXT_LEN, flag_text_quality, text_fallback
 from florapipe.plans.landing import capitalized, with_repeats
-from florapipe.plans.media_bind import HREF, PAGE_SQL, RANK_TAIL_SQL, TIERS_SQL, _page_landing, landed_observations
+from florapipe.plans.media_bind import PAGE_SQL, RANK_TAIL_SQL, TIERS_SQL, _page_landing, landed_links, landed_observations
 from florapipe.plans.registry import query
 from florapipe.plans.resolution import landed_name_matches, landed_taxa_search
 from florapipe.plans.text_bind import TEXT_CHAIN_SQL, TEXT_SQL, text_landing
@@ -76,8 +76,9 @@ def landed_page_images(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
     7 answered 404); its search finds the name of the part after its lowest
     one (keys divisible by 5 failed)."""
     part = table(spark, d, "part").select("p_partkey", capitalized("p_name").alias("name"))
-    pages = table(spark, d, "pages").select("page_id", F.transform(
-        F.regexp_extract_all("html", F.lit(HREF), 1), lambda h: F.struct(F.concat(F.lit("File:"), h).alias("title"))).alias("images"))
+    links = landed_links(spark, d)
+    pages = links.select("page_id", F.transform(
+        "hrefs", lambda h: F.struct(F.concat(F.lit("File:"), h).alias("title"))).alias("images"))
     first = (pages.select("page_id").join(part, F.col("page_id") == F.col("p_partkey"))
              .groupBy("name").agg(F.min("page_id").alias("page_id")))
     k = F.col("page_id")
@@ -89,7 +90,7 @@ def landed_page_images(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
         F.col("name").alias("srsearch"),
         F.when(F.col("k") % 5 != 0, F.lit(200)).alias("http_status"),
         F.array(F.struct(F.col("top").alias("title"))).alias("results"))
-    return with_repeats(page_images, ["title"]), with_repeats(searches, ["srsearch"]), _page_landing(spark, d)[3]
+    return with_repeats(page_images, ["title"]), with_repeats(searches, ["srsearch"]), _page_landing(spark, d, links)[3]
 
 
 def extract_species(spark, d, limit: int | None = None) -> DataFrame:

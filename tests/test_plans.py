@@ -84,6 +84,7 @@ def test_page_media_scores_once(spark):
     # the scored images are ranked and counted in one pass: their join is in the plan once
     p = _plan_with_text(spark, "page_media")
     assert len(re.findall(r"Generate posexplode", p)) == 1
+    assert "html" not in p                       # taken apart once, in the landing
 
 
 def test_merge_scans_its_input_twice_at_most(spark):
