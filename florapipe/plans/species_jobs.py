@@ -290,8 +290,9 @@ def load_species(spark: SparkSession, records: DataFrame, parent_path: str, chil
                             first_present=["_inat", "_wiki"])
     merged = merged.withColumn("primary_image_url", F.coalesce("_inat", "_wiki"))
     merged = materialize(merged.filter(is_valid_species_name("scientific_name")), "load_merged")
-    store.upsert_into(spark, parent_path, to_species_rows(merged).withColumn("_seq", F.lit(0)), ["scientific_name"], "_seq")
-    parent = store.read_table(spark, parent_path)
+    species = to_species_rows(merged)
+    store.upsert_into(spark, parent_path, species.withColumn("_seq", F.lit(0)), ["scientific_name"], "_seq")
+    parent = _table(spark, parent_path, species.withColumn("id", F.lit(0).cast("bigint")))
     store.check_ids(parent)
 
     listed = F.concat(_listed("inat_research_images", "inat"), _listed("wiki_images", "wiki"))
@@ -299,7 +300,7 @@ def load_species(spark: SparkSession, records: DataFrame, parent_path: str, chil
     images = store.lookup_ids(images, parent, ["scientific_name"]).withColumnRenamed("id", "species_id")
     child = explode_media_rows(images, "species_id", "image_url", "source", ["row_id", "i"])
     store.insert_into(spark, child_path, child, ["species_id", "image_url"], ["image_order"])
-    child = store.read_table(spark, child_path)
+    child = _table(spark, child_path, child)
     loaded = rows.select("scientific_name", F.floor(F.col("row_id") / chunk_rows).alias("_c"),
                          (F.size("inat_research_images") + F.size("wiki_images")).alias("_n"))
     return {"parent": parent.drop(store.BUCKET), "child": child.drop(store.BUCKET),
@@ -308,6 +309,12 @@ def load_species(spark: SparkSession, records: DataFrame, parent_path: str, chil
             "counts": store.table_counts({"species": parent, "species_images": child})}
 
 
+def _table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """A stored table, or an empty one of the same columns before its first row."""
+    stored = store.read_table(spark, path)
+    return like.limit(0).withColumn(store.BUCKET, F.lit(0)) if stored is None else stored
+
+
 def _listed(c: str, source: str):
     return F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")),
                        lambda u, i: F.struct(u.alias("image_url"), F.lit(source).alias("source"), i.alias("i")))

@@ -187,6 +187,8 @@ def insert_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequenc
     if target is not None:
         target = target.filter(F.col(BUCKET).isin(_touched(batch)))
     new = materialize(insert_new(target, batch, keys, order), "insert_new")
+    if new.isEmpty():
+        return
     new.repartition(BUCKET).write.mode("append").partitionBy(BUCKET).parquet(path)
 
 

@@ -95,6 +95,16 @@ def test_first_row_is_the_first_in_the_listing(spark, full_records, tmp_path):
         ("u0", 0, True), ("u1", 1, False)]
 
 
+def test_loading_nothing(spark, full_records, tmp_path):
+    out = J.load_species(spark, full_records.limit(0), str(tmp_path / "p"), str(tmp_path / "c"))
+    assert out["parent"].count() == out["child"].count() == out["metrics"].count() == 0
+    assert sorted(r["n_rows"] for r in out["counts"].collect()) == [0, 0]
+    bare = full_records.withColumn("wiki_images", F.array().cast("array<string>")).withColumn(
+        "inat_research_images", F.array().cast("array<string>"))
+    out = J.load_species(spark, bare, str(tmp_path / "p"), str(tmp_path / "c"))
+    assert out["parent"].count() > 0 and out["child"].count() == 0
+
+
 def test_audit_and_sample(spark, full_records, sql):
     columns, want = sql("audit_species")
     got = J.audit_species(full_records).withColumn("image_coverage_pct", F.round("image_coverage_pct", 6))
