@@ -30,8 +30,10 @@ from florapipe.llm.components import connected_components
 from florapipe.operators.numbering import number_rows
 from florapipe.session import materialize
 
-#: Bounded sample of distinct vectors that the principal dimensions are taken from; links do not depend on it.
+#: Bounded sample of distinct vectors, in number and bytes, that the principal dimensions are taken from; links do
+#: not depend on it.
 FIT_ROWS = 2_000
+FIT_BYTES = 1 << 25
 GRID_DIMS = 8
 #: Bytes of vectors in an interval, and vectors in the smallest part of one.
 INTERVAL_BYTES = 1 << 20
@@ -221,9 +223,10 @@ def embedding_groups(embeddings: DataFrame, threshold: float = 0.95, id_col: str
     distinct = materialize(keyed.filter("digest is not null").groupBy("digest").agg(
         F.min("vec_id").alias("rep_id"), F.count("*").alias("n"), F.first("unit").alias("unit")), "ego_distinct")
     size = distinct.agg(F.count("*").alias("n"), F.max(F.octet_length("unit")).alias("bytes")).first()
-    share = min(1.0, FIT_ROWS / max(size["n"], 1))
+    fit_rows = max(GRID_DIMS, min(FIT_ROWS, FIT_BYTES // max(size["bytes"] or 8, 8)))
+    share = min(1.0, fit_rows / max(size["n"], 1))
     sample = distinct.filter(F.pmod(F.xxhash64("digest"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
-    axes = principal_dimensions([r["unit"] for r in sample.select("unit").limit(2 * FIT_ROWS).collect()], GRID_DIMS)
+    axes = principal_dimensions([r["unit"] for r in sample.select("unit").limit(2 * fit_rows).collect()], GRID_DIMS)
     if axes.shape[1] < GRID_DIMS:
         axes = np.pad(axes, ((0, 0), (0, GRID_DIMS - axes.shape[1])))
     in_order = number_rows(distinct.select("digest", F.struct("rep_id", "n").alias("rep"), "unit").mapInArrow(
