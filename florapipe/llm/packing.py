@@ -19,6 +19,7 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -81,8 +82,9 @@ class WordTokens:
         distinct = set().union(*(w for w in words if w))
         missing = distinct - self.known.keys()
         if len(self.known) + len(missing) > self.cache_words:
-            self.known.clear()
-            missing = distinct
+            # the words met first are the frequent ones: that half stays
+            self.known = dict(islice(self.known.items(), self.cache_words // 2))
+            missing = distinct - self.known.keys()
         self._learn(missing)
         get = self.known.__getitem__
         for t, w in zip(texts, words):
@@ -115,7 +117,8 @@ class WordTokens:
                 known[w] = data[start + 4:end]
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        # the fast form gives the same ids without their places in the text
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
 
 def best_fit(sizes: list[tuple[int, int]], capacity: int) -> tuple[list[tuple], list[list]]:
