@@ -48,6 +48,18 @@ BAD_NAMES = {"ad", "ads", "adbox", "adsense", "advert", "adverts", "advertisemen
              "topbar", "widget", "widgets"}
 BAD_STARTS = ("advert", "breadcrumb", "comment", "cookie", "navig", "newsletter", "sidebar", "sponsor")
 GOOD_NAMES = {"article", "articlebody", "body", "content", "entry", "main", "post", "story", "text"}
+#: Of the bad names those that are no topics; in the id of an article's part, beside no other words than names of layout.
+SITE_NAMES = {"ad", "adbanner", "adbox", "ads", "adsense", "adslot", "adunit", "advert", "adverts", "breadcrumb", "breadcrumbs",
+              "colophon", "comment", "commentlist", "comments", "consent", "cookie", "crumbs", "disqus", "gdpr", "masthead",
+              "menubar", "nav", "navbar", "newsletter", "pager", "pagination", "paywall", "promo", "promoted", "share", "sidebar",
+              "sidenav", "signin", "signup", "sitemap", "skyscraper", "sponsored", "subscribe", "teaser", "teasers", "toc",
+              "topbar"}
+LAYOUT = {"area", "bar", "block", "bottom", "box", "btn", "button", "buttons", "col", "column", "container", "div", "id", "inner",
+          "item", "items", "left", "link", "links", "list", "outer", "page", "panel", "post", "right", "section", "site", "thread",
+          "top", "wrap", "wrapper"}
+#: Elements whose ids name parts of a page; other ids are anchors.
+CONTAINERS = {"article", "aside", "center", "details", "dialog", "div", "dl", "fieldset", "footer", "form", "header", "main", "menu",
+              "nav", "ol", "search", "section", "table", "ul"}
 BAD_ROLES = {"alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar",
              "navigation", "note", "search", "toolbar"}
 
@@ -58,7 +70,12 @@ NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 ENDS = re.compile(r"[.!?…。][\"'»”)\]]*\s*$")
 
-NAME_WEIGHT, GOOD_WEIGHT, ROLE_WEIGHT = -8.0, 1.5, -8.0
+NAME_WEIGHT, ID_WEIGHT, GOOD_WEIGHT, ROLE_WEIGHT = -8.0, -5.0, 1.5, -8.0
+#: What bears out a name that may be a topic: so much of the text in links, or a form field for so many characters.
+LINKED, FIELD_CHARS = 0.5, 200
+#: A reader's comment, by id or by name.
+REPLY_ID = re.compile(r"(?:comment|reply|response)[-_]?\d+", re.I)
+REPLIES = {"comment", "comments", "commentlist", "replies", "reply"}
 #: An element with so much evidence against it takes no credit from what it stands in.
 AGAINST = -3.0
 #: Elements that an article inside one shows to be unclosed, or to wrap the page.
@@ -69,12 +86,32 @@ SCALE = 100
 
 
 class _Node:
-    """An open element: its name, the evidence of it and its ancestors, and its place."""
-    __slots__ = ("tag", "weight", "parent", "depth", "certain")
+    """An open element: its name, its own evidence, its place, and what it holds (characters, those in links, form
+    fields, comments).  ``doubtful``: its id has a bad name that may be a topic, too."""
+    __slots__ = ("tag", "own", "doubtful", "reply", "parent", "depth", "inside", "chars", "linked", "fields", "replies", "weight",
+                 "certain")
 
-    def __init__(self, tag: str, weight: float, parent: _Node | None):
-        self.tag, self.parent = tag, parent
-        above, certain = (parent.weight, parent.certain) if parent else (0.0, False)
+    def __init__(self, tag: str, parent: _Node | None, own: float = 0.0, doubtful: bool = False, reply: bool = False):
+        self.tag, self.parent, self.own, self.doubtful, self.reply = tag, parent, own, doubtful, reply
+        self.depth = parent.depth + 1 if parent else 0
+        self.inside = tag in ("article", "main") or parent is not None and parent.inside
+        self.chars = self.linked = self.fields = self.replies = 0
+        self.weight, self.certain = 0.0, False
+
+    def report(self) -> None:
+        """What it holds, its parent holds."""
+        up = self.parent
+        up.chars += self.chars
+        up.linked += self.linked
+        up.fields += self.fields
+        up.replies += self.replies + self.reply
+
+    def settle(self) -> None:
+        """The evidence of the element and its ancestors, of which it is the last to be settled."""
+        tag, weight = self.tag, self.own
+        if self.doubtful and (self.linked > LINKED * self.chars or self.chars <= FIELD_CHARS * self.fields or self.replies):
+            weight += NAME_WEIGHT
+        above, certain = self.parent.weight, self.parent.certain
         # boilerplate above it that no unclosed or wrapping element explains
         self.certain = certain or weight <= AGAINST and not (tag in WRAPPERS and weight == TAG_WEIGHT[tag])
         if tag == "main" or tag == "article" and not certain:
@@ -82,15 +119,15 @@ class _Node:
         elif weight <= AGAINST:                    # boilerplate inside an article is still boilerplate
             above = min(above, 0.0)
         self.weight = above + weight
-        self.depth = parent.depth + 1 if parent else 0
 
 
-def _weight(tag: str, attributes: str, in_article: bool) -> float:
-    w = TAG_WEIGHT.get(tag, 0.0)
+def _weight(tag: str, attributes: str, in_article: bool) -> tuple[float, bool, bool]:
+    """An element's own evidence, whether its id's name may be a topic as well, and whether it is a reader's comment."""
+    w, doubtful, reply = TAG_WEIGHT.get(tag, 0.0), False, in_article and tag == "article"
     if tag == "header" and in_article:
         w = -1.0
     if not attributes or attributes.isspace():
-        return w
+        return w, doubtful, reply
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and HIDDEN.search(value):
@@ -99,19 +136,29 @@ def _weight(tag: str, attributes: str, in_article: bool) -> float:
             w += ROLE_WEIGHT if value.lower() in BAD_ROLES else GOOD_WEIGHT if value.lower() in ("main", "article") else 0.0
         elif name in ("class", "id") and tag not in ("html", "body"):
             parts = {p.lower() for p in NAME.findall(value)}
+            reply = reply or (bool(REPLY_ID.fullmatch(value)) if name == "id" else not parts.isdisjoint(REPLIES))
+            part_of = in_article or tag in ("article", "main")
+            if part_of and (tag in HEADINGS or name == "id" and tag not in CONTAINERS):
+                continue                           # a name made from its text, or an anchor
             bad = {p for p in parts if p in BAD_NAMES or p.startswith(BAD_STARTS)}
             if bad == {"header"} and parts & GOOD_NAMES:      # the head of an entry, not of the site
                 w -= 1.0
+            elif bad and part_of and name == "id":
+                if bad & SITE_NAMES and parts <= BAD_NAMES | LAYOUT:
+                    w += NAME_WEIGHT if tag == "article" else ID_WEIGHT
+                else:
+                    doubtful = True
             elif bad:
                 w += NAME_WEIGHT
             elif parts & GOOD_NAMES:
                 w += GOOD_WEIGHT
-    return w
+    return w, doubtful, reply
 
 
 def blocks(page: str) -> list[tuple[str, float, _Node]]:
     """The text blocks in page order: text, evidence (above 0: content) and the element they stand in."""
-    root = _Node("", 0.0, None)
+    root = _Node("", None)
+    nodes: list[_Node] = []
     node, out, text, linked, in_link, at = root, [], [], 0, False, 0
 
     def flush() -> None:
@@ -120,7 +167,9 @@ def blocks(page: str) -> list[tuple[str, float, _Node]]:
             words = html.unescape("".join(text)).split()
             if words:
                 line = " ".join(words)
-                out.append((line, _evidence(line, len(words), min(1.0, linked / len(line)), node), node))
+                out.append((line, len(words), min(1.0, linked / len(line)), node))
+                node.chars += len(line)
+                node.linked += min(linked, len(line))
             text.clear()
         linked = 0
 
@@ -148,7 +197,10 @@ def blocks(page: str) -> list[tuple[str, float, _Node]]:
             add(" ")
         elif tag == "hr":
             flush()
+        elif tag == "input":
+            node.fields += "hidden" not in attributes.lower()
         elif tag in RAW:
+            node.fields += tag == "textarea" and not closing
             if not closing and not (tag in ("svg", "math") and attributes.endswith("/")):
                 end = re.compile(f"</{tag}(?=[\\s/>])[^>]*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
@@ -173,12 +225,16 @@ def blocks(page: str) -> list[tuple[str, float, _Node]]:
                     if up.tag == "p" or up.tag in closes or up.tag in HEADINGS and tag in HEADINGS:
                         node = up.parent
                     up = up.parent
-                inside, up = False, node
-                while up is not root and not inside:
-                    inside, up = up.tag in ("article", "main"), up.parent
-                node = _Node(tag, _weight(tag, attributes, inside), node)
+                node = _Node(tag, node, *_weight(tag, attributes, node.inside))
+                node.fields += tag == "select"
+                nodes.append(node)
     flush()
-    return out
+    if any(n.doubtful for n in nodes):
+        for n in reversed(nodes):                  # what stands in an element was opened after it
+            n.report()
+    for n in nodes:
+        n.settle()
+    return [(line, _evidence(line, words, links, n), n) for line, words, links, n in out]
 
 
 def _evidence(line: str, words: int, links: float, node: _Node) -> float:

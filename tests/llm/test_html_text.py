@@ -74,3 +74,31 @@ def test_minimum_cut_against_all_labellings(seed):
     def cost(keep):
         return sum(abs(e) for e, k in zip(evidence, keep) if (e > 0) != k and e) + sum(w for a, b, w in edges if keep[a] != keep[b])
     assert abs(cost(min_cut(evidence, edges)) - min(cost(k) for k in itertools.product((False, True), repeat=n))) < 1e-6
+
+
+LONG = "A paragraph with a number of words in it, and a sentence."
+
+
+def test_ids_made_from_headings():
+    ids = ["related-work", "search", "privacy", "navigating-the-city", "commentary", "discussion", "register-allocation", "popular-methods",
+           "legal", "ad-hoc-networks", "cookie-recipes", "menu", "header-files", "notices", "responses", "sharing-economy", "form"]
+    for i in ids:
+        for wrap in ("article", "main"):
+            page = f'<body><nav><a href="/">Home</a></nav><{wrap}><h1>T</h1><p>{LONG}</p><h2 id="{i}">A heading</h2><p>{LONG}</p></{wrap}></body>'
+            assert main_text(page).split("\n") == ["T", LONG, "A heading", LONG], i
+            for box in ("section", "div"):
+                page = f'<{wrap}><h1>T</h1><p>{LONG}</p><{box} id="{i}"><h2>A heading</h2><p>{LONG}</p><p id="{i}-2">{LONG}</p></{box}></{wrap}>'
+                assert main_text(page).split("\n") == ["T", LONG, "A heading", LONG, LONG], i
+        assert main_text(f'<article id="{i}"><h1>T</h1><p>{LONG}</p></article>').split("\n") == ["T", LONG]
+
+
+def test_parts_of_an_article_that_are_no_text():
+    link = '<li><a href="/x">Another article of this site that you may like</a></li>'
+    for part in (f'<div id="comments"><h2>Two comments</h2><p>{LONG}</p><p>{LONG * 8}</p></div>', f'<div id="advert-1"><p>{LONG}</p></div>',
+                 f'<section id="discussion"><h2>Discussion</h2><div class="comment"><p>{LONG}</p></div><p>{LONG}</p></section>',
+                 f'<ol id="responses"><li id="comment-7"><p>{LONG}</p></li></ol>', f'<div id="popular"><h2>Popular</h2><ul>{link * 4}</ul></div>',
+                 f'<section id="related">{"<article><h3>Another one</h3><p>" + LONG + "</p></article>"}</section>',
+                 f'<div id="search"><p>Search this site:</p><input name="q"></div>', f'<div id="cookie-notice"><p>{LONG}</p></div>',
+                 f'<div id="register"><p>Write to us.</p><textarea name="t"></textarea></div>', f'<div class="related"><p>{LONG}</p></div>'):
+        page = f"<article><h1>T</h1><p>{LONG}</p>{part}<p>Last. {LONG}</p></article>"
+        assert main_text(page).split("\n") == ["T", LONG, f"Last. {LONG}"], part
