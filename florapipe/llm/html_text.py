@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # HTML element names by their role, and name parts that sites use.
-RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object", "xmp"}
+RAW = {"script", "style", "textarea", "title", "template", "iframe"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "button", "caption", "center", "dd", "details", "dialog",
           "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "frameset", "h1", "h2", "h3",
           "h4", "h5", "h6", "head", "header", "hgroup", "html", "label", "legend", "li", "main", "menu", "nav", "ol",
           "optgroup", "option", "p", "pre", "search", "section", "select", "summary", "table", "tbody", "td", "tfoot",
-          "th", "thead", "tr", "ul"}
+          "th", "thead", "tr", "ul", "xmp"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "optgroup": {"option", "optgroup"},
           "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"thead", "tbody", "tr", "td", "th"}}
@@ -35,7 +35,7 @@ SCOPE = {"table", "ul", "ol", "dl", "select", "article", "section", "div", "body
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 TAG_WEIGHT = {"nav": -8.0, "menu": -8.0, "footer": -8.0, "aside": -8.0, "form": -8.0, "dialog": -8.0, "search": -8.0,
               "button": -8.0, "select": -8.0, "fieldset": -8.0, "head": -20.0, "label": -3.0, "header": -6.0,
-              "article": 4.0, "main": 2.5, "p": 0.7, "blockquote": 0.5, "pre": 0.7, "h1": 0.5, "figcaption": 0.2}
+              "noscript": -4.0, "article": 4.0, "main": 2.5, "p": 0.7, "blockquote": 0.5, "pre": 0.7, "xmp": 0.7, "h1": 0.5, "figcaption": 0.2}
 BAD_NAMES = {"ad", "ads", "adbox", "adsense", "advert", "adverts", "advertisement", "advertising", "alert", "banner",
              "breadcrumb", "breadcrumbs", "comment", "comments", "commentlist", "consent", "cookie", "cookies",
              "copyright", "disclaimer", "disqus", "footer", "form", "gdpr", "header", "login", "masthead", "menu",
@@ -79,7 +79,7 @@ REPLIES = {"comment", "comments", "commentlist", "replies", "reply"}
 #: An element with so much evidence against it takes no credit from what it stands in.
 AGAINST = -3.0
 #: Elements that an article inside one shows to be unclosed, or to wrap the page.
-WRAPPERS = {"nav", "menu", "header", "form"}
+WRAPPERS = {"nav", "menu", "header", "form", "noscript"}
 #: Smoothness: neighbours under one parent, neighbours elsewhere by common depth, and the next block of one parent.
 SIBLINGS, NEAR, FAR = 2.0, 0.6, 0.15
 SCALE = 100
@@ -155,11 +155,15 @@ def _weight(tag: str, attributes: str, in_article: bool) -> tuple[float, bool, b
     return w, doubtful, reply
 
 
+def _end_tag(tag: str) -> re.Pattern:
+    return re.compile(f"</{tag}(?=[\\s/>])[^>]*>", re.I)
+
+
 def blocks(page: str) -> list[tuple[str, float, _Node]]:
     """The text blocks in page order: text, evidence (above 0: content) and the element they stand in."""
     root = _Node("", None)
     nodes: list[_Node] = []
-    node, out, text, linked, in_link, at = root, [], [], 0, False, 0
+    node, out, text, linked, in_link, foreign, at = root, [], [], 0, False, 0, 0
 
     def flush() -> None:
         nonlocal linked
@@ -201,10 +205,12 @@ def blocks(page: str) -> list[tuple[str, float, _Node]]:
             node.fields += "hidden" not in attributes.lower()
         elif tag in RAW:
             node.fields += tag == "textarea" and not closing
-            if not closing and not (tag in ("svg", "math") and attributes.endswith("/")):
-                end = re.compile(f"</{tag}(?=[\\s/>])[^>]*>", re.I).search(page, at)
+            if not closing and not (foreign and attributes.endswith("/")):
+                end = _end_tag(tag).search(page, at)
                 at = end.end() if end else len(page)
-        elif tag in BLOCKS:
+        elif tag in ("svg", "math"):                    # a raw element in them may be empty
+            foreign = max(0, foreign - 1) if closing else foreign + (not attributes.endswith("/"))
+        elif tag in BLOCKS or tag == "noscript" and not node.inside:    # in an article noscript is part of a line
             flush()
             if closing:
                 up = node
@@ -228,6 +234,10 @@ def blocks(page: str) -> list[tuple[str, float, _Node]]:
                 node = _Node(tag, node, *_weight(tag, attributes, node.inside))
                 node.fields += tag == "select"
                 nodes.append(node)
+                if tag == "xmp" and (end := _end_tag(tag).search(page, at)):      # its text is shown as it is written
+                    add(html.escape(page[at:end.start()]))
+                    flush()
+                    node, at = node.parent, end.end()
     flush()
     if any(n.doubtful for n in nodes):
         for n in reversed(nodes):                  # what stands in an element was opened after it

@@ -102,3 +102,23 @@ def test_parts_of_an_article_that_are_no_text():
                  f'<div id="register"><p>Write to us.</p><textarea name="t"></textarea></div>', f'<div class="related"><p>{LONG}</p></div>'):
         page = f"<article><h1>T</h1><p>{LONG}</p>{part}<p>Last. {LONG}</p></article>"
         assert main_text(page).split("\n") == ["T", LONG, f"Last. {LONG}"], part
+
+
+def test_formulas_drawings_and_fallback_text_of_an_article():
+    for inside, text in (("<math><mi>a</mi><mo>+</mo><mi>b</mi></math>", "a+b"), ("<object data=x>a fallback</object>", "a fallback"),
+                         ("<noscript>a fallback</noscript>", "a fallback"), ("<svg><title>t</title><style/><text>a label</text></svg>", "a label")):
+        page = f"<article><h1>T</h1><p>Here {inside} stands. {LONG}</p><p>{LONG}</p></article>"
+        assert main_text(page).split("\n") == ["T", f"Here {text} stands. {LONG}", LONG], inside
+    page = f"<article><h1>T</h1><p>{LONG}</p><xmp><b>x</b> &amp;\n y</xmp><p>{LONG}</p></article>"
+    assert main_text(page).split("\n") == ["T", LONG, "<b>x</b> &amp; y", LONG]
+
+
+@pytest.mark.parametrize("tag", ["object", "noscript", "svg", "math", "xmp"])
+def test_an_element_without_its_end_tag_loses_nothing(tag):
+    assert main_text(f"<article><h1>T</h1><p>{LONG}</p><{tag} id=x><p>{LONG}</p></article>").split("\n") == ["T", LONG, LONG]
+    assert main_text(f"<body><{tag}><article><h1>T</h1><p>{LONG}</p></article></body>").split("\n") == ["T", LONG]
+
+
+def test_a_notice_to_turn_scripts_on_is_no_article():
+    page = f"<body><noscript>You need to turn JavaScript on to run this site.</noscript><p>{LONG}</p><article><p>{LONG}</p></article></body>"
+    assert "JavaScript" not in main_text(page)
