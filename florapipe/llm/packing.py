@@ -51,7 +51,10 @@ class WordTokens:
     apostrophe, which may begin a token with letters): texts are cut there,
     and each distinct word is encoded once and then looked up."""
 
-    STEP = re.compile(rb"(?<=[a-z0-9])(?=[!-&(-/:-@\[-`{-~])")
+    STEP = re.compile(rb"(?<=[A-Za-z0-9])(?=[!-&(-/:-@\[-`{-~])")
+    #: A capital and a character that may be a mark on it (from U+0300 on): the tokenizer composes them before it
+    #: lower-cases, and some pairs compose in lower case only, so a word with one is not lower-cased here.
+    MARKED = re.compile(rb"[A-Z][\xcc-\xff]")
     #: Bytes of text looked up together, and words encoded together.
     CHUNK, BATCH = 1 << 20, 2_000
 
@@ -78,7 +81,7 @@ class WordTokens:
 
     def _chunk(self, texts: list[bytes]) -> Iterator[bytes]:
         # a text with what may be a special token's string is encoded whole
-        words = [None if b"<|" in t else self.STEP.sub(b" ", t.lower()).split() for t in texts]
+        words = [None if b"<|" in t else self._words(t) for t in texts]
         distinct = set().union(*(w for w in words if w))
         missing = distinct - self.known.keys()
         if len(self.known) + len(missing) > self.cache_words:
@@ -90,6 +93,11 @@ class WordTokens:
         for t, w in zip(texts, words):
             yield self._whole(t) if w is None else b"".join(map(get, w))
 
+    def _words(self, text: bytes) -> list[bytes]:
+        if text.isascii() or not self.MARKED.search(text):
+            return self.STEP.sub(b" ", text.lower()).split()
+        return [w if self.MARKED.search(w) else w.lower() for w in self.STEP.sub(b" ", text).split()]
+
     def _whole(self, text: bytes) -> bytes:
         return self._ids(text.decode("utf-8", "replace")).tobytes()
 

@@ -82,3 +82,13 @@ def test_words_against_whole_texts(tokenizer):
            "==> c++, c#. a_b_, __x__. [[a]] ''b''", "", "   ", "ﬁ. ẞ!"]
     got = WordTokens(PATH, cache_words=3).encode_all([t.encode() for t in odd])
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in odd]
+
+
+def test_capitals_with_combining_marks(tokenizer):
+    marks = [chr(c) for c in [*range(0x300, 0x34F), 0x1DC4, 0x1DCA, 0x20D0, 0xFE20]]
+    words = [f"{a}{m}{b}" for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for m in marks for b in ("", "an", "̈", "̣")]
+    texts = ["T̈", "The H̱arf, J̌ and W̊Y̊. L’été ÁB́-T̈!", " ".join(words), ". ".join(words).upper(),
+             " ".join(f"x{w}, {w.lower()}" for w in words)]
+    got = list(WordTokens(PATH).encode_all([t.encode() for t in texts]))
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert np.frombuffer(got[0], "<u4").tolist() == [339, 136, 486]
