@@ -28,12 +28,13 @@ def without_white_space(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), WHITE_SPACE, "")
 
 
-def identified(docs: DataFrame, id_col: str, text_col: str, *columns: Column, name: str) -> DataFrame:
-    """``columns`` beside ``doc_id``, a hash of the text, and a number ``UID`` that no other row has, written once.
+def identified(docs: DataFrame, id_col: str, text_col: str, *columns: Column, name: str, first: int = 0) -> DataFrame:
+    """``columns`` beside ``doc_id``, a hash of the text, and a number ``UID`` from ``first`` on that no other row has,
+    written once.
 
     Repeated rows (the same id, the same text) stay apart by the number, which
     holds for all later reads because the table is written."""
-    return materialize(docs.select(F.monotonically_increasing_id().alias(UID), F.col(id_col).cast("bigint").alias("doc_id"),
+    return materialize(docs.select((F.monotonically_increasing_id() + F.lit(first).cast("bigint")).alias(UID), F.col(id_col).cast("bigint").alias("doc_id"),
                                    F.xxhash64(text_col).alias("text_hash"), *columns), name)
 
 

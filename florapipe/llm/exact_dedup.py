@@ -7,7 +7,8 @@ lookup that misses the filter is new and is inserted; a hit is verified against
 the content of its bucket, so a filter collision never merges two texts.  When
 an insertion finds no free slot after the allowed evictions, the filter doubles
 and is rebuilt from the stored keys.  A digest whose last reference is deleted
-leaves filter and content.
+leaves filter and content; where rows are left, the one that stays is looked up
+among them.
 
 Hot texts: every map task first runs the same index over its own rows, so a
 text that makes up a third of the corpus reaches its shard as one row per map
@@ -16,6 +17,7 @@ task.  The way back to documents is a join that Spark splits when skewed.
 
 from __future__ import annotations
 
+import math
 from array import array
 from collections.abc import Iterable, Iterator
 
@@ -29,6 +31,9 @@ SLOTS = 4
 MAX_EVICTIONS = 200
 FILL = 0.9
 
+#: The row that stays is to be looked up, whatever rows are added until then.
+UNKNOWN = (math.inf, False, 0, 0)
+
 INDEX_SCHEMA = "digest binary, refs bigint, best_len bigint, best_id bigint, best_uid bigint"
 
 
@@ -97,7 +102,8 @@ class DigestIndex:
     """A cuckoo filter over live digests, with their content in its buckets.
 
     An entry is ``[digest, refs, best]``; ``best`` orders the rows of equal
-    text: most code points, then smallest id (a null id last), then row."""
+    text: most code points, then smallest id (a null id last), then row. It is
+    ``UNKNOWN`` once some of the rows were deleted, since that row may be one."""
 
     def __init__(self, capacity: int = 1024):
         self.filter = CuckooFilter(capacity)
@@ -139,6 +145,7 @@ class DigestIndex:
             return False
         entry[1] -= refs
         if entry[1] > 0:
+            entry[2] = UNKNOWN
             return False
         self.content[self.filter.places(digest)[1]].remove(entry)
         self.filter.delete(digest)
@@ -165,14 +172,15 @@ class DigestIndex:
             yield from bucket
 
 
-def _rank(length: int, doc_id: int | None, uid: int) -> tuple:
-    return (length, doc_id is not None, -(doc_id or 0), -uid)
+def _rank(length: int | None, doc_id: int | None, uid: int | None) -> tuple:
+    return UNKNOWN if length is None else (length, doc_id is not None, -(doc_id or 0), -uid)
 
 
 def _batches(index: DigestIndex, rows: int = 20_000) -> Iterator[pa.RecordBatch]:
     out: list[tuple] = []
     for digest, refs, (length, has_id, neg_id, neg_uid) in index:
-        out.append((digest, refs, length, -neg_id if has_id else None, -neg_uid))
+        known = length != math.inf
+        out.append((digest, refs, length if known else None, -neg_id if has_id else None, -neg_uid if known else None))
         if len(out) == rows:
             yield _record(out)
             out = []
@@ -216,24 +224,46 @@ def build_index(keyed: DataFrame, keys_per_shard: int = 200_000) -> DataFrame:
 
 
 def update_index(index: DataFrame, inserted: DataFrame | None = None, deleted: DataFrame | None = None,
-                 keys_per_shard: int = 200_000) -> DataFrame:
+                 keys_per_shard: int = 200_000, remaining: DataFrame | None = None) -> DataFrame:
     """A stored index after a batch of insertions (rows of ``INDEX_SCHEMA``, as ``build_index`` returns)
-    and deletions (``digest, refs``: so many rows less; a digest without rows leaves the index)."""
+    and deletions (``digest, refs``: so many rows less; a digest without rows leaves the index).
+
+    Where some rows of a digest were deleted, the row that stays is looked up in ``remaining``: the keyed rows of all
+    batches that are left after this one.  Without it ``best_len``, ``best_id`` and ``best_uid`` are null there, until
+    an update has it."""
     entries, rows = index, index.count()
     if inserted is not None:
         entries, rows = entries.unionByName(inserted), rows + inserted.count()
+    unknown = entries.filter("best_len IS NULL").select("digest")
     if deleted is not None:
         gone = deleted.groupBy("digest").agg(F.sum("refs").alias("refs"))
+        unknown = unknown.unionByName(gone.select("digest"))
         none = F.lit(None).cast("bigint")
         entries = entries.unionByName(gone.select("digest", (-F.col("refs")).alias("refs"),
                                                   F.lit(0).cast("bigint").alias("best_len"),
                                                   none.alias("best_id"), F.lit(0).cast("bigint").alias("best_uid")))
-    return _sharded(entries, rows, keys_per_shard)
-
-
-def keyed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    updated = _sharded(entries, rows, keys_per_shard)
+    if remaining is None:
+        return updated
+    order = F.struct(F.col("n_chars"), F.col("doc_id").isNotNull(), -F.col("doc_id"), -F.col(UID))     # as in _rank
+    stays = F.struct(F.col("n_chars").alias("best_len"), F.col("doc_id").alias("best_id"), F.col(UID).alias("best_uid"))
+    best = remaining.join(unknown, "digest", "left_semi").groupBy("digest").agg(F.max_by(stays, order).alias("stays"))
+    looked_up = [F.when(F.col("best_len").isNull(), F.col(f"stays.{c}")).otherwise(F.col(c)).alias(c)
+                 for c in ("best_len", "best_id", "best_uid")]
+    return updated.join(best, "digest", "left").select("digest", "refs", *looked_up)
+
+
+def last_row_number(keyed: DataFrame) -> int:
+    """The highest row number of keyed rows, -1 of none."""
+    last = keyed.agg(F.max(UID)).first()[0]
+    return -1 if last is None else last
+
+
+def keyed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", after: int = -1) -> DataFrame:
+    """Rows ``(UID, doc_id, text_hash, digest, n_chars)``, written; row numbers are higher than ``after``. For a batch to
+    add to an index, that is the ``last_row_number`` of the batches before."""
     return identified(docs, id_col, text_col, F.unhex(F.sha2(without_white_space(F.col(text_col)), 256)).alias("digest"),
-                      F.char_length(F.coalesce(F.col(text_col), F.lit(""))).cast("bigint").alias("n_chars"), name="digests")
+                      F.char_length(F.coalesce(F.col(text_col), F.lit(""))).cast("bigint").alias("n_chars"), name="digests", first=after + 1)
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

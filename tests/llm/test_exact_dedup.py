@@ -94,3 +94,35 @@ def test_stored_index_updates(spark):
     gone = spark.createDataFrame([(hashlib.sha256(b"b").digest(), 1), (hashlib.sha256(b"a").digest(), 1)], "digest binary, refs bigint")
     found = {bytes(r["digest"]): r["refs"] for r in update_index(index, more, gone).collect()}
     assert found == {hashlib.sha256(t).digest(): n for t, n in ((b"a", 2), (b"c", 1), (b"d", 1))}
+
+
+def test_deleting_the_row_that_stays(spark):
+    from florapipe.llm.exact_dedup import last_row_number
+
+    def keyed(rows, after=-1):
+        return keyed_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), after=after)
+
+    def best(index):
+        return {bytes(r["digest"]): (r["refs"], r["best_len"], r["best_id"], r["best_uid"]) for r in index.collect()}
+
+    def of(text):
+        return hashlib.sha256(text).digest()
+    one = keyed([(1, "a"), (2, "a"), (3, "b"), (4, "c c"), (None, "cc"), (None, "cc")])
+    two = keyed([(1, "a"), (2, " a"), (6, "d")], after=last_row_number(one))
+    live = one.unionByName(two)
+    assert live.select("__uid").distinct().count() == 9                 # no row of a batch is numbered as one of another
+    number = {(r["doc_id"], r["n_chars"], bytes(r["digest"])): r["__uid"] for r in sorted(live.collect(), key=lambda r: -r["__uid"])}
+    index = update_index(build_index(one), build_index(two))
+    assert best(index)[of(b"a")] == (4, 2, 2, number[2, 2, of(b"a")])
+    gone = spark.createDataFrame([(of(b"a"), 1), (of(b"cc"), 1), (of(b"b"), 1)], "digest binary, refs bigint")
+    left = live.filter("not (doc_id <=> 2 and n_chars = 2 or doc_id <=> 3 or doc_id <=> 4)")
+    want = {of(b"a"): (3, 1, 1, number[1, 1, of(b"a")]), of(b"cc"): (2, 2, None, number[None, 2, of(b"cc")]),
+            of(b"d"): (1, 1, 6, number[6, 1, of(b"d")])}
+    assert best(update_index(index, None, gone, remaining=left)) == want
+    # without the rows that are left none is named, also after more insertions, until they are given
+    later = update_index(index, None, gone)
+    assert best(later)[of(b"a")] == (3, None, None, None) and best(later)[of(b"d")] == want[of(b"d")]
+    three = keyed([(9, "a")], after=last_row_number(live))
+    more = update_index(later, build_index(three))
+    assert best(more)[of(b"a")] == (4, None, None, None)
+    assert best(update_index(more, remaining=left.unionByName(three)))[of(b"a")] == (4, 1, *want[of(b"a")][2:])
