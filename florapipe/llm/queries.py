@@ -12,12 +12,15 @@ from florapipe.llm.embedding_dedup import embedding_groups
 from florapipe.llm.exact_dedup import exact_duplicates
 from florapipe.llm.html_text import extract_main_text
 from florapipe.llm.language_id import identify_language, train
+from florapipe.llm.lexical_search import search
 from florapipe.llm.license_scan import scan_licenses
 from florapipe.llm.mixing import mix_counts
 from florapipe.llm.packing import pack
 from florapipe.llm.sharding import LAW, shard
 from florapipe.llm.simhash import simhash_groups
+from florapipe.llm.topk import top_k
 from florapipe.llm.url_filter import ALLOW, BLOCK, Rule, filter_urls
+from florapipe.llm.whitening import whiten
 from florapipe.sources.tables import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +127,43 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_license_scan")
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op11_lexical_search", r"""
+WITH d AS (SELECT row_number() OVER () AS uid, doc_id,
+                  regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS terms
+           FROM documents WHERE text IS NOT NULL),
+     z AS (SELECT uid, doc_id, len(terms)::BIGINT AS n FROM d WHERE len(terms) > 0),
+     a AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM z),
+     i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                              '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term FROM benchmark),
+     p AS (SELECT uid, unnest(terms) AS term FROM d),
+     f AS (SELECT uid, term, count(*)::BIGINT AS tf FROM p WHERE term IN (SELECT term FROM i) GROUP BY uid, term),
+     w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM f, a GROUP BY term, docs),
+     s AS (SELECT i.item_id, z.uid, z.doc_id,
+                  sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * docs) // total)))))::BIGINT AS score
+           FROM f JOIN w USING (term) JOIN i USING (term) JOIN z USING (uid), a GROUP BY i.item_id, z.uid, z.doc_id),
+     r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 10
+""")
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+@query("op12_exact_top_k", r"""
+WITH v AS (SELECT row_number() OVER () AS uid, vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL),
+     x AS (SELECT uid, vec_id, list_transform(e, lambda c: floor(256 * c)::BIGINT) AS x FROM v
+           WHERE len(list_filter(e, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+     s AS (SELECT q.uid, q.vec_id AS query_id, c.vec_id,
+                  coalesce(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])), 0)::BIGINT AS score
+           FROM x q JOIN x c ON q.uid <> c.uid AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0),
+     r AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
+""")
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0, k=5, scale=256.0)
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), components=16, scale=64.0)
