@@ -21,22 +21,24 @@ def kind_of(most: float) -> bytes:
 def _packed(scale: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, out = [], []
-            for i, v in enumerate(batch.column(1)):
-                v = v.as_py()
-                if v is None or None in v:
-                    continue
-                x = np.array(v, np.float64)
-                if not np.isfinite(x).all():
-                    continue
-                x = np.floor(scale * x)
-                most = np.abs(x).max(initial=0.0)
-                if not most < 2.0 ** 62:
-                    raise OverflowError("a component does not fit a whole number of 64 bits")
-                kind = kind_of(most)
-                keep.append(i)
-                out.append(kind + x.astype(KINDS[kind]).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), pa.array(out, pa.binary())], ["vec_id", "x"])
+            column = batch.column(1)
+            ends = np.asarray(column.offsets, np.int64)
+            v = column.values.slice(ends[0], ends[-1] - ends[0]).to_numpy(zero_copy_only=False).astype(np.float64)
+            ends -= ends[0]
+            bad = ~np.isfinite(v)                             # a null component is not a number here
+            before = np.concatenate([[0], np.cumsum(bad)])
+            keep = np.flatnonzero(~np.asarray(column.is_null()) & (before[ends[1:]] == before[ends[:-1]]))
+            x = np.floor(scale * np.where(bad, 0.0, v))
+            if not np.abs(x).max(initial=0.0) < 2.0 ** 62:
+                raise OverflowError("a component does not fit a whole number of 64 bits")
+            most = np.zeros(len(column))
+            some = np.flatnonzero(ends[1:] > ends[:-1])
+            if len(some):
+                most[some] = np.maximum.reduceat(np.abs(x), ends[some])
+            with np.errstate(invalid="ignore"):               # the widths that are too small for a row are not read
+                wide = {k: x.astype(t) for k, t in KINDS.items()}
+            out = [(k := kind_of(most[i])) + wide[k][ends[i]:ends[i + 1]].tobytes() for i in keep]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep)), pa.array(out, pa.binary())], ["vec_id", "x"])
     return run
 
 
