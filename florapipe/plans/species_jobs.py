@@ -35,7 +35,7 @@ from florapipe.plans.registry import query
 from florapipe.plans.resolution import landed_name_matches, landed_taxa_search
 from florapipe.plans.text_bind import TEXT_CHAIN_SQL, TEXT_SQL, text_landing
 from florapipe.session import materialize, scratch_path
-from florapipe.sources import store
+from florapipe.sources import keyed, store
 from florapipe.sources.species_csv import LIST_COLUMNS, SPECIES_COLUMNS, to_csv_record
 from florapipe.sources.tables import table
 
@@ -291,28 +291,28 @@ def load_species(spark: SparkSession, records: DataFrame, parent_path: str, chil
     merged = merged.withColumn("primary_image_url", F.coalesce("_inat", "_wiki"))
     merged = materialize(merged.filter(is_valid_species_name("scientific_name")), "load_merged")
     species = to_species_rows(merged)
-    store.upsert_into(spark, parent_path, species.withColumn("_seq", F.lit(0)), ["scientific_name"], "_seq")
-    parent = _table(spark, parent_path, species.withColumn("id", F.lit(0).cast("bigint")))
-    store.check_ids(parent)
+    keyed.upsert_into(spark, parent_path, species.withColumn("_seq", F.lit(0)), ["scientific_name"], "_seq")
+    like = species.withColumn("id", F.lit(0).cast("bigint"))
+    parent = _stored(keyed.read_table(spark, parent_path), like)
+    loaded_keys = _stored(keyed.rows_of_keys(spark, parent_path, species, ["scientific_name"]), like)
 
     listed = F.concat(_listed("inat_research_images", "inat"), _listed("wiki_images", "wiki"))
     images = rows.select("scientific_name", "row_id", F.inline(listed)).filter(F.col("image_url").isNotNull())
-    images = store.lookup_ids(images, parent, ["scientific_name"]).withColumnRenamed("id", "species_id")
+    images = store.lookup_ids(images, loaded_keys, ["scientific_name"]).withColumnRenamed("id", "species_id")
     child = explode_media_rows(images, "species_id", "image_url", "source", ["row_id", "i"])
-    store.insert_into(spark, child_path, child, ["species_id", "image_url"], ["image_order"])
-    child = _table(spark, child_path, child)
+    keyed.insert_into(spark, child_path, child, ["species_id", "image_url"], ["image_order"])
+    child = _stored(keyed.read_table(spark, child_path), child)
     loaded = rows.select("scientific_name", F.floor(F.col("row_id") / chunk_rows).alias("_c"),
                          (F.size("inat_research_images") + F.size("wiki_images")).alias("_n"))
-    return {"parent": parent.drop(store.BUCKET), "child": child.drop(store.BUCKET),
+    return {"parent": parent.drop(keyed.BUCKET), "child": child.drop(keyed.BUCKET),
             "metrics": audit.load_metrics(loaded, "scientific_name", chunk_col="_c", images_col="_n"),
             "rejects": missing_field_rejects(merged),
             "counts": store.table_counts({"species": parent, "species_images": child})}
 
 
-def _table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+def _stored(rows: DataFrame | None, like: DataFrame) -> DataFrame:
     """A stored table, or an empty one of the same columns before its first row."""
-    stored = store.read_table(spark, path)
-    return like.limit(0).withColumn(store.BUCKET, F.lit(0)) if stored is None else stored
+    return like.limit(0).withColumn(keyed.BUCKET, F.lit("")) if rows is None else rows
 
 
 def _listed(c: str, source: str):

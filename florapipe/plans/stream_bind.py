@@ -9,7 +9,7 @@ from florapipe.operators.enumeration import ACCEPTED_STATUS, SPECIES_RANK, exclu
 from florapipe.plans.registry import query
 from florapipe.plans.species_jobs import EXTRACT_SQL, enrich, listed_species, records_text
 from florapipe.session import scratch_path
-from florapipe.sources import store
+from florapipe.sources import keyed, store
 from florapipe.sources.tables import table
 from florapipe.streaming import jobs
 
@@ -53,7 +53,7 @@ def q_stream_upsert(spark, d):
     path, ckpt = scratch_path(spark, "upsert_table"), scratch_path(spark, "upsert_ckpt")
     src = events_stream(spark, d).select("user_id", "event_id", "event_type", "value", "ts")
     jobs.stream_upsert(src, path, ["user_id"], F.struct("ts", "event_id"), ckpt)
-    return store.read_table(spark, path).select("user_id", "event_id", "event_type", "value")
+    return keyed.read_table(spark, path).select("user_id", "event_id", "event_type", "value")
 
 
 @query("stream_progress", "SELECT event_type, count(*) AS n_processed FROM events GROUP BY event_type")

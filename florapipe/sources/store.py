@@ -1,14 +1,11 @@
-"""Keyed parent/child tables without a row-level-update catalog.
-
-Two plain layouts, both Parquet folders that any Spark job can read:
-
-* a *snapshot*: immutable versions ``v=<n>``; the current one is the highest
-  with Spark's own ``_SUCCESS`` mark.  A version is never written twice, so a
-  crash in the middle of a write leaves the last committed one current, and a
-  damaged file is an error, never an empty table;
-* a *keyed table*, partitioned by a hash bucket of its key: an upsert rewrites
-  the buckets its batch touches, by Spark's dynamic partition overwrite, and an
-  insert appends.
+"""Parent/child tables without a row-level-update catalog.
+
+The upsert and insert-ignore of whole tables as DataFrames (``keyed`` applies
+them to stored tables, bucket by bucket), and *snapshots*: immutable versions
+``v=<n>``; the current one is the highest with Spark's own ``_SUCCESS`` mark.  A
+version is never written twice, so a crash in the middle of a write leaves the
+last committed one current, and a damaged file is an error, never an empty
+table.
 """
 
 from __future__ import annotations
@@ -18,11 +15,6 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from florapipe.session import materialize
-
-BUCKET = "bucket"
-BUCKETS = 64
-
 
 def _folder(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -60,12 +52,29 @@ def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     return v
 
 
-def append_batch(df: DataFrame, path: str, fmt: str = "csv") -> bool:
+def expire_versions(spark: SparkSession, path: str, keep: int = 3) -> int:
+    """Delete all but the last ``keep`` committed versions of a snapshot (those its readers may hold) and what crashed
+    writers left before them; returns how many."""
+    versions = _versions(spark, path)
+    done = sorted(v for v, ok in versions.items() if ok)[-keep:]
+    old = [v for v in versions if done and v < done[0]]
+    for v in old:
+        fs, p = _folder(spark, f"{path}/v={v}")
+        fs.delete(p, True)
+    return len(old)
+
+
+def append_batch(df: DataFrame, path: str, fmt: str = "csv", batch: str | None = None) -> bool:
     """Append a batch; says whether it had rows (counted while writing).
     CSV part files each carry their own header (read back with
-    ``header=True``); spaces at the edges of a text stay."""
+    ``header=True``); spaces at the edges of a text stay.
+
+    With ``batch``, a name that the caller gives the batch, it is a folder
+    ``batch=<name>`` of its own, written whole: appending the batch again
+    replaces it, so a retry gives it once."""
     seen = Observation("append_batch")
-    w = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append")
+    w = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append" if batch is None else "overwrite")
+    path = path if batch is None else f"{path}/batch={batch}"
     if fmt == "csv":
         (w.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
          .option("ignoreTrailingWhiteSpace", False).csv(path))
@@ -89,12 +98,6 @@ def default_id(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def check_ids(table: DataFrame, id_col: str = "id") -> None:
-    """Raise if two keys of a table share a surrogate id."""
-    if not table.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
-        raise ValueError(f"two keys share one {id_col}: give upsert another id_fn")
-
-
 def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], seq: str | Column,
            id_col: str = "id", id_fn: Callable[[Sequence[str]], Column] = default_id,
            keep_seq: bool = False) -> DataFrame:
@@ -141,57 +144,6 @@ def insert_ignore(target: DataFrame | None, source: DataFrame, keys: Sequence[st
     return new if target is None else target.unionByName(new.select(*target.columns))
 
 
-# ---------------------------------------------------------------- keyed tables on disk
-
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """A keyed table with its bucket column, or None before the first write."""
-    return spark.read.parquet(path) if exists(spark, path) else None
-
-
-def _bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
-
-
-def _touched(df: DataFrame) -> list[int]:
-    """The buckets of a batch: at most the table's number of buckets."""
-    return [r[BUCKET] for r in df.select(BUCKET).distinct().collect()]
-
-
-def upsert_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], seq: str | Column,
-                id_col: str = "id", id_fn: Callable[[Sequence[str]], Column] = default_id,
-                keep_seq: bool = False, buckets: int = BUCKETS) -> list[int]:
-    """S7 on a stored table: only the buckets the batch touches are read and
-    rewritten.  Returns them.
-
-    The new rows of those buckets are a written table of their own before any
-    bucket is replaced, and applying a batch again gives the same table."""
-    batch = materialize(_bucketed(last_per_key(source, keys, seq), keys, buckets), "upsert_batch")
-    touched = _touched(batch)
-    if touched:
-        target = read_table(spark, path)
-        if target is not None:
-            target = target.filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
-        new = upsert(target, batch.drop(BUCKET), keys, seq if isinstance(seq, str) else F.lit(0), id_col, id_fn, keep_seq)
-        new = materialize(_bucketed(new, keys, buckets), "upsert_buckets")
-        (new.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET).parquet(path))
-    return sorted(touched)
-
-
-def insert_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
-                order: Sequence[str | Column], buckets: int = BUCKETS) -> None:
-    """S8 on a stored table: append the rows whose key it has not.  Inserting
-    a batch again adds nothing."""
-    batch = _bucketed(source, keys, buckets)
-    target = read_table(spark, path)
-    if target is not None:
-        target = target.filter(F.col(BUCKET).isin(_touched(batch)))
-    new = materialize(insert_new(target, batch, keys, order), "insert_new")
-    if new.isEmpty():
-        return
-    new.repartition(BUCKET).write.mode("append").partitionBy(BUCKET).parquet(path)
-
-
 def lookup_ids(batch: DataFrame, target: DataFrame, keys: Sequence[str], id_col: str = "id") -> DataFrame:
     """Surrogate ids of the batch's keys; keys without an id drop out."""
     return batch.join(target.select(*keys, id_col), list(keys), "inner")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from florapipe.sources import store
+from florapipe.sources import keyed, store
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
@@ -81,7 +81,7 @@ def stream_upsert(stream: DataFrame, table_path: str, keys: Sequence[str], seq:
     s = F.col(seq) if isinstance(seq, str) else seq
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        store.upsert_into(df.sparkSession, table_path, df.withColumn(seq_col, s), keys, seq_col, id_col=id_col,
+        keyed.upsert_into(df.sparkSession, table_path, df.withColumn(seq_col, s), keys, seq_col, id_col=id_col,
                           keep_seq=True)
     run_available_now(stream, on_batch, checkpoint)
 
@@ -98,6 +98,7 @@ def stream_progress(stream: DataFrame, group: str, table_path: str, checkpoint:
         upd = df.withColumn("_seq", F.lit(batch_id))
         nxt = store.upsert(current, upd, [group], "_seq", id_col="id")
         store.write_snapshot(nxt, table_path)
+        store.expire_versions(spark, table_path)
     run_available_now(counts, on_batch, checkpoint, output_mode="update")
 
 

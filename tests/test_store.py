@@ -31,36 +31,6 @@ def test_snapshot_survives_crash_and_reports_damage(spark, tmp_path):
         store.read_snapshot(spark, path).count()
 
 
-def test_small_batch_rewrites_its_buckets_only(spark, tmp_path):
-    path = str(tmp_path / "t")
-    base = spark.range(0, 500).selectExpr("id AS k", "id * 2 AS v", "1 AS seq")
-    assert len(store.upsert_into(spark, path, base, ["k"], "seq", buckets=16)) == 16
-    ids = {r["k"]: r["id"] for r in store.read_table(spark, path).collect()}
-    stamp = {b: sorted(os.listdir(f"{path}/{b}")) for b in os.listdir(path) if b.startswith("bucket=")}
-    batch = spark.createDataFrame([(7, None, 1), (7, -1, 2), (9001, 5, 1)], "k bigint, v bigint, seq int")
-    touched = store.upsert_into(spark, path, batch, ["k"], "seq", buckets=16)
-    assert 1 <= len(touched) <= 2
-    for b, files in stamp.items():
-        assert (sorted(os.listdir(f"{path}/{b}")) == files) == (int(b[7:]) not in touched)
-    once = rows(store.read_table(spark, path).select("k", "v", "id"))
-    assert len(once) == 501 and (7, -1, ids[7]) in once
-    store.upsert_into(spark, path, batch, ["k"], "seq", buckets=16)
-    assert rows(store.read_table(spark, path).select("k", "v", "id")) == once
-    store.check_ids(store.read_table(spark, path))
-    with pytest.raises(ValueError):
-        store.check_ids(spark.createDataFrame([(1, 5), (2, 5)], "k int, id int"))
-
-
-def test_insert_appends_new_keys_once(spark, tmp_path):
-    path = str(tmp_path / "c")
-    one = spark.createDataFrame([(1, "a", 0), (1, "b", 1), (1, "a", 2)], "s int, u string, o int")
-    store.insert_into(spark, path, one, ["s", "u"], ["o"])
-    store.insert_into(spark, path, one, ["s", "u"], ["o"])
-    more = spark.createDataFrame([(1, "b", 9), (2, "b", 0)], "s int, u string, o int")
-    store.insert_into(spark, path, more, ["s", "u"], ["o"])
-    assert rows(store.read_table(spark, path).select("s", "u", "o")) == [(1, "a", 0), (1, "b", 1), (2, "b", 0)]
-
-
 def test_csv_keeps_spaces_and_says_whether_it_wrote(spark, tmp_path):
     path = str(tmp_path / "csv")
     df = spark.createDataFrame([("Rosa canina ", "  text, \"quoted\"\nline  ")], "scientific_name string, wikipedia_description string")
@@ -70,6 +40,24 @@ def test_csv_keeps_spaces_and_says_whether_it_wrote(spark, tmp_path):
     assert [(x["scientific_name"], x["wikipedia_description"]) for x in r] == [("Rosa canina ", "  text, \"quoted\"\nline  ")]
 
 
+def test_a_named_batch_is_appended_once(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    one = spark.createDataFrame([("Rosa", 1), ("Viola", 2)], "scientific_name string, gbif_id int")
+    for df, name in ((one, "first"), (one.limit(1), "second"), (one, "first")):
+        assert store.append_batch(to_csv_record(df), path, batch=name)
+    assert sorted(r["scientific_name"] for r in read_species_csv(spark, path).collect()) == ["Rosa", "Rosa", "Viola"]
+
+
+def test_versions_that_readers_may_hold_stay(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(1, 6):
+        store.write_snapshot(spark.range(n), path)
+    held = spark.read.parquet(f"{path}/v=3")
+    assert store.expire_versions(spark, path, keep=3) == 2 and store.expire_versions(spark, path, keep=3) == 0
+    assert held.count() == 3 and store.read_snapshot(spark, path).count() == 5
+    assert store.write_snapshot(spark.range(6), path) == 6
+
+
 def test_csv_columns_by_name_bad_rows_and_file_order(spark, tmp_path):
     swapped = ["family", "order", *SPECIES_COLUMNS[2:]]
     folder = tmp_path / "csv"

@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from florapipe.sources import store
+from florapipe.sources import keyed, store
 from florapipe.streaming import jobs
 from tests.conftest import SF_SMOKE, rows
 
@@ -36,7 +36,7 @@ def test_dedup_restart_and_upsert(spark, tmp_path):
     table, ck2 = str(tmp_path / "table"), str(tmp_path / "ck2")
     jobs.stream_upsert(src().select("user_id", "event_id", "ts"), table, ["user_id"], F.struct("ts", "event_id"), ck2)
     latest = ev.groupBy("user_id").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
-    assert rows(store.read_table(spark, table).select("user_id", "event_id")) == rows(latest)
+    assert rows(keyed.read_table(spark, table).select("user_id", "event_id")) == rows(latest)
 
 
 def test_dedup_state_expires_with_the_watermark(spark, tmp_path):
