@@ -5,13 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from florapipe.operators.enumeration import ACCEPTED_STATUS, SPECIES_RANK, exclude_processed
+from florapipe.operators.enumeration import accepted_species, exclude_processed, explode_pages
+from florapipe.operators.numbering import number_in_groups
 from florapipe.plans.registry import query
 from florapipe.plans.species_jobs import EXTRACT_SQL, enrich, listed_species, records_text
 from florapipe.session import scratch_path
 from florapipe.sources import keyed, store
 from florapipe.sources.tables import table
 from florapipe.streaming import jobs
+from florapipe.streaming.pager import state_store, stream_page_prefix
 
 
 def events_stream(spark, d):
@@ -20,19 +22,40 @@ def events_stream(spark, d):
     return jobs.file_stream(spark, f"{d.rstrip('/')}/events[.]parquet", schema, max_files_per_trigger=1)
 
 
-# ---- T1: the listing lands as a stream of part rows; every micro-batch runs
-# the extraction on its species.
+def landed_pages(spark, d):
+    """The listing as a pager reads it: pages of 100 species per order, without gaps, and an empty one after the last;
+    landed in two files that hold pages of all orders in any order.  Returns folder and schema."""
+    listed = number_in_groups(listed_species(table(spark, d, "part")).drop("pos"), ["order_name"], ["key"], "place")
+    result = F.struct(*[c for c in listed.columns if c not in ("order_name", "place")])
+    pages = listed.groupBy("order_name", (F.floor(F.col("place") / 100) * 100).alias("offset")).agg(
+        F.count(F.lit(1)).alias("count"), F.array_sort(F.collect_list(F.struct("place", result.alias("r")))).alias("_l"))
+    pages = pages.select("order_name", "offset", "count", F.transform("_l", lambda x: x["r"]).alias("results"))
+    ends = pages.groupBy("order_name").agg((F.max("offset") + 100).alias("offset")).select(
+        "order_name", "offset", F.lit(0).cast("bigint").alias("count"), F.array().cast(pages.schema["results"].dataType).alias("results"))
+    pages = pages.unionByName(ends).withColumn("http_status", F.lit(200))
+    folder = scratch_path(spark, "listing_pages")
+    pages.withColumn("file", F.pmod(F.xxhash64("order_name", "offset"), F.lit(2))).repartition(2, "file").write.partitionBy("file").parquet(folder)
+    return folder, pages.schema
+
+
+# ---- T1: listing pages land shuffled; the stop rule holds pages until those
+# before them are known, and every micro-batch runs the extraction on the
+# species of the pages it gives out.
 @query("stream_extract", EXTRACT_SQL)
 def q_stream_extract(spark, d):
-    def extraction(batch):
-        s = batch.sparkSession
-        listed = listed_species(batch).filter((F.col("rank") == SPECIES_RANK) & (F.col("status") == ACCEPTED_STATUS))
+    def extraction(pages):
+        s = pages.sparkSession
+        taxa = accepted_species(explode_pages(pages, ["order_name"], "offset", "results"))
         done = table(s, d, "labels").filter(F.col("quality") == 0)
-        return records_text(enrich(s, d, exclude_processed(listed, done, "key", "doc_id")))
+        taxa = exclude_processed(taxa, done, "key", "doc_id").withColumn("pos", F.struct("order_name", "offset", "index"))
+        return records_text(enrich(s, d, taxa))
 
+    folder, schema = landed_pages(spark, d)
     sink, ckpt = scratch_path(spark, "extract_sink"), scratch_path(spark, "extract_ckpt")
-    src = jobs.file_stream(spark, f"{d.rstrip('/')}/part[.]parquet", table(spark, d, "part").schema, max_files_per_trigger=1)
-    jobs.stream_extract(src, sink, ckpt, transform=extraction)
+    src = jobs.file_stream(spark, f"{folder}/*", schema, max_files_per_trigger=1)
+    with state_store(spark):
+        read = stream_page_prefix(src, "order_name", "offset", "http_status", "count", step=100)
+        jobs.stream_extract(read, sink, ckpt, transform=extraction)
     return jobs.read_sink(spark, sink).drop("batch_id")
 
 

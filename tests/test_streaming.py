@@ -2,11 +2,15 @@
 checkpoint processes only new files; replays do not duplicate."""
 
 import os
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from florapipe.operators.enumeration import page_prefix
 from florapipe.sources import keyed, store
 from florapipe.streaming import jobs
+from florapipe.streaming.pager import state_store, stream_page_prefix
 from tests.conftest import SF_SMOKE, rows
 
 
@@ -67,3 +71,62 @@ def test_extract_replay_is_idempotent(spark, tmp_path):
     out = jobs.read_sink(spark, sink)
     assert out.select("batch_id").distinct().count() == 3
     assert out.count() == ev.count()
+
+
+@pytest.fixture()
+def maps_in_state(spark):
+    with state_store(spark):
+        yield spark
+
+
+def _pages():
+    """Listing pages of some orders: one read to its end, one cut by an error, one by an empty page, one with a failed
+    request, one that stops at once, one whose failed page is answered later."""
+    page = lambda o, i, st=200, n=2: (o, 100 * i, st, n, [(i, f"{o}{i}"), (i + 1, None)] if n else [])
+    out = [page("whole", i) for i in range(6)] + [page("error", i, 500 if i == 3 else 200) for i in range(7)]
+    out += [page("empty", i, 200, 0 if i in (2, 4) else 2) for i in range(6)] + [page("failed", i, None if i == 1 else 200) for i in range(4)]
+    out += [page("none", 0, 404)] + [page("none", i) for i in range(1, 3)]
+    return out
+
+
+PAGE_SCHEMA = "order_name string, offset bigint, http_status int, count int, results array<struct<key: bigint, name: string>>"
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_stop_rule_over_shuffled_pages(maps_in_state, tmp_path, seed):
+    """Pages landed in three shuffled files, the third after a restart, are those of the batch rule."""
+    spark = maps_in_state
+    pages = _pages()
+    random.Random(seed).shuffle(pages)
+    land, sink, ck = (str(tmp_path / n) for n in ("land", "sink", "ck"))
+    schema = spark.createDataFrame(pages, PAGE_SCHEMA).schema
+
+    def run():
+        src = jobs.file_stream(spark, land + "/*", schema, max_files_per_trigger=1)
+        jobs.stream_extract(stream_page_prefix(src, "order_name", "offset", "http_status", "count", step=100), sink, ck)
+
+    given = []
+    for i in range(3):
+        spark.createDataFrame(pages[i::3] + pages[i::3][:3], schema).coalesce(1).write.parquet(f"{land}/{i}")
+        if i:
+            run()
+            given.append(jobs.read_sink(spark, sink).count())
+    want = page_prefix(spark.createDataFrame(pages, schema), "order_name", "offset", "http_status", "count")
+    assert rows(jobs.read_sink(spark, sink).drop("batch_id").select(*want.columns)) == rows(want)
+    assert given[0] < given[1]
+
+
+def test_a_failed_page_that_is_answered_before_its_turn(maps_in_state, tmp_path):
+    spark = maps_in_state
+    land, sink, ck = (str(tmp_path / n) for n in ("land", "sink", "ck"))
+    files = [[("o", 100, None, None, None), ("o", 200, 200, 1, [(2, "c")])], [("o", 100, 200, 1, [(1, "b")])], [("o", 0, 200, 1, [(0, "a")])]]
+    for i, f in enumerate(files):
+        spark.createDataFrame(f, PAGE_SCHEMA).coalesce(1).write.parquet(f"{land}/{i}")
+    src = jobs.file_stream(spark, land + "/*", spark.createDataFrame(files[0], PAGE_SCHEMA).schema, max_files_per_trigger=1)
+    jobs.stream_extract(stream_page_prefix(src, "order_name", "offset", "http_status", "count", step=100), sink, ck)
+    assert rows(jobs.read_sink(spark, sink), "offset") == [(0,), (100,), (200,)]
+
+
+def test_the_pager_asks_for_its_state_store(spark):
+    with pytest.raises(RuntimeError, match="providerClass"):
+        stream_page_prefix(spark.createDataFrame(_pages(), PAGE_SCHEMA), "order_name", "offset", "http_status", "count", step=100)
