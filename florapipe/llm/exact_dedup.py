@@ -209,6 +209,20 @@ def _fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _batches(index)
 
 
+def _fold_here(keys: int):
+    """Run indexes over a task's own rows, which insert only: one that holds ``keys`` digests is emitted and the next begun."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = DigestIndex()
+        for batch in batches:
+            for digest, refs, length, doc_id, uid in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                index.insert(digest, refs, _rank(length, doc_id, uid))
+                if index.size == keys:
+                    yield from _batches(index)
+                    index = DigestIndex()
+        yield from _batches(index)
+    return run
+
+
 def _sharded(entries: DataFrame, rows: int, keys_per_shard: int) -> DataFrame:
     """Fold rows of ``INDEX_SCHEMA`` in shards of digests, each one task with a bounded number of keys."""
     n = spread(entries.sparkSession, rows, keys_per_shard)
@@ -217,10 +231,11 @@ def _sharded(entries: DataFrame, rows: int, keys_per_shard: int) -> DataFrame:
 
 def build_index(keyed: DataFrame, keys_per_shard: int = 200_000) -> DataFrame:
     """The live digests of rows ``(UID, doc_id, digest, n_chars)``: one row per text with its
-    number of rows and the row that stays.  ``keyed`` should be a written table: it is counted."""
+    number of rows and the row that stays.  ``keyed`` should be a written table: it is counted.
+    No task's index holds more than about ``keys_per_shard`` digests, over its own rows or over a shard."""
     rows = keyed.select("digest", F.lit(1).cast("bigint").alias("refs"), F.col("n_chars").alias("best_len"),
                         F.col("doc_id").alias("best_id"), F.col(UID).alias("best_uid"))
-    return _sharded(rows.mapInArrow(_fold, INDEX_SCHEMA), keyed.count(), keys_per_shard)
+    return _sharded(rows.mapInArrow(_fold_here(keys_per_shard), INDEX_SCHEMA), keyed.count(), keys_per_shard)
 
 
 def update_index(index: DataFrame, inserted: DataFrame | None = None, deleted: DataFrame | None = None,

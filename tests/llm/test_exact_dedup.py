@@ -2,8 +2,8 @@ import hashlib
 import random
 import re
 
-from florapipe.llm.exact_dedup import (CuckooFilter, DigestIndex, Full, build_index, drop_exact_duplicates,
-                                       exact_duplicates, keyed_documents, update_index)
+from florapipe.llm.exact_dedup import (INDEX_SCHEMA, CuckooFilter, DigestIndex, Full, build_index, drop_exact_duplicates,
+                                       _fold_here, exact_duplicates, keyed_documents, update_index)
 
 
 def brute(rows):
@@ -85,6 +85,16 @@ def test_index_against_a_dictionary():
     assert index.size == len(live) and all(index.refs(digest(i)) == live.get(i, 0) for i in range(700))
 
 
+def test_a_small_bound_on_the_index_changes_nothing(spark):
+    """Indexes of 100 digests at most, over a task's own rows and over shards, are the unbounded one."""
+    docs = spark.range(3000, numPartitions=2).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('t ', id % 777) END AS text")
+    keyed = keyed_documents(docs)
+    parts = keyed.selectExpr("digest", "1L AS refs", "n_chars AS best_len", "doc_id AS best_id", "__uid AS best_uid").mapInArrow(_fold_here(100), INDEX_SCHEMA)
+    assert 519 < parts.count() < 3000                          # flushed many times, and not row by row
+    few, all_ = (sorted(map(tuple, build_index(keyed, n).collect())) for n in (100, 1 << 30))
+    assert few == all_ and len(few) == 519
+
+
 def test_stored_index_updates(spark):
     def keyed(values):
         df = spark.createDataFrame([(i, t) for i, t in values], "doc_id bigint, text string")
