@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from florapipe.llm import embedding_dedup
 from florapipe.llm.embedding_dedup import embedding_groups
 
 
@@ -41,11 +42,15 @@ def vectors(seed, n, dims):
     return rows
 
 
-@pytest.mark.parametrize("interval", [1 << 20, 300 * 8 * 16])
-def test_against_brute_force(spark, interval):
+@pytest.mark.parametrize("interval,tile", [(1 << 20, 1 << 23), (300 * 8 * 16, 700 * 8 * 16), (20 * 8 * 16, 300 * 8 * 16)])
+def test_against_brute_force(spark, monkeypatch, interval, tile):
+    monkeypatch.setattr(embedding_dedup, "TOP", 4)
+    monkeypatch.setattr(embedding_dedup, "HELD_BYTES", 50 * 8 * 16)
     rows = vectors(1, 1500, 16)
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
-    found = embedding_groups(df, 0.95, interval_bytes=interval)
+    said = []
+    found = embedding_groups(df, 0.95, interval_bytes=interval, tile_bytes=tile, on_join=lambda *n: said.append(n))
+    assert 0 < said[0][1] < 0.6 * said[0][0] or interval > 1 << 19
     assert sorted((tuple(r) for r in found.collect()), key=repr) == brute(rows, 0.95)
 
 
@@ -64,3 +69,12 @@ def test_odd_vectors(spark):
     assert found == sorted((x[:3] for x in brute(rows, 0.95)), key=repr)
     assert embedding_groups(df.limit(0)).count() == 0
     assert embedding_groups(df.filter("vec_id = 1")).collect()[0]["component_id"] == 1
+
+
+def test_the_bound_leaves_few_pairs(spark):
+    """Vectors close to isotropic, as the given ones: no box is far from another, but single vectors are."""
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    said = []
+    embedding_groups(df, 0.95, on_join=lambda *n: said.append(n))
+    [(pairs, compared)] = said
+    assert 0 < compared < 0.2 * pairs
