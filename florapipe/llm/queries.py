@@ -40,7 +40,7 @@ TOKENIZER = "word_bpe_49k.json"
 
 
 @query("op2_mix_sources", r"""
-WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+WITH d AS MATERIALIZED (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
      s AS (SELECT source, sum(size)::BIGINT AS z, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w
            FROM d GROUP BY source),
      o AS (SELECT *, row_number() OVER (ORDER BY 3.0::DOUBLE * z / w, source NULLS LAST) AS k FROM s),
@@ -50,8 +50,8 @@ WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\
      f AS (SELECT arg_min(level, k) AS level FROM l WHERE level * w <= 3.0::DOUBLE * z),
      t AS (SELECT source, z AS source_size, least(3.0::DOUBLE * z, f.level * w) AS target FROM s, f),
      r AS (SELECT *, CASE WHEN source_size = 0 THEN 0.0::DOUBLE ELSE least(target / source_size, 3.0::DOUBLE) END AS rate FROM t),
-     c AS (SELECT d.*, j, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || (j // 4)), (j % 4) * 8 + 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
-           FROM d, range(64) g(j)),
+     h AS (SELECT d.*, i, md5(coalesce(doc_id::VARCHAR, 'null') || ':' || i) AS hash FROM d, range(16) g(i)),
+     c AS (SELECT doc_id, source, size, i * 4 + k AS j, ('0x' || substr(hash, k * 8 + 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM h, range(4) f(k)),
      p AS (SELECT c.source, j, abs(sum(CASE WHEN u < rate - floor(rate) THEN size ELSE 0 END)::DOUBLE
                                    - (any_value(rate) - floor(any_value(rate))) * any_value(source_size)) AS miss
            FROM c JOIN r ON c.source IS NOT DISTINCT FROM r.source GROUP BY c.source, j),
