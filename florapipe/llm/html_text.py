@@ -1,12 +1,18 @@
 """Main text of web pages by minimum-cut labelling (operator 3).
 
-A page is cut into text blocks.  A linear classifier turns each block's place
-in the DOM, class names, link density and length into evidence for content or
-for boilerplate, which become the capacities to the two terminals.  Blocks next
+A page is cut into text blocks.  A logistic classifier turns each block's place
+in the DOM, class names, links, length, position and neighbours into the log
+odds of content, which are the capacities to the two terminals.  Blocks next
 to each other and blocks under one parent are tied by smoothness edges, the
 tighter the closer they are in the DOM.  The minimum cut, found by max-flow,
 is the labelling with the least total cost: a short line between paragraphs
 goes with them, an advert among them does not.
+
+Classifier and ties are fitted on a bounded sample of the pages at hand, whose
+labels are their own ``article``, ``nav``, ``aside``, ``footer`` elements; half
+of the sample is seen without tags and names, so that what a block says of
+itself carries weight where a layout has no telling names.  Where few blocks
+are labelled, the fit stays near the weights it starts from.
 """
 
 from __future__ import annotations
@@ -15,7 +21,9 @@ import html
 import re
 from collections import deque
 from collections.abc import Iterator
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +39,8 @@ BLOCKS = {"address", "article", "aside", "blockquote", "body", "button", "captio
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "optgroup": {"option", "optgroup"},
           "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"thead", "tbody", "tr", "td", "th"}}
+#: Inline elements that are blocks of their own where their name says that they are adverts.
+INLINE = {"span", "ins", "em", "small", "b", "i", "strong", "font"}
 SCOPE = {"table", "ul", "ol", "dl", "select", "article", "section", "div", "body", "nav", "main", "aside", "footer", "header"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 TAG_WEIGHT = {"nav": -8.0, "menu": -8.0, "footer": -8.0, "aside": -8.0, "form": -8.0, "dialog": -8.0, "search": -8.0,
@@ -60,6 +70,11 @@ LAYOUT = {"area", "bar", "block", "bottom", "box", "btn", "button", "buttons", "
 #: Elements whose ids name parts of a page; other ids are anchors.
 CONTAINERS = {"article", "aside", "center", "details", "dialog", "div", "dl", "fieldset", "footer", "form", "header", "main", "menu",
               "nav", "ol", "search", "section", "table", "ul"}
+#: Classes that, with names of layout alone, say of a part of an article that it is none.
+ASIDES = {"related", "recommended"}
+#: Names of adverts, which also an inline element may have.
+ADVERT_NAMES = {"ad", "adbanner", "adbox", "ads", "adsense", "adslot", "adunit", "advert", "adverts", "advertisement", "advertising",
+                "promo", "promoted", "sponsor", "sponsored"}
 BAD_ROLES = {"alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar",
              "navigation", "note", "search", "toolbar"}
 
@@ -138,12 +153,12 @@ def _weight(tag: str, attributes: str, in_article: bool) -> tuple[float, bool, b
             parts = {p.lower() for p in NAME.findall(value)}
             reply = reply or (bool(REPLY_ID.fullmatch(value)) if name == "id" else not parts.isdisjoint(REPLIES))
             part_of = in_article or tag in ("article", "main")
-            if part_of and (tag in HEADINGS or name == "id" and tag not in CONTAINERS):
+            if part_of and (tag in HEADINGS or name == "id" and tag not in CONTAINERS and not parts & ADVERT_NAMES):
                 continue                           # a name made from its text, or an anchor
             bad = {p for p in parts if p in BAD_NAMES or p.startswith(BAD_STARTS)}
             if bad == {"header"} and parts & GOOD_NAMES:      # the head of an entry, not of the site
                 w -= 1.0
-            elif bad and part_of and name == "id":
+            elif bad and part_of and (name == "id" or not (bad & SITE_NAMES or parts <= ASIDES | LAYOUT or any(p.startswith(BAD_STARTS) for p in bad))):
                 if bad & SITE_NAMES and parts <= BAD_NAMES | LAYOUT:
                     w += NAME_WEIGHT if tag == "article" else ID_WEIGHT
                 else:
@@ -155,12 +170,17 @@ def _weight(tag: str, attributes: str, in_article: bool) -> tuple[float, bool, b
     return w, doubtful, reply
 
 
+def _is_advert(attributes: str) -> bool:
+    return any(name.lower() in ("class", "id") and not ADVERT_NAMES.isdisjoint(p.lower() for p in NAME.findall(value))
+               for name, value in ATTRIBUTE.findall(attributes)) if attributes and not attributes.isspace() else False
+
+
 def _end_tag(tag: str) -> re.Pattern:
     return re.compile(f"</{tag}(?=[\\s/>])[^>]*>", re.I)
 
 
-def blocks(page: str) -> list[tuple[str, float, _Node]]:
-    """The text blocks in page order: text, evidence (above 0: content) and the element they stand in."""
+def blocks(page: str) -> list[Block]:
+    """The text blocks in page order."""
     root = _Node("", None)
     nodes: list[_Node] = []
     node, out, text, linked, in_link, foreign, at = root, [], [], 0, False, 0, 0
@@ -210,7 +230,8 @@ def blocks(page: str) -> list[tuple[str, float, _Node]]:
                 at = end.end() if end else len(page)
         elif tag in ("svg", "math"):                    # a raw element in them may be empty
             foreign = max(0, foreign - 1) if closing else foreign + (not attributes.endswith("/"))
-        elif tag in BLOCKS or tag == "noscript" and not node.inside:    # in an article noscript is part of a line
+        elif tag in BLOCKS or tag == "noscript" and not node.inside or tag in INLINE and (      # in an article noscript is part of a line
+                closing and node.tag == tag or not closing and _is_advert(attributes)):
             flush()
             if closing:
                 up = node
@@ -239,26 +260,145 @@ def blocks(page: str) -> list[tuple[str, float, _Node]]:
                     flush()
                     node, at = node.parent, end.end()
     flush()
-    if any(n.doubtful for n in nodes):
-        for n in reversed(nodes):                  # what stands in an element was opened after it
-            n.report()
+    for n in reversed(nodes):                      # what stands in an element was opened after it
+        n.report()
     for n in nodes:
         n.settle()
-    return [(line, _evidence(line, words, links, n), n) for line, words, links, n in out]
-
-
-def _evidence(line: str, words: int, links: float, node: _Node) -> float:
-    """The linear classifier: ancestors, link density, length and sentence ends."""
-    length = min(words, 60) / 20.0 - 0.6
-    density = -4.0 * (links - 0.3) if links > 0.3 else 0.0
-    ends = 0.5 if ENDS.search(line) else 0.0
-    heading = 0.4 if node.tag in HEADINGS else 0.0
-    return max(-8.0, min(8.0, node.weight + length + density + ends + heading))
-
-
-def _tie(a: _Node, b: _Node) -> float:
+    return [Block(line, words, links, n) for line, words, links, n in out]
+
+
+class Block(NamedTuple):
+    """Text, its words, the share of it in links, and the element it stands in."""
+    text: str
+    words: int
+    links: float
+    node: _Node
+
+
+#: What the classifier sees of a block, and the weights that a fit starts from.
+START = {"one": -0.6, "place": 1.0, "length": 1.0, "links": -4.0, "ends": 0.5, "heading": 0.4, "one_link": -6.5, "parent_links": 0.0,
+         "parent_length": 0.0, "before_length": 0.0, "after_length": 0.0, "around_links": 0.0, "from_top": 0.0, "from_middle": 0.0}
+PLACE = list(START).index("place")
+#: Most that a block's own evidence is worth, and a tie.
+CLIP, TIE_CLIP = 8.0, 3.0
+#: How firmly a fit holds to where it starts: as so many labelled blocks, and pairs of neighbours.
+HOLD, HOLD_PAIRS = 50.0, 400.0
+#: The sample: pages, and labelled blocks of a page, evenly spread over it. A bound of memory; the fit alone depends on it.
+FIT_PAGES, FIT_BLOCKS = 1_000, 64
+
+
+class Model(NamedTuple):
+    weights: tuple[float, ...] = tuple(START.values())
+    ties: tuple[float, float, float] = (SIBLINGS, NEAR, FAR)
+
+
+def _length(words: int) -> float:
+    return min(words, 60) / 20.0
+
+
+def features(found: list[Block]) -> np.ndarray:
+    """One row per block, in the order of ``START``."""
+    x = np.zeros((len(found), len(START)))
+    for i, (text, words, links, node) in enumerate(found):
+        before, after = found[i - 1] if i else None, found[i + 1] if i + 1 < len(found) else None
+        around = [o.links for o in (before, after) if o]
+        up = node.parent if node.parent is not None else node
+        at = i / max(1, len(found) - 1)
+        x[i] = (1.0, node.weight, _length(words), max(0.0, links - 0.3), bool(ENDS.search(text)), node.tag in HEADINGS,
+                links > 0.9 and node.tag in ("p", "div", "center"), max(0.0, up.linked / max(1, up.chars) - 0.3), min(up.chars, 4_000) / 4_000,
+                _length(before.words) if before else 0.0, _length(after.words) if after else 0.0, sum(around) / max(1, len(around)),
+                at, abs(at - 0.5))
+    return x
+
+
+def _label(node: _Node) -> int | None:
+    """What the page's own elements say of a block: 1 content, 0 boilerplate; None where they say nothing, or names object."""
+    up, objected = node, False
+    while up is not None:
+        if up.tag in ("article", "main"):
+            return None if objected or up.own < 0 or up.reply else 1
+        if up.tag in ("nav", "aside", "footer", "menu", "form", "dialog", "search"):
+            return 0
+        if up.tag == "header" and not up.inside:
+            return 0
+        objected = objected or up.own < 0 or up.doubtful or up.reply
+        up = up.parent
+    return None
+
+
+def _tied(found: list[Block]) -> Iterator[tuple[int, int, int, float]]:
+    """The smoothness edges: two blocks, the kind of the tie, and its share of that kind's weight."""
+    last: dict[int, int] = {}
+    for i, b in enumerate(found):
+        if i:
+            yield i - 1, i, _tie(found[i - 1].node, b.node), 1.0
+        before = last.get(id(b.node.parent))
+        if before is not None and before < i - 1:
+            yield before, i, 0, 0.5
+        last[id(b.node.parent)] = i
+
+
+def _lesson(page: str, hide: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of one page: features and labels of labelled blocks, and per kind of tie the neighbours of one label and of two."""
+    found = blocks(page)
+    labels = [_label(b.node) for b in found]
+    pairs = np.zeros((3, 2))
+    for a, b, kind, share in _tied(found):
+        if share == 1.0 and labels[a] is not None and labels[b] is not None:
+            pairs[kind, int(labels[a] != labels[b])] += 1
+    known = [i for i, y in enumerate(labels) if y is not None]
+    known = known[::max(1, -(-len(known) // FIT_BLOCKS))]
+    x = features(found)[known]
+    if hide:
+        x[:, PLACE] = 0.0
+    return x, np.array([labels[i] for i in known], float), pairs
+
+
+def fit(x: np.ndarray, y: np.ndarray, pairs: np.ndarray) -> Model:
+    """Logistic regression by Newton's method, held to ``START``; ties from how often neighbours of a kind agree."""
+    start = np.array(list(START.values()))
+    w = start.copy()
+    weight = np.where(y > 0, 0.5 / max(1.0, (y > 0).sum()), 0.5 / max(1.0, (y == 0).sum())) * len(y)      # both labels count alike
+    if len(y) and 0 < y.sum() < len(y):
+        for _ in range(30):
+            p = 1.0 / (1.0 + np.exp(-np.clip(x @ w, -30, 30)))
+            slope = x.T @ (weight * (p - y)) + HOLD * (w - start)
+            curve = (x * (weight * p * (1 - p))[:, None]).T @ x + HOLD * np.eye(len(w))
+            step = np.linalg.solve(curve, slope)
+            w = w - step * min(1.0, 2.0 / max(1e-12, float(np.abs(step).max())))
+            if np.abs(step).max() < 1e-8:
+                break
+    ties = []
+    for base, (same, other) in zip((SIBLINGS, NEAR, FAR), pairs):
+        odds = np.exp(2.0 * base)                             # a tie is half the log odds that two neighbours agree
+        ties.append(float(np.clip(0.5 * np.log((same + HOLD_PAIRS * odds / (1 + odds)) / (other + HOLD_PAIRS / (1 + odds))), 0.0, TIE_CLIP)))
+    return Model(tuple(w.tolist()), tuple(ties))
+
+
+def train(pages: DataFrame, html_col: str = "html", fit_pages: int = FIT_PAGES) -> Model:
+    """A model of these pages, from about ``fit_pages`` of them chosen by the hash of their text."""
+    n = pages.count()
+    place = F.pmod(F.xxhash64(html_col), F.lit(1 << 30))
+    share = min(1.0, fit_pages / max(n, 1))
+    sample = pages.filter(F.col(html_col).isNotNull()).filter(place < F.lit(int(share * (1 << 30)))).select(
+        F.col(html_col).cast("string"), (F.pmod(F.xxhash64(F.lit(1), html_col), F.lit(2)) == 0).alias("hide")).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for page, hide in zip(batch.column(0), batch.column(1)):
+                x, y, pairs = _lesson(page.as_py(), hide.as_py())
+                yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()]) for a in (x, y, pairs)], ["x", "y", "pairs"])
+    lessons = sample.mapInArrow(run, "x binary, y binary, pairs binary").limit(2 * fit_pages).collect()
+    x = np.concatenate([np.zeros((0, len(START))), *(np.frombuffer(r["x"]).reshape(-1, len(START)) for r in lessons)])
+    y = np.concatenate([np.zeros(0), *(np.frombuffer(r["y"]) for r in lessons)])
+    pairs = sum((np.frombuffer(r["pairs"]).reshape(3, 2) for r in lessons), np.zeros((3, 2)))
+    return fit(x, y, pairs)
+
+
+def _tie(a: _Node, b: _Node) -> int:
+    """The kind of a tie: 0 under one parent, 1 near in the DOM, 2 far."""
     if a is b or a.parent is b.parent:
-        return SIBLINGS
+        return 0
     x, y = a, b
     while x.depth > y.depth:
         x = x.parent
@@ -266,8 +406,7 @@ def _tie(a: _Node, b: _Node) -> float:
         y = y.parent
     while x is not y:
         x, y = x.parent, y.parent
-    apart = a.depth + b.depth - 2 * x.depth
-    return NEAR if apart <= 3 else FAR
+    return 1 if a.depth + b.depth - 2 * x.depth <= 3 else 2
 
 
 def min_cut(evidence: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -319,35 +458,34 @@ def min_cut(evidence: list[float], edges: list[tuple[int, int, float]]) -> list[
                     path.append(step)
 
 
-def main_text(page: str | None) -> str:
-    """The page's content blocks, joined by one line feed; empty for a null or empty page."""
+def label(page: str | None, model: Model = Model()) -> tuple[list[Block], list[float], list[bool]]:
+    """The page's blocks, their own evidence, and which are content by the minimum cut."""
     found = blocks(page or "")
-    edges, last = [], {}
-    for i, (_, _, node) in enumerate(found):
-        if i:
-            edges.append((i - 1, i, _tie(found[i - 1][2], node)))
-        before = last.get(id(node.parent))
-        if before is not None and before < i - 1:
-            edges.append((before, i, SIBLINGS / 2))
-        last[id(node.parent)] = i
-    keep = min_cut([e for _, e, _ in found], edges)
-    return "\n".join(text for (text, _, _), k in zip(found, keep) if k)
+    evidence = np.clip(features(found) @ np.array(model.weights), -CLIP, CLIP).tolist()
+    return found, evidence, min_cut(evidence, [(a, b, share * model.ties[kind]) for a, b, kind, share in _tied(found)])
 
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = [main_text(h.as_py()) for h in batch.column(2)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())],
-                                         ["page_id", "url", "text"])
+def main_text(page: str | None, model: Model = Model()) -> str:
+    """The page's content blocks, joined by one line feed; empty for a null or empty page."""
+    found, _, keep = label(page, model)
+    return "\n".join(b.text for b, k in zip(found, keep) if k)
 
 
-def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+                      model: Model | None = None) -> DataFrame:
     """One row per page: ``page_id, url, text``.
 
     Null and empty pages, and pages without content, have the empty text; long
     pages are read whole.  Repeated rows give repeated rows; an empty table
-    gives an empty result; extra columns are ignored.  Pages are independent:
-    there is no shuffle."""
+    gives an empty result; extra columns are ignored.  Without a ``model`` one
+    is fitted on these pages; pages are independent, and nothing is shuffled
+    but the sample."""
+    model = train(pages, html_col) if model is None else model
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [main_text(h.as_py(), model) for h in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())],
+                                             ["page_id", "url", "text"])
     return pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"),
-                        F.col(html_col).cast("string").alias("html")).mapInArrow(
-        _extract, "page_id bigint, url string, text string")
+                        F.col(html_col).cast("string").alias("html")).mapInArrow(run, "page_id bigint, url string, text string")

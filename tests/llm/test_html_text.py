@@ -3,9 +3,10 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 
-from florapipe.llm.html_text import extract_main_text, main_text, min_cut
+from florapipe.llm.html_text import HOLD_PAIRS, START, Model, extract_main_text, fit, label, main_text, min_cut, train
 
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; U</title><style>p{}</style><script>var x="</p><p>no</p>";</script></head><body>
 <header class="site-header"><h1>Site name</h1><p>Welcome to our site of many things.</p></header>
@@ -122,3 +123,69 @@ def test_an_element_without_its_end_tag_loses_nothing(tag):
 def test_a_notice_to_turn_scripts_on_is_no_article():
     page = f"<body><noscript>You need to turn JavaScript on to run this site.</noscript><p>{LONG}</p><article><p>{LONG}</p></article></body>"
     assert "JavaScript" not in main_text(page)
+
+
+def test_classes_made_from_topics():
+    """A part of an article whose class may be a topic stays, as with ids."""
+    for part in (f'<section class="related-work"><h2>Related work</h2><p>{LONG}</p></section>', f'<div class="popular"><h2>Popular</h2><p>{LONG}</p></div>',
+                 f'<p class="poll-results">{LONG}</p>'):
+        page = f"<article><h1>T</h1><p>{LONG}</p>{part}<p>Last. {LONG}</p></article>"
+        assert LONG in main_text(page).split("\n")[2:-1], part
+
+
+def test_adverts_without_a_part_of_their_own():
+    link = '<p><a href="https://shop.example/x">Buy this great product now, it is cheap and very good.</a></p>'
+    assert main_text(f"<article><h1>T</h1><p>{LONG}</p>{link}<p>Last. {LONG}</p></article>").split("\n") == ["T", LONG, f"Last. {LONG}"]
+    inline = f'<article><h1>T</h1><p>{LONG} <span class="ad">Buy this product now.</span></p><p>{LONG} <b class="x">and</b> more.</p></article>'
+    assert main_text(inline).split("\n") == ["T", LONG, f"{LONG} and more."]
+    references = "".join(f'<li><a href="/r{i}">A work that this article names, number {i}</a></li>' for i in range(3))
+    assert main_text(f"<article><h1>T</h1><p>{LONG}</p><ol>{references}</ol><p>{LONG}</p></article>").count("A work") == 3
+
+
+def plain_page(rng):
+    """A layout of divs without a telling name: menu, article with short lines, adverts and links, footer.  Page and truth."""
+    words = [f"w{i}" for i in range(40)]
+    line = lambda a, b, end="": " ".join(rng.choices(words, k=rng.randrange(a, b))) + end
+    menu = "".join(f'<div><a href="/{i}">{line(1, 3)}</a></div>' for i in range(rng.randrange(4, 9)))
+    body, truth = [], []
+    for _ in range(rng.randrange(4, 9)):
+        text = line(25, 70, ".") if rng.random() < 0.7 else line(2, 6)
+        body.append(f"<div>{text}</div>")
+        truth.append(text)
+    foot = "".join(f'<div><a href="/f{i}">{line(1, 4)}</a></div>' for i in range(3)) + f"<div>{line(3, 8)}</div>"
+    return f"<body><div><div>{menu}</div></div><div><div>{''.join(body)}</div></div><div><div>{foot}</div></div></body>", truth
+
+
+def teaching_page(rng, i):
+    page, _ = plain_page(rng)
+    parts = page.split("<div><div>")
+    return f"{parts[0]}<nav><div>{parts[1].replace('</div></div>', '</div></nav>', 1) if i else parts[1]}<article><div>{parts[2]}</article><footer><div>{parts[3]}</footer>"
+
+
+def test_the_cut_beats_the_classifier_where_names_are_missing(spark):
+    """Fitted on pages with elements, tried on pages of divs: short lines between paragraphs come back by their neighbours."""
+    rng = random.Random(3)
+    model = train(spark.createDataFrame([(teaching_page(rng, 0),) for _ in range(200)], "html string"))
+    assert model != Model()
+    alone = cut = total = changed = 0
+    for _ in range(150):
+        page, truth = plain_page(rng)
+        found, evidence, keep = label(page, model)
+        want = [b.text in truth for b in found]
+        total += len(found)
+        alone += sum((e > 0) == w for e, w in zip(evidence, want))
+        cut += sum(k == w for k, w in zip(keep, want))
+        changed += sum((e > 0) != k for e, k in zip(evidence, keep))
+    assert changed > 0.01 * total and cut > alone and cut > 0.95 * total, (alone, cut, changed, total)
+
+
+def test_a_fit_without_lessons_stays_where_it_starts():
+    nothing = fit(np.zeros((0, len(START))), np.zeros(0), np.zeros((3, 2)))
+    assert nothing.weights == tuple(START.values()) and np.allclose(nothing.ties, Model().ties)
+    pairs = np.array([[50 * HOLD_PAIRS, 0.0]] * 3)
+    assert all(a >= b for a, b in zip(fit(np.zeros((0, len(START))), np.zeros(0), pairs).ties, nothing.ties))
+
+
+def test_training_on_odd_pages(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "<nav>x"), (4, "<article>y")], "page_id bigint, html string")
+    assert len(train(df).weights) == len(START) and train(df.limit(0)) == Model(ties=train(df.limit(0)).ties)
