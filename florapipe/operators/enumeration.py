@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from florapipe.functions.expr import col
 from florapipe.operators.numbering import number_in_groups
 from florapipe.operators.responses import one_response
+from florapipe.session import materialize
 
 # --- fixed values that must equal the source pipeline's ---------------------
 ANGIOSPERM_CLASSES = ["Magnoliopsida", "Liliopsida"]
@@ -155,14 +156,66 @@ def retry_candidates(enumerated: DataFrame, recorded: DataFrame, key: str) -> Da
     return exclude_processed(enumerated.select(key).distinct(), recorded, key)
 
 
+#: Keys per group that cut its rows into ranges, and rounds of cutting: after them a group has about ``n`` and a
+#: ``RANGES ** ROUNDS``-th of its rows left.
+RANGES, ROUNDS = 64, 2
+
+
+def first_bounds(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], n: int) -> DataFrame:
+    """Per group (columns ``_g0``, ...) a value ``_bound`` of its order at which or before which its first ``n`` rows stand;
+    few more do.  A group that ends before has its last value or none.
+
+    Rounds of a histogram: a few keys of the group, drawn by hash, cut it into
+    ranges, the ranges are counted, and the one that holds the n-th row is cut
+    again.  What is shuffled is one row per task, group and range."""
+    g = [F.col(c).alias(f"_g{i}") for i, c in enumerate(group)]
+    names = [f"_g{i}" for i in range(len(group))]
+    key = F.struct(*[(F.col(o) if isinstance(o, str) else o).alias(f"o{i}") for i, o in enumerate(order)])
+    left = df.select(*g, key.alias("_key"))
+    bounds = None
+    for turn in range(ROUNDS):
+        drawn = Window.partitionBy(*names).orderBy(F.xxhash64(F.lit(turn), "_key"), "_key")
+        cuts = (left.withColumn("_n", F.row_number().over(drawn)).filter(F.col("_n") <= RANGES)
+                .groupBy(*names).agg(F.array_sort(F.collect_set("_key")).alias("_cuts")))
+        cuts = materialize(cuts, "first_cuts")
+        ranged = _same_group(left, cuts, names).select(*names, F.size(F.filter("_cuts", lambda c: c < F.col("_key"))).alias("_range"))
+        counts = ranged.groupBy(*names, "_range").agg(F.count(F.lit(1)).alias("_c"))
+        so_far = F.sum("_c").over(Window.partitionBy(*names).orderBy("_range"))          # at most RANGES + 1 rows a group
+        last = (counts.withColumn("_to", so_far).filter(F.col("_to") >= n).groupBy(*names).agg(F.min("_range").alias("_range")))
+        found = _same_group(cuts, last, names).select(*names, F.get("_cuts", F.col("_range")).alias("_bound"))
+        if bounds is not None:          # the n-th row beyond the last cut: the bound of the round before holds
+            found = _same_group(bounds, found.withColumnRenamed("_bound", "_new"), names, "left").select(
+                *names, F.coalesce("_new", "_bound").alias("_bound"))
+        bounds = materialize(found, "first_bounds")
+        left = _same_group(left, bounds, names, "left").filter(F.col("_bound").isNull() | (F.col("_key") <= F.col("_bound"))).select(*names, "_key")
+    return bounds
+
+
+def _same_group(rows: DataFrame, figures: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:
+    """``rows`` with the one row of ``figures`` of their group; null groups are groups."""
+    other = figures.withColumnsRenamed({c: f"_of{c}" for c in names})
+    same = F.lit(True)
+    for c in names:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of{c}"))
+    return rows.join(other, same, how).drop(*[f"_of{c}" for c in names])
+
+
 def limit_per_group(df: DataFrame, group: str | Sequence[str], order: Sequence[str | Column],
                     n: int | None = None) -> DataFrame:
     """O1: the first ``n`` rows of each group in ``order``, with their
     ``rank_in_group``; all rows when ``n`` is None.
 
-    The rank is a global position less that of the group's first row, so no
-    task sorts a whole group however few the groups are."""
+    With ``n`` the rows that a bound of their group (:func:`first_bounds`)
+    leaves are ranked, the others are read but not moved.  The rank is a global
+    position less that of the group's first row, so no task sorts a whole group
+    however few the groups are.  ``df`` is read once per round: best a table."""
     g = [group] if isinstance(group, str) else list(group)
+    if n is not None:
+        keyed = df.select("*", *[F.col(c).alias(f"_g{i}") for i, c in enumerate(g)],
+                          F.struct(*[(F.col(o) if isinstance(o, str) else o).alias(f"o{i}") for i, o in enumerate(order)]).alias("_key"))
+        names = [f"_g{i}" for i in range(len(g))]
+        near = _same_group(keyed, first_bounds(df, g, order, n), names, "left")
+        df = near.filter(F.col("_bound").isNull() | (F.col("_key") <= F.col("_bound"))).select(*df.columns)
     ranked = number_in_groups(df, g, order, "_rank").withColumn("rank_in_group", (F.col("_rank") + 1)).drop("_rank")
     return ranked if n is None else ranked.filter(F.col("rank_in_group") <= n)
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from florapipe.operators import audit
+from florapipe.operators.sketches import audit_sketches, load_sketches
 from florapipe.plans.registry import query
+from florapipe.session import scratch_path
+from florapipe.sources import store
 from florapipe.sources.tables import table
 
 
@@ -171,3 +174,28 @@ SELECT o_orderstatus, count(*) AS n_processed FROM orders GROUP BY o_orderstatus
 """)
 def q_extraction_counts(spark, d):
     return audit.extraction_counts(table(spark, d, "orders"), "o_orderstatus")
+
+
+# ---- A2/A5/A6/A8 from sketches: the orders as five loads (by priority), each
+# leaving its sketches; counts, mean, deviation and ends are exact, the
+# quantile's rank and the distinct count are within the sketches' bounds.
+@query("audit_sketches", """
+SELECT 'o_totalprice' AS column_name, count(o_totalprice) AS n, count(*) - count(o_totalprice) AS n_missing,
+       round(avg(o_totalprice), 4) AS mean, round(stddev_samp(o_totalprice), 4) AS std, CAST(min(o_totalprice) AS DOUBLE) AS min,
+       CAST(max(o_totalprice) AS DOUBLE) AS max, true AS within FROM orders
+UNION ALL
+SELECT 'o_custkey', count(o_custkey), count(*) - count(o_custkey), NULL, NULL, NULL, NULL, true FROM orders
+""")
+def q_audit_sketches(spark, d):
+    orders, path = table(spark, d, "orders"), scratch_path(spark, "order_sketches")
+    loads = [r[0] for r in orders.select("o_orderpriority").distinct().collect()]         # a fixed set of five
+    for i, load in enumerate(loads):
+        one = load_sketches(orders.filter(F.col("o_orderpriority").eqNullSafe(load)), ["o_totalprice"], ["o_custkey"])
+        store.append_batch(one, path, fmt="parquet", batch=str(i))
+    found = audit_sketches(spark.read.parquet(path))
+    median = found.filter(F.col("column_name") == "o_totalprice").select("p50").scalar()
+    exact = orders.agg((F.count_if(F.col("o_totalprice") <= median) / F.count("o_totalprice")).alias("rank"),
+                       F.count_distinct("o_custkey").alias("keys")).select(F.struct("rank", "keys")).scalar()
+    within = F.when(F.col("column_name") == "o_totalprice", F.abs(exact["rank"] - 0.5) < 0.02).otherwise(
+        F.abs(F.col("n_distinct") / exact["keys"] - 1) < 0.04)
+    return found.select("column_name", "n", "n_missing", _r("mean", 4), _r("std", 4), "min", "max", within.alias("within"))

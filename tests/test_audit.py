@@ -2,11 +2,12 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from florapipe.operators import audit
 from florapipe.operators.attempts import accept_status, first_acceptable
-from florapipe.operators.enumeration import left_out, limit_per_group, page_prefix
+from florapipe.operators.enumeration import first_bounds, left_out, limit_per_group, page_prefix
 from florapipe.operators.numbering import running_sums
 from florapipe.sources import store
 from tests.conftest import rows
@@ -114,6 +115,24 @@ def test_limit_per_group(spark):
     assert rows(limit_per_group(df, "g", ["o"], n=2), "g", "o") == [("a", 0), ("a", 1), ("b", 0), ("b", 1)]
 
 
+def test_first_bounds_leave_few_rows(spark):
+    """Two rounds of ranges: of a large group hardly more than the first n rows are left to be ranked, ties and nulls right."""
+    df = spark.range(0, 300_000, numPartitions=4).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 1000 = 1 THEN 'small' ELSE 'large' END AS g", "hash(id) % 5000 AS o", "id",
+        "CASE WHEN id % 7 = 0 THEN NULL ELSE hash(id) END AS maybe")
+    for order, n in ((["o", "id"], 10), (["maybe", "id"], 5), (["o", "id"], 20_000)):
+        bounds = {r["_g0"]: r["_bound"] for r in first_bounds(df, ["g"], order, n).collect()}
+        got = limit_per_group(df, "g", order, n=n)
+        w = Window.partitionBy("g").orderBy(*order)
+        want = df.withColumn("rank_in_group", F.row_number().over(w)).filter(F.col("rank_in_group") <= n)
+        assert rows(got, "g", "id", "rank_in_group") == rows(want, "g", "id", "rank_in_group")
+        if n == 10:
+            left = df.filter(F.col("g") == "large").filter(
+                (F.col("o") < bounds["large"]["o0"]) | (F.col("o") == bounds["large"]["o0"]) & (F.col("id") <= bounds["large"]["o1"]))
+            assert n <= left.count() < 0.01 * 200_000
+    assert limit_per_group(df.limit(0), "g", ["o"], n=3).count() == 0
+
+
 def test_upsert_overwrites_with_null_and_keeps_id(spark):
     target = spark.createDataFrame([("k", 1, "a", 100), ("j", 2, "b", 200)], "key string, v int, t string, id bigint")
     source = spark.createDataFrame([("k", None, "b", 1), ("n", 5, "x", 1), ("n", 6, "y", 2)],
