@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from florapipe.functions.expr import col
 from florapipe.operators.numbering import number_in_groups
-from florapipe.operators.responses import one_response
+from florapipe.operators.responses import asked, one_response
 from florapipe.session import materialize
 
 # --- fixed values that must equal the source pipeline's ---------------------
@@ -76,7 +76,7 @@ def resolve_orders(names: DataFrame, matches: DataFrame, name_col: str = "order_
     matchType passes), kingdom is Plantae and rank is ORDER.  Every name comes
     out once with ``order_key`` and ``status`` ("resolved" or the reject
     reason), so rejects are a filter away."""
-    m = one_response(matches.select(F.col(match_name).alias("_n"), "http_status", "matchType", "kingdom",
+    m = one_response(asked(matches, F.col(match_name).alias("_n"), "http_status", "matchType", "kingdom",
                                     "rank", F.col("orderKey").alias("order_key")), ["_n"])
     j = names.join(m, F.col(name_col) == F.col("_n"), "left")
     ok_http = F.col("http_status") == 200

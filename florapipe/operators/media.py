@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from florapipe.functions.expr import col, extract_binomial, normalize_media_url, page_title
-from florapipe.operators.responses import one_response
+from florapipe.operators.responses import asked, one_response
 
 # --- fixed values that must equal the source pipeline's ---------------------
 RESEARCH = "research"
@@ -134,7 +134,7 @@ def _resolve_titles(titled: DataFrame, id_col: str, name_col: str, image_info: D
                     limit: int | None) -> DataFrame:
     """(id, name, titles) -> scored rows for the first ``limit`` titles (None:
     all) that resolve to image info (a 200 response with at least one entry)."""
-    info = (one_response(image_info.select("title", "http_status", "imageinfo"), ["title"])
+    info = (one_response(asked(image_info, "title", "http_status", "imageinfo"), ["title"])
             .filter((F.col("http_status") == 200) & (F.size("imageinfo") > 0))
             .select(F.col("title").alias("_title"), F.get(F.col("imageinfo"), 0).alias("_i")))
     t = titled.select(id_col, name_col, F.posexplode("titles" if limit is None else F.slice("titles", 1, limit)).alias("_pos", "_title"))
@@ -173,7 +173,7 @@ def page_media(entities: DataFrame, id_col: str, name_col: str, page_images: Dat
     searches: (srsearch, http_status, results array<struct<title>>);
     image_info: (title, http_status, imageinfo array<struct<url, width, height,
     extmetadata struct<ImageDescription struct<value>, Categories struct<value>>>>)."""
-    pages = one_response(page_images.select(F.col("title").alias("_pt"), F.col("http_status").alias("_ps"),
+    pages = one_response(asked(page_images, F.col("title").alias("_pt"), F.col("http_status").alias("_ps"),
                                             F.transform("images", lambda i: i["title"]).alias("_pl")), ["_pt"], "_ps")
 
     def listed(df, title_col, prefix):
@@ -187,7 +187,7 @@ def page_media(entities: DataFrame, id_col: str, name_col: str, page_images: Dat
     # entities without titles of their own: one lookup of their search
     # response gives both the fallback page and a transport failure
     need = own.filter((F.size("own_titles") == 0) & ~F.col("own_fail")).select(id_col, name_col)
-    srch = one_response(searches.select(F.col("srsearch").alias("_sq"), F.col("http_status").alias("_ss"),
+    srch = one_response(asked(searches, F.col("srsearch").alias("_sq"), F.col("http_status").alias("_ss"),
                                         F.get(F.col("results"), 0)["title"].alias("_top")), ["_sq"], "_ss")
     alt = (need.join(srch, F.col(name_col) == F.col("_sq"), "left")
            .select(id_col,
@@ -216,7 +216,7 @@ def search_media(entities: DataFrame, id_col: str, name_col: str, file_searches:
                  image_info: DataFrame, limit: int | None = SEARCH_TITLE_LIMIT, n: int = SEARCH_TOP_N) -> DataFrame:
     """Titles from a file-namespace search of the name (the first ``limit``,
     the service rule of the source; None: all), resolved, scored, top ``n``; adds ``wiki_images`` and ``wiki_status``."""
-    s = (one_response(file_searches.select("srsearch", "http_status", "results"), ["srsearch"])
+    s = (one_response(asked(file_searches, "srsearch", "http_status", "results"), ["srsearch"])
          .filter(F.col("http_status") == 200)
          .select(F.col("srsearch").alias("_sq"), F.transform("results", lambda r: r["title"]).alias("titles")))
     titled = entities.join(s, F.col(name_col) == F.col("_sq"), "left") \
@@ -248,7 +248,7 @@ def expand_media(rows: DataFrame, observations: DataFrame, images: str, ext_id:
     new = F.filter(F.transform(F.flatten(F.transform(F.col("_res"), lambda r: F.coalesce(r["photos"], F.array()))),
                                lambda p: normalize_media_url(p["url"], drop_query=False)),
                    lambda u: F.coalesce(u != "", F.lit(False)))
-    obs = (one_response(observations.select("taxon_id", "http_status", "results"), ["taxon_id"])
+    obs = (one_response(asked(observations, "taxon_id", "http_status", "results"), ["taxon_id"])
            .filter(F.col("http_status") == 200).select(F.col("taxon_id").alias("_tid"), F.col("results").alias("_res")))
     eligible = ((F.size(F.coalesce(F.col(images), F.array())) < max_images) & F.col(ext_id).isNotNull()
                 & (F.col(ext_id) != 0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from florapipe.operators.responses import one_response
+from florapipe.operators.responses import asked, one_response
 
 
 def order_probe_report(orders: DataFrame, species: DataFrame, clades: DataFrame | None = None,
@@ -25,7 +25,7 @@ def order_probe_report(orders: DataFrame, species: DataFrame, clades: DataFrame
     unknown = F.lit("Unknown")
     failed = F.lit(None).cast("string")
     if answers is not None:
-        a = one_response(answers.select(F.col(order_key).alias("_ak"), "http_status"), ["_ak"])
+        a = one_response(asked(answers, F.col(order_key).alias("_ak"), "http_status"), ["_ak"])
         orders_in = orders.columns
         orders = orders.join(a, F.col(order_key) == F.col("_ak"), "left")
         species = species.join(a.filter(F.col("http_status") == 200).select(F.col("_ak").alias(order_key)), order_key, "left_semi")

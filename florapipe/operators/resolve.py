@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from florapipe.functions.expr import col, first_nonblank, genus_token, photo_url, ustrip
-from florapipe.operators.responses import one_response
+from florapipe.operators.responses import asked, one_response
 
 ACCEPTED = "ACCEPTED"
 
@@ -29,7 +29,7 @@ def resolve_accepted_name(names: DataFrame, matches: DataFrame, name_col: str,
     canonicalName; else a synonym with an accepted usage gives that usage's
     canonicalName; else canonicalName.  Non-200 or no response gives NULL,
     and a NULL or empty answer keeps the input name."""
-    m = one_response(matches.select(F.col(match_name).alias("_mn"), "http_status", "usageKey", "status", "synonym",
+    m = one_response(asked(matches, F.col(match_name).alias("_mn"), "http_status", "usageKey", "status", "synonym",
                                     "canonicalName", "acceptedUsage"), ["_mn"])
     ok = F.col("http_status") == 200
     answer = (F.when(~F.coalesce(ok, F.lit(False)), F.lit(None).cast("string"))
@@ -81,7 +81,7 @@ def best_match(entities: DataFrame, search: DataFrame, id_col: str, name_col: st
              .filter(F.col(q_col).isNotNull()))
     # an answer that settles the lookup: a page with results, or a failed request
     found = (F.col("http_status") == 200) & (F.size("results") > 0)
-    ok = (one_response(search.select(q_col, "http_status", "results"), [q_col])
+    ok = (one_response(asked(search, q_col, "http_status", "results"), [q_col])
           .filter(F.col("http_status").isNull() | found)
           .select(q_col, F.when(found, F.col("results")).alias("results")))
     lname = F.lower(F.col(name_col))
@@ -107,7 +107,7 @@ def top_taxon(entities: DataFrame, search: DataFrame, id_col: str, name_col: str
     defaults "" / 0 / [] when nothing is found."""
     cands = entities.select(id_col, F.posexplode(F.array(F.col(name_col), genus_token(name_col)))
                             .alias("_prio", q_col)).filter(F.col(q_col).isNotNull())
-    ok = (one_response(search.select(q_col, "http_status", "results"), [q_col])
+    ok = (one_response(asked(search, q_col, "http_status", "results"), [q_col])
           .filter((F.col("http_status") == 200) & (F.size("results") > 0)).select(q_col, "results"))
     # the response's most observed result (first on ties)
     best_i = F.array_max(F.transform("results", lambda r, i: F.struct(

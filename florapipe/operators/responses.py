@@ -13,13 +13,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: When a response landed, as a landing log may say.
+LANDED_AT = "landed_at"
+
+
+def asked(responses: DataFrame, *columns: Column | str) -> DataFrame:
+    """What an operator reads of landed responses, with the time they landed, if the log has it."""
+    return responses.select(*columns, *[c for c in responses.columns if c == LANDED_AT])
+
+
 def one_response(responses: DataFrame, keys: Sequence[str], status: str | None = "http_status",
                  pos: str | Column | None = None) -> DataFrame:
     """One row per key: a 200 before another status, a status before a failed
-    request (NULL), then the latest by ``pos``; without ``pos`` equal ones are
-    told apart by a hash of the row, so that reruns agree.  One aggregate,
-    combined before the shuffle."""
-    others = [c for c in responses.columns if c not in keys]
+    request (NULL), then the latest by ``pos`` (``landed_at``, where there is
+    one); what still ties is told apart by a hash of the row, so that reruns
+    agree.  One aggregate, combined before the shuffle."""
+    pos = LANDED_AT if pos is None and LANDED_AT in responses.columns else pos
+    others = [c for c in responses.columns if c not in keys and c != LANDED_AT]
     rank = []
     if status:
         rank += [(F.col(status) == 200).eqNullSafe(True).alias("ok"), F.col(status).isNotNull().alias("answered")]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from florapipe.functions.expr import (NOT_FOUND_TEXT, col, extract_binomial, first_tokens, genus_token,
                                       page_title, ustrip)
-from florapipe.operators.responses import one_response
+from florapipe.operators.responses import LANDED_AT, asked, one_response
 
 MIN_TEXT_LEN = 50   # a summary counts only when longer than this (fixed value)
 
@@ -58,7 +58,8 @@ def text_fallback(entities: DataFrame, id_col: str, name_col: str, summaries: Da
     text is longer than ``min_len``), then -- when ``searches`` is given --
     the summary of the top search hit.  A failed request (NULL status) on the
     summary page ends that candidate.  A ``cache`` hit (name, description,
-    source) wins over everything.  ``final_min_len`` is the caller's own
+    source; the newest write of a name by ``landed_at``) wins over everything,
+    and its name is not looked up.  ``final_min_len`` is the caller's own
     check: a final text, also a cached one, that is not longer is not found.
 
     summaries: (title, http_status, extract); searches: (srsearch,
@@ -67,7 +68,12 @@ def text_fallback(entities: DataFrame, id_col: str, name_col: str, summaries: Da
     name = F.col(name_col)
     genus = F.col(genus_col) if genus_col else None
     labels = [lbl for _, lbl in candidates]
-    cand = (entities.select(id_col, F.posexplode(F.array(*[_candidate(r, name, genus) for r, _ in candidates]))
+    known = None
+    if cache is not None:
+        known = one_response(asked(cache, F.col("name").alias("_cn"), F.col("description").alias("_cd"),
+                                   F.col("source").alias("_cs")), ["_cn"], status=None).filter("_cd <> ''")
+        new = entities.join(known, name == F.col("_cn"), "left_anti")
+    cand = ((entities if known is None else new).select(id_col, F.posexplode(F.array(*[_candidate(r, name, genus) for r, _ in candidates]))
                             .alias("_prio", "_q"))
             .filter(F.col("_q").isNotNull()))
 
@@ -76,13 +82,13 @@ def text_fallback(entities: DataFrame, id_col: str, name_col: str, summaries: Da
     # the (large) texts are fetched once, for the winning title per entity
     acceptable = F.coalesce((F.col("http_status") == 200) & _accept(F.col("extract"), min_len, strip).isNotNull(),
                             F.lit(False))
-    meta = one_response(summaries.select(F.col("title").alias("_t"), F.col("http_status").alias("_st"),
+    meta = one_response(asked(summaries, F.col("title").alias("_t"), F.col("http_status").alias("_st"),
                                          acceptable.alias("_ok"), F.xxhash64("extract").alias("_h")), ["_t"], "_st")
     s1 = (keys.join(meta, page_title("_q") == F.col("_t"), "left")
           .select("_q", F.when(F.col("_ok"), F.col("_t")).alias("_title1"),
                   (F.col("_t").isNotNull() & F.col("_st").isNull()).alias("_fail1")))
     if searches is not None:
-        top = (one_response(searches.select("srsearch", "http_status", "results"), ["srsearch"])
+        top = (one_response(asked(searches, "srsearch", "http_status", "results"), ["srsearch"])
                .filter(F.col("http_status") == 200)
                .select(F.col("srsearch").alias("_q"), F.get(F.col("results"), 0)["title"].alias("_top"))
                .filter(F.col("_top").isNotNull()))
@@ -115,11 +121,9 @@ def text_fallback(entities: DataFrame, id_col: str, name_col: str, summaries: Da
     out = entities.join(best, id_col, "left")
     desc = F.col("_best.text")
     source = F.col("_best.source")
-    if cache is not None:
-        c = one_response(cache.select(F.col("name").alias("_cn"), F.col("description").alias("_cd"),
-                                      F.col("source").alias("_cs")), ["_cn"], status=None)
-        out = out.join(c, name == F.col("_cn"), "left")
-        hit = F.col("_cd").isNotNull() & (F.col("_cd") != "")
+    if known is not None:
+        out = out.join(known, name == F.col("_cn"), "left")
+        hit = F.col("_cd").isNotNull()
         desc = F.when(hit, F.col("_cd")).otherwise(desc)
         source = F.when(hit, F.col("_cs")).otherwise(source)
     if final_min_len is not None:
@@ -132,11 +136,17 @@ def text_fallback(entities: DataFrame, id_col: str, name_col: str, summaries: Da
 
 def cache_new_hits(cache: DataFrame, looked_up: DataFrame, name_col: str, miss_source: str = "none") -> DataFrame:
     """The lookup cache after a run -- earlier entries plus this run's
-    hits (misses are not stored); for a name written again the new value wins."""
+    hits (misses are not stored); for a name written again the newest write
+    wins.  Where entries say when they were written (``landed_at``), this run's
+    come after all of them."""
     hits = (looked_up.filter(F.col("description_source") != miss_source)
             .groupBy(name_col).agg(F.max(F.struct("description", "description_source")).alias("_h"))
             .select(F.col(name_col).alias("name"), F.col("_h.description").alias("description"),
                     F.col("_h.description_source").alias("source")))
+    if LANDED_AT in cache.columns:
+        last = F.coalesce(cache.agg(F.max(LANDED_AT)).scalar(), F.lit(0))
+        hits = hits.withColumn(LANDED_AT, (last + 1).cast(cache.schema[LANDED_AT].dataType))
+        cache = cache.groupBy("name").agg(F.max_by(F.struct("description", "source", LANDED_AT), LANDED_AT).alias("_c")).select("name", "_c.*")
     return cache.join(hits.select("name"), "name", "left_anti").unionByName(hits)
 
 

@@ -129,7 +129,7 @@ def q_first_result(spark, d):
     empty = table(spark, d, "region").select(
         F.concat(F.lit("empty "), F.col("r_name")).alias("q"), F.array().cast(landed.schema["results"].dataType).alias("results"),
         F.lit(200).alias("http_status"))
-    out = first_result(one_response(landed.unionByName(empty), ["q"]))
+    out = first_result(one_response(landed.unionByName(empty, allowMissingColumns=True), ["q"]))
     return out.select("q", "http_status", "inat_id", "observations", F.array_join("images", "|").alias("images"),
                       "common_name", "inat_status")
 

@@ -27,8 +27,8 @@ from florapipe.operators.numbering import number_rows
 from florapipe.operators.records import (assemble_records, is_complete, missing_field_rejects, normalize_headers,
                                          to_species_rows)
 from florapipe.operators.resolve import best_match, resolve_accepted_name, top_taxon
-from florapipe.operators.responses import one_response
-from florapipe.operators.text import MIN_TEXT_LEN, flag_text_quality, text_fallback
+from florapipe.operators.responses import LANDED_AT, one_response
+from florapipe.operators.text import MIN_TEXT_LEN, cache_new_hits, flag_text_quality, text_fallback
 from florapipe.plans.landing import capitalized, with_repeats
 from florapipe.plans.media_bind import PAGE_SQL, RANK_TAIL_SQL, TIERS_SQL, _page_landing, landed_links, landed_observations
 from florapipe.plans.registry import query
@@ -93,10 +93,15 @@ def landed_page_images(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
     return with_repeats(page_images, ["title"]), with_repeats(searches, ["srsearch"]), _page_landing(spark, d, links)[3]
 
 
-def extract_species(spark, d, limit: int | None = None) -> DataFrame:
-    """The extraction run: targets -> resolved orders -> listing pages (stop
-    rule, explode) -> accepted species -> not yet processed -> the first
-    ``limit`` per order, if one is asked for -> :func:`enrich`."""
+def extract_species(spark, d, limit: int | None = None, cache_path: str | None = None) -> DataFrame:
+    """The extraction run: :func:`species_to_extract` -> :func:`enrich`."""
+    return enrich(spark, d, species_to_extract(spark, d, limit), cache_path)
+
+
+def species_to_extract(spark, d, limit: int | None = None) -> DataFrame:
+    """Targets -> resolved orders -> listing pages (stop rule, explode) ->
+    accepted species -> not yet processed -> the first ``limit`` per order, if
+    one is asked for; with their place ``pos`` in the listing."""
     dim = table(spark, d, "part").select(F.lit(1).alias("batch"), F.col("p_type").alias("order_name")).distinct()
     targets = en.select_targets(dim, all_targets=True)
     orders = en.resolve_orders(targets, _order_matches(spark, d)).filter(F.col("status") == "resolved")
@@ -107,13 +112,21 @@ def extract_species(spark, d, limit: int | None = None) -> DataFrame:
     taxa = en.exclude_processed(taxa, processed, "key")
     if limit is not None:
         taxa = en.limit_per_group(taxa, "order_name", ["offset", "index"], n=limit).drop("rank_in_group")
-    return enrich(spark, d, taxa.withColumn("pos", F.struct("order_name", "offset", "index")))
+    return taxa.withColumn("pos", F.struct("order_name", "offset", "index"))
+
 
+def retry_extraction(spark, d, taxa: DataFrame, recorded: DataFrame, cache_path: str | None = None) -> DataFrame:
+    """J8 as a job: the extraction of those of ``taxa`` that have no record yet."""
+    taxa = materialize(taxa, "retry_taxa")
+    return enrich(spark, d, taxa.join(en.retry_candidates(taxa, recorded, "key"), "key", "left_semi"), cache_path)
 
-def enrich(spark, d, taxa: DataFrame) -> DataFrame:
+
+def enrich(spark, d, taxa: DataFrame, cache_path: str | None = None) -> DataFrame:
     """Listed species -> accepted names -> taxon match -> observation media ->
     description chain -> page media -> one record per species (arrays kept)
-    with its place ``pos`` in the listing."""
+    with its place ``pos`` in the listing.  With ``cache_path`` descriptions
+    are looked up in the cache stored there first, and found ones are entered
+    (S12): a later run asks for none of them."""
     # lineage cut: every enrichment branch starts from these rows (a table in
     # the shared spark.checkpoint.dir, so it survives executor loss)
     taxa = materialize(taxa, "taxa")
@@ -136,9 +149,17 @@ def enrich(spark, d, taxa: DataFrame) -> DataFrame:
 
     # description chain
     _, summaries, searches, cache = text_landing(spark, d, canonical=True)
+    if cache_path:
+        stored = store.read_snapshot(spark, cache_path)
+        cache = stored if stored is not None else cache.withColumn(LANDED_AT, F.lit(0))
     names = taxa.select("key", canonical.alias("name"), "genus")
     text = (text_fallback(names, "key", "name", summaries, searches, cache, genus_col="genus", final_min_len=MIN_TEXT_LEN)
-            .select("key", "description", "description_source"))
+            .select("key", "name", "description", "description_source"))
+    if cache_path:
+        text = materialize(text, "texts")
+        store.write_snapshot(cache_new_hits(cache, text, "name"), cache_path)
+        store.expire_versions(spark, cache_path)
+    text = text.drop("name")
     # reference images from the species page
     wiki = media.page_media(names.drop("genus"), "key", "name", *landed_page_images(spark, d)).select("key", "wiki_images")
 
@@ -269,6 +290,18 @@ def q_extract_species(spark, d):
     return records_text(extract_species(spark, d))
 
 
+@query("retry_extraction", EXTRACT_SQL)
+def q_retry_extraction(spark, d):
+    """A run that lost every third record, and the rerun of what it lost: together the whole, descriptions from one cache."""
+    sink, cache = scratch_path(spark, "records_sink"), scratch_path(spark, "text_cache")
+    taxa = materialize(species_to_extract(spark, d), "species_to_extract")
+    first = enrich(spark, d, taxa, cache)
+    store.append_batch(first.filter(F.col("gbif_id") % 3 != 0), sink, fmt="parquet", batch="run")
+    recorded = spark.read.parquet(sink).select(F.col("gbif_id").alias("key"))
+    store.append_batch(retry_extraction(spark, d, taxa, recorded, cache), sink, fmt="parquet", batch="retry")
+    return records_text(spark.read.parquet(sink).drop("batch"))
+
+
 def load_species(spark: SparkSession, records: DataFrame, parent_path: str, child_path: str,
                  chunk_rows: int = 10_000) -> dict[str, DataFrame]:
     """The load run into the (possibly existing) keyed tables at the two paths:

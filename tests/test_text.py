@@ -1,5 +1,6 @@
 """J5 / J5b description chain and S12 cache."""
 
+from florapipe.operators.responses import asked, one_response
 from florapipe.operators.text import cache_new_hits, flag_text_quality, text_fallback
 
 SUMM = "title string, http_status int, extract string"
@@ -50,3 +51,23 @@ def test_short_variant(spark):
 def test_flag_text_quality(spark):
     df = spark.createDataFrame([("x" * 50,), ("x" * 51,), (None,)], "t string")
     assert [r["has_wiki"] for r in flag_text_quality(df, "t").collect()] == ["No", "Yes", "No"]
+
+
+def test_the_newest_write_of_the_cache_wins(spark):
+    ents = spark.createDataFrame([(1, "Abc def", "Abc"), (2, "Ghi jkl", "Ghi")], "id int, name string, genus string")
+    cache = spark.createDataFrame([("Abc def", "z old and larger", "genus", 1), ("Abc def", "new", "species", 2)],
+                                  "name string, description string, source string, landed_at int")
+    summ = spark.createDataFrame([("Ghi_jkl", 200, "g" * 60)], SUMM)
+    found = text_fallback(ents, "id", "name", summ, cache=cache, genus_col="genus")
+    assert {r["id"]: r["description"] for r in found.collect()} == {1: "new", 2: "g" * 60}
+    after = cache_new_hits(cache, found, "name")
+    assert {r["name"]: (r["description"], r["landed_at"]) for r in after.collect()} == {"Abc def": ("new", 3), "Ghi jkl": ("g" * 60, 3)}
+    # a second run with that cache has nothing to ask, and finds the same
+    again = text_fallback(ents, "id", "name", summ.limit(0), cache=after, genus_col="genus")
+    assert sorted(again.collect()) == sorted(found.collect())
+
+
+def test_the_latest_answer_of_a_landing_log(spark):
+    log = spark.createDataFrame([("a", 200, "old", 1), ("a", 200, "new", 2), ("a", None, None, 3), ("b", 500, None, 1), ("b", None, None, 2)],
+                                "k string, http_status int, v string, landed_at int")
+    assert sorted(map(tuple, one_response(asked(log, "k", "http_status", "v"), ["k"]).collect())) == [("a", 200, "new"), ("b", 500, None)]
