@@ -98,20 +98,22 @@ def _statistics(labelled: DataFrame, key: str) -> DataFrame:
 
 
 def filter_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url",
-                train_rows: int = TRAIN_ROWS) -> DataFrame:
+                train_rows: int = TRAIN_ROWS, learn_from: Column | None = None) -> DataFrame:
     """One row per page: ``id_col, url, host, path, rule, verdict`` and ``score``, the trees' chance of a block.
 
     Rule rows take the rule's verdict, the others the trees'.  A null url is an
     empty one for the trees.  Without a labelled URL all is allowed; with
     labels of one kind only, that is the trees' verdict.  Repeated rows give
     repeated rows; an empty table gives an empty result; extra columns are
-    ignored."""
+    ignored.  ``learn_from`` (a condition on the columns of ``pages``) keeps the
+    labelled URLs of other rows from the trees and their statistics."""
     host, path, rest = split_url(F.col(url_col))
-    parts = pages.select(F.col(id_col), F.col(url_col).alias("url"), host.alias("host"), path.alias("path"), rest.alias("rest"))
+    teaches = F.lit(True) if learn_from is None else F.coalesce(learn_from, F.lit(False))
+    parts = pages.select(F.col(id_col), F.col(url_col).alias("url"), host.alias("host"), path.alias("path"), rest.alias("rest"), teaches.alias("teaches"))
     pattern, verdict = match_rule(F.col("host"), F.col("path"), rules)
     parts = parts.withColumns({"rule": pattern, "by_rule": verdict})
     labelled = materialize(
-        lexical(parts.filter("by_rule is not null").dropDuplicates(["url"]))
+        lexical(parts.filter("by_rule is not null and teaches").dropDuplicates(["url"]))
         .withColumn("label", (F.col("by_rule") == BLOCK).cast("double")), "url_labelled")
     kinds = labelled.agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).first()
     if not kinds["n"] or kinds["low"] == kinds["high"]:

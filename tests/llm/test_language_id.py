@@ -1,6 +1,9 @@
+import re
 import zlib
 
-from florapipe.llm.language_id import Classifier, identify_language, keep_identified, letters, train
+import zstandard
+
+from florapipe.llm.language_id import BLOCK_BYTES, LEVEL, Classifier, identify_language, keep_identified, letters, train
 from pyspark.sql import functions as F
 
 
@@ -46,3 +49,22 @@ def test_equal_texts_weigh_once(spark):
                                "doc_id bigint, text string, lang string")
     assert train(df, F.col("text"), F.col("lang"))["en"].count(b"the same") <= 1
     assert letters("AÉ 1,b") == "aé b".encode()
+
+
+def test_against_a_compressor_loop_of_its_own(spark):
+    """Every document's language from sizes taken here, with zstandard's raw dictionaries and nothing of the operator but
+    its settings."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    dictionaries = train(docs, F.col("text"), F.col("lang"))
+    compressors = {lang: zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+                                                  write_content_size=False, write_checksum=False, write_dict_id=False) for lang, d in dictionaries.items()}
+    found = {r["doc_id"]: r["lang_pred"] for r in identify_language(docs, dictionaries).collect()}
+    same = total = 0
+    for r in docs.filter("text is not null").collect():
+        plain = re.sub(r"[\W\d_]+", " ", r["text"].lower()).encode()
+        if not plain.strip():
+            continue
+        sizes = {lang: sum(len(c.compress(plain[i:i + BLOCK_BYTES])) for i in range(0, len(plain), BLOCK_BYTES)) for lang, c in compressors.items()}
+        total += 1
+        same += found[r["doc_id"]] == min(sorted(sizes), key=sizes.get)
+    assert total > 900 and same == total

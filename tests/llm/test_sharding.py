@@ -4,6 +4,39 @@ from collections import Counter, defaultdict
 from florapipe.llm.sharding import shard
 
 
+def cut_links(groups, place):
+    """Links between equal texts whose ends are in two shards."""
+    cut = 0
+    for ids in groups.values():
+        counts = Counter(place[i] for i in ids)
+        cut += (len(ids) ** 2 - sum(n * n for n in counts.values())) // 2
+    return cut
+
+
+def propagate(groups, start, shards, quota, rounds=20):
+    """Label propagation one document at a time: each moves to the shard of most of its neighbours that has room."""
+    place, size = dict(start), Counter(start.values())
+    for _ in range(rounds):
+        moved = 0
+        for ids in groups.values():
+            counts = Counter(place[i] for i in ids)
+            for i in ids:
+                for s, n in counts.most_common():
+                    if s == place[i] or n <= counts[place[i]]:
+                        break
+                    if size[s] < quota:
+                        counts[place[i]] -= 1
+                        size[place[i]] -= 1
+                        place[i] = s
+                        counts[s] += 1
+                        size[s] += 1
+                        moved += 1
+                        break
+        if not moved:
+            break
+    return place
+
+
 def check(df, shards=24):
     rows = [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
     found = shard(df, shards).collect()
@@ -44,3 +77,19 @@ def test_only_linked_documents(spark):
     for r in check(df):
         pairs[r["text_crc32"]].add(r["shard"])
     assert sum(len(p) == 1 for p in pairs.values()) > 450
+
+
+def test_fewer_links_are_cut_than_by_hashing(spark):
+    """Against hashing, and against a propagation on the driver, document by document."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    groups = defaultdict(list)
+    for r in df.collect():
+        groups[r["text"]].append(r["doc_id"])
+    groups = {t: ids for t, ids in groups.items() if len(ids) > 1}
+    ids = [r["doc_id"] for r in df.select("doc_id").collect()]
+    found = {r["doc_id"]: r["shard"] for r in check(df)}
+    hashed = {i: zlib.crc32(str(i).encode()) % 24 for i in ids}
+    links = sum(len(g) * (len(g) - 1) // 2 for g in groups.values())
+    by_hash, by_moves = cut_links(groups, hashed), cut_links(groups, propagate(groups, hashed, 24, -(-len(ids) // 24)))
+    cut = cut_links(groups, found)
+    assert links > 20 and cut < 0.25 * by_hash and cut <= by_moves + 0.1 * links, (links, by_hash, by_moves, cut)
