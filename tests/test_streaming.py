@@ -1,6 +1,7 @@
 """Streaming jobs: stream result = batch result; a restart on the same
 checkpoint processes only new files; replays do not duplicate."""
 
+import datetime
 import os
 import random
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from florapipe.operators.enumeration import page_prefix
 from florapipe.sources import keyed, store
 from florapipe.streaming import jobs
+from florapipe.streaming.answers import stream_answers, to_retry
 from florapipe.streaming.pager import state_store, stream_page_prefix
 from tests.conftest import SF_SMOKE, rows
 
@@ -130,3 +132,29 @@ def test_a_failed_page_that_is_answered_before_its_turn(maps_in_state, tmp_path)
 def test_the_pager_asks_for_its_state_store(spark):
     with pytest.raises(RuntimeError, match="providerClass"):
         stream_page_prefix(spark.createDataFrame(_pages(), PAGE_SCHEMA), "order_name", "offset", "http_status", "count", step=100)
+
+
+def test_answers_that_land_late(spark, tmp_path):
+    """An answer two batches later, after a restart, is in the records; one beyond the delay, a failed one and none at all
+    are in the retry table with their reasons."""
+    land = {n: str(tmp_path / n) for n in ("asked", "landed", "sink", "retry", "ck")}
+    at = lambda t: datetime.datetime.fromisoformat(f"2024-05-01T{t}:00")
+    asked = [[(k, at("12:00")) for k in range(1, 6)] + [(9, at("12:00"))], [(6, at("12:10"))], [(7, at("14:00"))], [(8, at("17:00"))]]
+    landed = [[(1, at("12:01"), 200, "a"), (9, at("12:02"), 500, None)], [(2, at("12:05"), 200, "b")],
+              [(3, at("12:30"), 200, "c"), (4, at("13:30"), 200, "too late"), (9, at("12:40"), 200, "again")], [(8, at("17:01"), 200, "d")]]
+    schemas = "k bigint, asked_at timestamp", "k bigint, landed_at timestamp, http_status int, v string"
+
+    def run():
+        q, a = (jobs.file_stream(spark, f"{land[n]}/*", spark.createDataFrame([], s).schema, max_files_per_trigger=1)
+                for n, s in zip(("asked", "landed"), schemas))
+        stream_answers(q, a, ["k"], land["sink"], land["retry"], land["ck"], delay="1 hour")
+
+    for i in range(4):
+        for n, rows_, s in (("asked", asked[i], schemas[0]), ("landed", landed[i], schemas[1])):
+            spark.createDataFrame(rows_, s).coalesce(1).write.parquet(f"{land[n]}/{i}")
+        if i in (1, 3):
+            run()
+    assert rows(jobs.read_sink(spark, land["sink"]).select("k", "v")) == [(1, "a"), (2, "b"), (3, "c"), (8, "d"), (9, "again")]
+    said = rows(jobs.read_sink(spark, land["retry"]).select("k", "reason"))
+    assert said == [(4, "no_answer"), (5, "no_answer"), (6, "no_answer"), (7, "no_answer"), (9, "status_500")]
+    assert rows(to_retry(spark, land["retry"], land["sink"], ["k"]), "k") == [(4,), (5,), (6,), (7,)]
