@@ -8,6 +8,7 @@ just one aggregate row.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -156,14 +157,14 @@ def retry_candidates(enumerated: DataFrame, recorded: DataFrame, key: str) -> Da
     return exclude_processed(enumerated.select(key).distinct(), recorded, key)
 
 
-#: Keys per group that cut its rows into ranges, and rounds of cutting: after them a group has about ``n`` and a
-#: ``RANGES ** ROUNDS``-th of its rows left.
-RANGES, ROUNDS = 64, 2
+#: Keys per group that cut its rows into ranges, and rows that are sorted without more cutting: each round leaves a group
+#: about ``n`` rows and a ``RANGES``-th of those it had.
+RANGES, SORT_ROWS = 64, 250_000
 
 
-def first_bounds(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], n: int) -> DataFrame:
+def first_bounds(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], n: int) -> DataFrame | None:
     """Per group (columns ``_g0``, ...) a value ``_bound`` of its order at which or before which its first ``n`` rows stand;
-    few more do.  A group that ends before has its last value or none.
+    few more do.  A group that ends before has its last value or none.  None where so few rows need no cutting.
 
     Rounds of a histogram: a few keys of the group, drawn by hash, cut it into
     ranges, the ranges are counted, and the one that holds the n-th row is cut
@@ -173,7 +174,7 @@ def first_bounds(df: DataFrame, group: Sequence[str], order: Sequence[str | Colu
     key = F.struct(*[(F.col(o) if isinstance(o, str) else o).alias(f"o{i}") for i, o in enumerate(order)])
     left = df.select(*g, key.alias("_key"))
     bounds = None
-    for turn in range(ROUNDS):
+    for turn in range(math.ceil(math.log(max(1, df.count() / SORT_ROWS), RANGES))):
         drawn = Window.partitionBy(*names).orderBy(F.xxhash64(F.lit(turn), "_key"), "_key")
         cuts = (left.withColumn("_n", F.row_number().over(drawn)).filter(F.col("_n") <= RANGES)
                 .groupBy(*names).agg(F.array_sort(F.collect_set("_key")).alias("_cuts")))
@@ -210,11 +211,12 @@ def limit_per_group(df: DataFrame, group: str | Sequence[str], order: Sequence[s
     position less that of the group's first row, so no task sorts a whole group
     however few the groups are.  ``df`` is read once per round: best a table."""
     g = [group] if isinstance(group, str) else list(group)
-    if n is not None:
+    bounds = first_bounds(df, g, order, n) if n is not None else None
+    if bounds is not None:
         keyed = df.select("*", *[F.col(c).alias(f"_g{i}") for i, c in enumerate(g)],
                           F.struct(*[(F.col(o) if isinstance(o, str) else o).alias(f"o{i}") for i, o in enumerate(order)]).alias("_key"))
         names = [f"_g{i}" for i in range(len(g))]
-        near = _same_group(keyed, first_bounds(df, g, order, n), names, "left")
+        near = _same_group(keyed, bounds, names, "left")
         df = near.filter(F.col("_bound").isNull() | (F.col("_key") <= F.col("_bound"))).select(*df.columns)
     ranked = number_in_groups(df, g, order, "_rank").withColumn("rank_in_group", (F.col("_rank") + 1)).drop("_rank")
     return ranked if n is None else ranked.filter(F.col("rank_in_group") <= n)

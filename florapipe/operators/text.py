@@ -72,8 +72,8 @@ def text_fallback(entities: DataFrame, id_col: str, name_col: str, summaries: Da
     if cache is not None:
         known = one_response(asked(cache, F.col("name").alias("_cn"), F.col("description").alias("_cd"),
                                    F.col("source").alias("_cs")), ["_cn"], status=None).filter("_cd <> ''")
-        new = entities.join(known, name == F.col("_cn"), "left_anti")
-    cand = ((entities if known is None else new).select(id_col, F.posexplode(F.array(*[_candidate(r, name, genus) for r, _ in candidates]))
+    base = entities if known is None else entities.join(known, name == F.col("_cn"), "left")
+    cand = ((base if known is None else base.filter(F.col("_cd").isNull())).select(id_col, F.posexplode(F.array(*[_candidate(r, name, genus) for r, _ in candidates]))
                             .alias("_prio", "_q"))
             .filter(F.col("_q").isNotNull()))
 
@@ -118,11 +118,10 @@ def text_fallback(entities: DataFrame, id_col: str, name_col: str, summaries: Da
     best = (best.join(texts, F.col("_best.title") == F.col("_wt"), "left")
             .select(id_col, F.struct(F.col("_text").alias("text"), F.col("_best.source").alias("source"))
                     .alias("_best")))
-    out = entities.join(best, id_col, "left")
+    out = base.join(best, id_col, "left")
     desc = F.col("_best.text")
     source = F.col("_best.source")
     if known is not None:
-        out = out.join(known, name == F.col("_cn"), "left")
         hit = F.col("_cd").isNotNull()
         desc = F.when(hit, F.col("_cd")).otherwise(desc)
         source = F.when(hit, F.col("_cs")).otherwise(source)

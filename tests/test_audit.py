@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from florapipe.operators import audit
 from florapipe.operators.attempts import accept_status, first_acceptable
+from florapipe.operators import enumeration
 from florapipe.operators.enumeration import first_bounds, left_out, limit_per_group, page_prefix
 from florapipe.operators.numbering import running_sums
 from florapipe.sources import store
@@ -115,8 +116,10 @@ def test_limit_per_group(spark):
     assert rows(limit_per_group(df, "g", ["o"], n=2), "g", "o") == [("a", 0), ("a", 1), ("b", 0), ("b", 1)]
 
 
-def test_first_bounds_leave_few_rows(spark):
+def test_first_bounds_leave_few_rows(spark, monkeypatch):
     """Two rounds of ranges: of a large group hardly more than the first n rows are left to be ranked, ties and nulls right."""
+    assert first_bounds(spark.range(1000).selectExpr("1 AS g", "id"), ["g"], ["id"], 10) is None
+    monkeypatch.setattr(enumeration, "SORT_ROWS", 300)
     df = spark.range(0, 300_000, numPartitions=4).selectExpr(
         "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 1000 = 1 THEN 'small' ELSE 'large' END AS g", "hash(id) % 5000 AS o", "id",
         "CASE WHEN id % 7 = 0 THEN NULL ELSE hash(id) END AS maybe")
