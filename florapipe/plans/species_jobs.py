@@ -35,7 +35,7 @@ from florapipe.plans.registry import query
 from florapipe.plans.resolution import landed_name_matches, landed_taxa_search
 from florapipe.plans.text_bind import TEXT_CHAIN_SQL, TEXT_SQL, text_landing
 from florapipe.session import materialize, scratch_path
-from florapipe.sources import keyed, store
+from florapipe.sources import bucketed, keyed, store
 from florapipe.sources.species_csv import LIST_COLUMNS, SPECIES_COLUMNS, to_csv_record
 from florapipe.sources.tables import table
 
@@ -296,10 +296,10 @@ def q_retry_extraction(spark, d):
     sink, cache = scratch_path(spark, "records_sink"), scratch_path(spark, "text_cache")
     taxa = materialize(species_to_extract(spark, d), "species_to_extract")
     first = enrich(spark, d, taxa, cache)
-    store.append_batch(first.filter(F.col("gbif_id") % 3 != 0), sink, fmt="parquet", batch="run")
-    recorded = spark.read.parquet(sink).select(F.col("gbif_id").alias("key"))
-    store.append_batch(retry_extraction(spark, d, taxa, recorded, cache), sink, fmt="parquet", batch="retry")
-    return records_text(spark.read.parquet(sink).drop("batch"))
+    bucketed.write_batch(first.filter(F.col("gbif_id") % 3 != 0), sink, ["gbif_id"], "run")
+    recorded = bucketed.read(spark, sink).select(F.col("gbif_id").alias("key"))
+    bucketed.write_batch(retry_extraction(spark, d, taxa, recorded, cache), sink, ["gbif_id"], "retry")
+    return records_text(bucketed.read(spark, sink).drop(bucketed.BATCH))
 
 
 def load_species(spark: SparkSession, records: DataFrame, parent_path: str, child_path: str,
