@@ -119,23 +119,18 @@ def extraction_counts(df: DataFrame, group: str) -> DataFrame:
     return df.groupBy(group).agg(F.count(F.lit(1)).alias("n_processed"))
 
 
-def load_metrics(df: DataFrame, key: str, chunk_rows: int = 10_000, chunk_col: str | None = None,
-                 images_col: str | None = None) -> DataFrame:
+def load_metrics(df: DataFrame, key: str | None, chunk_rows: int = 10_000, chunk_col: str | None = None,
+                 images_col: str | None = None, firsts: DataFrame | None = None) -> DataFrame:
     """Per load chunk -- rows in, keys first seen in it, running rows and
     distinct keys loaded, running images loaded (``images_col``: a row's number
     of them) and % progress.  Chunks are given by ``chunk_col`` or by key ranges
     of width ``chunk_rows``.  A key counts at its first chunk, so the running
-    count of keys is the global one."""
-    ch = F.col(chunk_col) if chunk_col else F.floor(F.col(key) / chunk_rows)
-    images = F.coalesce(F.col(images_col), F.lit(0)).cast("bigint") if images_col else F.lit(0).cast("bigint")
-    per_key = (df.filter(F.col(key).isNotNull())
-               .groupBy(F.col(key), ch.cast("bigint").alias("chunk"))
-               .agg(F.count(F.lit(1)).alias("n"), F.sum(images).alias("i")))
-    firsts = per_key.groupBy(key).agg(F.min("chunk").alias("chunk"))
-    per = (per_key.select("chunk", "n", "i", F.lit(0).cast("bigint").alias("k"))
-           .unionByName(firsts.select("chunk", F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("i"),
-                                      F.lit(1).cast("bigint").alias("k")))
-           .groupBy("chunk").agg(F.sum("n").alias("rows_in"), F.sum("k").alias("unique_keys"), F.sum("i").alias("images_in")))
+    count of keys is the global one.  Rows without a key count nowhere.
+
+    ``firsts``, where a merge knows it already: a row per key with its first
+    ``chunk``.  The rows are then read once, counted per chunk and not moved
+    by their keys; without a ``key`` all of them count."""
+    per = chunk_figures(df, key, chunk_rows, chunk_col, images_col, firsts)
     run = materialize(running_sums(per, ["chunk"], ["rows_in", "unique_keys", "images_in"]), "load_metrics")
     total = run.agg(F.sum("rows_in")).scalar()    # scalar subquery, evaluated once
     return run.select("chunk", "rows_in", "unique_keys",
@@ -145,6 +140,23 @@ def load_metrics(df: DataFrame, key: str, chunk_rows: int = 10_000, chunk_col: s
                       F.try_divide(F.col("cum_rows_in") * 100.0, total).alias("progress_pct"))
 
 
+def chunk_figures(df: DataFrame, key: str | None, chunk_rows: int, chunk_col: str | None, images_col: str | None,
+                  firsts: DataFrame | None) -> DataFrame:
+    """(chunk, rows_in, unique_keys, images_in), what :func:`load_metrics` adds up."""
+    ch = (F.col(chunk_col) if chunk_col else F.floor(F.col(key) / chunk_rows)).cast("bigint").alias("chunk")
+    images = F.coalesce(F.col(images_col), F.lit(0)).cast("bigint") if images_col else F.lit(0).cast("bigint")
+    keyed = df if key is None else df.filter(F.col(key).isNotNull())
+    by = [ch] if firsts is not None else [F.col(key), ch]
+    counted = keyed.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(images).alias("i"))
+    if firsts is None:
+        firsts = counted.groupBy(key).agg(F.min("chunk").alias("chunk"))
+    zero = F.lit(0).cast("bigint")
+    new = firsts.groupBy(F.col("chunk").cast("bigint").alias("chunk")).agg(F.count(F.lit(1)).alias("k"))
+    return (counted.select("chunk", "n", "i", zero.alias("k"))
+            .unionByName(new.select("chunk", zero.alias("n"), zero.alias("i"), "k"))
+            .groupBy("chunk").agg(F.sum("n").alias("rows_in"), F.sum("k").alias("unique_keys"), F.sum("i").alias("images_in")))
+
+
 # ---------------------------------------------------------------- describe (A5)
 
 def exact_quantiles(df: DataFrame, c: str, probs: Sequence[float], names: Sequence[str]) -> DataFrame:

@@ -52,7 +52,7 @@ def merge_entities(df: DataFrame, key: str, pos: str, name_col: str | None = Non
       occurrence kept;
     * each of ``first_present`` = its first non-NULL value.
 
-    Texts and lists stay out of the aggregate that carries the first row.
+    Lists stay out of the aggregate; of the texts it carries one per key and map task.
     """
     base = df.filter(F.col(key).isNotNull())
     others = [c for c in df.columns if c != key]

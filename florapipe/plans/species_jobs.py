@@ -14,6 +14,8 @@ observations by its binomial.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +36,7 @@ from florapipe.plans.media_bind import PAGE_SQL, RANK_TAIL_SQL, TIERS_SQL, _page
 from florapipe.plans.registry import query
 from florapipe.plans.resolution import landed_name_matches, landed_taxa_search
 from florapipe.plans.text_bind import TEXT_CHAIN_SQL, TEXT_SQL, text_landing
-from florapipe.session import materialize, scratch_path
+from florapipe.session import materialize, materialize_seen, scratch_path
 from florapipe.sources import bucketed, keyed, store
 from florapipe.sources.species_csv import LIST_COLUMNS, SPECIES_COLUMNS, to_csv_record
 from florapipe.sources.tables import table
@@ -303,7 +305,7 @@ def q_retry_extraction(spark, d):
 
 
 def load_species(spark: SparkSession, records: DataFrame, parent_path: str, child_path: str,
-                 chunk_rows: int = 10_000) -> dict[str, DataFrame]:
+                 chunk_rows: int = 10_000, report: Callable[[str, dict], None] = lambda step, figures: None) -> dict[str, DataFrame]:
     """The load run into the (possibly existing) keyed tables at the two paths:
     records, in their order ``pos`` -> global duplicate merge on the cleaned
     name (A1) -> parent rows (P11) -> upsert (S7) -> ids (S9) -> child image
@@ -311,18 +313,25 @@ def load_species(spark: SparkSession, records: DataFrame, parent_path: str, chil
     the same records again changes nothing.
 
     Returns the tables and reports: parent, child, metrics per chunk of input
-    rows (A13), rejects (P12) and table counts (S10)."""
+    rows (A13), rejects (P12) and table counts (S10).  While it runs, ``report``
+    is told each step's figures as its write ends, counted by that write (S10):
+    rows and images read, keys merged and rejected, images listed."""
     name = clean_text("scientific_name")
     at = number_rows(records, ["pos"], "row_id", "load_rows")
-    rows = materialize(at.withColumn("scientific_name", name).filter(F.col("scientific_name").isNotNull())
-                       .select(*[c for c in SPECIES_COLUMNS if c != "inat_needs_id_images"], "row_id"), "load_rows")
+    n_rows = F.count(F.lit(1)).alias("n_rows")
+    n_images = F.sum(F.coalesce(F.size("inat_research_images"), F.lit(0)) + F.coalesce(F.size("wiki_images"), F.lit(0)))
+    rows = materialize_seen(at.withColumn("scientific_name", name).filter(F.col("scientific_name").isNotNull())
+                            .select(*[c for c in SPECIES_COLUMNS if c != "inat_needs_id_images"], "row_id"), "load_rows", report,
+                            n_rows, F.coalesce(n_images, F.lit(0)).alias("n_images"))
     first = lambda c: F.try_element_at(F.col(c), F.lit(1))
     slim = rows.select(*[c for c in rows.columns if c not in LIST_COLUMNS], first("inat_research_images").alias("_inat"),
                        first("wiki_images").alias("_wiki"))
     merged = merge_entities(slim, key="scientific_name", pos="row_id", name_col="common_name", text_col="wikipedia_description",
                             first_present=["_inat", "_wiki"])
     merged = merged.withColumn("primary_image_url", F.coalesce("_inat", "_wiki"))
-    merged = materialize(merged.filter(is_valid_species_name("scientific_name")), "load_merged")
+    valid = is_valid_species_name("scientific_name")
+    keys = materialize_seen(merged, "load_merged", report, n_rows, F.count_if(~F.coalesce(valid, F.lit(False))).alias("n_invalid"))
+    merged = keys.filter(valid)
     species = to_species_rows(merged)
     keyed.upsert_into(spark, parent_path, species.withColumn("_seq", F.lit(0)), ["scientific_name"], "_seq")
     like = species.withColumn("id", F.lit(0).cast("bigint"))
@@ -332,13 +341,14 @@ def load_species(spark: SparkSession, records: DataFrame, parent_path: str, chil
     listed = F.concat(_listed("inat_research_images", "inat"), _listed("wiki_images", "wiki"))
     images = rows.select("scientific_name", "row_id", F.inline(listed)).filter(F.col("image_url").isNotNull())
     images = store.lookup_ids(images, loaded_keys, ["scientific_name"]).withColumnRenamed("id", "species_id")
-    child = explode_media_rows(images, "species_id", "image_url", "source", ["row_id", "i"])
+    child = materialize_seen(explode_media_rows(images, "species_id", "image_url", "source", ["row_id", "i"]), "load_images",
+                             report, n_rows)
     keyed.insert_into(spark, child_path, child, ["species_id", "image_url"], ["image_order"])
     child = _stored(keyed.read_table(spark, child_path), child)
-    loaded = rows.select("scientific_name", F.floor(F.col("row_id") / chunk_rows).alias("_c"),
-                         (F.size("inat_research_images") + F.size("wiki_images")).alias("_n"))
+    chunk = F.floor(F.col("row_id") / chunk_rows)
+    loaded = rows.select(chunk.alias("_c"), (F.size("inat_research_images") + F.size("wiki_images")).alias("_n"))
     return {"parent": parent.drop(keyed.BUCKET), "child": child.drop(keyed.BUCKET),
-            "metrics": audit.load_metrics(loaded, "scientific_name", chunk_col="_c", images_col="_n"),
+            "metrics": audit.load_metrics(loaded, None, chunk_col="_c", images_col="_n", firsts=keys.select(chunk.alias("chunk"))),
             "rejects": missing_field_rejects(merged),
             "counts": store.table_counts({"species": parent, "species_images": child})}
 

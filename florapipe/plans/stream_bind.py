@@ -14,6 +14,7 @@ from florapipe.sources import keyed, store
 from florapipe.sources.tables import table
 from florapipe.streaming import jobs
 from florapipe.streaming.pager import state_store, stream_page_prefix
+from florapipe.streaming.progress import Watch, share_done
 
 
 def events_stream(spark, d):
@@ -84,3 +85,16 @@ def q_stream_progress(spark, d):
     path, ckpt = scratch_path(spark, "progress_table"), scratch_path(spark, "progress_ckpt")
     jobs.stream_progress(events_stream(spark, d), "event_type", path, ckpt)
     return store.read_snapshot(spark, path).select("event_type", "n_processed")
+
+
+# ---- T4 against what is expected: the events of value 100 or less are processed, all of a type are expected.
+@query("stream_share_done", """
+SELECT event_type, count(*) FILTER (WHERE value <= 100) AS n_processed, count(*) AS n_total,
+       round(count(*) FILTER (WHERE value <= 100) * 100.0 / count(*), 6) AS done_pct
+FROM events GROUP BY event_type
+""")
+def q_stream_share_done(spark, d):
+    path, ckpt = scratch_path(spark, "share_table"), scratch_path(spark, "share_ckpt")
+    jobs.stream_progress(events_stream(spark, d).filter(F.col("value") <= 100), "event_type", path, ckpt, Watch())
+    totals = table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n_total"))
+    return share_done(store.read_snapshot(spark, path), totals, "event_type").withColumn("done_pct", F.round("done_pct", 6))

@@ -12,12 +12,14 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Sequence
+from contextlib import nullcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from florapipe.sources import keyed, store
+from florapipe.streaming.progress import Watch
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
@@ -86,11 +88,14 @@ def stream_upsert(stream: DataFrame, table_path: str, keys: Sequence[str], seq:
     run_available_now(stream, on_batch, checkpoint)
 
 
-def stream_progress(stream: DataFrame, group: str, table_path: str, checkpoint: str) -> None:
+def stream_progress(stream: DataFrame, group: str, table_path: str, checkpoint: str, watch: Watch | None = None) -> None:
     """T4: running per-group totals.  A streaming ``groupBy.count`` in update
     mode emits only the groups a batch changed; they are upserted into the
-    progress table, so it always holds the latest total per group."""
-    counts = stream.groupBy(group).agg(F.count(F.lit(1)).alias("n_processed"))
+    progress table, so it always holds the latest total per group
+    (:func:`florapipe.streaming.progress.share_done` sets them against what is
+    expected).  ``watch`` is told the figures of this run as it runs."""
+    read = watch.on(stream) if watch else stream
+    counts = read.groupBy(group).agg(F.count(F.lit(1)).alias("n_processed"))
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
@@ -99,7 +104,8 @@ def stream_progress(stream: DataFrame, group: str, table_path: str, checkpoint:
         nxt = store.upsert(current, upd, [group], "_seq", id_col="id")
         store.write_snapshot(nxt, table_path)
         store.expire_versions(spark, table_path)
-    run_available_now(counts, on_batch, checkpoint, output_mode="update")
+    with watch.listening(stream.sparkSession) if watch else nullcontext():
+        run_available_now(counts, on_batch, checkpoint, output_mode="update")
 
 
 def read_sink(spark: SparkSession, sink: str) -> DataFrame:

@@ -64,8 +64,13 @@ def test_limit_is_opt_in(spark, full_records):
 
 def test_second_load_changes_nothing(spark, full_records, tmp_path, sql):
     paths = str(tmp_path / "parent"), str(tmp_path / "child")
-    first = J.load_species(spark, full_records, *paths)
+    told = {}
+    first = J.load_species(spark, full_records, *paths, report=told.__setitem__)
     parent, child = rows(first["parent"]), rows(first["child"])
+    last = first["metrics"].orderBy(F.desc("chunk")).first()          # what the writes told is what the report says afterwards
+    assert told["load_rows"] == {"n_rows": last["rows_loaded"], "n_images": last["images_loaded"]}
+    assert told["load_merged"]["n_rows"] == last["keys_loaded"] == len(parent) + told["load_merged"]["n_invalid"]
+    assert told["load_images"] == {"n_rows": len(child)}
     again = J.load_species(spark, full_records, *paths)
     assert rows(again["parent"]) == parent and rows(again["child"]) == child
     assert len(parent) == full_records.select("scientific_name").distinct().count()
