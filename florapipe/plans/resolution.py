@@ -25,24 +25,29 @@ def landed_taxa_search(spark, d, capitalized: bool = False, per_page: int = PER_
     part = table(spark, d, "part")
     if capitalized:   # names written as scientific names ("Small ring")
         part = part.withColumn("p_name", cap("p_name"))
-    pk = F.col("p_partkey").cast("string")
-    result = F.struct(
-        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
-        F.col("p_size").cast("bigint").alias("observations_count"),
-        F.when(F.col("p_brand").endswith("1"), F.lit(None).cast("string")).otherwise(F.col("p_brand"))
-        .alias("preferred_common_name"),
-        F.col("p_type").alias("english_common_name"),
-        F.array(
-            F.struct(F.struct(F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("l/"), pk)).alias("large_url"),
-                              F.concat(F.lit("m/"), pk).alias("medium_url"),
-                              F.concat(F.lit("s/"), pk).alias("square_url")).alias("photo")),
-            F.struct(F.struct(F.lit(None).cast("string").alias("large_url"), F.lit("").alias("medium_url"),
-                              F.concat(F.lit("sq/"), pk).alias("square_url")).alias("photo")))
-        .alias("taxon_photos"))
-
-    by_genus = part.select(F.substring_index("p_name", " ", 1).alias("q"), "p_partkey", result.alias("item"))
-    by_name = part.filter(F.length("p_name") % 3 != 0).select(F.col("p_name").alias("q"), "p_partkey", result.alias("item"))
+
+    def result(p):
+        pk = p["p_partkey"].cast("string")
+        return F.struct(
+            p["p_partkey"].alias("id"), p["p_name"].alias("name"),
+            p["p_size"].cast("bigint").alias("observations_count"),
+            F.when(p["p_brand"].endswith("1"), F.lit(None).cast("string")).otherwise(p["p_brand"])
+            .alias("preferred_common_name"),
+            p["p_type"].alias("english_common_name"),
+            F.array(
+                F.struct(F.struct(F.when(p["p_size"] % 2 == 0, F.concat(F.lit("l/"), pk)).alias("large_url"),
+                                  F.concat(F.lit("m/"), pk).alias("medium_url"),
+                                  F.concat(F.lit("s/"), pk).alias("square_url")).alias("photo")),
+                F.struct(F.struct(F.lit(None).cast("string").alias("large_url"), F.lit("").alias("medium_url"),
+                                  F.concat(F.lit("sq/"), pk).alias("square_url")).alias("photo")))
+            .alias("taxon_photos"))
+
+    # the part's own columns are sorted; results are made of those on a page
+    item = F.struct("p_partkey", "p_name", "p_brand", "p_type", "p_size").alias("item")
+    by_genus = part.select(F.substring_index("p_name", " ", 1).alias("q"), "p_partkey", item)
+    by_name = part.filter(F.length("p_name") % 3 != 0).select(F.col("p_name").alias("q"), "p_partkey", item)
     return (first_page(by_genus.unionByName(by_name), "q", ["p_partkey"], per_page, "item")
+            .withColumn("results", F.transform("results", result))
             .withColumn("http_status", F.when(F.length("q") % 7 == 0, F.lit(500))
                         .when(F.length("q") % 13 != 0, F.lit(200))).transform(lambda r: with_repeats(r, ["q"])))
 

@@ -88,3 +88,26 @@ def test_first_word_candidate_uses_any_whitespace(spark):
     search = spark.createDataFrame([("Rosa", 200, [_result(5, "Rosa")])], SEARCH_SCHEMA)
     r = best_match(ents, search, "id", "name").first()
     assert (r["q_used"], r["taxon"]["id"]) == ("Rosa", 5)
+
+
+def test_best_match_broadcasts_no_entities(spark, tmp_path):
+    """Names that repeat make a small file of many rows: answers alone may be the broadcast side."""
+    (spark.range(20_000).select(F.col("id"), F.concat(F.lit("Rosa x"), (F.col("id") % 4).cast("string")).alias("name"))
+     .coalesce(1).write.parquet(str(tmp_path / "e")))
+    ents = spark.read.parquet(str(tmp_path / "e"))
+    search = spark.createDataFrame([("Rosa", 200, [(1, "Rosa", 5, None, None, []), (2, "rosa x1 y", 5, None, None, [])])], SEARCH_SCHEMA)
+    out = best_match(ents, search, "id", "name")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BuildLeft" not in plan and "Inner" not in plan
+    got = {tuple(r): r["count"] for r in out.groupBy(F.col("id") % 4, "q_used", "taxon.id", "inat_status").count().collect()}
+    assert got == {(k, "Rosa", 2 if k == 1 else 1, "success", 5_000): 5_000 for k in range(4)}
+
+
+def test_best_match_of_repeated_and_null_ids(spark):
+    """One winner per id, also where its rows have several names; a NULL id has none."""
+    ents = spark.createDataFrame([(1, "b c"), (1, "a"), (1, "a"), (None, "a"), (2, None)], "id bigint, name string")
+    search = spark.createDataFrame([("a", 200, [(7, "a", 5, None, None, [])]), ("b", 200, [(8, "b", 5, None, None, [])])], SEARCH_SCHEMA)
+    got = sorted(tuple(r) for r in best_match(ents, search, "id", "name").select(
+        F.coalesce("id", F.lit(0)), F.coalesce("name", F.lit("")), F.coalesce("q_used", F.lit("")), "inat_status").collect())
+    assert got == [(0, "a", "", "taxon_not_found"), (1, "a", "a", "success"), (1, "a", "a", "success"), (1, "b c", "a", "success"),
+                   (2, "", "", "invalid_name")]
