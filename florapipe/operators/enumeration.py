@@ -153,8 +153,9 @@ def exclude_processed(taxa: DataFrame, sink: DataFrame, key: str, sink_key: str
 
 
 def retry_candidates(enumerated: DataFrame, recorded: DataFrame, key: str) -> DataFrame:
-    """Ids that were enumerated but have no record -- the rerun set."""
-    return exclude_processed(enumerated.select(key).distinct(), recorded, key)
+    """Ids that were enumerated but have no record -- the rerun set.  Recorded
+    ids are as many as species: merged, never broadcast."""
+    return enumerated.select(key).distinct().join(recorded.select(key).distinct().hint("merge"), key, "left_anti")
 
 
 #: Keys per group that cut its rows into ranges, and rows that are sorted without more cutting: each round leaves a group

@@ -194,14 +194,15 @@ def page_media(entities: DataFrame, id_col: str, name_col: str, page_images: Dat
                    F.when((F.col("_ss") == 200) & F.col("_top").isNotNull(), page_title("_top")).alias("_alt"),
                    (F.col("_sq").isNotNull() & F.col("_ss").isNull()).alias("search_fail")))
     alt = listed(alt, "_alt", "alt").select(id_col, "alt_titles", "alt_fail", "search_fail")
-    titled = (own.join(alt, id_col, "left")
+    # merged: lists that repeat are small as shuffled blocks, by which a broadcast is chosen, and large as rows
+    titled = (own.join(alt.hint("merge"), id_col, "left")
               .withColumn("titles", F.when(F.size("own_titles") > 0, F.col("own_titles"))
                           .otherwise(F.coalesce("alt_titles", F.array().cast("array<string>"))))
               .withColumn("_exception", F.col("own_fail") | F.coalesce("alt_fail", F.lit(False))
                           | F.coalesce("search_fail", F.lit(False))))
     scored = _resolve_titles(titled.filter(~F.col("_exception")), id_col, name_col, image_info, limit)
     per = _ranked_with_count(scored, id_col, n)
-    out = titled.join(per, id_col, "left")
+    out = titled.join(per.hint("merge"), id_col, "left")
     status = (F.when(F.col("_exception"), F.lit("exception"))
               .when(F.size("titles") == 0, F.lit("no_titles"))
               .when(F.coalesce("_n_resolved", F.lit(0)) == 0, F.lit("no_images"))

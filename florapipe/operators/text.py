@@ -105,11 +105,12 @@ def text_fallback(entities: DataFrame, id_col: str, name_col: str, summaries: Da
                 .filter(F.col("_hit").isNotNull()))
 
     src = F.array(*[F.lit(lbl) for lbl in labels])
-    best = (cand.join(resolved, "_q")
+    # an outer join, so that the answers are the only side that may be broadcast
+    best = (cand.join(resolved, "_q", "left")
             .groupBy(id_col)
             .agg(F.min_by(F.struct(F.col("_hit.t").alias("title"),
                                    F.element_at(src, F.col("_prio") + 1).alias("source")),
-                          F.struct("_prio", "_hit.s")).alias("_best")))
+                          F.when(F.col("_hit").isNotNull(), F.struct("_prio", "_hit.s"))).alias("_best")))
     # the text of each winning title, of the response that was chosen for it
     won = best.select(F.col("_best.title").alias("_wt")).distinct().join(meta.select(F.col("_t").alias("_wt"), "_h"), "_wt")
     texts = (summaries.select(F.col("title").alias("_wt"), F.xxhash64("extract").alias("_h"), "extract")
@@ -118,7 +119,8 @@ def text_fallback(entities: DataFrame, id_col: str, name_col: str, summaries: Da
     best = (best.join(texts, F.col("_best.title") == F.col("_wt"), "left")
             .select(id_col, F.struct(F.col("_text").alias("text"), F.col("_best.source").alias("source"))
                     .alias("_best")))
-    out = base.join(best, id_col, "left")
+    # merged: texts that repeat are small as shuffled blocks, by which a broadcast is chosen, and large as rows
+    out = base.join(best.hint("merge"), id_col, "left")
     desc = F.col("_best.text")
     source = F.col("_best.source")
     if known is not None:

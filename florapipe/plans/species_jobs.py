@@ -120,7 +120,7 @@ def species_to_extract(spark, d, limit: int | None = None) -> DataFrame:
 def retry_extraction(spark, d, taxa: DataFrame, recorded: DataFrame, cache_path: str | None = None) -> DataFrame:
     """J8 as a job: the extraction of those of ``taxa`` that have no record yet."""
     taxa = materialize(taxa, "retry_taxa")
-    return enrich(spark, d, taxa.join(en.retry_candidates(taxa, recorded, "key"), "key", "left_semi"), cache_path)
+    return enrich(spark, d, taxa.join(en.retry_candidates(taxa, recorded, "key").hint("merge"), "key", "left_semi"), cache_path)
 
 
 def enrich(spark, d, taxa: DataFrame, cache_path: str | None = None) -> DataFrame:
@@ -154,21 +154,25 @@ def enrich(spark, d, taxa: DataFrame, cache_path: str | None = None) -> DataFram
     if cache_path:
         stored = store.read_snapshot(spark, cache_path)
         cache = stored if stored is not None else cache.withColumn(LANDED_AT, F.lit(0))
-    names = taxa.select("key", canonical.alias("name"), "genus")
-    text = (text_fallback(names, "key", "name", summaries, searches, cache, genus_col="genus", final_min_len=MIN_TEXT_LEN)
-            .select("key", "name", "description", "description_source"))
+    # a description is looked up by name and genus, page images by name: each once, and no text is moved before the records
+    name, genus = canonical.alias("_name"), F.coalesce("genus", F.lit("")).alias("_genus")
+    names = taxa.select(name, genus).distinct().withColumn("_id", F.struct("_name", "_genus"))
+    text = (text_fallback(names, "_id", "_name", summaries, searches, cache, genus_col="_genus", final_min_len=MIN_TEXT_LEN)
+            .select("_name", "_genus", "description", "description_source"))
     if cache_path:
         text = materialize(text, "texts")
-        store.write_snapshot(cache_new_hits(cache, text, "name"), cache_path)
+        store.write_snapshot(cache_new_hits(cache, text, "_name"), cache_path)
         store.expire_versions(spark, cache_path)
-    text = text.drop("name")
     # reference images from the species page
-    wiki = media.page_media(names.drop("genus"), "key", "name", *landed_page_images(spark, d)).select("key", "wiki_images")
+    pages = taxa.select(name).distinct().withColumn("_id", F.col("_name"))
+    wiki = media.page_media(pages, "_id", "_name", *landed_page_images(spark, d)).select("_name", "wiki_images")
 
     base = taxa.select("key", F.col("order_name").alias("order"), "family", "genus",
                        F.col("scientificName").alias("scientific_name"),
-                       F.col("canonicalName").alias("canonical_name"), F.col("vernacularName").alias("vernacular"), "pos")
-    return assemble_records(base, "key", {"obs": obs, "text": text, "media": wiki}, keep=["pos"])
+                       F.col("canonicalName").alias("canonical_name"), F.col("vernacularName").alias("vernacular"), "pos",
+                       name, genus)
+    return assemble_records(base, "key", {"obs": obs, "text": text, "media": wiki}, keep=["pos"],
+                            on={"text": ["_name", "_genus"], "media": ["_name"]})
 
 
 def _obs_columns(obs: DataFrame) -> DataFrame:
