@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from florapipe.session import materialize
 from florapipe.sources import keyed, store
 from florapipe.streaming.progress import Watch
 
@@ -49,11 +50,17 @@ def _batch_dir(sink: str, batch_id: int) -> str:
 
 
 def stream_extract(stream: DataFrame, sink: str, checkpoint: str,
-                   transform: Callable[[DataFrame], DataFrame] = lambda d: d) -> None:
+                   transform: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Each micro-batch -> ``transform`` -> its own ``batch_id=N`` folder
-    (overwrite, so a replay after a failure does not duplicate rows)."""
+    (overwrite, so a replay after a failure does not duplicate rows).
+
+    The rows of a micro-batch are written once and ``transform`` reads them in
+    the session of ``stream``: a stateful stream plans its batches without
+    adaptive execution, which the joins of a long plan need for their sizes and
+    hot keys, and what it computed is not computed again by every reader."""
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        transform(df).write.mode("overwrite").parquet(_batch_dir(sink, batch_id))
+        out = df if transform is None else transform(materialize(df, "micro_batch", stream.sparkSession))
+        out.write.mode("overwrite").parquet(_batch_dir(sink, batch_id))
     run_available_now(stream, on_batch, checkpoint)
 
 

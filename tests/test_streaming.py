@@ -118,6 +118,23 @@ def test_stop_rule_over_shuffled_pages(maps_in_state, tmp_path, seed):
     assert given[0] < given[1]
 
 
+def test_batches_of_a_stateful_stream_are_transformed_with_adaptive_execution(maps_in_state, tmp_path):
+    """A stateful stream plans without it; the transform reads the rows in the stream's own session."""
+    spark = maps_in_state
+    land, sink, ck = (str(tmp_path / n) for n in ("land", "sink", "ck"))
+    spark.createDataFrame(_pages(), PAGE_SCHEMA).coalesce(1).write.parquet(land)
+    src = jobs.file_stream(spark, land, spark.createDataFrame(_pages(), PAGE_SCHEMA).schema)
+    seen = []
+
+    def transform(df):
+        seen.append(df.sparkSession.conf.get("spark.sql.adaptive.enabled"))
+        return df.join(df.groupBy("order_name").agg({"offset": "max"}), "order_name")
+    jobs.stream_extract(stream_page_prefix(src, "order_name", "offset", "http_status", "count", step=100), sink, ck, transform)
+    assert seen and set(seen) == {"true"}
+    want = page_prefix(spark.createDataFrame(_pages(), PAGE_SCHEMA), "order_name", "offset", "http_status", "count")
+    assert rows(jobs.read_sink(spark, sink).select("order_name", "offset")) == rows(want.select("order_name", "offset"))
+
+
 def test_a_failed_page_that_is_answered_before_its_turn(maps_in_state, tmp_path):
     spark = maps_in_state
     land, sink, ck = (str(tmp_path / n) for n in ("land", "sink", "ck"))
