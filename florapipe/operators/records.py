@@ -157,7 +157,7 @@ def is_complete(df: DataFrame, image_cols: Sequence[str] = ("inat_research_image
 
 
 def assemble_records(taxa: DataFrame, key: str, enrichments: Mapping[str, DataFrame],
-                     keep: Sequence[str] = (), on: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+                     keep: Sequence[str] = ()) -> DataFrame:
     """One species record per taxon row -- the enrichment tables (each at
     most one row per ``key``: "obs", "text", "media") left-joined on the key,
     with the source's defaults.
@@ -167,16 +167,14 @@ def assemble_records(taxa: DataFrame, key: str, enrichments: Mapping[str, DataFr
     needs_id_images, inat_status; text: description, description_source;
     media: wiki_images.  All joins are on ``key``, so the taxa side is
     exchanged once and the enrichments (already aggregated by key) line up.
-    ``on``: other columns of ``taxa`` that an enrichment is joined on instead (at
-    most one row per value, no NULLs); texts come last, so that no later join moves them.
     ``keep``: more columns of ``taxa`` to carry (its row position).
 
     An enrichment is never broadcast: lists and texts that repeat are small as
     files or shuffled blocks, by which Spark measures, and large as rows."""
     out = taxa
-    for name in ("obs", "media", "text"):
+    for name in ("obs", "text", "media"):
         if name in enrichments:
-            out = out.join(enrichments[name].hint("merge"), list((on or {}).get(name, [key])), "left")
+            out = out.join(enrichments[name].hint("merge"), key, "left")
     cols = set(out.columns)
 
     def get(c, default):
