@@ -147,8 +147,9 @@ def accepted_species(taxa: DataFrame, order_keys: Sequence[int] | DataFrame | No
 
 def exclude_processed(taxa: DataFrame, sink: DataFrame, key: str, sink_key: str | None = None) -> DataFrame:
     """Drop ids already recorded in the sink (anti-join on the sink's
-    distinct keys; the sink is the state, no separate id set)."""
-    sk = sink.select(F.col(sink_key or key).alias(key)).distinct()
+    distinct keys; the sink is the state, no separate id set).  Recorded ids
+    are as many as species: merged, never broadcast."""
+    sk = sink.select(F.col(sink_key or key).alias(key)).distinct().hint("merge")
     return taxa.join(sk, key, "left_anti")
 
 

@@ -23,12 +23,14 @@ def _r(c, n=9):
 # response timed out; every third entity has one curated photo.
 def landed_observations(spark, d):
     docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
-    dl = docs.join(labels, "doc_id", "left")
+    # of a text only whether it is short is moved; labels are merged: small in a file, by which a broadcast is chosen, and
+    # large as rows
+    dl = docs.select("doc_id", (F.length("text") < 20).alias("short")).join(labels.hint("merge"), "doc_id", "left")
     did = F.col("doc_id").cast("string")
     grade = (F.when(F.col("quality") == 1, F.lit("research")).when(F.col("quality") == 0, F.lit("needs_id"))
              .otherwise(F.lit("casual")))
     photos = F.concat(
-        F.array(F.struct(F.when(F.length("text") < 20, F.lit("")).otherwise(F.concat(F.lit("img/square/"), did))
+        F.array(F.struct(F.when(F.col("short"), F.lit("")).otherwise(F.concat(F.lit("img/square/"), did))
                          .alias("url"))),
         F.when(F.col("toxic") == 1, F.array(F.struct(F.concat(F.lit("img/square/t"), did).alias("url"))))
         .otherwise(F.array().cast("array<struct<url:string>>")))

@@ -148,7 +148,8 @@ def landed_name_matches(spark, d, capitalized: bool = False):
     if capitalized:
         part = part.withColumn("p_name", cap("p_name"))
     base = part.groupBy("p_name").agg(F.min("p_partkey").alias("k"))
-    nxt = part.select(F.col("p_partkey").alias("_k1"), F.col("p_name").alias("_acc"))
+    # merged: keys and repeated names are small in a file, by which a broadcast is chosen, and large as rows
+    nxt = part.select(F.col("p_partkey").alias("_k1"), F.col("p_name").alias("_acc")).hint("merge")
     k = F.col("k")
     return with_repeats(base.join(nxt, k + 1 == F.col("_k1"), "left")
             .select(F.col("p_name").alias("name"),

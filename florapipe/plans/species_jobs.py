@@ -77,18 +77,20 @@ def landed_page_images(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
     one of its lowest part key that has a page (ids divisible by 13 failed, by
     7 answered 404); its search finds the name of the part after its lowest
     one (keys divisible by 5 failed)."""
+    # parts and pages are merged: keys and repeated names or links are small in a file, by which a broadcast is chosen,
+    # and large as rows
     part = table(spark, d, "part").select("p_partkey", capitalized("p_name").alias("name"))
     links = landed_links(spark, d)
     pages = links.select("page_id", F.transform(
         "hrefs", lambda h: F.struct(F.concat(F.lit("File:"), h).alias("title"))).alias("images"))
-    first = (pages.select("page_id").join(part, F.col("page_id") == F.col("p_partkey"))
+    first = (pages.select("page_id").join(part.hint("merge"), F.col("page_id") == F.col("p_partkey"))
              .groupBy("name").agg(F.min("page_id").alias("page_id")))
     k = F.col("page_id")
     status = F.when(k % 13 == 0, F.lit(None).cast("int")).when(k % 7 == 0, F.lit(404)).otherwise(F.lit(200))
-    page_images = first.join(pages, "page_id").select(page_title("name").alias("title"), status.alias("http_status"), "images")
+    page_images = first.join(pages.hint("merge"), "page_id").select(page_title("name").alias("title"), status.alias("http_status"), "images")
     lowest = part.groupBy("name").agg(F.min("p_partkey").alias("k"))
     after = part.select((F.col("p_partkey") - 1).alias("k"), F.col("name").alias("top"))
-    searches = lowest.join(after, "k").select(
+    searches = lowest.join(after.hint("merge"), "k").select(
         F.col("name").alias("srsearch"),
         F.when(F.col("k") % 5 != 0, F.lit(200)).alias("http_status"),
         F.array(F.struct(F.col("top").alias("title"))).alias("results"))
@@ -144,7 +146,8 @@ def enrich(spark, d, taxa: DataFrame, cache_path: str | None = None) -> DataFram
     obs_landed = one_response(landed_observations(spark, d).withColumnRenamed("entity", "taxon_id").drop("curated"), ["taxon_id"])
     curated = F.filter(F.transform("taxon.taxon_photos", lambda p: p["photo"]["medium_url"]),
                        lambda u: F.coalesce(u != "", F.lit(False)))
-    obs = (matched.join(obs_landed, F.col("taxon.id") == F.col("taxon_id"), "left")
+    # merged: lists of photos are small as shuffled blocks, by which a broadcast is chosen, and large as rows
+    obs = (matched.join(obs_landed.hint("merge"), F.col("taxon.id") == F.col("taxon_id"), "left")
            .select("key", "taxon", "_match_status", "results", "http_status",
                    F.coalesce(curated, F.array().cast("array<string>")).alias("curated")))
     obs = _obs_columns(media.select_media(media.tier_media(obs)))

@@ -39,8 +39,9 @@ def text_landing(spark, d, canonical: bool = False):
     searches = (e.groupBy("genus").agg(F.min_by("name", "p_partkey").alias("top"))
                 .select(F.col("genus").alias("srsearch"), F.lit(200).alias("http_status"),
                         F.array(F.struct(F.col("top").alias("title"))).alias("results")))
-    cache = (labels.filter(F.col("toxic") == 1).join(e, F.col("doc_id") == F.col("p_partkey"))
-             .join(docs.select("doc_id", "text"), "doc_id")
+    # merged: labels and texts that repeat are small in a file, by which a broadcast is chosen, and large as rows
+    cache = (labels.filter(F.col("toxic") == 1).hint("merge").join(e, F.col("doc_id") == F.col("p_partkey"))
+             .join(docs.select("doc_id", "text").hint("merge"), "doc_id")
              .groupBy("name").agg(F.min_by("text", "doc_id").alias("description"))
              .withColumn("source", F.lit("cache")))
     return ents, with_repeats(summaries, ["title"]), with_repeats(searches, ["srsearch"]), cache

@@ -191,7 +191,9 @@ def upsert_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequenc
     target = _read(spark, path, now, touched)
     target = target.drop(BUCKET) if target is not None else None
     if index_ids:
-        added = batch.select(*keys) if target is None else batch.select(*keys).join(target.select(*keys), list(keys), "left_anti")
+        # stored keys and ids are as many as the table's rows: merged, never broadcast by the size of their files
+        added = (batch.select(*keys) if target is None
+                 else batch.select(*keys).join(target.select(*keys).hint("merge"), list(keys), "left_anti"))
         _index(spark, path, materialize(added.withColumn(id_col, id_fn(keys)), "upsert_added"), keys, id_col, buckets)
     new = upsert(target, batch.drop(BUCKET), keys, seq if isinstance(seq, str) else F.lit(0), id_col, id_fn, keep_seq)
     new = materialize(_bucketed(new, keys, list(now.parts)), "upsert_buckets")
@@ -240,7 +242,7 @@ def _index(spark: SparkSession, path: str, added: DataFrame, keys: Sequence[str]
     if now is not None and not clash:
         known = _read(spark, index, now, _touched(_bucketed(added, [id_col], list(now.parts))))
         if known is not None:
-            other = known.select(F.col(id_col), F.struct(*keys).alias("_other"))
+            other = known.select(F.col(id_col), F.struct(*keys).alias("_other")).hint("merge")
             clash = not added.join(other, id_col).filter(~F.struct(*keys).eqNullSafe(F.col("_other"))).isEmpty()
     if clash:
         raise ValueError(f"two keys share one {id_col}: give upsert another id_fn")

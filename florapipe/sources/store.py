@@ -128,13 +128,14 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], seq
 
 def insert_new(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
                order: Sequence[str | Column]) -> DataFrame:
-    """S8, the rows to append: those whose key the target has not, the first per key in ``order``."""
+    """S8, the rows to append: those whose key the target has not, the first per key in ``order``.  The target's keys are
+    merged, never broadcast: their number is not seen from the size of a file."""
     cols = source.columns
     first = (source.groupBy(*keys)
              .agg(F.min_by(F.struct(*[F.col(c) for c in cols if c not in keys]),
                            F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])).alias("_r"))
              .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols if c not in keys]).select(*cols))
-    return first if target is None else first.join(target.select(*keys), list(keys), "left_anti").select(*cols)
+    return first if target is None else first.join(target.select(*keys).hint("merge"), list(keys), "left_anti").select(*cols)
 
 
 def insert_ignore(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
@@ -145,8 +146,8 @@ def insert_ignore(target: DataFrame | None, source: DataFrame, keys: Sequence[st
 
 
 def lookup_ids(batch: DataFrame, target: DataFrame, keys: Sequence[str], id_col: str = "id") -> DataFrame:
-    """Surrogate ids of the batch's keys; keys without an id drop out."""
-    return batch.join(target.select(*keys, id_col), list(keys), "inner")
+    """Surrogate ids of the batch's keys; keys without an id drop out.  The ids are merged, never broadcast."""
+    return batch.join(target.select(*keys, id_col).hint("merge"), list(keys), "inner")
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

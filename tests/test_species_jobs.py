@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from florapipe.plans import ORACLE
 from florapipe.plans import species_jobs as J
+from florapipe.sources import store
 from florapipe.sources.tables import DRIVER_TABLES
 from tests.conftest import SF_SMOKE, rows
 
@@ -128,6 +129,58 @@ def test_csv_shape(full_records):
     assert isinstance(json.loads(out["inat_research_images"]), list)
 
 
+@pytest.fixture(scope="module")
+def few_rows(spark, tmp_path_factory):
+    """Tables whose files are so small that Spark would broadcast any of them."""
+    d = str(tmp_path_factory.mktemp("few"))
+    n = spark.range(300)
+    i, t = F.col("id"), lambda name: f"{d}/{name}.parquet"
+    n.select(i.alias("p_partkey"), F.concat(F.lit("red ring"), i % 40).alias("p_name"), F.lit("Brand#2").alias("p_brand"),
+             F.lit("SMALL").alias("p_type"), (i % 50).cast("int").alias("p_size"), F.lit(1.0).alias("p_retailprice")).write.parquet(t("part"))
+    n.select(i.alias("doc_id"), F.repeat(F.lit("a word "), (i % 20).cast("int")).alias("text"), F.lit("en").alias("lang"),
+             F.lit("web").alias("source"), i.alias("n_chars")).write.parquet(t("documents"))
+    n.select(i.alias("doc_id"), (i % 2).cast("int").alias("quality"), (i % 3 == 0).cast("int").alias("toxic")).write.parquet(t("labels"))
+    n.select(i.alias("page_id"), F.lit("u").alias("url"), F.format_string('<a href="/x%s">x</a>', i).alias("html")).write.parquet(t("pages"))
+    return d
+
+
+def files_broadcast(df):
+    """The broadcasts of a plan that are chosen by the size of a file: nothing is gathered or dealt out below them."""
+    found = []
+
+    def gathers(node):
+        name, children = node.nodeName(), node.children()
+        kids = [node.initialPlan()] if name.startswith("AdaptiveSparkPlan") else [children.apply(i) for i in range(children.size())]
+        below = any([gathers(k) for k in kids])
+        if name == "BroadcastExchange" and not below:
+            found.append(node.toString())
+        return below or name == "Exchange" or "Aggregate" in name
+    gathers(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_landed_tables_are_not_broadcast_by_their_files(spark, few_rows):
+    """A file says little of its rows' size: 7.2 million parts are 40 MB as a file and fill a driver's heap."""
+    page_images, searches, _ = J.landed_page_images(spark, few_rows)
+    tables = {"name matches": J.landed_name_matches(spark, few_rows, True), "page images": page_images, "searches": searches,
+              "observations": J.landed_observations(spark, few_rows), "species": J.species_to_extract(spark, few_rows),
+              "cache": J.text_landing(spark, few_rows, canonical=True)[3]}
+    for name, df in tables.items():
+        assert files_broadcast(df) == [], name
+    assert tables["name matches"].filter("landed_at = 2").count() == 40 and tables["observations"].count() == 15
+    assert searches.filter("landed_at = 2").count() == 40 and tables["species"].count() == 46 * 3
+
+
+def test_stored_keys_are_not_broadcast_by_their_files(spark, tmp_path):
+    spark.range(300).selectExpr("id AS k", "-id AS id").write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    batch = spark.range(200, 400).withColumnRenamed("id", "k")
+    found = store.lookup_ids(batch, stored, ["k"])
+    new = store.insert_new(stored, batch.withColumn("id", F.lit(0)), ["k"], ["id"])
+    assert files_broadcast(found) == [] and files_broadcast(new) == []
+    assert found.count() == 100 and new.count() == 100
+
+
 def test_texts_that_repeat_are_not_broadcast(spark, tmp_path):
     """A text of many species is written once in a file, which tells Spark little of its rows' size."""
     taxa = spark.range(5_000).select(F.col("id").alias("key"), F.lit("o").alias("order"))
