@@ -15,6 +15,7 @@ observations by its binomial.
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,6 +98,27 @@ def landed_page_images(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
     return with_repeats(page_images, ["title"]), with_repeats(searches, ["srsearch"]), _page_landing(spark, d, links)[3]
 
 
+class Landed(NamedTuple):
+    """The landing logs that the extraction looks up, each a written table."""
+    name_matches: DataFrame
+    taxa_search: DataFrame
+    summaries: DataFrame
+    searches: DataFrame
+    cache: DataFrame
+    page_images: DataFrame
+    page_searches: DataFrame
+    image_info: DataFrame
+
+
+def landed_logs(spark, d) -> Landed:
+    """The logs, made once: a lookup reads its log several times, and a plan that made them each time would be the driver's
+    largest load, whatever the data."""
+    _, summaries, searches, cache = text_landing(spark, d, canonical=True)
+    logs = Landed(landed_name_matches(spark, d, True), landed_taxa_search(spark, d, True), summaries, searches, cache,
+                  *landed_page_images(spark, d))
+    return Landed(*[materialize(log, name) for name, log in logs._asdict().items()])
+
+
 def extract_species(spark, d, limit: int | None = None, cache_path: str | None = None) -> DataFrame:
     """The extraction run: :func:`species_to_extract` -> :func:`enrich`."""
     return enrich(spark, d, species_to_extract(spark, d, limit), cache_path)
@@ -119,18 +141,22 @@ def species_to_extract(spark, d, limit: int | None = None) -> DataFrame:
     return taxa.withColumn("pos", F.struct("order_name", "offset", "index"))
 
 
-def retry_extraction(spark, d, taxa: DataFrame, recorded: DataFrame, cache_path: str | None = None) -> DataFrame:
+def retry_extraction(spark, d, taxa: DataFrame, recorded: DataFrame, cache_path: str | None = None,
+                     landed: Landed | None = None) -> DataFrame:
     """J8 as a job: the extraction of those of ``taxa`` that have no record yet."""
     taxa = materialize(taxa, "retry_taxa")
-    return enrich(spark, d, taxa.join(en.retry_candidates(taxa, recorded, "key").hint("merge"), "key", "left_semi"), cache_path)
+    return enrich(spark, d, taxa.join(en.retry_candidates(taxa, recorded, "key").hint("merge"), "key", "left_semi"), cache_path,
+                  landed)
 
 
-def enrich(spark, d, taxa: DataFrame, cache_path: str | None = None) -> DataFrame:
+def enrich(spark, d, taxa: DataFrame, cache_path: str | None = None, landed: Landed | None = None) -> DataFrame:
     """Listed species -> accepted names -> taxon match -> observation media ->
     description chain -> page media -> one record per species (arrays kept)
     with its place ``pos`` in the listing.  With ``cache_path`` descriptions
     are looked up in the cache stored there first, and found ones are entered
-    (S12): a later run asks for none of them."""
+    (S12): a later run asks for none of them.  ``landed``: the logs, where a
+    caller that enriches more than once has them."""
+    landed = landed or landed_logs(spark, d)
     # lineage cut: every enrichment branch starts from these rows (a table in
     # the shared spark.checkpoint.dir, so it survives executor loss)
     taxa = materialize(taxa, "taxa")
@@ -139,9 +165,9 @@ def enrich(spark, d, taxa: DataFrame, cache_path: str | None = None) -> DataFram
     # observation lookup: binomial -> accepted name -> taxon -> observation photos
     binomial = F.coalesce(extract_binomial(canonical), canonical)
     ents = taxa.select("key", normalize_query_name(binomial).alias("query_name"))
-    ents = resolve_accepted_name(ents, landed_name_matches(spark, d, True), "query_name")
+    ents = resolve_accepted_name(ents, landed.name_matches, "query_name")
     ents = ents.withColumn("resolved_name", F.when(F.col("query_name").isNotNull(), F.col("resolved_name")))
-    matched = (best_match(ents, landed_taxa_search(spark, d, True), "key", "resolved_name")
+    matched = (best_match(ents, landed.taxa_search, "key", "resolved_name")
                .withColumnRenamed("inat_status", "_match_status"))
     obs_landed = one_response(landed_observations(spark, d).withColumnRenamed("entity", "taxon_id").drop("curated"), ["taxon_id"])
     curated = F.filter(F.transform("taxon.taxon_photos", lambda p: p["photo"]["medium_url"]),
@@ -153,12 +179,12 @@ def enrich(spark, d, taxa: DataFrame, cache_path: str | None = None) -> DataFram
     obs = _obs_columns(media.select_media(media.tier_media(obs)))
 
     # description chain
-    _, summaries, searches, cache = text_landing(spark, d, canonical=True)
+    cache = landed.cache
     if cache_path:
         stored = store.read_snapshot(spark, cache_path)
         cache = stored if stored is not None else cache.withColumn(LANDED_AT, F.lit(0))
     names = taxa.select("key", canonical.alias("name"), "genus")
-    text = (text_fallback(names, "key", "name", summaries, searches, cache, genus_col="genus", final_min_len=MIN_TEXT_LEN)
+    text = (text_fallback(names, "key", "name", landed.summaries, landed.searches, cache, genus_col="genus", final_min_len=MIN_TEXT_LEN)
             .select("key", "name", "description", "description_source"))
     if cache_path:
         text = materialize(text, "texts")
@@ -166,7 +192,8 @@ def enrich(spark, d, taxa: DataFrame, cache_path: str | None = None) -> DataFram
         store.expire_versions(spark, cache_path)
     text = text.drop("name")
     # reference images from the species page
-    wiki = media.page_media(names.drop("genus"), "key", "name", *landed_page_images(spark, d)).select("key", "wiki_images")
+    wiki = media.page_media(names.drop("genus"), "key", "name", landed.page_images, landed.page_searches, landed.image_info)
+    wiki = wiki.select("key", "wiki_images")
 
     base = taxa.select("key", F.col("order_name").alias("order"), "family", "genus",
                        F.col("scientificName").alias("scientific_name"),
@@ -299,11 +326,11 @@ def q_extract_species(spark, d):
 def q_retry_extraction(spark, d):
     """A run that lost every third record, and the rerun of what it lost: together the whole, descriptions from one cache."""
     sink, cache = scratch_path(spark, "records_sink"), scratch_path(spark, "text_cache")
-    taxa = materialize(species_to_extract(spark, d), "species_to_extract")
-    first = enrich(spark, d, taxa, cache)
+    taxa, landed = materialize(species_to_extract(spark, d), "species_to_extract"), landed_logs(spark, d)
+    first = enrich(spark, d, taxa, cache, landed)
     bucketed.write_batch(first.filter(F.col("gbif_id") % 3 != 0), sink, ["gbif_id"], "run")
     recorded = bucketed.read(spark, sink).select(F.col("gbif_id").alias("key"))
-    bucketed.write_batch(retry_extraction(spark, d, taxa, recorded, cache), sink, ["gbif_id"], "retry")
+    bucketed.write_batch(retry_extraction(spark, d, taxa, recorded, cache, landed), sink, ["gbif_id"], "retry")
     return records_text(bucketed.read(spark, sink).drop(bucketed.BATCH))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from florapipe.operators.enumeration import accepted_species, exclude_processed, explode_pages
 from florapipe.operators.numbering import number_in_groups
 from florapipe.plans.registry import query
-from florapipe.plans.species_jobs import EXTRACT_SQL, enrich, listed_species, records_text
+from florapipe.plans.species_jobs import EXTRACT_SQL, enrich, landed_logs, listed_species, records_text
 from florapipe.session import scratch_path
 from florapipe.sources import keyed, store
 from florapipe.sources.tables import table
@@ -49,8 +49,9 @@ def q_stream_extract(spark, d):
         taxa = accepted_species(explode_pages(pages, ["order_name"], "offset", "results"))
         done = table(s, d, "labels").filter(F.col("quality") == 0)
         taxa = exclude_processed(taxa, done, "key", "doc_id").withColumn("pos", F.struct("order_name", "offset", "index"))
-        return records_text(enrich(s, d, taxa))
+        return records_text(enrich(s, d, taxa, landed=landed))
 
+    landed = landed_logs(spark, d)
     folder, schema = landed_pages(spark, d)
     sink, ckpt = scratch_path(spark, "extract_sink"), scratch_path(spark, "extract_ckpt")
     src = jobs.file_stream(spark, f"{folder}/*", schema, max_files_per_trigger=1)

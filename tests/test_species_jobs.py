@@ -171,6 +171,14 @@ def test_landed_tables_are_not_broadcast_by_their_files(spark, few_rows):
     assert searches.filter("landed_at = 2").count() == 40 and tables["species"].count() == 46 * 3
 
 
+def test_the_extraction_reads_its_landing_logs_as_tables(spark, few_rows):
+    """A plan that makes each log wherever it is looked up grows to thousands of nodes, which the driver holds."""
+    out = J.extract_species(spark, few_rows)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "p_partkey" not in plan and plan.count("\n") < 1_000
+    assert out.count() == 46 * 3
+
+
 def test_stored_keys_are_not_broadcast_by_their_files(spark, tmp_path):
     spark.range(300).selectExpr("id AS k", "-id AS id").write.parquet(str(tmp_path / "t"))
     stored = spark.read.parquet(str(tmp_path / "t"))
